@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from limes.llm import licenses, media, mixing, packing, url_filters
+from limes.llm import licenses, media, mixing, packing, pii, quality, url_filters
 
 QUERIES = {
     "op2_media_columns": media.op2_media_columns,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op6_licenses": licenses.op6_licenses,
+    "op7_pii": pii.op7_pii,
     "op8_url_filters": url_filters.op8_url_filters,
+    "op9_quality": quality.op9_quality,
 }
 
 ORACLES = {
