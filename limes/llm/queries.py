@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from limes.llm import licenses, media, mixing, packing, pii, quality, url_filters
+from limes.llm import licenses, media, mixing, near_dup, packing, pii, quality, url_filters
 
 QUERIES = {
     "op2_media_columns": media.op2_media_columns,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_url_filters": url_filters.op8_url_filters,
     "op9_quality": quality.op9_quality,
+    "op10_near_duplicates": near_dup.op10_near_duplicates,
 }
 
 ORACLES = {
