@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from limes.llm import licenses, media, mixing, near_dup, packing, pii, quality, url_filters
+from limes.llm import licenses, media, mixing, near_dup, packing, pii, quality, substring_dedup, url_filters
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_media_columns": media.op2_media_columns,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
