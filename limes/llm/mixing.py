@@ -163,7 +163,7 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     copies = placed.withColumn("copies", F.expr(f"CASE WHEN size = 0 THEN 0 ELSE int(floor(taken / size + pmod(xxhash64({seed + 2}, doc_id), 1000003) / 1000003.0)) END"))
     counts = copies.groupBy(F.col("doc_id").alias("__id"), F.col("no_source").alias("__no"), F.col("src").alias("__src")).agg(F.max("copies").alias("__copies"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.coalesce("source", F.lit("")) == F.col("__src")) & (F.col("source").isNull() == F.col("__no"))
-    return docs.join(counts.filter("__copies > 0"), same).withColumn("__copy", F.expr("explode(sequence(1, __copies))")).select(*docs.columns)
+    return docs.join(counts.filter("__copies > 0").hint("shuffle_hash"), same).withColumn("__copy", F.expr("explode(sequence(1, __copies))")).select(*docs.columns)
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

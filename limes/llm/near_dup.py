@@ -231,5 +231,5 @@ def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is its component's smallest; of rows repeated under that id all stay."""
-    kept = classes(docs).filter("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("__id")).distinct()
+    kept = classes(docs).filter("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("__id")).distinct().hint("shuffle_hash")
     return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")

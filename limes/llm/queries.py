@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from limes.llm import licenses, media, mixing, near_dup, packing, pii, quality, substring_dedup, url_filters
+from limes.llm import licenses, media, mixing, near_dup, packing, pii, quality, substring_dedup, suffix_dedup, url_filters
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_media_columns": media.op2_media_columns,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_licenses": licenses.op6_licenses,
     "op7_pii": pii.op7_pii,
     "op8_url_filters": url_filters.op8_url_filters,
