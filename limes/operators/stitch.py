@@ -93,46 +93,61 @@ def gap_repairs(joined: DataFrame, nodes: DataFrame, most: float = 1.0) -> DataF
 RINGS = "rel long, role string, ring int, ways array<long>, nodes array<long>, reason string"
 
 
+def _walk(members: list[tuple]) -> list[tuple]:
+    """(ways, nodes, reason) of each chain of (ref, first, last, present), in order of the first way."""
+    out, left = [], []
+    if not all(m[3] for m in members):
+        out.append((None, None, "missing_way"))
+    for ref, first, last, present in members:
+        if present and first == last:
+            out.append(([ref], [first, last], None))
+        elif present:
+            left.append((ref, first, last))
+    at: dict = {}
+    for i, (_, a, b) in enumerate(left):
+        at.setdefault(a, []).append(i)
+        at.setdefault(b, []).append(i)
+    free = [True] * len(left)
+    for i, (ref, a, b) in enumerate(left):
+        if not free[i]:
+            continue
+        free[i] = False
+        chain, nodes = [ref], [a, b]
+        while nodes[-1] != a:
+            step = next((k for k in at[nodes[-1]] if free[k]), None)
+            if step is None:
+                break
+            free[step] = False
+            r, p, q = left[step]
+            chain.append(r)
+            nodes.append(q if p == nodes[-1] else p)
+        out.append((chain, nodes, None if nodes[-1] == a else "open_ring"))
+    return out
+
+
 def assembled(joined: DataFrame) -> DataFrame:
     """Walk the ways of each relation and role into closed rings; an open end or a missing way is a row with a reason.
 
-    A relation has thousands of ways at most, so one group is one relation's role; distribution is over relations.
+    Relations are dealt to buckets of a few thousand members, so a Python call serves many of them; a relation has thousands of
+    ways at most and is never cut.
     """
-
-    def walk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rel, role = key
-        out, left = [], []
-        if not rows["present"].all():
-            out.append((rel, role, None, None, None, "missing_way"))
-        for r in rows[rows["present"]].sort_values("pos").itertuples():
-            if r.first_node == r.last_node:
-                out.append((rel, role, None, [r.ref], [r.first_node, r.last_node], None))
-            else:
-                left.append((r.ref, r.first_node, r.last_node))
-        at: dict = {}
-        for i, (_, a, b) in enumerate(left):
-            at.setdefault(a, []).append(i)
-            at.setdefault(b, []).append(i)
-        free = [True] * len(left)
-        for i, (ref, a, b) in enumerate(left):
-            if not free[i]:
-                continue
-            free[i] = False
-            chain, nodes = [ref], [a, b]
-            while nodes[-1] != a:
-                step = next((k for k in at[nodes[-1]] if free[k]), None)
-                if step is None:
-                    break
-                free[step] = False
-                r, p, q = left[step]
-                chain.append(r)
-                nodes.append(q if p == nodes[-1] else p)
-            out.append((rel, role, None, chain, nodes, None if nodes[-1] == a else "open_ring"))
-        rows_out = pd.DataFrame(out, columns=["rel", "role", "ring", "ways", "nodes", "reason"])
-        rows_out["ring"] = range(len(rows_out))
-        return rows_out
-
-    return joined.select("rel", "role", "pos", "ref", "first_node", "last_node", "present").groupBy("rel", "role").applyInPandas(walk, RINGS)
+    wanted = joined.select("rel", "role", "pos", "ref", "first_node", "last_node", "present")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["rel", "role", "pos", "ref"])
+        out, members, before = [], [], None
+        for rel, role, ref, first, last, present in zip(rows["rel"], rows["role"], rows["ref"], rows["first_node"], rows["last_node"], rows["present"]):
+            if (rel, role) != before and before is not None:
+                out += [(*before, k, *r) for k, r in enumerate(_walk(members))]
+                members = []
+            before = (rel, role)
+            members.append((ref, first, last, present))
+        if before is not None:
+            out += [(*before, k, *r) for k, r in enumerate(_walk(members))]
+        return pd.DataFrame(out, columns=["rel", "role", "ring", "ways", "nodes", "reason"])
+
+    buckets = max(1, joined.select("rel").distinct().count() // 2_000)
+    return wanted.withColumn("bucket", F.pmod(F.xxhash64("rel"), F.lit(buckets))).groupBy("bucket").applyInPandas(run, RINGS)
 
 
 def assembly_outcomes(rings: DataFrame) -> DataFrame:

@@ -581,7 +581,7 @@ NODEREFS = "SELECT l_orderkey AS id, array_agg(l_partkey ORDER BY l_linenumber)
 
 
 @query(
-    "+pts AS (SELECT l_orderkey AS id, l_linenumber AS pos, n.id AS node, n.id * 3 AS x, n.id * 5 AS y FROM lineitem LEFT JOIN fx_ways n ON n.id = l_partkey), w AS (SELECT id, string_agg(concat(CAST(x AS VARCHAR(20)), ' ', CAST(y AS VARCHAR(20))), ',' ORDER BY pos) AS pts FROM pts GROUP BY id HAVING count(*) = count(node) AND count(*) >= 2) SELECT * FROM w",
+    "+pts AS (SELECT l_orderkey AS id, l_linenumber AS pos, l_partkey AS part, n.id AS node, n.id * 3 AS x, n.id * 5 AS y FROM lineitem LEFT JOIN fx_ways n ON n.id = l_partkey), w AS (SELECT id, string_agg(concat(CAST(x AS VARCHAR(20)), ' ', CAST(y AS VARCHAR(20))), ',' ORDER BY pos, part) AS pts FROM pts GROUP BY id HAVING count(*) = count(node) AND count(*) >= 2) SELECT * FROM w",
     "fx_ways",
 )
 def way_geometry(spark, sf_dir):
@@ -690,7 +690,7 @@ def curated_upsert(spark, sf_dir):
 
 @query(
     "+lv AS (SELECT n_name AS country, list(DISTINCT CAST(s_suppkey % 5 * 2 AS INT)) AS levels FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1), m AS (SELECT country, list_sort(levels) AS levels, unnest(range(1, CAST(power(2, len(levels)) AS BIGINT))) AS mask FROM lv), "
-    "s AS (SELECT country, list_filter(levels, (l, i) -> (mask >> (i - 1)) & 1 = 1) AS shape FROM m) SELECT country, array_to_string(shape, '-') AS shape, CASE WHEN list_contains(shape, 4) THEN 'ok' ELSE 'partial' END AS status FROM s",
+    "s AS (SELECT country, list_filter(levels, lambda l, i: ((mask >> (i - 1)) & 1) = 1) AS shape FROM m) SELECT country, array_to_string(shape, '-') AS shape, CASE WHEN list_contains(shape, 4) THEN 'ok' ELSE 'partial' END AS status FROM s",
     "fx_nodes",
 )
 def level_shapes(spark, sf_dir):
@@ -702,7 +702,7 @@ def level_shapes(spark, sf_dir):
 
 @query(
     "+lv AS (SELECT n_name AS country, list_sort(list(DISTINCT CAST(s_suppkey % 5 * 2 AS INT))) AS levels FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1), m AS (SELECT country, levels, unnest(range(1, CAST(power(2, len(levels)) AS BIGINT))) AS mask FROM lv), "
-    "s AS (SELECT country, levels, list_filter(levels, (l, i) -> (mask >> (i - 1)) & 1 = 1) AS shape FROM m) SELECT country, array_to_string(shape, '-') AS shape, CASE WHEN len(shape) = len(levels) THEN 'ok' ELSE 'partial' END AS status FROM s",
+    "s AS (SELECT country, levels, list_filter(levels, lambda l, i: ((mask >> (i - 1)) & 1) = 1) AS shape FROM m) SELECT country, array_to_string(shape, '-') AS shape, CASE WHEN len(shape) = len(levels) THEN 'ok' ELSE 'partial' END AS status FROM s",
     "fx_nodes",
 )
 def default_policy(spark, sf_dir):
