@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where tests and single machines put intermediate tables when the session names no shared folder.
-_own_folder: list[str] = []
+from limes.session import written  # noqa: F401  (the operators take it from here)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,27 +23,6 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: ``spark.checkpoint.dir``, or an own one where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _own_folder:
-        _own_folder.append(tempfile.mkdtemp(prefix="limes-"))
-    return f"file://{_own_folder[0]}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as a table in the shared folder and read it back.
-
-    The table outlives any executor, and unlike ``checkpoint()`` the rows are computed once.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/limes/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def input_bytes(df: DataFrame) -> int:
     """Bytes the optimizer expects ``df`` to read, 0 if it cannot tell."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

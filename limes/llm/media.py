@@ -6,8 +6,8 @@ carries one, two or three units of 192 bytes at 80, 160 or 224 kbit/s, so the st
 Xing frame in front holds frame count, byte count and a 100-point seek table, an ID3v2.4 tag holds the
 unpadded length, and an ID3v1 tag ends the file.
 
-``decode`` is a general reader: it skips tags, resynchronises on frame headers (a header counts if another one,
-a tag or the end follows it), verifies the checksums of protected frames, and returns exact durations as
+``decode`` is a general reader: it skips tags, resynchronises on frame headers (after lost bytes a header counts only if another
+one, a tag or the end follows it), verifies the checksums of protected frames, and returns exact durations as
 samples over the sampling rate, and the byte offset of every frame.
 
 Defined results: null and empty texts are one unit of spaces; equal texts give equal streams; rows are independent,
@@ -144,13 +144,15 @@ def decode_block(block: Block, media: list[bytes]) -> list[tuple]:
         lo, hi = int(block.offs[d]), int(block.offs[d + 1])
         skip, told = _read_tag(media[d])
         end = hi - 128 if hi - lo >= 128 and media[d][-128:-125] == b"TAG" else hi
-        pos, lost, places = lo + skip, 0, []
+        pos, lost, places, synced = lo + skip, 0, [], True
         while pos < end:
             n = int(length[pos])
-            if n and pos + n <= end and (pos + n == end or length[pos + n]):
+            if n and pos + n <= end and (synced or pos + n == end or length[pos + n]):
                 places.append(pos)
                 pos += n
+                synced = True
             else:
+                synced = False
                 k = int(np.searchsorted(heads, pos, side="right"))
                 to = min(end, int(heads[k])) if k < len(heads) else end
                 lost += to - pos
