@@ -6,16 +6,20 @@ are linked; a component takes the smallest ``doc_id`` that links reach.
 1. One pass over the texts gives set size, a 128-bit fingerprint of the set, 125 MinHash samples folded into 25 band keys of five
    samples, and an odd sketch: a 256-bit map in which every (sample number, value) flips one bit.
 2. Equal sets become one representative (partial aggregation first), so copies never meet again.
-3. Band buckets link each representative with the bucket's smallest one: a star, linear in the bucket.  The population
-   count of the XOR of two sketches estimates their similarity and drops pairs that are far below the threshold; all others are
-   compared on their full sets.
+3. Band buckets link each representative with the bucket's smallest one: a star, linear in the bucket.  Population
+   counts of XORs of two sketches drop pairs below the threshold; all others are compared on their full sets.
 4. Connected components of the confirmed links, by large-star and small-star rounds.
 5. What stars can miss: pairs that share a bucket but not a component.  They are joined within the bucket (keys in several
-   components only), pass the same sketch test, and are compared on full sets until none is left.  Members that stars have
-   already connected are not compared with each other, which is what keeps big groups linear.
+   components only) under the same sketch tests.  First only the closest pair of any two components is compared, in one band, then in
+   more; components grow together, and at last all pairs that are still open are compared.  Members that are
+   already connected are not compared with each other, which is what keeps big groups near linear.
 
-A pair of similarity 0.85 misses all bands with probability (1 - 0.85**5)**25 = 4e-7.  The sketch test keeps it unless the estimate
-falls more than four standard deviations short.  Nothing is capped.
+There are two odd sketches.  One folds the MinHash samples (256 bits); it serves sets of any size.  The other folds the whole set
+(1024 bits), which is precise for sets up to a few thousand shingles.
+
+A pair of similarity 0.85 misses all bands with probability (1 - 0.85**5)**25 = 4e-7.  The samples' sketch keeps it unless the estimate
+falls more than four standard deviations short; the whole set's sketch never differs in more bits than the sets do in shingles, so it
+loses nothing.  Nothing is capped.
 
 Defined results: null and empty texts have an empty set, are linked with nothing and are their own component; texts of one or two
 words have their word sequence as one shingle; repeated rows of one ``doc_id`` with equal texts give one row each, with the same
@@ -39,7 +43,7 @@ from limes.llm.common import table, texts, written
 SHINGLE, PERCENT = 3, 85
 BANDS, ROWS = 25, 5
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 256
+SKETCH_BITS, SET_BITS = 256, 1024
 _MULTIPLY = mix(np.arange(1, SAMPLES + 1, dtype=U64)) | U64(1)
 
 
@@ -94,7 +98,19 @@ def signatures(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return fingerprint, keys, sketch
 
 
-PROFILE = "doc_id long, n_shingles long, f1 long, f2 long, bands binary, s0 long, s1 long, s2 long, s3 long"
+SAMPLE_WORDS = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+SET_WORDS = [f"p{i}" for i in range(SET_BITS // 64)]
+SKETCH = ["n_shingles", *SAMPLE_WORDS, *SET_WORDS]
+PROFILE = "doc_id long, n_shingles long, f1 long, f2 long, bands binary, " + ", ".join(f"{c} long" for c in SAMPLE_WORDS + SET_WORDS)
+
+
+def set_sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Parity of the whole sets, ``SET_BITS`` each, as words."""
+    n = len(bounds) - 1
+    own = np.repeat(np.arange(n), np.diff(bounds))
+    bit = (mix(values ^ U64(0x1B873593CC9E2D51)) % U64(SET_BITS)).astype(np.int64)
+    odd = np.bincount(own * SET_BITS + bit, minlength=n * SET_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, SET_BITS), axis=1).view(np.int64)
 
 
 def profiles(docs: DataFrame) -> DataFrame:
@@ -110,7 +126,8 @@ def profiles(docs: DataFrame) -> DataFrame:
                     f[full], keys, s[full] = signatures(values, np.append(bounds[full], bounds[-1]))
                     for d, row in zip(full, keys):
                         bands[d] = row.tobytes()
-                as_long = [pa.array(c.view(np.int64)) for c in (*np.ascontiguousarray(f.T), *np.ascontiguousarray(s.T))]
+                whole = set_sketches(values, bounds)
+                as_long = [pa.array(c.view(np.int64)) for c in (*np.ascontiguousarray(f.T), *np.ascontiguousarray(s.T), *np.ascontiguousarray(whole.T))]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size.astype(np.int64)), *as_long[:2], binaries(bands), *as_long[2:]], [c.split()[0] for c in PROFILE.split(", ")])
 
     return texts(docs).mapInArrow(run, PROFILE)
@@ -170,16 +187,22 @@ def components(links: DataFrame) -> DataFrame:
 
 def _bands(representatives: DataFrame) -> DataFrame:
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("bands"), i * 8 + 1, F.lit(8))))
-    return representatives.select("rep", F.explode(keys).alias("key"))
+    return representatives.select("rep", F.posexplode(keys).alias("band", "key"))
+
+
+def _may_be_similar(a: str, b: str) -> str:
+    """The test of two sides with these suffixes: sizes, the whole sets' sketches, the samples' sketches."""
+    bits = lambda words: " + ".join(f"bit_count({w}{a} ^ {w}{b})" for w in words)
+    sizes = f"least(n_shingles{a}, n_shingles{b}) * 100 >= greatest(n_shingles{a}, n_shingles{b}) * {PERCENT}"
+    whole = f"({bits(SET_WORDS)}) * {100 + PERCENT} <= (n_shingles{a} + n_shingles{b}) * {100 - PERCENT}"
+    return f"{sizes} AND {whole} AND {bits(SAMPLE_WORDS)} <= {MOST_BITS}"
 
 
 def _close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs whose sizes and sketches allow the threshold."""
     for side in ("a", "b"):
-        pairs = pairs.join(sketches.select(F.col("rep").alias(side), *(F.col(c).alias(f"{c}{side}") for c in ("n_shingles", "s0", "s1", "s2", "s3"))), side)
-    differing = sum((F.bit_count(F.col(f"s{i}a").bitwiseXOR(F.col(f"s{i}b"))) for i in range(4)), F.lit(0))
-    sizes = F.least("n_shinglesa", "n_shinglesb") * 100 >= F.greatest("n_shinglesa", "n_shinglesb") * PERCENT
-    return pairs.filter(sizes & (differing <= MOST_BITS)).select("a", "b")
+        pairs = pairs.join(sketches.select(F.col("rep").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)), side)
+    return pairs.filter(_may_be_similar("_a", "_b")).select("a", "b")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -187,14 +210,14 @@ def classes(docs: DataFrame) -> DataFrame:
     seen = written(profiles(docs), "profiles")
     filled = seen.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     representatives = written(
-        filled.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("bands", "s0", "s1", "s2", "s3"))), "representatives"
+        filled.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("bands", *SAMPLE_WORDS, *SET_WORDS))), "representatives"
     )
     # A doc_id on several texts is a link between their sets; within one text it is the set's own copies.
     copies = filled.join(representatives.select("f1", "f2", "n_shingles", "rep"), ["f1", "f2", "n_shingles"]).select("doc_id", "rep")
-    sketches = representatives.select("rep", "n_shingles", "s0", "s1", "s2", "s3")
+    sketches = representatives.select("rep", *SKETCH)
     banded = _bands(representatives)
     stars = banded.groupBy("key").agg(F.min("rep").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    shared = written(banded.join(stars.select("key", "b"), "key").select("key", "rep", "b"), "buckets")
+    shared = written(banded.join(stars.select("key", "b"), "key").select("band", "key", "rep", "b"), "buckets")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash")
     needed = written(texts(docs).join(wanted, "doc_id", "left_semi"), "candidate-texts")
     tried = shared.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
@@ -202,26 +225,33 @@ def classes(docs: DataFrame) -> DataFrame:
     several = copies.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter("b <> most").select("doc_id", "b")
     same_id = copies.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
     rooted = written(components(links.union(same_id)), "rooted")
-    rest = written(_crossing(shared, rooted, sketches), "crossing")
-    if not rest.isEmpty():
-        more = similar(rest, needed)
-        rooted = components(more.select("a", "b").union(rooted.select(F.col("v").alias("a"), F.col("root").alias("b"))))
+    for bands, closest in OPEN_ROUNDS:
+        rest = written(_crossing(shared.filter(F.col("band") < bands), rooted, sketches, closest), "crossing")
+        if rest.isEmpty():
+            continue
+        more = written(similar(rest, needed), "links")
+        rooted = written(components(more.unionByName(rooted.select(F.col("v").alias("a"), F.col("root").alias("b")))), "rooted")
     of_set = copies.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("root"))
     of_doc = of_set.groupBy("doc_id").agg(F.min("root").alias("root"))
     return seen.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _crossing(shared: DataFrame, rooted: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs that share a bucket, are in different components and may be similar: what the stars left open."""
+#: bands that a round looks at, and whether it takes only the closest pair of any two components
+OPEN_ROUNDS = ((1, True), (5, True), (BANDS, True), (BANDS, False))
+
+
+def _crossing(shared: DataFrame, rooted: DataFrame, sketches: DataFrame, closest: bool) -> DataFrame:
+    """Pairs that share a bucket, are in different components and may be similar: what is still open."""
     placed = shared.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     inside = placed.join(mixed, "key").join(sketches, "rep")
-    sides = [inside.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n_shingles", "s0", "s1", "s2", "s3"))) for x in ("a", "b")]
-    differing = " + ".join(f"bit_count(s{i}_a ^ s{i}_b)" for i in range(4))
-    small = f"least(n_shingles_a, n_shingles_b) * 100 >= greatest(n_shingles_a, n_shingles_b) * {PERCENT}"
-    left, right = sides
-    met = left.join(right, "key").filter(f"root_a < root_b AND {small} AND {differing} <= {MOST_BITS}")
-    return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    left, right = (inside.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", *SKETCH))) for x in ("a", "b"))
+    met = left.join(right, "key").filter(f"root_a < root_b AND {_may_be_similar('_a', '_b')}")
+    if not closest:
+        return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    apart = F.expr(f"({' + '.join(f'bit_count({w}_a ^ {w}_b)' for w in SET_WORDS)}) / (n_shingles_a + n_shingles_b)")
+    best = met.groupBy("root_a", "root_b").agg(F.min(F.struct(apart.alias("apart"), F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).alias("p"))
+    return best.select("p.a", "p.b")
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
