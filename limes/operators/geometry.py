@@ -180,3 +180,15 @@ def ring_arrays(edges: DataFrame) -> DataFrame:
     gathered = edges.groupBy("feature_id", "ring", "role").agg(F.array_sort(F.collect_list(corner)).alias("c"))
     open_ = F.transform("c", lambda p: F.struct(p["x"], p["y"]))
     return gathered.select("feature_id", "ring", "role", F.concat(open_, F.slice(open_, 1, 1)).alias("pts"))
+
+
+def expanded(features: DataFrame, version: int = 3) -> DataFrame:
+    """``feature_id, part, ring, role, n_points`` of ``feature_id, parts`` (arrays of rings of corners); empty rings are skipped.
+
+    Version 1 keeps outer rings only. A feature without any part is an error.
+    """
+    parts = features.select("feature_id", F.posexplode_outer("parts").alias("part", "rings"))
+    checked = parts.withColumn("part", F.coalesce("part", F.raise_error(F.concat(F.lit("no part in feature "), F.col("feature_id").cast("string"))).cast("int")))
+    rings = checked.select("feature_id", "part", F.posexplode("rings").alias("ring", "pts")).filter("size(pts) > 0")
+    rows = rings.select("feature_id", "part", "ring", F.when(F.col("ring") == 0, "outer").otherwise("inner").alias("role"), F.size("pts").alias("n_points"))
+    return rows.filter("ring = 0") if version == 1 else rows

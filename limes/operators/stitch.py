@@ -170,3 +170,22 @@ def relation_report(members: DataFrame, ways: DataFrame) -> DataFrame:
 def member_statistics(members: DataFrame) -> DataFrame:
     """Counts by relation and role; a blank role is told as ``(empty)``."""
     return members.groupBy("rel", F.when(F.col("role") == "", "(empty)").otherwise(F.col("role")).alias("role")).agg(F.count("*").alias("n"))
+
+
+def degree_distribution(degrees: DataFrame) -> DataFrame:
+    return degrees.groupBy("degree").agg(F.count("*").alias("n"))
+
+
+def assembly_report(copies: DataFrame, members: DataFrame, ways: DataFrame) -> DataFrame:
+    """One row for each extract: relations, losing copies, members, and the members whose way is missing."""
+    lost = losing_copies(copies).groupBy("extract_ord").agg(F.count("*").alias("duplicates"))
+    rows = with_ways(members, ways.select("id")).groupBy("extract_ord").agg(F.countDistinct("rel").alias("relations"), F.count("*").alias("members"), F.count(F.when(~F.col("present"), 1)).alias("missing_members"))
+    return rows.join(lost, "extract_ord", "left").fillna({"duplicates": 0})
+
+
+def stitched(extracts: list[DataFrame], content: list[str]) -> DataFrame:
+    """Elements of all extracts, each once: the first extract's row, with a mark where others differ."""
+    every = extracts[0]
+    for more in extracts[1:]:
+        every = every.unionByName(more)
+    return first_copies(every, content)

@@ -810,3 +810,83 @@ def report_csv(spark, sf_dir):
 def longitude_unwrap(spark, sf_dir):
     points = fixture(spark, sf_dir, "fx_points").filter("px BETWEEN 2820 AND 3180").withColumn("lon", F.col("px") - 3000)
     return points.select("pid", "lon", M.unwrap_longitude(F.col("lon")).alias("unwrapped"))
+
+
+# --- the remaining inventory ---------------------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey AS rel, l_linenumber AS pos, l_partkey AS ref, 'outer' AS role FROM lineitem WHERE l_linenumber % 3 <> 0 AND l_orderkey IN (SELECT o_orderkey FROM orders)")
+def way_members(spark, sf_dir):
+    return select.members_of(_relations(spark, sf_dir), "w")
+
+
+@query("SELECT CASE WHEN role IN ('', 'outer') THEN 'outer' WHEN role = 'inner' THEN 'inner' END AS ring_role, count(*) AS n FROM fx_members GROUP BY 1", "fx_members")
+def ring_roles(spark, sf_dir):
+    return quality.level_counts(fixture(spark, sf_dir, "fx_members").withColumn("ring_role", select.ring_role(F.col("role"))), ["ring_role"])
+
+
+@query("SELECT substr(k, 6) AS lang, count(*) AS n FROM fx_tags GROUP BY 1", "fx_tags")
+def alias_counts(spark, sf_dir):
+    return N.alias_counts(fixture(spark, sf_dir, "fx_tags").select(F.create_map("k", "v").alias("tags")), F.map_keys("tags"))
+
+
+@query("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_regionkey = 2 OR n_name = (SELECT max(n_name) FROM nation)")
+def country_boundary(spark, sf_dir):
+    polygons = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("iso"))
+    return tables.country_boundary(polygons, "2", polygons.agg(F.max("name")).first()[0]).select("id", "name")
+
+
+@query(
+    "+spec AS (SELECT concat('m', CAST(n_nationkey % 4 AS VARCHAR(20))) AS region_id, concat('n', CAST(n_nationkey AS VARCHAR(20))) AS child_id FROM nation), "
+    "e AS (SELECT region_id, CASE WHEN (x1, y1) > (x2, y2) THEN x2 ELSE x1 END AS x1, CASE WHEN (x1, y1) > (x2, y2) THEN y2 ELSE y1 END AS y1, CASE WHEN (x1, y1) > (x2, y2) THEN x1 ELSE x2 END AS x2, CASE WHEN (x1, y1) > (x2, y2) THEN y1 ELSE y2 END AS y2 "
+    "FROM fx_edges JOIN spec ON feature_id = child_id WHERE role = 'outer' AND region_id <> 'm1') SELECT region_id, x1, y1, x2, y2 FROM e GROUP BY ALL HAVING count(*) % 2 = 1",
+    "fx_edges",
+)
+def province_supplements(spark, sf_dir):
+    specs = table(spark, sf_dir, "nation").selectExpr("concat('m', CAST(n_nationkey % 4 AS STRING)) AS region_id", "concat('n', CAST(n_nationkey AS STRING)) AS child_id")
+    existing = specs.filter("region_id = 'm1'").select(F.col("region_id").alias("id")).distinct()
+    return hierarchy.missing_regions(specs, fixture(spark, sf_dir, "fx_edges").filter("role = 'outer'"), existing)
+
+
+@query(
+    "+g AS (SELECT feature_id // 3 AS parent, feature_id, count(*) AS n FROM fx_loops GROUP BY ALL), p AS (SELECT parent, n, row_number() OVER (PARTITION BY parent ORDER BY feature_id) - 1 AS k FROM g) SELECT parent AS feature_id, CAST(k // 2 AS INT) AS part, CAST(k % 2 AS INT) AS ring, CASE WHEN k % 2 = 0 THEN 'outer' ELSE 'inner' END AS role, CAST(n AS INT) AS n_points FROM p",
+    "fx_loops",
+)
+def part_expansion(spark, sf_dir):
+    loops = fixture(spark, sf_dir, "fx_loops").groupBy("feature_id").agg(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))).alias("pts"))
+    rings = loops.groupBy(F.expr("feature_id div 3").alias("parent")).agg(F.array_sort(F.collect_list(F.struct("feature_id", "pts"))).alias("rings"))
+    nested = F.expr("transform(sequence(0, cast((size(rings) - 1) div 2 as int)), k -> transform(slice(rings, 2 * k + 1, 2), r -> r.pts))")
+    return geometry.expanded(rings.select(F.col("parent").alias("feature_id"), nested.alias("parts")))
+
+
+@query("+d AS (SELECT rel, unnest([first_node, last_node]) AS node FROM fx_members JOIN fx_ways ON id = ref), g AS (SELECT rel, node, count(*) AS degree FROM d GROUP BY ALL) SELECT degree, count(*) AS n FROM g GROUP BY 1", "fx_members", "fx_ways")
+def degree_distribution(spark, sf_dir):
+    return stitch.degree_distribution(stitch.endpoint_degrees(_joined(spark, sf_dir)))
+
+
+@query(
+    "+r AS (SELECT *, max(n_ways) OVER (PARTITION BY rel ORDER BY extract_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM fx_copies), l AS (SELECT extract_ord, count(*) AS duplicates FROM r WHERE n_ways <= b GROUP BY 1), "
+    "m AS (SELECT extract_ord, count(DISTINCT rel) AS relations, count(*) AS members, count(*) FILTER (WHERE id IS NULL) AS missing_members FROM fx_members LEFT JOIN fx_ways ON id = ref GROUP BY 1) SELECT m.*, coalesce(duplicates, 0) AS duplicates FROM m LEFT JOIN l USING (extract_ord)",
+    "fx_copies",
+    "fx_ways",
+)
+def assembly_report(spark, sf_dir):
+    return stitch.assembly_report(fixture(spark, sf_dir, "fx_copies"), fixture(spark, sf_dir, "fx_members"), fixture(spark, sf_dir, "fx_ways"))
+
+
+@query("SELECT id, first_node, extract_ord, varies FROM (SELECT id, min(e) AS extract_ord, arg_min(f, e) AS first_node, count(DISTINCT f) > 1 AS varies FROM (SELECT id, 0 AS e, first_node AS f FROM fx_ways WHERE id % 2 = 0 UNION ALL SELECT id, 1, first_node + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END FROM fx_ways) GROUP BY id)", "fx_ways")
+def stitched_union(spark, sf_dir):
+    ways = fixture(spark, sf_dir, "fx_ways").select("id", "first_node")
+    one = ways.filter("id % 2 = 0").withColumn("extract_ord", F.lit(0))
+    two = ways.withColumn("first_node", F.expr("first_node + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END")).withColumn("extract_ord", F.lit(1))
+    return stitch.stitched([one, two], ["first_node"]).select("id", "first_node", "extract_ord", "varies")
+
+
+@query("SELECT id, level, CASE WHEN id LIKE 's%2' THEN NULL ELSE name END AS name FROM fx_nodes WHERE id NOT LIKE 's%2'", "fx_nodes")
+def named_nodes(spark, sf_dir):
+    return select.named(_nodes(spark, sf_dir).withColumn("name", F.expr("CASE WHEN id LIKE 's%2' THEN '' ELSE name END"))).select("id", "level", "name")
+
+
+@query("SELECT id, level, name, parent_id, row_number() OVER (ORDER BY name, id) AS place FROM fx_nodes WHERE level = 4", "fx_nodes")
+def supplement_order(spark, sf_dir):
+    return tables.ordered_index(_nodes(spark, sf_dir).filter("level = 4"), ["name", "id"])
