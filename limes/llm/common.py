@@ -33,3 +33,15 @@ def parts(df: DataFrame, bytes_per_part: int) -> int:
     """Partitions for an exchange of ``df``: by size, and never under the session's own setting."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, math.ceil(input_bytes(df) / bytes_per_part))
+
+
+def first_by_hash(df: DataFrame, most: int, *keys: str, of: int | None = None, spare: int = 2) -> DataFrame:
+    """At most ``most`` rows, the first by a hash of ``keys``; ties by the keys.
+
+    ``of`` tells how many rows ``df`` has (else they are counted).  Only the lowest hashes, ``spare * most`` rows to be expected, go
+    into the final ordering, so what meets in one task has a bound of its own, however large ``df`` is.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << 40))
+    n = df.count() if of is None else of
+    low = df if n <= spare * most else df.filter(place < F.lit(math.ceil((1 << 40) * spare * most / n)))
+    return low.orderBy(place, *keys).limit(most)

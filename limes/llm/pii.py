@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limes.llm.arrow_text import Block, blocks
-from limes.llm.common import table, texts
+from limes.llm.common import first_by_hash, table, texts
 
 KINDS = ["email", "ip", "card", "phone"]
 TRAIN_DOCS, ROUNDS, STEPS, RATE, SURE = 2_000, 8, 600, 4.0, 0.95
@@ -259,7 +259,7 @@ def told(spans: list[tuple[int, int, int]]) -> str:
 def train(docs: DataFrame, most_docs: int = TRAIN_DOCS) -> Field | None:
     """Fit on at most ``most_docs`` documents that hold a digit or ``@``."""
     some = texts(docs).filter(F.expr("text rlike '[0-9@]' AND length(text) < 50000"))
-    rows = some.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(most_docs).select("text").toArrow()
+    rows = first_by_hash(some, most_docs, "doc_id", "text", of=docs.count(), spare=20).select("text").toArrow()
     return fit([Nodes(b) for _, _, b in blocks(rows.column(0))]) if rows.num_rows else None
 
 

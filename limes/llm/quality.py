@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limes.llm.arrow_text import SPACE, U64, Block, blocks, mix
-from limes.llm.common import table, texts
+from limes.llm.common import first_by_hash, table, texts
 
 TRAIN_ROWS, TREES, DEPTH, RATE, BINS, L2, REJECT_AT = 20_000, 60, 3, 0.15, 32, 1.0, 0.8
 MIN_WORDS, MOST_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -211,7 +211,7 @@ def counted(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> Trees | None:
     """Trees from ``labels(doc_id, quality)``; the sample, and with it the broadcast, has ``most_rows`` rows at most."""
     given = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", "quality")
-    sample = given.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most_rows)
+    sample = first_by_hash(given, most_rows, "doc_id", "quality")
     chosen = docs.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
     rows = counted(chosen).join(F.broadcast(sample), "doc_id").orderBy("doc_id", "quality", *COUNTS).limit(most_rows).toPandas()
     return fit(features(rows[COUNTS].to_numpy()), 1 - rows["quality"].to_numpy(np.int64)) if len(rows) else None
