@@ -89,8 +89,9 @@ class Block:
         codes = BYTE_CODE[LOWER[self.data]] if lower else BYTE_CODE[self.data]
         return mix(spans(prefix(codes, _BYTE_BASE), starts, ends, _BYTE_BASE))
 
-    def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix(spans(prefix(BYTE_CODE[self.data], _BYTE_BASE), starts, ends, _BYTE_BASE))
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+        codes = BYTE_CODE[LOWER[self.data]] if lower else BYTE_CODE[self.data]
+        return mix(spans(prefix(codes, _BYTE_BASE), starts, ends, _BYTE_BASE))
 
     def windows(self, width: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rabin-Karp hash of every ``width`` consecutive words of one text, and the window's first word."""

@@ -5,8 +5,8 @@ the fill level that makes the sum over all levels of (number of windows filled s
 per level.  What is left open when a task ends, or when too many windows are open, is cut again so that windows are full; the last rest is cut
 at powers of two, which need no padding.  Nothing is shuffled, and a rerun task makes the same windows.
 
-Words repeat, and neither normaliser nor pre-tokeniser of the vocabulary joins across white space, so a task encodes each
-distinct word once and copies its ids.
+Words repeat, and neither normaliser nor pre-tokeniser of the vocabulary joins across white space or between a letter and the stops
+after it, nor tells A-Z from a-z.  So a Python worker encodes each distinct word once, without the stops at its end, and copies its ids.
 
 Defined results: null and empty texts are the end id alone; repeated rows are packed again; an empty table gives an empty table;
 extra columns are not read.
@@ -26,11 +26,32 @@ from pyspark.sql import functions as F
 from limes.llm.arrow_text import Block, blocks
 from limes.llm.common import table, texts
 
-WINDOW, END_ID, MOST_OPEN, MOST_WORDS = 2048, 1, 4096, 1 << 20
+WINDOW, END_ID, MOST_OPEN, MOST_WORDS, BLOCK_BYTES = 2048, 1, 4096, 2_000_000, 6 << 20
+STOP, PLAIN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+STOP[list(b".,;:!?")] = True
+PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_workers: dict[str, WordIds] = {}
+
+
+def units(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of words and of the stops cut off their ends, and each text's first one."""
+    starts, ends, first = block.words()
+    tail = np.zeros(len(starts), dtype=np.int64)
+    going = np.arange(len(starts))
+    for n in range(1, 9):
+        going = going[(ends[going] - n > starts[going]) & STOP[block.data[ends[going] - n]]]
+        tail[going] = n
+    tail[~PLAIN[block.data[ends - tail - 1]]] = 0  # stops after a symbol, or very many, belong to it
+    cut = tail > 0
+    place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(cut[:-1])]) if len(starts) else starts
+    begin, stop = np.empty(len(starts) + int(cut.sum()), dtype=np.int64), np.empty(len(starts) + int(cut.sum()), dtype=np.int64)
+    begin[place], stop[place] = starts, ends - tail
+    begin[place[cut] + 1], stop[place[cut] + 1] = (ends - tail)[cut], ends[cut]
+    return begin, stop, np.append(place, len(begin))[first]
 
 
 class WordIds:
-    """Ids of words by hash, for one task; emptied when it holds ``MOST_WORDS`` words, so its memory is bounded."""
+    """Ids of words by hash, for one Python worker; emptied when it holds ``MOST_WORDS`` words, so its memory is bounded."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,15 +73,14 @@ class WordIds:
         count = np.bincount(np.searchsorted(starts, at, side="right") - 1, minlength=len(words)) if len(at) else np.zeros(len(words), dtype=np.int64)
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
         self.ids = np.concatenate([self.ids, np.array(made.ids, dtype=np.uint32)])
-        slot = np.concatenate([self.slot, np.arange(len(self.slot), len(self.slot) + len(keys))])
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys)
-        self.keys, self.slot = keys[order], slot[order]
+        place = np.searchsorted(self.keys, keys)  # both ascend
+        self.slot = np.insert(self.slot, place, np.arange(len(self.slot), len(self.slot) + len(keys)))
+        self.keys = np.insert(self.keys, place, keys)
 
     def of(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block, each text closed by the end id, and the texts' bounds."""
-        starts, ends, first = block.words()
-        hashes = block.word_hashes()
+        starts, ends, first = units(block)
+        hashes = block.span_hashes(starts, ends, lower=True)
         distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) + len(distinct) > MOST_WORDS:
             self._clear()
@@ -81,6 +101,13 @@ class WordIds:
         return out, bounds
 
 
+def worker_words(path: str) -> WordIds:
+    """The words that this Python worker knows; tasks of one worker share them."""
+    if path not in _workers:
+        _workers[path] = WordIds(path)
+    return _workers[path]
+
+
 class SumOfSquares:
     """Windows of one task.  A piece is (doc row, start, ids, ids of the document)."""
 
@@ -171,11 +198,11 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             import public_tokenizers
 
             path = public_tokenizers.path("word_bpe_49k.json")
-        known = WordIds(path)
+        known = worker_words(path)
         windows = SumOfSquares(TaskContext.get().partitionId() << 36)
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
-            for lo, _, block in blocks(batch.column(1)):
+            for lo, _, block in blocks(batch.column(1), BLOCK_BYTES):
                 flat, bounds = known.of(block)
                 for i in range(block.n):
                     windows.add(ids_of[lo + i], flat[bounds[i] : bounds[i + 1]])
