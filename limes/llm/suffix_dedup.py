@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limes.llm.arrow_text import BYTE_CODE, U64, Block, blocks, mix, prefix, spans, string_buffers
-from limes.llm.common import input_bytes, parts, table, texts, written
+from limes.llm.common import parts, table, texts, written
 from limes.llm.packed import NO_ID, group_column, group_of, key_column, pack, runs, steps, unpack
 
 LENGTH, ANCHOR, HELD_SEGMENTS = 200, 120, 400_000
-GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
+PART_BYTES, GROUPS_IN_PART, BUCKETS_IN_PART = 16 << 20, 8, 8
 HOT_SHARE, HOT_LEAST, HOT_IN_HAND = 1e-4, 2_000, 64
 _BASE = 0xA24BAED4963EE407 | 3
 _PLACE = (1 << 28) - 1
@@ -388,14 +388,13 @@ _SPANS = pa.list_(pa.struct([("from_byte", pa.int64()), ("to_byte", pa.int64())]
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """Each document's kept bytes and the maximal runs of bytes that were removed."""
-    size = input_bytes(docs)
-    groups = max(parts(docs, GROUP_BYTES), math.ceil(size / GROUP_BYTES))
-    buckets = max(parts(docs, BUCKET_BYTES), math.ceil(size / BUCKET_BYTES))
+    n = parts(docs, PART_BYTES)  # exchanges are sized by the input, whatever the session's number of shuffle partitions
+    groups, buckets = GROUPS_IN_PART * n, BUCKETS_IN_PART * n
     keyed = texts(docs).select(key_column().alias("doc_id"), "text")
-    grouped = keyed.withColumn("grp", group_column(F.col("doc_id"), groups))
-    found = written(compare(segments(keyed, hot_anchors(keyed), buckets, groups), groups), "segments")
-    sorted_ = sort_buckets(fetch(grouped, found.filter("asked"), buckets), groups)
-    replies = found.filter("NOT asked").select("grp", "payload").unionByName(sorted_)
+    grouped = keyed.withColumn("grp", group_column(F.col("doc_id"), groups)).repartition(n, "grp")
+    found = written(compare(segments(keyed, hot_anchors(keyed), buckets, groups).repartition(n, "bucket"), groups), "segments")
+    sorted_ = sort_buckets(fetch(grouped, found.filter("asked").repartition(n, "grp"), buckets).repartition(n, "bucket"), groups)
+    replies = found.filter("NOT asked").select("grp", "payload").unionByName(sorted_).repartition(n, "grp")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         told = _replies(right.column("payload").to_pylist())
