@@ -10,7 +10,8 @@ a document with a smaller ``doc_id``; windows are judged on the input.
 3. Settled windows go to their documents' group and meet the texts there; overlapping ones merge into maximal intervals.
 
 Hashes have 64 bits of which none is shared by position or document, so two different windows among n agree by chance with probability
-n**2 / 2**65.  A group of documents holds about ``GROUP_BYTES`` of text, a bucket of hashes about ``BUCKET_BYTES``, at any size.
+n**2 / 2**65.  A partition holds about ``PART_BYTES`` of the input in ``GROUPS_IN_PART`` groups, a bucket about ``BUCKET_BYTES`` of
+hashes, at any size.
 
 Defined results: null and empty texts have no words; shorter texts than a window lose nothing; rows that repeat a doc_id are not smaller than
 each other, so both keep what they share; a null doc_id comes after all others; an empty table gives an empty table; extra columns are
@@ -33,7 +34,7 @@ from limes.llm.common import input_bytes, parts, table, texts
 from limes.llm.packed import NO_ID, group_column, group_of, key_column, pack, runs, steps, unpack
 
 WIDTH, HELD_WINDOWS = 50, 3 << 20
-GROUP_BYTES, BUCKET_BYTES, MOST_BITS = 8 << 20, 8 << 20, 16
+PART_BYTES, GROUPS_IN_PART, BUCKET_BYTES, MOST_BITS = 16 << 20, 2, 8 << 20, 16
 
 
 def _text_check(block, i: int) -> int:
@@ -190,7 +191,8 @@ _SPANS = pa.list_(pa.struct([("from_word", pa.int64()), ("to_word", pa.int64())]
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Each document's kept words, joined by one space, and the intervals of words that were removed."""
     size = input_bytes(docs)
-    groups = max(parts(docs, GROUP_BYTES), math.ceil(size / GROUP_BYTES))
+    n = parts(docs, PART_BYTES)
+    groups = GROUPS_IN_PART * n
     bits = min(MOST_BITS, max(8, math.ceil(math.log2(max(1, 3 * size / BUCKET_BYTES)))))
     keyed = texts(docs).select(key_column().alias("doc_id"), "text")
 
@@ -213,9 +215,10 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         columns = list(zip(*out)) or [[]] * 4
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("doc_id", "n_words", "kept", "removed"), columns, (pa.int64(), pa.int64(), pa.string(), _SPANS))})
 
-    replies = settle(windows(keyed, width, bits, groups), groups)
-    sides = keyed.withColumn("grp", group_column(F.col("doc_id"), groups)).groupBy("grp").cogroup(replies.groupBy("grp"))
-    return sides.applyInArrow(run, DEDUPED)
+    # Exchanges are sized by the input, whatever the session's number of shuffle partitions.
+    replies = settle(windows(keyed, width, bits, groups).repartition(n, "bucket"), groups).repartition(n, "grp")
+    grouped = keyed.withColumn("grp", group_column(F.col("doc_id"), groups)).repartition(n, "grp")
+    return grouped.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(run, DEDUPED)
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
