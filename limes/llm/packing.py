@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from limes.llm.arrow_text import Block, blocks
 from limes.llm.common import table, texts
 
-WINDOW, END_ID, MOST_OPEN, MOST_WORDS, BLOCK_BYTES = 2048, 1, 4096, 2_000_000, 6 << 20
+WINDOW, END_ID, MOST_OPEN, MOST_WORDS, BLOCK_BYTES = 2048, 1, 4096, 1_500_000, 3 << 20
 STOP, PLAIN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 STOP[list(b".,;:!?")] = True
 PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
