@@ -2,7 +2,7 @@
 
 Every stage is one of the operators in ``limes.llm`` on all rows that the stage before kept.  Stages but the last return the
 columns of ``documents``: rejected documents and near-copies go, personal data is replaced by its kind in ``text``, and mixing repeats or
-drops whole documents by their source's target.  The last stage returns pieces of documents in windows of token ids.
+drops blocks of words by their source's quota, which cuts documents at blocks' edges.  The last stage returns pieces of documents in windows of token ids.
 """
 
 from __future__ import annotations

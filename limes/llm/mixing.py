@@ -4,7 +4,8 @@ Every source's documents lie on a line of words in a keyed order.  The line is c
 target becomes an exact quota of block draws, and a binary tree splits the vector of quotas among the output shards:
 each node gives its left half a multivariate-hypergeometric draw of its blocks.  A shard then owns an interval of
 each source's draws; draw ``j`` is block ``j`` of the source's permuted block sequence (another pass over the source every
-``n_blocks`` draws), so shards hold disjoint draws, and rows are shuffled within each shard by a keyed hash.
+``n_blocks`` draws), so shards hold disjoint draws, and rows are shuffled within each shard by a keyed hash.  What is taken of a
+document is the sum of its draws; a document that crosses a block's edge is cut there, between words.
 
 Cumulated sizes come from two levels: within chunks of a few thousand documents of a source (dealt by a hash, so a source
 that holds a third of all rows is spread over all tasks), then over the chunks' totals.
@@ -32,16 +33,18 @@ from limes.llm.common import table, texts, written
 SHARDS, BLOCKS, CHUNK_DOCS, MOST_REPEATS, SEED = 16, 1024, 4096, 3, 7
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size``; a document is known by its row, so repeated rows stay."""
+def word_counts(docs: DataFrame, *more: str) -> DataFrame:
+    """``doc_id, source, size`` and ``more`` columns of type long; a document is known by its row, so repeated rows stay."""
+    names = ["doc_id", "source", "size", *more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, block in blocks(batch.column(1)):
                 size = np.diff(block.words()[2]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], pa.array(size)], ["doc_id", "source", "size"])
+                rest = [batch.column(3 + i)[lo:hi] for i in range(len(more))]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], pa.array(size), *rest], names)
 
-    return texts(docs, "source").mapInArrow(run, "doc_id long, source string, size long")
+    return texts(docs, "source", *more).mapInArrow(run, ", ".join(["doc_id long, source string, size long", *(f"{c} long" for c in more)]))
 
 
 def shares(sizes: np.ndarray, weights: np.ndarray, most: float = MOST_REPEATS) -> np.ndarray:
@@ -96,16 +99,14 @@ def _plan_sources(seed: int, shards: int, blocks_per_source: int):
 PLAN = "no_source boolean, src string, source_size long, weight double, target double, n_blocks long, quota long, step long, turn long, shard_ends array<long>"
 
 
-def layout(sizes: DataFrame, seed: int = SEED, shards: int = SHARDS, blocks_per_source: int = BLOCKS) -> DataFrame:
-    """Each row of ``doc_id, source, size`` with its place on the source's line and the words that the mix takes of it.
+def places(sizes: DataFrame, seed: int = SEED, shards: int = SHARDS, blocks_per_source: int = BLOCKS) -> DataFrame:
+    """Each row of ``doc_id, source, size`` (and what else it has) with its place on the source's line.
 
     ``shards`` is a power of two.  The plan of the sources is one row each, made in one small task; documents never are.
     """
     chunks = max(1, math.ceil(sizes.count() / CHUNK_DOCS))
     rows = sizes.select(
-        "doc_id",
-        "source",
-        "size",
+        "*",
         F.coalesce("source", F.lit("")).alias("src"),
         F.col("source").isNull().alias("no_source"),
         F.xxhash64(F.lit(seed), "doc_id", "size").alias("key"),
@@ -116,29 +117,40 @@ def layout(sizes: DataFrame, seed: int = SEED, shards: int = SHARDS, blocks_per_
     before = Window.partitionBy(*by_source).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.withColumn("chunk_start", F.coalesce(F.sum("chunk_size").over(before), F.lit(0)))
     starts = starts.drop("chunk_size").join(plan, by_source)
-    inside = Window.partitionBy(*by_source, "chunk").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by_source, "chunk").orderBy("key", "doc_id", "size", *(c for c in sizes.columns if c not in ("doc_id", "source", "size"))).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, [*by_source, "chunk"])
     placed = placed.withColumn("start", F.col("chunk_start") + F.col("ahead"))
-    return (
-        placed.withColumn("first_block", F.expr("((start + 1) * n_blocks - 1) div greatest(source_size, 1)"))
-        .withColumn("last_block", F.expr("((start + size) * n_blocks - 1) div greatest(source_size, 1)"))
-        .withColumn(
-            "taken",
-            F.expr(
-                """CASE WHEN size = 0 THEN 0L ELSE size * (quota div n_blocks) + aggregate(sequence(first_block, last_block), 0L, (sum, b) ->
-                sum + CASE WHEN (step * b + turn) % n_blocks < quota % n_blocks
-                THEN least(start + size, ((b + 1) * source_size) div n_blocks) - greatest(start, (b * source_size) div n_blocks) ELSE 0L END) END"""
-            ),
-        )
+    return placed.withColumn("first_block", F.expr("((start + 1) * n_blocks - 1) div greatest(source_size, 1)")).withColumn(
+        "last_block", F.expr("((start + size) * n_blocks - 1) div greatest(source_size, 1)")
     )
 
 
+#: what tells rows with words apart: their places on the sources' lines do not overlap
+ROW = ["no_source", "src", "start", "size"]
+
+
+def layout(sizes: DataFrame, seed: int = SEED, shards: int = SHARDS, blocks_per_source: int = BLOCKS) -> DataFrame:
+    """The rows of ``places`` with the words ``taken`` of each: the sum of its draws, 0 where it has none."""
+    placed = written(places(sizes, seed, shards, blocks_per_source), "places")
+    mix = written(draws(placed, seed), "mix")
+    taken = mix.groupBy(*ROW).agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    return placed.join(taken, ROW, "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+
+
 def draws(placed: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself, one row for each piece of a document that a shard gets: words [from_word, to_word) of ``doc_id``.
 
     Rows of a shard stand together, in a shuffled order of blocks.
     """
-    pieces = (
+    return _dealt(_pieces(placed, seed).select("shard", "place", "doc_id", "source", "draw", "from_word", "to_word", *ROW))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("shard", F.pmod("place", F.lit(64))).sortWithinPartitions("shard", "place", "start", "from_word")
+
+
+def _pieces(placed: DataFrame, seed: int) -> DataFrame:
+    return (
         placed.filter("size > 0")
         .withColumn("block", F.expr("explode(sequence(first_block, last_block))"))
         .withColumn("rank", F.expr("(step * block + turn) % n_blocks"))
@@ -151,19 +163,54 @@ def draws(placed: DataFrame, seed: int = SEED) -> DataFrame:
         .withColumn("shard", F.expr("size(filter(shard_ends, e -> e <= draw))"))
         .withColumn("place", F.xxhash64(F.lit(seed), "shard", "no_source", "src", "draw"))
     )
-    return pieces.select("shard", "place", "doc_id", "source", "draw", "from_word", "to_word").repartition("shard", F.pmod("place", F.lit(64))).sortWithinPartitions("shard", "place", "from_word")
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """All columns of ``docs``, each row as often as the mix takes it: ``taken / size`` rounded down or up by a keyed draw.
+    """All columns of ``docs``, a row for each draw's piece of a document, shard by shard in the mix's order.
 
-    Whole documents keep a mean of exactly their share; words of no document are lost within a copy.  Equal rows share a count.
+    Each source gives exactly the words of its quota of blocks.  A piece keeps the white space up to the next one, so the pieces of one pass over
+    a document make its text again; ``n_chars`` and ``n_words`` (if there are any) of a cut document are the piece's own.
     """
-    placed = layout(written(word_counts(docs), "sizes"), seed)
-    copies = placed.withColumn("copies", F.expr(f"CASE WHEN size = 0 THEN 0 ELSE int(floor(taken / size + pmod(xxhash64({seed + 2}, doc_id), 1000003) / 1000003.0)) END"))
-    counts = copies.groupBy(F.col("doc_id").alias("__id"), F.col("no_source").alias("__no"), F.col("src").alias("__src")).agg(F.max("copies").alias("__copies"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.coalesce("source", F.lit("")) == F.col("__src")) & (F.col("source").isNull() == F.col("__no"))
-    return docs.join(counts.filter("__copies > 0").hint("shuffle_hash"), same).withColumn("__copy", F.expr("explode(sequence(1, __copies))")).select(*docs.columns)
+    keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    sizes = written(word_counts(keyed, "__row"), "sizes")
+    pieces = _pieces(places(sizes, seed), seed)
+    # A source has at most BLOCKS blocks and MOST_REPEATS passes over them, which bounds a document's list.
+    lists = pieces.groupBy("__row").agg(F.collect_list(F.struct("shard", "place", "start", "from_word", "to_word")).alias("__pieces"))
+    mixed = _dealt(_cut(keyed.join(lists.hint("shuffle_hash"), "__row"), docs))
+    return mixed.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
+def _cut(listed: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row for each piece: the columns of ``docs`` by number, and what orders the mix."""
+    names = [c.lower() for c in docs.columns]
+    at, n = names.index("text"), len(names)
+    counts = {c: names.index(c) for c in ("n_chars", "n_words") if c in names}
+    keys = ["shard", "place", "start", "from_word"]
+    schema = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns))).schema
+    for c in keys:
+        schema = schema.add(c, "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, block in blocks(batch.column(at)):
+                starts, _, first = block.words()
+                raw, lists = block.data.tobytes(), batch.column(n)[lo:hi].to_pylist()
+                row = np.repeat(np.arange(hi - lo), [len(x) for x in lists])
+                parts = [p for x in lists for p in x]
+                begin, end = (np.array([p[c] for p in parts], dtype=np.int64) for c in ("from_word", "to_word"))
+                size = np.diff(first)[row]
+                edge = np.append(starts, len(raw))
+                a = np.where(begin == 0, block.offs[row], edge[first[row] + begin])
+                b = np.where(end == size, block.offs[row + 1], edge[first[row] + end])
+                piece_texts = [raw[x:y].decode("utf-8", "replace") for x, y in zip(a.tolist(), b.tolist())]
+                columns = [batch.column(i)[lo:hi].take(pa.array(row)) if i != at else pa.array(piece_texts, batch.schema.field(at).type) for i in range(n)]
+                whole = (begin == 0) & (end == size)
+                for name, i in counts.items():
+                    own = [len(t) for t in piece_texts] if name == "n_chars" else (end - begin).tolist()
+                    columns[i] = pa.array([x if w else y for x, y, w in zip(columns[i].to_pylist(), own, whole.tolist())], columns[i].type)
+                yield pa.RecordBatch.from_arrays(columns + [pa.array([p[c] for p in parts], pa.int64()) for c in keys], names=schema.names)
+
+    return listed.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)), "__pieces").mapInArrow(run, schema)
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
