@@ -3,8 +3,9 @@
 Patterns give the base spans.  The field then labels every token that holds a digit, ``@`` or ``+`` (the nodes; all other tokens
 are fixed to "none", which splits the chain exactly) as none, email, ip, card or phone.  Nodes next to each other share a chain
 potential; nodes of one document whose tokens repeat each other (same digits, or same letters but for case and punctuation) share
-a skip potential, each with the next one of its kind, however far apart.  Loopy message passing in log space runs over all
-documents of a batch at once.  Nodes in base spans are fixed to their label, so the field only adds spans: where a token looks
+a skip potential, each with the next one of its kind and with the kind's first one in a base span (else its first one), however far
+apart, so evidence reaches every repeat in one step.  Loopy message passing in log space runs over all documents of a batch at
+once, in each until its messages settle.  Nodes in base spans are fixed to their label, so the field only adds spans: where a token looks
 like personal data, or repeats some, in a form that the patterns do not match.
 
 Weights are fitted by pseudo-likelihood on at most ``TRAIN_DOCS`` documents with nodes (the first by a hash of their id; the
@@ -30,7 +31,10 @@ from limes.llm.arrow_text import Block, blocks
 from limes.llm.common import first_by_hash, table, texts
 
 KINDS = ["email", "ip", "card", "phone"]
-TRAIN_DOCS, ROUNDS, STEPS, RATE, SURE = 2_000, 8, 600, 4.0, 0.95
+TRAIN_DOCS, STEPS, RATE, SURE = 2_000, 600, 4.0, 0.95
+#: messages are settled if no score changes by more; after as many rounds, and four more for each node of the longest run, the step
+#: halves, so that messages that swing settle too
+SETTLED, PATIENCE = 1e-4, 100
 #: prior mean of the skip potential of equal labels
 AGREE = 1.5
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -136,18 +140,14 @@ class Nodes:
         self.spans = {d: base_spans(t) for d, t in self.text.items()}
         self.x = np.zeros((self.n, N_FEATURES))
         chain_i = np.flatnonzero((np.diff(hit) == 1) & (np.diff(own) == 0)) if self.n > 1 else np.zeros(0, dtype=np.int64)
-        last, skip = {}, []
+        kinds: dict[tuple[int, str], list[int]] = {}
         for i, token in enumerate(tokens):
             on, key = _shape(token)
             self.x[i, on] = 1
             if len(key) >= 5:
-                before = last.get((own[i], key))
-                if before is not None:
-                    skip.append((before, i))
-                last[(own[i], key)] = i
+                kinds.setdefault((int(own[i]), key), []).append(i)
         self.tokens = tokens
         self.chain = np.stack([chain_i, chain_i + 1], axis=1)
-        self.skip = np.array(skip, dtype=np.int64).reshape(-1, 2)
         self.label = np.full(self.n, -1, dtype=np.int64)
         bounds = np.searchsorted(own, np.arange(block.n + 1))
         for d, spans in self.spans.items():
@@ -155,6 +155,12 @@ class Nodes:
             for kind, a, b in reversed(spans):
                 s, e = lo + np.searchsorted(self.end[lo:hi], a, side="right"), lo + np.searchsorted(self.start[lo:hi], b, side="left")
                 self.label[s:e] = kind + 1
+        skip = set()
+        for same in kinds.values():
+            hub = next((i for i in same if self.label[i] > 0), same[0])
+            skip.update(zip(same, same[1:]))
+            skip.update((min(i, hub), max(i, hub)) for i in same if i != hub)
+        self.skip = np.array(sorted(skip), dtype=np.int64).reshape(-1, 2)
 
 
 class Field:
@@ -163,32 +169,56 @@ class Field:
     def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         self.unary, self.chain, self.skip = unary, chain, skip
 
-    def marginals(self, nodes: Nodes, rounds: int = ROUNDS, clamp: bool = True) -> np.ndarray:
-        k = len(KINDS) + 1
+    def marginals(self, nodes: Nodes, clamp: bool = True) -> np.ndarray:
         local = nodes.x @ self.unary
         if clamp:
             fixed = nodes.label > 0
             local[fixed] = -1e3
             local[fixed, nodes.label[fixed]] = 0
         edges = np.concatenate([nodes.chain, nodes.skip])
-        source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
-        m = len(edges)
-        table_of = np.concatenate([np.repeat(self.chain[None], len(nodes.chain), 0), np.repeat(self.skip[None], len(nodes.skip), 0)])
-        table_of = np.concatenate([table_of, table_of.transpose(0, 2, 1)])
-        message = np.zeros((2 * m, k))
-        back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
-        for _ in range(rounds if m else 0):
-            belief = local.copy()
-            np.add.at(belief, target, message)
-            out = belief[source] - message[back]
-            fresh = np.logaddexp.reduce(out[:, :, None] + table_of, axis=1)
-            message = 0.5 * message + 0.5 * (fresh - fresh.max(axis=1, keepdims=True))
-        np.add.at(local, target, message)
-        local -= local.max(axis=1, keepdims=True)
-        p = np.exp(local)
+        skips = np.arange(len(edges)) >= len(nodes.chain)
+        order = np.argsort(nodes.doc[edges[:, 0]], kind="stable")  # a document's edges stand together and go when they are settled
+        edges, skips = edges[order], skips[order]
+        first = np.ones(nodes.n, dtype=bool)
+        first[nodes.chain[:, 1]] = False
+        run = np.cumsum(first) - 1
+        longest = np.zeros(int(nodes.doc[-1]) + 1 if nodes.n else 0, dtype=np.int64)
+        np.maximum.at(longest, nodes.doc, np.bincount(run)[run])
+        patience = (PATIENCE + 4 * longest)[nodes.doc[edges[:, 0]]]
+        into, rounds = local.copy(), 0
+        message = np.zeros((2, len(edges), local.shape[1]))  # to the second, to the first end
+        while len(edges):
+            fresh = []
+            for source, target, back, turn in ((0, 1, 1, False), (1, 0, 0, True)):
+                out = into[edges[:, source]] - message[back]
+                chain, skip = (self.chain.T, self.skip.T) if turn else (self.chain, self.skip)
+                score = np.empty_like(out)
+                score[~skips], score[skips] = _passed(out[~skips], chain), _passed(out[skips], skip)
+                fresh.append(score - score.max(axis=1, keepdims=True))
+            step = 0.5 ** (1 + rounds // patience)
+            change = step[:, None] * (np.stack(fresh) - message)
+            message = message + change
+            begin = np.flatnonzero(np.diff(nodes.doc[edges[:, 0]], prepend=-1))
+            worst = np.maximum.reduceat(np.abs(change).max(axis=(0, 2)), begin)
+            open_ = np.repeat(worst > SETTLED, np.diff(np.append(begin, len(edges))))
+            np.add.at(into, edges[:, 1], change[0])
+            np.add.at(into, edges[:, 0], change[1])
+            edges, skips, patience, message = edges[open_], skips[open_], patience[open_], message[:, open_]
+            rounds += 1
+        into -= into.max(axis=1, keepdims=True)
+        p = np.exp(into)
         return p / p.sum(axis=1, keepdims=True)
 
 
+def _passed(out: np.ndarray, potential: np.ndarray) -> np.ndarray:
+    """log of the sums over the sender's labels."""
+    if not len(out):
+        return out
+    top = out.max(axis=1, keepdims=True)
+    most = potential.max()
+    return np.log(np.maximum(np.exp(out - top) @ np.exp(potential - most), 1e-300)) + top + most
+
+
 def fit(nodes: list[Nodes], steps: int = STEPS) -> Field | None:
     """Piecewise pseudo-likelihood: each node given its features, then also its neighbours' labels, by gradient ascent."""
     if not sum(n.n for n in nodes):
