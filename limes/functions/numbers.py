@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STEPS = 65_535
@@ -40,3 +44,43 @@ def wrap_longitude(lon: Column) -> Column:
 def canonical_digest(*columns: str) -> Column:
     """SHA-256 of the columns as JSON with sorted keys, nulls written out."""
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+
+
+def list_digest(rows: DataFrame, group: str, line: Column, name: str, stamp: str | None = None) -> DataFrame:
+    """SHA-256 of each group's lines, sorted and joined by newlines; with ``stamp`` also its ``latest`` and ``n_files``.
+
+    The lines are sorted on disk and stream through the digest, so no list is held, however long it is.  One list is one task's, since the
+    digest of a whole is not made of digests of its parts.
+    """
+    listed = rows.select(F.col(group).alias("g"), line.alias("line"), *([F.col(stamp).alias("latest")] if stamp else []))
+    kind = {f.name: f.dataType.simpleString() for f in listed.schema.fields}
+    columns = [("g", kind["g"]), ("digest", "string")] + ([("latest", kind["latest"]), ("n_files", "long")] if stamp else [])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None  # group, digest, latest, lines so far
+        for batch in batches:
+            keys, lines = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if now is None or now[0] != keys[lo]:
+                    if now:
+                        yield done(now, batch.schema)
+                    now = [keys[lo], hashlib.sha256(), None, 0]
+                now[1].update((b"\n" if now[3] else b"") + "\n".join(lines[lo:hi]).encode())
+                now[3] += hi - lo
+                if stamp:
+                    now[2] = max((x for x in (now[2], *batch.column(2)[lo:hi].to_pylist()) if x is not None), default=None)
+                schema = batch.schema
+        if now:
+            yield done(now, schema)
+
+    def done(now: list, schema: pa.Schema) -> pa.RecordBatch:
+        values = [pa.array([now[0]], schema.field(0).type), pa.array([now[1].hexdigest()])]
+        if stamp:
+            values += [pa.array([now[2]], schema.field(2).type), pa.array([now[3]], pa.int64())]
+        return pa.RecordBatch.from_arrays(values, names=[c for c, _ in columns])
+
+    out = listed.repartition("g").sortWithinPartitions("g", "line").mapInArrow(run, ", ".join(f"{c} {t}" for c, t in columns))
+    return out.select(F.col("g").alias(group), F.col("digest").alias(name), *(["latest", "n_files"] if stamp else []))

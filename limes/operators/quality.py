@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from limes.functions.numbers import list_digest
+
 
 def level_counts(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"))
@@ -68,8 +70,7 @@ def verified(expected: DataFrame, built: DataFrame) -> DataFrame:
 
 def source_identity(files: DataFrame, group: str) -> DataFrame:
     """One digest over the sorted (path, digest) list of each group, and its latest stamp."""
-    rows = F.array_sort(F.collect_list(F.concat_ws("=", "path", "sha256")))
-    return files.groupBy(group).agg(F.sha2(F.concat_ws("\n", rows), 256).alias("composite"), F.max("stamp").alias("latest"), F.count("*").alias("n_files"))
+    return list_digest(files, group, F.concat_ws("=", "path", "sha256"), "composite", stamp="stamp")
 
 
 def determinism(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from limes.functions.numbers import list_digest
+
 FEATURE = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -78,8 +80,7 @@ def write_report(rows: DataFrame, path: str) -> None:
 
 def stage_key(listing: DataFrame, group: str) -> DataFrame:
     """A fingerprint of each group's files (name, size, time): a stage is reused where its key is there already."""
-    lines = F.array_sort(F.collect_list(F.concat_ws("|", "name", "size", "mtime")))
-    return listing.groupBy(group).agg(F.sha2(F.concat_ws("\n", lines), 256).alias("stage_key"))
+    return list_digest(listing, group, F.concat_ws("|", "name", "size", "mtime"), "stage_key")
 
 
 def ordered_index(rows: DataFrame, order: list[str]) -> DataFrame:
