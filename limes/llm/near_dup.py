@@ -1,10 +1,11 @@
 """MinHash near-duplicates, candidates verified by odd sketches and then on full shingle sets.
 
-A document's set holds its distinct three-word shingles (A-Z lower-cased).  Documents whose sets agree in 85 per cent of their union
-are linked; a component takes the smallest ``doc_id`` that links reach.
+A document's set holds its distinct shingles of some words (A-Z lower-cased).  Documents whose sets agree in a percentage of their union
+are linked; a component takes the smallest ``doc_id`` that links reach.  A ``Rule`` names both: three words and 85 per cent for ``op10``
+(``DIGESTS``), five words and 80 per cent for the pipeline (``WORDS``).
 
-1. One pass over the texts gives set size, a 128-bit fingerprint of the set, 125 MinHash samples folded into 25 band keys of five
-   samples, and an odd sketch: a 256-bit map in which every (sample number, value) flips one bit.
+1. One pass over the texts gives set size, a 128-bit fingerprint of the set, MinHash samples folded into band keys (25 keys of five
+   samples, or 28 of four at 80 per cent), and an odd sketch: a 256-bit map in which every (sample number, value) flips one bit.
 2. Equal sets become one representative (partial aggregation first), so copies never meet again.
 3. Band buckets link each representative with the bucket's smallest one: a star, linear in the bucket.  Population
    counts of XORs of two sketches drop pairs below the threshold; all others are compared on their full sets.
@@ -17,12 +18,12 @@ are linked; a component takes the smallest ``doc_id`` that links reach.
 There are two odd sketches.  One folds the MinHash samples (256 bits); it serves sets of any size.  The other folds the whole set
 (1024 bits), which is precise for sets up to a few thousand shingles.
 
-A pair of similarity 0.85 misses all bands with probability (1 - 0.85**5)**25 = 4e-7.  The samples' sketch keeps it unless the estimate
+A pair at the threshold misses all bands with probability (1 - 0.85**5)**25 = 4e-7, or (1 - 0.8**4)**28 = 4e-7.  The samples' sketch keeps it unless the estimate
 falls more than four standard deviations short; the whole set's sketch never differs in more bits than the sets do in shingles, so it
 loses nothing.  Nothing is capped.
 
-Defined results: null and empty texts have an empty set, are linked with nothing and are their own component; texts of one or two
-words have their word sequence as one shingle; repeated rows of one ``doc_id`` with equal texts give one row each, with the same
+Defined results: null and empty texts have an empty set, are linked with nothing and are their own component; texts of fewer words
+than a shingle have their word sequence as one shingle; repeated rows of one ``doc_id`` with equal texts give one row each, with the same
 class; a ``doc_id`` that stands on different texts joins their classes; a null ``doc_id`` is a component of its own with a null id;
 an empty table gives an empty table; extra columns are not read.
 """
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,25 +42,41 @@ from pyspark.sql import functions as F
 from limes.llm.arrow_text import U64, Block, binaries, blocks, mix
 from limes.llm.common import table, texts, written
 
-SHINGLE, PERCENT = 3, 85
-BANDS, ROWS = 25, 5
-SAMPLES = BANDS * ROWS
 SKETCH_BITS, SET_BITS = 256, 1024
-_MULTIPLY = mix(np.arange(1, SAMPLES + 1, dtype=U64)) | U64(1)
 
 
-def _most_differing(similarity: float) -> int:
-    """Most bits in which sketches of sets with this similarity differ, but for four standard deviations."""
-    apart = 2 * SAMPLES * (1 - similarity)
-    spread = 2 * 4 * math.sqrt(SAMPLES * similarity * (1 - similarity))
-    flipped = SKETCH_BITS / 2 * (1 - math.exp(-2 * (apart + spread) / SKETCH_BITS))
-    return math.ceil(flipped + 4)
+class Rule(NamedTuple):
+    """Words of a shingle, the threshold, and the bands (of ``rows`` samples) that find pairs at the threshold."""
 
+    width: int
+    percent: int
+    bands: int
+    rows: int
 
-MOST_BITS = _most_differing(PERCENT / 100)
+    @property
+    def samples(self) -> int:
+        return self.bands * self.rows
 
+    @property
+    def missed(self) -> float:
+        """Probability that a pair at the threshold shares no band."""
+        return (1 - (self.percent / 100) ** self.rows) ** self.bands
 
-def shingle_sets(block: Block, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    @property
+    def most_bits(self) -> int:
+        """Most bits in which sketches of sets at the threshold differ, but for four standard deviations."""
+        similarity = self.percent / 100
+        apart = 2 * self.samples * (1 - similarity)
+        spread = 2 * 4 * math.sqrt(self.samples * similarity * (1 - similarity))
+        flipped = SKETCH_BITS / 2 * (1 - math.exp(-2 * (apart + spread) / SKETCH_BITS))
+        return math.ceil(flipped + 4)
+
+
+DIGESTS, WORDS = Rule(3, 85, 25, 5), Rule(5, 80, 28, 4)
+_MULTIPLY = mix(np.arange(1, max(DIGESTS.samples, WORDS.samples) + 1, dtype=U64)) | U64(1)
+
+
+def shingle_sets(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, side by side, and their bounds."""
     hashes = block.word_hashes(lower=True)
     first = block.words()[2]
@@ -80,19 +98,19 @@ def shingle_sets(block: Block, width: int = SHINGLE) -> tuple[np.ndarray, np.nda
     return values, np.searchsorted(own, np.arange(block.n + 1))
 
 
-def signatures(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprints (n, 2), band keys (n, BANDS) and odd sketches (n, 4) of non-empty sets."""
+def signatures(values: np.ndarray, bounds: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints (n, 2), band keys (n, bands) and odd sketches (n, 4) of non-empty sets."""
     begin = bounds[:-1]
     n = len(begin)
     fingerprint = np.stack([np.add.reduceat(values, begin), np.add.reduceat(mix(values ^ U64(0x5851F42D4C957F2D)), begin)], axis=1)
-    keys, sketch = np.zeros((n, BANDS), dtype=U64), np.zeros((n, SKETCH_BITS // 64), dtype=U64)
+    keys, sketch = np.zeros((n, rule.bands), dtype=U64), np.zeros((n, SKETCH_BITS // 64), dtype=U64)
     rows = np.arange(n)
     spread = values ^ (values >> U64(29))
-    for i in range(SAMPLES):
+    for i in range(rule.samples):
         mixed = spread * _MULTIPLY[i]
         mixed ^= mixed >> U64(32)
         least = np.minimum.reduceat(mixed, begin)
-        keys[:, i // ROWS] = mix(keys[:, i // ROWS] ^ least ^ U64(i // ROWS + 1))
+        keys[:, i // rule.rows] = mix(keys[:, i // rule.rows] ^ least ^ U64(i // rule.rows + 1))
         bit = mix(least ^ (U64(i) << U64(48))) % U64(SKETCH_BITS)
         sketch[rows, (bit >> U64(6)).astype(np.int64)] ^= U64(1) << (bit & U64(63))
     return fingerprint, keys, sketch
@@ -113,17 +131,17 @@ def set_sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(n, SET_BITS), axis=1).view(np.int64)
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, block in blocks(batch.column(1)):
-                values, bounds = shingle_sets(block)
+                values, bounds = shingle_sets(block, rule.width)
                 size = np.diff(bounds)
                 full = np.flatnonzero(size)
                 f, s = np.zeros((block.n, 2), dtype=U64), np.zeros((block.n, 4), dtype=U64)
                 bands: list = [None] * block.n
                 if len(full):
-                    f[full], keys, s[full] = signatures(values, np.append(bounds[full], bounds[-1]))
+                    f[full], keys, s[full] = signatures(values, np.append(bounds[full], bounds[-1]), rule)
                     for d, row in zip(full, keys):
                         bands[d] = row.tobytes()
                 whole = set_sketches(values, bounds)
@@ -133,7 +151,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(run, PROFILE)
 
 
-def similar(pairs: DataFrame, needed: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar(pairs: DataFrame, needed: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
     """The pairs ``a, b`` whose full sets agree, by ``needed(doc_id, text)``.
 
     Each pair streams past with both texts, so the partners of a text are never gathered.
@@ -143,13 +161,13 @@ def similar(pairs: DataFrame, needed: DataFrame, percent: int = PERCENT) -> Data
         for batch in batches:
             keep = []
             for lo, hi, block in blocks(batch.column(2)):
-                va, ba = shingle_sets(block)
+                va, ba = shingle_sets(block, rule.width)
                 other = batch.column(3)[lo:hi]
-                vb, bb = (np.concatenate(p) for p in zip(*_sets(other)))
+                vb, bb = (np.concatenate(p) for p in zip(*_sets(other, rule.width)))
                 for i in range(hi - lo):
                     a, b = va[ba[i] : ba[i + 1]], vb[bb[2 * i] : bb[2 * i + 1]]
                     same = len(a) + len(b) - len(np.union1d(a, b))
-                    keep.append(len(a) > 0 and 100 * same >= percent * (len(a) + len(b) - same))
+                    keep.append(len(a) > 0 and 100 * same >= rule.percent * (len(a) + len(b) - same))
             if keep:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
@@ -158,11 +176,11 @@ def similar(pairs: DataFrame, needed: DataFrame, percent: int = PERCENT) -> Data
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _sets(column: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sets of a column with bounds as (begin, end) pairs into the concatenation."""
     shift = 0
     for _, _, block in blocks(column):
-        v, b = shingle_sets(block)
+        v, b = shingle_sets(block, width)
         yield v, np.stack([b[:-1], b[1:]], axis=1).ravel() + shift
         shift += len(v)
 
@@ -185,29 +203,29 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select("v", F.col("u").alias("root")).union(edges.select(F.col("u").alias("v"), F.col("u").alias("root")).distinct())
 
 
-def _bands(representatives: DataFrame) -> DataFrame:
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("bands"), i * 8 + 1, F.lit(8))))
+def _bands(representatives: DataFrame, rule: Rule) -> DataFrame:
+    keys = F.transform(F.sequence(F.lit(0), F.lit(rule.bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("bands"), i * 8 + 1, F.lit(8))))
     return representatives.select("rep", F.posexplode(keys).alias("band", "key"))
 
 
-def _may_be_similar(a: str, b: str) -> str:
+def _may_be_similar(a: str, b: str, rule: Rule) -> str:
     """The test of two sides with these suffixes: sizes, the whole sets' sketches, the samples' sketches."""
     bits = lambda words: " + ".join(f"bit_count({w}{a} ^ {w}{b})" for w in words)
-    sizes = f"least(n_shingles{a}, n_shingles{b}) * 100 >= greatest(n_shingles{a}, n_shingles{b}) * {PERCENT}"
-    whole = f"({bits(SET_WORDS)}) * {100 + PERCENT} <= (n_shingles{a} + n_shingles{b}) * {100 - PERCENT}"
-    return f"{sizes} AND {whole} AND {bits(SAMPLE_WORDS)} <= {MOST_BITS}"
+    sizes = f"least(n_shingles{a}, n_shingles{b}) * 100 >= greatest(n_shingles{a}, n_shingles{b}) * {rule.percent}"
+    whole = f"({bits(SET_WORDS)}) * {100 + rule.percent} <= (n_shingles{a} + n_shingles{b}) * {100 - rule.percent}"
+    return f"{sizes} AND {whole} AND {bits(SAMPLE_WORDS)} <= {rule.most_bits}"
 
 
-def _close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def _close(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose sizes and sketches allow the threshold."""
     for side in ("a", "b"):
         pairs = pairs.join(sketches.select(F.col("rep").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)), side)
-    return pairs.filter(_may_be_similar("_a", "_b")).select("a", "b")
+    return pairs.filter(_may_be_similar("_a", "_b", rule)).select("a", "b")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row for each row of ``docs``."""
-    seen = written(profiles(docs), "profiles")
+    seen = written(profiles(docs, rule), "profiles")
     filled = seen.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     representatives = written(
         filled.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("bands", *SAMPLE_WORDS, *SET_WORDS))), "representatives"
@@ -215,38 +233,38 @@ def classes(docs: DataFrame) -> DataFrame:
     # A doc_id on several texts is a link between their sets; within one text it is the set's own copies.
     copies = filled.join(representatives.select("f1", "f2", "n_shingles", "rep"), ["f1", "f2", "n_shingles"]).select("doc_id", "rep")
     sketches = representatives.select("rep", *SKETCH)
-    banded = _bands(representatives)
+    banded = _bands(representatives, rule)
     stars = banded.groupBy("key").agg(F.min("rep").alias("b"), F.count("*").alias("n")).filter("n > 1")
     shared = written(banded.join(stars.select("key", "b"), "key").select("band", "key", "rep", "b"), "buckets")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash")
     needed = written(texts(docs).join(wanted, "doc_id", "left_semi"), "candidate-texts")
     tried = shared.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    links = similar(_close(tried, sketches), needed)
+    links = similar(_close(tried, sketches, rule), needed, rule)
     several = copies.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter("b <> most").select("doc_id", "b")
     same_id = copies.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
     rooted = written(components(links.union(same_id)), "rooted")
-    for bands, closest in OPEN_ROUNDS:
-        rest = written(_crossing(shared.filter(F.col("band") < bands), rooted, sketches, closest), "crossing")
+    for bands, closest in (*OPEN_ROUNDS, (rule.bands, True), (rule.bands, False)):
+        rest = written(_crossing(shared.filter(F.col("band") < bands), rooted, sketches, closest, rule), "crossing")
         if rest.isEmpty():
             continue
-        more = written(similar(rest, needed), "links")
+        more = written(similar(rest, needed, rule), "links")
         rooted = written(components(more.unionByName(rooted.select(F.col("v").alias("a"), F.col("root").alias("b")))), "rooted")
     of_set = copies.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("root"))
     of_doc = of_set.groupBy("doc_id").agg(F.min("root").alias("root"))
     return seen.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-#: bands that a round looks at, and whether it takes only the closest pair of any two components
-OPEN_ROUNDS = ((1, True), (5, True), (BANDS, True), (BANDS, False))
+#: bands that the first rounds look at, and whether they take only the closest pair of any two components; two rounds over all bands follow
+OPEN_ROUNDS = ((1, True), (5, True))
 
 
-def _crossing(shared: DataFrame, rooted: DataFrame, sketches: DataFrame, closest: bool) -> DataFrame:
+def _crossing(shared: DataFrame, rooted: DataFrame, sketches: DataFrame, closest: bool, rule: Rule) -> DataFrame:
     """Pairs that share a bucket, are in different components and may be similar: what is still open."""
     placed = shared.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     inside = placed.join(mixed, "key").join(sketches, "rep")
     left, right = (inside.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", *SKETCH))) for x in ("a", "b"))
-    met = left.join(right, "key").filter(f"root_a < root_b AND {_may_be_similar('_a', '_b')}")
+    met = left.join(right, "key").filter(f"root_a < root_b AND {_may_be_similar('_a', '_b', rule)}")
     if not closest:
         return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     apart = F.expr(f"({' + '.join(f'bit_count({w}_a ^ {w}_b)' for w in SET_WORDS)}) / (n_shingles_a + n_shingles_b)")
@@ -259,7 +277,7 @@ def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
+def kept_documents(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
     """The rows of ``docs`` whose id is its component's smallest; of rows repeated under that id all stay."""
-    kept = classes(docs).filter("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("__id")).distinct().hint("shuffle_hash")
+    kept = classes(docs, rule).filter("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("__id")).distinct().hint("shuffle_hash")
     return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
