@@ -7,6 +7,7 @@ at powers of two, which need no padding.  Nothing is shuffled, and a rerun task
 
 Words repeat, and neither normaliser nor pre-tokeniser of the vocabulary joins across white space or between a letter and the stops
 after it, nor tells A-Z from a-z.  So a Python worker encodes each distinct word once, without the stops at its end, and copies its ids.
+The vocabulary's added tokens are matched as they are written, so words that hold one are known by their exact bytes.
 
 Defined results: null and empty texts are the end id alone; repeated rows are packed again; an empty table gives an empty table;
 extra columns are not read.
@@ -23,13 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.arrow_text import Block, blocks
+from limes.llm.arrow_text import U64, Block, blocks, mix
 from limes.llm.common import table, texts
 
 WINDOW, END_ID, MOST_OPEN, MOST_WORDS, BLOCK_BYTES = 2048, 1, 4096, 1_500_000, 3 << 20
 STOP, PLAIN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 STOP[list(b".,;:!?")] = True
 PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+ADDED = U64(0xA0761D6478BD642F)
 _workers: dict[str, WordIds] = {}
 
 
@@ -58,7 +60,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
@@ -77,17 +79,31 @@ class WordIds:
         self.slot = np.insert(self.slot, place, np.arange(len(self.slot), len(self.slot) + len(keys)))
         self.keys = np.insert(self.keys, place, keys)
 
+    def _with_added(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which units hold an added token."""
+        held = set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                unit = int(np.searchsorted(starts, at, side="right")) - 1
+                if at + len(token) <= ends[unit]:  # else two texts side by side make it
+                    held.add(unit)
+                at = raw.find(token, at + 1)
+        return np.array(sorted(held), dtype=np.int64)
+
     def of(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block, each text closed by the end id, and the texts' bounds."""
         starts, ends, first = units(block)
-        hashes = block.span_hashes(starts, ends, lower=True)
+        hashes, raw = block.span_hashes(starts, ends, lower=True), block.data.tobytes()
+        exact = self._with_added(raw, starts, ends)
+        if len(exact):
+            hashes[exact] = mix(block.span_hashes(starts[exact], ends[exact]) ^ ADDED)
         distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) + len(distinct) > MOST_WORDS:
             self._clear()
         at = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
         new = np.flatnonzero(self.keys[at] != distinct) if len(self.keys) else np.arange(len(distinct))
         if len(new):
-            raw = block.data.tobytes()
             self._learn(distinct[new], [raw[starts[i] : ends[i]] for i in sample[new]])
         slots = self.slot[np.searchsorted(self.keys, distinct)] if len(distinct) else np.zeros(0, dtype=np.int64)
         begin, size = self.first[slots][which], np.diff(self.first)[slots][which]
