@@ -1,7 +1,8 @@
 """License scans: canonical text, SHA-256, hash join with digests of known license texts and notices.
 
-Two texts are the same license if they agree after: lower case; lines that begin with "copyright" dropped; equivalent spellings
-unified; every run of ASCII punctuation, control characters and white space made one space.  The whole text of a document
+Two texts are the same license if they agree after: lower case; copyright notices dropped, which are lines that begin with
+"copyright" and go on with (c), the sign, a year or a name (not with "notice", "holder" and the like, as wrapped lines of a license do);
+equivalent spellings unified; every run of ASCII punctuation, control characters and white space made one space.  The whole text of a document
 is looked up, and each of its lines that speaks of a license is looked up as a notice.
 
 Only DataFrame functions are used.  The table of known digests has one row for each entry below, whatever the corpus, which is the
@@ -64,13 +65,15 @@ KNOWN: list[tuple[str, str, str]] = [
 
 # Spellings that count as equal, in canonical (lower, single-spaced) text.
 SPELLINGS = [("licence", "license"), ("copyright owner", "copyright holder"), ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("non infringement", "noninfringement"), ("per cent", "percent"), ("sub license", "sublicense"), ("merchantibility", "merchantability"), ("redistributions", "redistribution")]
-COPYRIGHT_LINE = r"(^|\n)[ \t#*/;-]*copyright[^\n]*"
+COPYRIGHT_LINE = r"(^|\n)[ \t#*/;-]*copyright[^\n]*"  # the statement's: all lines that begin so
+GOES_ON = r"(?:notices?|holders?|owners?|laws?|licen[sc]es?|statements?|interests?|infringements?|protection|and|or|in)\b"
+COPYRIGHT_NOTICE = r"(^|\n)[ \t#*/;-]*copyright(?![a-z])(?![ \t\r.,:;'*\x22-]*(?:" + GOES_ON + r"|\n|$))[^\n]*"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def canonical(text: Column) -> Column:
     low = F.lower(text)
-    kept = F.when(F.contains(low, F.lit("copyright")), F.regexp_replace(low, COPYRIGHT_LINE, "\n")).otherwise(low)
+    kept = F.when(F.contains(low, F.lit("copyright")), F.regexp_replace(low, COPYRIGHT_NOTICE, "\n")).otherwise(low)
     out = F.trim(F.regexp_replace(kept, PUNCTUATION, " "))
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
