@@ -1,12 +1,15 @@
 """Words of Arrow string columns as numpy arrays: no Python object per word.
 
 Words are maximal runs of bytes other than 0x20 and 0x09-0x0D, which in UTF-8 is the same as runs of such
-code points.  All hashes are polynomials modulo 2**64 over prefix sums, so any span costs O(1).
+code points.  A word's hash weighs each byte's code with a random factor of its place (modulo 2**64), so no pattern of
+letters cancels.  Windows of words have Rabin-Karp hashes modulo the prime 2**61 - 1, for which the chance that two different
+windows of ``w`` words agree is ``w / 2**61`` at most, whatever they hold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +20,10 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 3, 0xD6E8FEB86659FD93 | 3
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_STEP = 0x9E3779B97F4A7C15
+_BASE = 0x0B2A5C6E9D31F47B  # of the windows' polynomials; below the prime
+PRIME_BITS = 61
+PRIME = U64((1 << PRIME_BITS) - 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,29 +37,53 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_CODE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+BYTE_CODE = mix(np.arange(1, 257, dtype=U64) * U64(_STEP))
+LOWER_CODE = BYTE_CODE[LOWER]
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below ``n`` at least."""
-    have = _tables.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
-        up, down = np.full(size, base, dtype=U64), np.full(size, pow(base, -1, 1 << 64), dtype=U64)
-        up[0] = down[0] = 1
-        have = _tables[base] = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-    return have
+def _random(place: np.ndarray) -> np.ndarray:
+    return mix((place.astype(U64) + U64(1)) * U64(_STEP) ^ U64(0xD6E8FEB86659FD93)) | U64(1)
 
 
-def prefix(codes: np.ndarray, base: int) -> np.ndarray:
-    out = np.zeros(len(codes) + 1, dtype=U64)
-    np.cumsum(codes * powers(base, len(codes))[0][: len(codes)], out=out[1:])
-    return out
+_FACTORS = _random(np.arange(1 << 12))
 
 
-def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """Hashes of [start, end): equal contents have equal hashes wherever they stand."""
-    return (sums[end] - sums[start]) * powers(base, len(sums))[1][start]
+def factors(place: np.ndarray) -> np.ndarray:
+    """The random odd factor of each place in a word."""
+    if not len(place) or place.max() < len(_FACTORS):
+        return _FACTORS[place]
+    return _random(place)
+
+
+def times(x: np.ndarray, by: int) -> np.ndarray:
+    """``x * by`` modulo the prime, by halves of 31 bits; both are below 2**61."""
+    low, high = U64(by & 0x7FFFFFFF), U64(by >> 31)
+    x_low, x_high = x & U64(0x7FFFFFFF), x >> U64(31)
+    middle = x_low * high + x_high * low
+    return reduced(x_high * high * U64(2) + (middle >> U64(30)) + ((middle & U64(0x3FFFFFFF)) << U64(31)) + x_low * low)
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> U64(PRIME_BITS))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def rolling(values: np.ndarray, width: int) -> np.ndarray:
+    """Rabin-Karp hash of ``values[i : i + width]`` for every i, put together from widths that are powers of two."""
+    part, size, whole, have = reduced(values), 1, None, 0
+    while True:
+        if width & size:
+            if whole is None:
+                whole = part
+            else:
+                n = len(values) - have - size + 1
+                whole = reduced(times(whole[:n], pow(_BASE, size, int(PRIME))) + part[have : have + n])
+            have += size
+        if have == width:
+            return whole
+        n = len(values) - 2 * size + 1
+        part = reduced(times(part[:n], pow(_BASE, size, int(PRIME))) + part[size : size + n])
+        size *= 2
 
 
 class Block:
@@ -86,23 +115,26 @@ class Block:
 
     def word_hashes(self, lower: bool = False) -> np.ndarray:
         starts, ends, _ = self.words()
-        codes = BYTE_CODE[LOWER[self.data]] if lower else BYTE_CODE[self.data]
-        return mix(spans(prefix(codes, _BYTE_BASE), starts, ends, _BYTE_BASE))
+        return self.span_hashes(starts, ends, lower)
 
     def span_hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-        codes = BYTE_CODE[LOWER[self.data]] if lower else BYTE_CODE[self.data]
-        return mix(spans(prefix(codes, _BYTE_BASE), starts, ends, _BYTE_BASE))
+        """Hashes of spans that are not empty, ascend and do not overlap."""
+        if not len(starts):
+            return np.zeros(0, dtype=U64)
+        size = ends - starts
+        first = np.cumsum(size) - size
+        place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+        codes = (LOWER_CODE if lower else BYTE_CODE)[self.data[place + np.repeat(starts, size)]]
+        return mix(np.add.reduceat(codes * factors(place), first) + size.astype(U64) * U64(_STEP))
 
     def windows(self, width: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rabin-Karp hash of every ``width`` consecutive words of one text, and the window's first word."""
         n = len(hashes)
         if n < width:
             return np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
-        sums = prefix(hashes, _WORD_BASE)
-        at = np.arange(n - width + 1)
         own = self.text_of_word()
-        at = at[own[: n - width + 1] == own[width - 1 :]]
-        return mix(spans(sums, at, at + width, _WORD_BASE)), at
+        at = np.flatnonzero(own[: n - width + 1] == own[width - 1 :])
+        return mix(rolling(hashes & PRIME, width)[at]), at
 
 
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -131,5 +163,25 @@ def blocks(column: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[int, i
         lo = hi
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def tidy() -> None:
+    """Give freed memory back: a Python worker lives for many tasks, and an executor holds several."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, which tidies when a partition ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        tidy()
+
+    return whole
+
+
 def binaries(chunks: list) -> pa.Array:
     return pa.array(chunks, type=pa.binary())

@@ -23,16 +23,19 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes the optimizer expects ``df`` to read, 0 if it cannot tell."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 60 else 0
+#: exchanges have no more partitions than a driver can schedule; beyond, partitions grow, while groups and buckets keep their size
+MOST_PARTS = 100_000
 
 
-def parts(df: DataFrame, bytes_per_part: int) -> int:
-    """Partitions for an exchange of ``df``: by size, and never under the session's own setting."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, math.ceil(input_bytes(df) / bytes_per_part))
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts, counted in one pass over that column, so it holds after any join or filter."""
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def parts(spark: SparkSession, size: int, bytes_per_part: int) -> int:
+    """Partitions for an exchange of ``size`` bytes, and never under the session's own setting."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MOST_PARTS, math.ceil(size / bytes_per_part)))
 
 
 def first_by_hash(df: DataFrame, most: int, *keys: str, of: int | None = None, spare: int = 2) -> DataFrame:

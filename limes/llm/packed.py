@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PRIME, FACTOR = 2_147_483_647, 48_271
-#: the key of rows without a doc_id: after all others
+#: what rows without a doc_id are compared as: after all others
 NO_ID = (1 << 63) - 1
 
 
@@ -44,14 +44,17 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.append(start, len(values)))
 
 
-def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
-    """The group of a document; the same as ``group_column``."""
-    folded = (ids ^ (ids.view(np.uint64) >> np.uint64(32)).view(np.int64)) & 0x7FFFFFFF
+def group_of(ids: np.ndarray, checks: np.ndarray, groups: int) -> np.ndarray:
+    """The group of a document by its id and the CRC-32 of its text; the same as ``group_column``.
+
+    Rows without an id, rows that repeat one and copies of one text are spread alike.
+    """
+    folded = (ids ^ (ids.view(np.uint64) >> np.uint64(32)).view(np.int64) ^ checks.astype(np.int64)) & 0x7FFFFFFF
     return folded * FACTOR % PRIME % groups
 
 
-def group_column(doc_id: Column, groups: int) -> Column:
-    folded = doc_id.bitwiseXOR(F.shiftrightunsigned(doc_id, 32)).bitwiseAND(F.lit(0x7FFFFFFF))
+def group_column(key: Column, text: Column, groups: int) -> Column:
+    folded = key.bitwiseXOR(F.shiftrightunsigned(key, 32)).bitwiseXOR(F.crc32(text)).bitwiseAND(F.lit(0x7FFFFFFF))
     return (folded * F.lit(FACTOR) % F.lit(PRIME) % F.lit(groups)).cast("int")
 
 

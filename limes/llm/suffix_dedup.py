@@ -1,4 +1,4 @@
-"""Suffix-array deduplication by two-stage sorting, spread over buckets of suffixes that can share a prefix.
+"""Suffix-array deduplication: equal segments are settled by hash counts, all others by suffix arrays from two-stage sorting.
 
 A byte is removed if it is covered by a string of ``LENGTH`` bytes that also starts anywhere else, in the same document or another; strings are
 judged on the input and never cross documents.
@@ -20,8 +20,8 @@ in a pass before, by counts; there are at most ``1 / HOT_SHARE`` of them, so the
 their own hash instead.
 
 Defined results: null and empty texts have no bytes; shorter texts lose nothing; rows that repeat a text remove each other's strings, as any
-two documents do; rows that repeat a doc_id are documents of their own; a null doc_id is kept null; an empty table gives an empty table;
-extra columns are not read.  Removal may leave bytes that are no UTF-8, so what is kept is binary.
+two documents do; rows that repeat a doc_id, or have none, are documents of their own; a null doc_id is kept null; a text of up to 2 GiB, the most
+that Spark's strings hold, has to fit a Python worker some fifty times; an empty table gives an empty table; extra columns are not read.  Removal may leave bytes that are no UTF-8, so what is kept is binary.
 """
 
 from __future__ import annotations
@@ -32,18 +32,49 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.arrow_text import BYTE_CODE, U64, Block, blocks, mix, prefix, spans, string_buffers
-from limes.llm.common import parts, table, texts, written
-from limes.llm.packed import NO_ID, group_column, group_of, key_column, pack, runs, steps, unpack
+from limes.llm.arrow_text import BYTE_CODE, U64, Block, blocks, mix, string_buffers, tidied, tidy
+from limes.llm.common import parts, table, text_bytes, texts, written
+from limes.llm.packed import group_column, group_of, key_column, pack, runs, steps, unpack
 
 LENGTH, ANCHOR, HELD_SEGMENTS = 200, 120, 400_000
-PART_BYTES, GROUPS_IN_PART, BUCKETS_IN_PART = 16 << 20, 8, 8
+PART_BYTES, GROUPS_IN_PART, BUCKETS_IN_PART = 27 << 20, 8, 8
 HOT_SHARE, HOT_LEAST, HOT_IN_HAND = 1e-4, 2_000, 64
-_BASE = 0xA24BAED4963EE407 | 3
-_PLACE = (1 << 28) - 1
+_BASE = 0xA24BAED4963EE403  # 3 modulo 8, which keeps powers of two out of differences of its powers
+_PLACE = (1 << 31) - 1  # as many bytes as a string of Spark or Arrow can have
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_BASE**i`` and ``_BASE**-i`` modulo 2**64 for i below ``n`` at least; kept for blocks of common size."""
+    if _powers and n <= len(_powers[0][0]):
+        return _powers[0]
+    size = max(n, (1 << 21) + 4096)
+    up, down = np.full(size, _BASE, dtype=U64), np.full(size, pow(_BASE, -1, 1 << 64), dtype=U64)
+    up[0] = down[0] = 1
+    made = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    if size > n:
+        _powers[:] = [made]
+    return made
+
+
+def prefix(codes: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(codes) + 1, dtype=U64)
+    np.cumsum(codes * powers(len(codes) + 1)[0][: len(codes)], out=out[1:])
+    return out
+
+
+def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of [start, end).  Modulo 2**64 patterns such as abbabaab may cancel, but none of at most 280 bytes does."""
+    return (sums[end] - sums[start]) * powers(len(sums))[1][start]
+
+
+def text_check(text: bytes | memoryview | np.ndarray) -> int:
+    """Tells rows of one doc_id with different texts apart: 64 bits, the lower half being the text's CRC-32."""
+    return xxhash.xxh3_64_intdigest(text) >> 32 << 32 | zlib.crc32(text)
 
 
 def cut(block: Block, hot: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -52,9 +83,9 @@ def cut(block: Block, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     empty = np.zeros(0, dtype=np.int64)
     if n < LENGTH:
         return empty, empty, empty.astype(U64), empty.astype(U64), empty
-    sums = prefix(BYTE_CODE[data], _BASE)
+    sums = prefix(BYTE_CODE[data])
     at = np.arange(n - ANCHOR + 1)
-    grams = mix(spans(sums, at, at + ANCHOR, _BASE))
+    grams = mix(spans(sums, at, at + ANCHOR))
     least = (grams & U64(~_PLACE & (1 << 64) - 1)) | at.astype(U64)
     width, have = LENGTH - ANCHOR + 1, 1
     while have * 2 <= width:
@@ -80,7 +111,7 @@ def cut(block: Block, hot: np.ndarray) -> tuple[np.ndarray, ...]:
         new |= alone
     first = np.flatnonzero(new)
     begin, many = start[first], np.diff(np.append(first, len(start)))
-    text = mix(spans(sums, begin, begin + many + LENGTH - 1, _BASE)) ^ mix(many.astype(U64))
+    text = mix(spans(sums, begin, begin + many + LENGTH - 1)) ^ mix(many.astype(U64))
     name = grams[own[first]]
     if len(hot):
         name = np.where(alone[first], mix(text ^ U64(0x2545F4914F6CDD1D)), name)
@@ -116,7 +147,7 @@ def hot_anchors(docs: DataFrame) -> np.ndarray:
             yield told()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["anchor", "n"])
 
-    counted = docs.mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(tidied(run), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     counted = written(counted, "anchors")
     total = counted.filter("anchor IS NULL").agg(F.sum("n")).first()[0] or 0
     rows = counted.filter(F.col("anchor").isNotNull() & (F.col("n") >= max(HOT_LEAST, math.ceil(total * HOT_SHARE)))).select("anchor").collect()
@@ -127,20 +158,20 @@ def _reply(ids, checks, begin, many, groups: int) -> Iterator[tuple[int, bytes]]
     """(group, payload) of strings [begin, begin + many) by document."""
     if not len(ids):
         return
-    group = group_of(ids, groups)
+    group = group_of(ids, checks & U64(0xFFFFFFFF), groups)
     order = np.lexsort((begin, checks, ids, group))
     ids, checks, begin, many, group = ids[order], checks[order], begin[order], many[order], group[order]
     for s, n in zip(*runs(group)):
         own = slice(s, s + n)
-        new = np.flatnonzero((np.diff(ids[own]) != 0) | (np.diff(checks[own].astype(np.int64)) != 0)) + 1
+        new = np.flatnonzero((np.diff(ids[own]) != 0) | (checks[own][1:] != checks[own][:-1])) + 1
         first = np.concatenate([[0], new])
-        yield int(group[s]), pack(ids[own][first], checks[own][first].astype(np.uint32), np.diff(np.append(first, n)).astype(np.uint32), steps(begin[own].astype(np.uint32)), many[own].astype(np.uint32))
+        yield int(group[s]), pack(ids[own][first], checks[own][first], np.diff(np.append(first, n)).astype(np.uint32), steps(begin[own].astype(np.uint32)), many[own].astype(np.uint32))
 
 
 def _replies(rows: list[bytes]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
     found: dict[tuple[int, int], list] = {}
     for data in rows:
-        ids, checks, count, begin, many = unpack(data, np.int64, np.uint32, np.uint32, np.uint32, np.uint32)
+        ids, checks, count, begin, many = unpack(data, np.int64, U64, np.uint32, np.uint32, np.uint32)
         begin = np.cumsum(begin, dtype=np.uint32).astype(np.int64)
         ends = np.cumsum(count)
         for i, c, b, m in zip(ids.tolist(), checks.tolist(), np.split(begin, ends[:-1]), np.split(many.astype(np.int64), ends[:-1])):
@@ -148,7 +179,7 @@ def _replies(rows: list[bytes]) -> dict[tuple[int, int], tuple[np.ndarray, np.nd
     return {k: tuple(np.concatenate(x) for x in zip(*v)) for k, v in found.items()}
 
 
-SEGMENT = (np.uint64, np.uint64, np.uint8, np.int64, np.uint32, np.uint32, np.uint32, np.uint16)
+SEGMENT = (U64, U64, np.uint8, np.int64, np.uint32, U64, np.uint32, np.uint32, np.uint16)
 
 
 class _Held:
@@ -157,7 +188,7 @@ class _Held:
 
     def add(self, ids: np.ndarray, block: Block, hot: np.ndarray) -> None:
         begin, many, name, text, row = cut(block, hot)
-        checks = np.array([zlib.crc32(block.data[block.offs[i] : block.offs[i + 1]]) for i in range(block.n)], dtype=np.uint32)
+        checks = np.array([text_check(block.data[block.offs[i] : block.offs[i + 1]]) for i in range(block.n)], dtype=U64)
         self.parts.append((name, text, ids[row], checks[row], begin - block.offs[row], many))
         self.n += len(name)
 
@@ -180,7 +211,7 @@ class _Held:
                 own = one[s : s + n]
                 r, m = runs(ids[own])
                 c, k = runs(checks[own])
-                yield int(bucket[s]), False, pack(name[own], text[own], twice[s : s + n], steps(ids[own][r]), m.astype(np.uint32), np.concatenate([checks[own][c], k.astype(np.uint32)]), begin[own].astype(np.uint32), many[own].astype(np.uint16))
+                yield int(bucket[s]), False, pack(name[own], text[own], twice[s : s + n], steps(ids[own][r]), m.astype(np.uint32), checks[own][c], k.astype(np.uint32), begin[own].astype(np.uint32), many[own].astype(np.uint16))
         self.parts, self.n = [], 0
 
 
@@ -204,7 +235,7 @@ def segments(docs: DataFrame, hot: np.ndarray, buckets: int, groups: int) -> Dat
                     yield from sent(held)
         yield from sent(held)
 
-    return docs.mapInArrow(run, "bucket int, settled boolean, payload binary")
+    return docs.mapInArrow(tidied(run), "bucket int, settled boolean, payload binary")
 
 
 FOUND = "grp int, asked boolean, payload binary"
@@ -214,14 +245,14 @@ def compare(cut_segments: DataFrame, groups: int) -> DataFrame:
     """Settled strings, and requests for the texts of different segments under one anchor, by group of documents."""
 
     def run(rows: pa.Table) -> pa.Table:
+        tidy()
         out, met = [], []
         for done, data in zip(rows.column("settled").to_pylist(), rows.column("payload").to_pylist()):
             if done:
                 out.append((int(np.frombuffer(data, dtype=np.int64, count=1)[0]), False, data[8:]))
             else:
-                name, text, twice, ids, m, checks, begin, many = unpack(data, *SEGMENT)
-                half = len(checks) // 2
-                met.append((name, text, twice, np.repeat(np.cumsum(ids), m), np.repeat(checks[:half], checks[half:]), begin, many))
+                name, text, twice, ids, m, checks, k, begin, many = unpack(data, *SEGMENT)
+                met.append((name, text, twice, np.repeat(np.cumsum(ids), m), np.repeat(checks, k), begin, many))
         if met:
             name, text, twice, ids, checks, begin, many = (np.concatenate(c) for c in zip(*met))
             order = np.lexsort((twice, text, name))
@@ -238,7 +269,7 @@ def compare(cut_segments: DataFrame, groups: int) -> DataFrame:
             kinds = np.repeat(kinds, np.diff(np.append(np.flatnonzero(anchor_first), len(name))))
             ask = first[kinds[first] > 1]
             known = ((count > 1) | (twice[first] > 0))[kinds[first] > 1]
-            group = group_of(ids[ask], groups)
+            group = group_of(ids[ask], checks[ask] & U64(0xFFFFFFFF), groups)
             by = np.argsort(group, kind="stable")
             for s, n in zip(*runs(group[by])):
                 a = ask[by[s : s + n]]
@@ -254,11 +285,11 @@ def fetch(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         data, offs = string_buffers(left.column("text"))
         place = {}
-        for i, doc in enumerate(left.column("doc_id").to_pylist() if right.num_rows else []):
-            place[doc, zlib.crc32(data[offs[i] : offs[i + 1]])] = int(offs[i])
+        for i, key in enumerate(left.column("key").to_pylist() if right.num_rows else []):
+            place[key, text_check(data[offs[i] : offs[i + 1]])] = int(offs[i])
         out = []
         for request in right.column("payload").to_pylist():
-            name, known, ids, checks, begin, many = unpack(request, np.uint64, np.uint8, np.int64, np.uint32, np.uint32, np.uint16)
+            name, known, ids, checks, begin, many = unpack(request, U64, np.uint8, np.int64, U64, np.uint32, np.uint16)
             bucket = (name >> U64(20)) % U64(buckets)
             order = np.lexsort((name, bucket))
             for s, n in zip(*runs(bucket[order])):
@@ -359,10 +390,11 @@ def repeated_strings(pieces: bytes, many: np.ndarray) -> np.ndarray:
 
 def sort_buckets(fetched: DataFrame, groups: int) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
+        tidy()
         heads, pieces = [], []
         for data in rows.column("payload").to_pylist():
             size = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
-            heads.append(unpack(data[8 : 8 + size], np.uint8, np.int64, np.uint32, np.uint32, np.uint16))
+            heads.append(unpack(data[8 : 8 + size], np.uint8, np.int64, U64, np.uint32, np.uint16))
             pieces.append(data[8 + size :])
         known, ids, checks, begin, many = (np.concatenate(c) for c in zip(*heads))
         many = many.astype(np.int64)
@@ -388,27 +420,30 @@ _SPANS = pa.list_(pa.struct([("from_byte", pa.int64()), ("to_byte", pa.int64())]
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """Each document's kept bytes and the maximal runs of bytes that were removed."""
-    n = parts(docs, PART_BYTES)  # exchanges are sized by the input, whatever the session's number of shuffle partitions
+    rows = texts(docs)
+    n = parts(docs.sparkSession, text_bytes(rows), PART_BYTES)  # exchanges are sized by the input, whatever the session's number of shuffle partitions
     groups, buckets = GROUPS_IN_PART * n, BUCKETS_IN_PART * n
-    keyed = texts(docs).select(key_column().alias("doc_id"), "text")
-    grouped = keyed.withColumn("grp", group_column(F.col("doc_id"), groups)).repartition(n, "grp")
+    with_key = rows.select("doc_id", key_column().alias("key"), "text")
+    keyed = with_key.select("key", "text")
+    grouped = with_key.withColumn("grp", group_column(F.col("key"), F.col("text"), groups)).repartition(n, "grp")
     found = written(compare(segments(keyed, hot_anchors(keyed), buckets, groups).repartition(n, "bucket"), groups), "segments")
     sorted_ = sort_buckets(fetch(grouped, found.filter("asked").repartition(n, "grp"), buckets).repartition(n, "bucket"), groups)
     replies = found.filter("NOT asked").select("grp", "payload").unionByName(sorted_).repartition(n, "grp")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
         told = _replies(right.column("payload").to_pylist())
         data, offs = string_buffers(left.column("text"))
         raw, out = data.tobytes(), []
-        for i, doc in enumerate(left.column("doc_id").to_pylist()):
+        for i, (doc, key) in enumerate(zip(left.column("doc_id").to_pylist(), left.column("key").to_pylist())):
             text = raw[offs[i] : offs[i + 1]]
-            hit = told.get((doc, zlib.crc32(text))) if told else None
+            hit = told.get((key, text_check(text))) if told else None
             spans_ = merged(*hit) if hit else []
             kept, done = [], 0
             for a, b in spans_:
                 kept.append(text[done:a])
                 done = b
-            out.append((None if doc == NO_ID else doc, len(text), b"".join([*kept, text[done:]]), [{"from_byte": a, "to_byte": b} for a, b in spans_]))
+            out.append((doc, len(text), b"".join([*kept, text[done:]]), [{"from_byte": a, "to_byte": b} for a, b in spans_]))
         columns = list(zip(*out)) or [[]] * 4
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("doc_id", "n_bytes", "kept", "removed"), columns, (pa.int64(), pa.int64(), pa.binary(), _SPANS))})
 
