@@ -7,20 +7,21 @@ are linked; a component takes the smallest ``doc_id`` that links reach.  A ``Rul
 1. One pass over the texts gives set size, a 128-bit fingerprint of the set, MinHash samples folded into band keys (25 keys of five
    samples, or 28 of four at 80 per cent), and an odd sketch: a 256-bit map in which every (sample number, value) flips one bit.
 2. Equal sets become one representative (partial aggregation first), so copies never meet again.
-3. Band buckets link each representative with the bucket's smallest one: a star, linear in the bucket.  Population
-   counts of XORs of two sketches drop pairs below the threshold; all others are compared on their full sets.
+3. Band buckets link their representatives in two stars: within each of ``SALTS`` hash parts of a big bucket to the part's smallest
+   one, and these (or all members of a small one) to the bucket's smallest one.  That is linear in the bucket, and no centre has more than a part of a hot bucket.  Sizes and
+   population counts of XORs of two sketches drop pairs below the threshold; all others are compared on their full sets.
 4. Connected components of the confirmed links, by large-star and small-star rounds.
-5. What stars can miss: pairs that share a bucket but not a component.  They are joined within the bucket (keys in several
-   components only) under the same sketch tests.  First only the closest pair of any two components is compared, in one band, then in
-   more; components grow together, and at last all pairs that are still open are compared.  Members that are
-   already connected are not compared with each other, which is what keeps big groups near linear.
+5. What stars can miss: pairs that share a bucket but not a component.  In each bucket with several components, those members that are outside
+   its largest component meet all members under the same sketch tests, part by part.  First only the closest pair of any
+   two components is compared, in few bands, then in all; components grow together, and at last all pairs still open are compared.
+   Members of the largest component never meet each other, which is what keeps big groups near linear.
 
 There are two odd sketches.  One folds the MinHash samples (256 bits); it serves sets of any size.  The other folds the whole set
 (1024 bits), which is precise for sets up to a few thousand shingles.
 
-A pair at the threshold misses all bands with probability (1 - 0.85**5)**25 = 4e-7, or (1 - 0.8**4)**28 = 4e-7.  The samples' sketch keeps it unless the estimate
-falls more than four standard deviations short; the whole set's sketch never differs in more bits than the sets do in shingles, so it
-loses nothing.  Nothing is capped.
+A pair at the threshold misses all bands with probability (1 - 0.85**5)**25 = 4e-7, or (1 - 0.8**4)**28 = 4e-7.  The samples' sketch
+then drops it with a probability below ``LOST`` (``most_bits`` computes the exact distribution); the whole set's sketch never differs in more bits
+than the sets do in shingles, so it loses nothing.  Nothing is capped.
 
 Defined results: null and empty texts have an empty set, are linked with nothing and are their own component; texts of fewer words
 than a shingle have their word sequence as one shingle; repeated rows of one ``doc_id`` with equal texts give one row each, with the same
@@ -30,6 +31,7 @@ an empty table gives an empty table; extra columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -38,11 +40,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from limes.llm.arrow_text import U64, Block, binaries, blocks, mix
+from limes.llm.arrow_text import U64, Block, binaries, blocks, mix, tidied
 from limes.llm.common import table, texts, written
 
-SKETCH_BITS, SET_BITS = 256, 1024
+SKETCH_BITS, SET_BITS, LOST, SALTS, BIG = 256, 1024, 1e-9, 64, 512
 
 
 class Rule(NamedTuple):
@@ -64,12 +67,23 @@ class Rule(NamedTuple):
 
     @property
     def most_bits(self) -> int:
-        """Most bits in which sketches of sets at the threshold differ, but for four standard deviations."""
-        similarity = self.percent / 100
-        apart = 2 * self.samples * (1 - similarity)
-        spread = 2 * 4 * math.sqrt(self.samples * similarity * (1 - similarity))
-        flipped = SKETCH_BITS / 2 * (1 - math.exp(-2 * (apart + spread) / SKETCH_BITS))
-        return math.ceil(flipped + 4)
+        """Bits in which sketches of sets at the threshold differ at most, but for a share ``LOST`` of such pairs."""
+        return _most_bits(self.samples, self.percent)
+
+
+@functools.cache
+def _most_bits(samples: int, percent: int) -> int:
+    similarity, bits = percent / 100, np.arange(SKETCH_BITS + 1)
+    differing = np.zeros(SKETCH_BITS + 1)  # chances of so many different bits after 2 * m flips of random bits
+    differing[0] = 1
+    total = np.zeros(SKETCH_BITS + 1)
+    for m in range(samples + 1):  # m samples disagree, and each of them flips a bit in either sketch
+        total += math.comb(samples, m) * (1 - similarity) ** m * similarity ** (samples - m) * differing
+        for _ in range(2):
+            up, down = differing * (1 - bits / SKETCH_BITS), differing * bits / SKETCH_BITS
+            differing = np.concatenate([[0], up[:-1]]) + np.concatenate([down[1:], [0]])
+    above = 1 - np.cumsum(total)
+    return int(np.flatnonzero(above < LOST)[0])
 
 
 DIGESTS, WORDS = Rule(3, 85, 25, 5), Rule(5, 80, 28, 4)
@@ -148,7 +162,7 @@ def profiles(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
                 as_long = [pa.array(c.view(np.int64)) for c in (*np.ascontiguousarray(f.T), *np.ascontiguousarray(s.T), *np.ascontiguousarray(whole.T))]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(size.astype(np.int64)), *as_long[:2], binaries(bands), *as_long[2:]], [c.split()[0] for c in PROFILE.split(", ")])
 
-    return texts(docs).mapInArrow(run, PROFILE)
+    return texts(docs).mapInArrow(tidied(run), PROFILE)
 
 
 def similar(pairs: DataFrame, needed: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
@@ -173,7 +187,7 @@ def similar(pairs: DataFrame, needed: DataFrame, rule: Rule = DIGESTS) -> DataFr
 
     first = pairs.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     both = first.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "ta", "tb").mapInArrow(tidied(run), "a long, b long")
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -223,6 +237,21 @@ def _close(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
     return pairs.filter(_may_be_similar("_a", "_b", rule)).select("a", "b")
 
 
+def _stars(banded: DataFrame) -> DataFrame:
+    """``band, key, part, big, rep, b``: members of shared buckets, each with the member it is tried with (null for the bucket's centre).
+
+    Members of a big bucket stay in their parts in all later steps, small buckets are one part.
+    """
+    parted = banded.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+    whole = Window.partitionBy("key")  # at most SALTS rows
+    local = parted.groupBy("key", "part").agg(F.min("rep").alias("local"), F.count("*").alias("n"))
+    local = local.select("key", "part", "local", F.min("local").over(whole).alias("centre"), F.sum("n").over(whole).alias("n")).filter("n > 1")
+    shared = parted.join(local, ["key", "part"])
+    big = F.col("n") > BIG
+    nearest = F.when(~big | (F.col("rep") == F.col("local")), F.col("centre")).otherwise(F.col("local"))
+    return shared.select("band", "key", F.when(big, F.col("part")).otherwise(0).alias("part"), big.alias("big"), "rep", F.when(F.col("rep") != nearest, nearest).alias("b"))
+
+
 def classes(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row for each row of ``docs``."""
     seen = written(profiles(docs, rule), "profiles")
@@ -233,12 +262,10 @@ def classes(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
     # A doc_id on several texts is a link between their sets; within one text it is the set's own copies.
     copies = filled.join(representatives.select("f1", "f2", "n_shingles", "rep"), ["f1", "f2", "n_shingles"]).select("doc_id", "rep")
     sketches = representatives.select("rep", *SKETCH)
-    banded = _bands(representatives, rule)
-    stars = banded.groupBy("key").agg(F.min("rep").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    shared = written(banded.join(stars.select("key", "b"), "key").select("band", "key", "rep", "b"), "buckets")
+    shared = written(_stars(_bands(representatives, rule)), "buckets")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash")
     needed = written(texts(docs).join(wanted, "doc_id", "left_semi"), "candidate-texts")
-    tried = shared.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    tried = shared.filter("b IS NOT NULL").select(F.col("rep").alias("a"), "b").distinct()
     links = similar(_close(tried, sketches, rule), needed, rule)
     several = copies.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter("b <> most").select("doc_id", "b")
     same_id = copies.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
@@ -248,27 +275,34 @@ def classes(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
         if rest.isEmpty():
             continue
         more = written(similar(rest, needed, rule), "links")
-        rooted = written(components(more.unionByName(rooted.select(F.col("v").alias("a"), F.col("root").alias("b")))), "rooted")
+        if not more.isEmpty():
+            rooted = written(components(more.unionByName(rooted.select(F.col("v").alias("a"), F.col("root").alias("b")))), "rooted")
     of_set = copies.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("root"))
     of_doc = of_set.groupBy("doc_id").agg(F.min("root").alias("root"))
     return seen.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 #: bands that the first rounds look at, and whether they take only the closest pair of any two components; two rounds over all bands follow
-OPEN_ROUNDS = ((1, True), (5, True))
+OPEN_ROUNDS = ((3, True),)
 
 
 def _crossing(shared: DataFrame, rooted: DataFrame, sketches: DataFrame, closest: bool, rule: Rule) -> DataFrame:
     """Pairs that share a bucket, are in different components and may be similar: what is still open."""
-    placed = shared.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    inside = placed.join(mixed, "key").join(sketches, "rep")
-    left, right = (inside.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", *SKETCH))) for x in ("a", "b"))
-    met = left.join(right, "key").filter(f"root_a < root_b AND {_may_be_similar('_a', '_b', rule)}")
+    placed = shared.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("key", "part", "big", "rep", F.coalesce("root", "rep").alias("root"))
+    sizes = placed.groupBy("key", "root", "big").agg(F.count("*").alias("n"))
+    homes = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("home"), F.count("*").alias("roots"), F.any_value("big").alias("big")).filter("roots > 1").select("key", "home", "big")
+    every_part = F.explode(F.sequence(F.lit(0), F.when(F.col("big"), F.lit(SALTS - 1)).otherwise(0))).alias("part")
+    inside = written(placed.join(homes.select("key", "home", every_part), ["key", "part"]), "open")
+    inside = inside.join(sketches, "rep")
+    side = lambda rows, x, *more: rows.select("key", *more, *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", *SKETCH)))
+    guests = inside.filter("root <> home").select(every_part, "key", "rep", "root", *SKETCH)
+    test = f"root_a <> root_b AND (root_a = home OR rep_a < rep_b) AND {_may_be_similar('_a', '_b', rule)}"
+    met = side(inside, "a", "part", "home").join(side(guests, "b", "part"), ["key", "part"]).filter(test)
     if not closest:
         return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     apart = F.expr(f"({' + '.join(f'bit_count({w}_a ^ {w}_b)' for w in SET_WORDS)}) / (n_shingles_a + n_shingles_b)")
-    best = met.groupBy("root_a", "root_b").agg(F.min(F.struct(apart.alias("apart"), F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).alias("p"))
+    pair = F.struct(F.least("root_a", "root_b").alias("x"), F.greatest("root_a", "root_b").alias("y"))
+    best = met.groupBy(pair.alias("roots")).agg(F.min(F.struct(apart.alias("apart"), F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).alias("p"))
     return best.select("p.a", "p.b")
 
 
