@@ -2,15 +2,16 @@
 
 Each task tokenises its documents and packs them as they come.  Full windows of a long document stand alone; its rest goes to
 the fill level that makes the sum over all levels of (number of windows filled so far) squared smallest, by an array of counts
-per level.  What is left open when a task ends, or when too many windows are open, is cut again so that windows are full; the last rest is cut
-at powers of two, which need no padding.  Nothing is shuffled, and a rerun task makes the same windows.
+per level.  While ``MOST_OPEN`` windows are open, a document first fills up a window of the most crowded level, which lowers the sum of
+squares most.  When a task ends, the fullest open windows stay as they were placed and are filled up with what the emptiest ones hold; the last
+rest is cut at powers of two, which need no padding.  Nothing is shuffled, and a rerun task makes the same windows.
 
 Words repeat, and neither normaliser nor pre-tokeniser of the vocabulary joins across white space or between a letter and the stops
 after it, nor tells A-Z from a-z.  So a Python worker encodes each distinct word once, without the stops at its end, and copies its ids.
 The vocabulary's added tokens are matched as they are written, so words that hold one are known by their exact bytes.
 
-Defined results: null and empty texts are the end id alone; repeated rows are packed again; an empty table gives an empty table;
-extra columns are not read.
+Defined results: null and empty texts are the end id alone; null ids are kept; repeated rows are packed again; of levels with equal sums the fullest
+takes the document; a text must fit a Python worker some thirty times; an empty table gives an empty table; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.arrow_text import U64, Block, blocks, mix
+from limes.llm.arrow_text import U64, Block, blocks, mix, tidied
 from limes.llm.common import table, texts
 
-WINDOW, END_ID, MOST_OPEN, MOST_WORDS, BLOCK_BYTES = 2048, 1, 4096, 1_500_000, 3 << 20
+WINDOW, END_ID, MOST_OPEN, MOST_WORDS, BLOCK_BYTES = 2048, 1, 4096, 600_000, 2 << 20
 STOP, PLAIN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 STOP[list(b".,;:!?")] = True
 PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
@@ -124,6 +125,23 @@ def worker_words(path: str) -> WordIds:
     return _workers[path]
 
 
+class _Rest:
+    """Pieces side by side, from which any number of ids can be cut."""
+
+    def __init__(self, pieces: list[tuple]):
+        self.pieces, self.left = pieces[::-1], sum(len(p[2]) for p in pieces)
+
+    def take(self, n: int) -> list[tuple]:
+        out, self.left = [], self.left - n
+        while n:
+            doc, start, ids, total = self.pieces.pop()
+            out.append((doc, start, ids[:n], total))
+            if len(ids) > n:
+                self.pieces.append((doc, start + n, ids[n:], total))
+            n -= len(out[-1][2])
+        return out
+
+
 class SumOfSquares:
     """Windows of one task.  A piece is (doc row, start, ids, ids of the document)."""
 
@@ -145,9 +163,28 @@ class SumOfSquares:
         while total - start >= WINDOW:
             self._close([(doc, start, ids[start : start + WINDOW], total)])
             start += WINDOW
+        if start < total and self.n_open >= MOST_OPEN:
+            level = int(self.count.argmax())
+            pieces = self._take(level)
+            fill = ids[start : start + WINDOW - level].copy()
+            self._put([*pieces, (doc, start, fill, total)], level + len(fill))
+            start += len(fill)
         if start < total:
             self._place((doc, start, ids[start:].copy(), total))
 
+    def _take(self, level: int) -> list:
+        self.count[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    def _put(self, pieces: list, level: int) -> None:
+        if level == WINDOW:
+            self._close(pieces)
+        else:
+            self.open[level].append(pieces)
+            self.count[level] += 1
+            self.n_open += 1
+
     def _place(self, piece: tuple) -> None:
         s, n = len(piece[2]), self.count
         room = WINDOW - s
@@ -157,44 +194,20 @@ class SumOfSquares:
             change[-1] = 0.5 - n[room]
             change[n[1 : room + 1] == 0] = np.inf
         best = room - 1 - int(np.argmin(change[::-1])) if room else -1
-        if best >= 0 and change[best] <= n[s] + 0.5:
-            level = best + 1
-            pieces = self.open[level].pop()
-            n[level] -= 1
-            self.n_open -= 1
-        else:
-            level, pieces = 0, []
-        pieces.append(piece)
-        if level + s == WINDOW:
-            self._close(pieces)
-        else:
-            self.open[level + s].append(pieces)
-            n[level + s] += 1
-            self.n_open += 1
-            if self.n_open > MOST_OPEN:
-                self.settle(last=False)
+        level = best + 1 if best >= 0 and change[best] <= n[s] + 0.5 else 0
+        self._put([*(self._take(level) if level else []), piece], level + s)
 
-    def settle(self, last: bool) -> None:
-        """Cut what is open into full windows; the rest stays open, or at the end is cut at powers of two."""
-        pieces = [p for level in self.open for window in level for p in window]
+    def settle(self) -> None:
+        """Close all windows: the fullest are filled up from the emptiest, and the last rest is cut at powers of two."""
+        windows = [(fill, w) for fill in range(WINDOW - 1, 0, -1) for w in self.open[fill]]
+        full = sum(fill for fill, _ in windows) // WINDOW
         self.open, self.n_open = [[] for _ in range(WINDOW)], 0
         self.count[:] = 0
-        window, fill = [], 0
-        left = sum(len(p[2]) for p in pieces)
-        goal = WINDOW
-        for doc, start, ids, total in pieces:
-            while len(ids):
-                if fill == 0 and left < WINDOW:
-                    goal = (1 << (left.bit_length() - 1)) if last else WINDOW
-                take = min(goal - fill, len(ids))
-                window.append((doc, start, ids[:take], total))
-                fill, left, start, ids = fill + take, left - take, start + take, ids[take:]
-                if fill == goal:
-                    self._close(window)
-                    window, fill = [], 0
-        if window:
-            self.open[fill] = [window]
-            self.count[fill] = self.n_open = 1
+        rest = _Rest([p for _, w in windows[full:] for p in w])
+        for fill, pieces in windows[:full]:
+            self._close(pieces + rest.take(WINDOW - fill))
+        while rest.left:
+            self._close(rest.take(1 << (rest.left.bit_length() - 1)))
 
     def rows(self) -> list[tuple]:
         out, self.done = self.done, []
@@ -223,10 +236,10 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 for i in range(block.n):
                     windows.add(ids_of[lo + i], flat[bounds[i] : bounds[i + 1]])
                 yield from _batches(windows.rows())
-        windows.settle(last=True)
+        windows.settle()
         yield from _batches(windows.rows())
 
-    return texts(docs).mapInArrow(run, PACKED)
+    return texts(docs).mapInArrow(tidied(run), PACKED)
 
 
 def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
