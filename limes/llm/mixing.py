@@ -7,8 +7,9 @@ each source's draws; draw ``j`` is block ``j`` of the source's permuted block se
 ``n_blocks`` draws), so shards hold disjoint draws, and rows are shuffled within each shard by a keyed hash.  What is taken of a
 document is the sum of its draws; a document that crosses a block's edge is cut there, between words.
 
-Cumulated sizes come from two levels: within chunks of a few thousand documents of a source (dealt by a hash, so a source
-that holds a third of all rows is spread over all tasks), then over the chunks' totals.
+Cumulated sizes come from three levels: within chunks of some hundred documents of a source (dealt by a hash, so a source
+that holds a third of all rows is spread over all tasks), over the chunks of a run of chunks, and over the runs of a source.
+The tree is made in one task from one row of about 300 bytes for each source; documents, chunks and runs never meet there.
 
 Defined results: a null text has size 0 and is never taken; a null source is a source of its own, the last; repeated rows are
 separate documents; an empty table gives an empty table; extra columns are not read.  All draws depend on the seed,
@@ -27,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from limes.llm.arrow_text import blocks
+from limes.llm.arrow_text import blocks, tidied
 from limes.llm.common import table, texts, written
 
-SHARDS, BLOCKS, CHUNK_DOCS, MOST_REPEATS, SEED = 16, 1024, 4096, 3, 7
+SHARDS, BLOCKS, CHUNK_DOCS, RUN_CHUNKS, MOST_REPEATS, SEED = 16, 1024, 256, 4096, 3, 7
 
 
 def word_counts(docs: DataFrame, *more: str) -> DataFrame:
@@ -44,7 +45,7 @@ def word_counts(docs: DataFrame, *more: str) -> DataFrame:
                 rest = [batch.column(3 + i)[lo:hi] for i in range(len(more))]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], pa.array(size), *rest], names)
 
-    return texts(docs, "source", *more).mapInArrow(run, ", ".join(["doc_id long, source string, size long", *(f"{c} long" for c in more)]))
+    return texts(docs, "source", *more).mapInArrow(tidied(run), ", ".join(["doc_id long, source string, size long", *(f"{c} long" for c in more)]))
 
 
 def shares(sizes: np.ndarray, weights: np.ndarray, most: float = MOST_REPEATS) -> np.ndarray:
@@ -105,6 +106,8 @@ def places(sizes: DataFrame, seed: int = SEED, shards: int = SHARDS, blocks_per_
     ``shards`` is a power of two.  The plan of the sources is one row each, made in one small task; documents never are.
     """
     chunks = max(1, math.ceil(sizes.count() / CHUNK_DOCS))
+    before = lambda order, *keys: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = lambda size, over: F.coalesce(F.sum(size).over(over), F.lit(0))
     rows = sizes.select(
         "*",
         F.coalesce("source", F.lit("")).alias("src"),
@@ -113,12 +116,14 @@ def places(sizes: DataFrame, seed: int = SEED, shards: int = SHARDS, blocks_per_
     ).withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(chunks)))
     by_source = ["no_source", "src"]
     totals = rows.groupBy(*by_source, "chunk").agg(F.sum("size").alias("chunk_size"))
-    plan = totals.groupBy(*by_source).agg(F.sum("chunk_size").alias("source_size")).groupBy().applyInPandas(_plan_sources(seed, shards, blocks_per_source), PLAN)
-    before = Window.partitionBy(*by_source).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.withColumn("chunk_start", F.coalesce(F.sum("chunk_size").over(before), F.lit(0)))
-    starts = starts.drop("chunk_size").join(plan, by_source)
-    inside = Window.partitionBy(*by_source, "chunk").orderBy("key", "doc_id", "size", *(c for c in sizes.columns if c not in ("doc_id", "source", "size"))).rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, [*by_source, "chunk"])
+    totals = totals.withColumn("run", F.expr(f"chunk div {RUN_CHUNKS}"))
+    runs = totals.groupBy(*by_source, "run").agg(F.sum("chunk_size").alias("run_size"))
+    plan = runs.groupBy(*by_source).agg(F.sum("run_size").alias("source_size")).groupBy().applyInPandas(_plan_sources(seed, shards, blocks_per_source), PLAN)
+    run_starts = runs.select(*by_source, "run", ahead("run_size", before(["run"], *by_source)).alias("run_start")).join(plan, by_source)
+    starts = totals.withColumn("in_run", ahead("chunk_size", before(["chunk"], *by_source, "run"))).drop("chunk_size").join(run_starts, [*by_source, "run"])
+    starts = starts.withColumn("chunk_start", F.col("run_start") + F.col("in_run")).drop("run", "run_start", "in_run")
+    inside = before(["key", "doc_id", "size", *(c for c in sizes.columns if c not in ("doc_id", "source", "size"))], *by_source, "chunk")
+    placed = rows.withColumn("ahead", ahead("size", inside)).join(starts, [*by_source, "chunk"])
     placed = placed.withColumn("start", F.col("chunk_start") + F.col("ahead"))
     return placed.withColumn("first_block", F.expr("((start + 1) * n_blocks - 1) div greatest(source_size, 1)")).withColumn(
         "last_block", F.expr("((start + size) * n_blocks - 1) div greatest(source_size, 1)")
@@ -210,7 +215,7 @@ def _cut(listed: DataFrame, docs: DataFrame) -> DataFrame:
                     columns[i] = pa.array([x if w else y for x, y, w in zip(columns[i].to_pylist(), own, whole.tolist())], columns[i].type)
                 yield pa.RecordBatch.from_arrays(columns + [pa.array([p[c] for p in parts], pa.int64()) for c in keys], names=schema.names)
 
-    return listed.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)), "__pieces").mapInArrow(run, schema)
+    return listed.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)), "__pieces").mapInArrow(tidied(run), schema)
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
