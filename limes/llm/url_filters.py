@@ -4,12 +4,13 @@ An entry says that from ``since`` on a domain is to be blocked, allowed or no lo
 close each other's interval, so at any time a domain has at most one active entry.  A capture is judged by the active entry of the
 longest listed suffix of its host.
 
-Distinct hosts are looked up first: each host's suffixes are hash-joined with the list, giving one row a host with the
-intervals that can apply.  Captures then meet that row by host, and the as-of test is an array filter, so a host with a third of
-all captures costs one row on the list's side and its captures may be split at will.  Only DataFrame functions are used.
+Distinct hosts are looked up first: each host's suffixes are hash-joined with the list, giving one row a listed host with the
+intervals that can apply.  That table is written, so Spark knows its size: below ``spark.sql.autoBroadcastJoinThreshold`` captures meet it
+where they are, beyond it by host and one of ``SALTS`` parts of captures, so that a host with a third of all captures is spread.  The as-of
+test is an array filter.  Only DataFrame functions are used.
 
 Defined results: a null or malformed URL has a null host and is kept with ``verdict`` 'unlisted'; a null fetch time matches no
-entry; entries of one domain at one time: the last action by code point holds; repeated captures repeat; empty tables give all
+entry; a null capture id is kept; entries of one domain at one time: the last action by code point holds; repeated captures repeat; empty tables give all
 captures unlisted or an empty table; extra columns are not read.
 """
 
@@ -19,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from limes.llm.common import table
+from limes.llm.common import table, written
 
+SALTS = 32
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 #: Production list: (domain, since, action). 'drop' takes the domain off the list.
 LIST: list[tuple[str, str, str]] = [
@@ -61,10 +63,12 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     keyed = seen.select("host").filter("host IS NOT NULL").distinct().select("host", F.explode(suffixes).alias("domain"))
     entry = F.struct(F.length("domain").alias("n"), "domain", "action", "since", "until")
     per_host = keyed.join(intervals(entries), "domain").groupBy("host").agg(F.collect_list(entry).alias("entries"))
+    per_host = written(per_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "listed-hosts")
+    seen = seen.withColumn("salt", F.pmod(F.xxhash64("capture_id", "fetched"), F.lit(SALTS)).cast("int"))
     active = F.filter("entries", lambda e: (e["since"] <= F.col("fetched")) & (e["until"].isNull() | (F.col("fetched") < e["until"])))
     best = F.try_element_at(F.sort_array(active, asc=False), F.lit(1))
     return (
-        seen.join(per_host, "host", "left")
+        seen.join(per_host, ["host", "salt"], "left")
         .withColumn("best", best)
         .select(
             "capture_id",
