@@ -1,20 +1,24 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
-Patterns give the base spans.  The field then labels every token that holds a digit, ``@`` or ``+`` (the nodes; all other tokens
-are fixed to "none", which splits the chain exactly) as none, email, ip, card or phone.  Nodes next to each other share a chain
+Patterns give the base spans.  The field then labels the nodes, which are tokens that hold a digit, ``@``, ``+`` or a bracketed "at" or
+"dot", and the words around a written-out "at" or "dot", as none, email, ip, card or phone; all other tokens are fixed to "none", which
+splits the chain exactly.  Nodes next to each other share a chain
 potential; nodes of one document whose tokens repeat each other (same digits, or same letters but for case and punctuation) share
 a skip potential, each with the next one of its kind and with the kind's first one in a base span (else its first one), however far
 apart, so evidence reaches every repeat in one step.  Loopy message passing in log space runs over all documents of a batch at
 once, in each until its messages settle.  Nodes in base spans are fixed to their label, so the field only adds spans: where a token looks
 like personal data, or repeats some, in a form that the patterns do not match.
 
-Weights are fitted by pseudo-likelihood on at most ``TRAIN_DOCS`` documents with nodes (the first by a hash of their id; the
-only bounded sample here), labelled by the patterns, whose own feature is hidden from the fit.
+Weights are fitted by pseudo-likelihood on at most ``TRAIN_DOCS`` documents with nodes (the first by a hash of their id) of at most
+``TRAIN_CHARS`` characters; these two parameters bound the only sample here.  Labels come from the patterns, whose own feature is hidden
+from the fit, and from disguise: each pattern match of the sample is also written in forms that no pattern matches ("ann [at] mail
+dot com", "10[.]0[.]0[.]1", "4111/1111/1111/1111", "001/555/555/1234"), under the label that it had.
 
 All pattern searches take linear time in the text.  Offsets are code points, ends exclusive.
 
-Defined results: null and empty texts have no spans; repeated rows are judged alike; matches that fail a test are dropped, not
-retried; an empty table gives an empty table; without any node to fit on only base spans are given; extra columns are not read.
+Defined results: null and empty texts have no spans; null ids are kept; repeated rows are judged alike; matches that fail a test are
+dropped, not retried; of labels with equal chances the first is taken; a text must fit a Python worker some thirty times; an empty table gives an
+empty table; without any node to fit on only base spans are given; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.arrow_text import Block, blocks
+from limes.llm.arrow_text import Block, blocks, tidied
 from limes.llm.common import first_by_hash, table, texts
 
 KINDS = ["email", "ip", "card", "phone"]
-TRAIN_DOCS, STEPS, RATE, SURE = 2_000, 600, 4.0, 0.95
+TRAIN_DOCS, TRAIN_CHARS, STEPS, RATE, SURE = 2_000, 50_000, 600, 4.0, 0.9
 #: messages are settled if no score changes by more; after as many rounds, and four more for each node of the longest run, the step
 #: halves, so that messages that swing settle too
 SETTLED, PATIENCE = 1e-4, 100
@@ -43,6 +47,12 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SPECIAL = np.zeros(256, dtype=bool)
 _SPECIAL[list(b"0123456789@+")] = True
+_BRACKET = np.zeros(256, dtype=bool)
+_BRACKET[list(b"([{<")] = True
+_WRITTEN = re.compile(r"[(\[{<](?:at|dot|\.)[)\]}>]", re.I)
+_JOINERS = frozenset(["at", "dot", *(f"{a}{w}{b}" for w in ("at", "dot") for a, b in ("()", "[]", "{}", "<>"))])
+# Words that stand before personal data, by kind.
+_CUES = [frozenset(x.split()) for x in ("mail email e-mail contact write", "ip host server address", "card visa pay credit", "call phone tel telephone mobile fax")]
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -84,7 +94,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-N_FEATURES = 24
+N_FEATURES = 34
 
 
 def _digits(token: str) -> int:
@@ -117,17 +127,51 @@ def _shape(token: str) -> tuple[list[int], str]:
     on.append(16 if letters == 0 else 17 if letters < len(digits) else 18)
     if re.fullmatch(r"\(?[0-9]{2,4}\)?|[0-9]{2,4}-[0-9]{2,4}[.,;]?", token):
         on.append(19)
-    key = digits if len(digits) >= 7 and letters == 0 else "".join(c for c in token.lower() if c.isalnum() or c == "@")
+    if _WRITTEN.search(token):
+        on.append(20)
+    if token.lower() in _JOINERS:
+        on.append(21)
+    elif letters and re.fullmatch(r"[A-Za-z0-9._%+-]+", token):
+        on.append(22)
+    if re.search(r"[A-Za-z0-9](?:\.|[(\[{<]dot[)\]}>])[A-Za-z]{2,}\W*$", token):
+        on.append(23)
+    if len(groups) == 4 and all(len(g) == 4 for g in groups):
+        on.append(24)
+    if digits and not letters and "/" in token:
+        on.append(25)
+    if token.startswith("00") and len(digits) >= 8:
+        on.append(26)
+    plain = token.lower().replace("(at)", "@").replace("[at]", "@").replace("{at}", "@").replace("<at>", "@") if 20 in on else token.lower()
+    key = digits if len(digits) >= 7 and letters == 0 else "".join(c for c in plain if c.isalnum() or c == "@")
     return on, key
 
 
+def _words(block: Block, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which words are nodes."""
+    data = block.data
+    special, bracket = (np.concatenate([[0], np.cumsum(t[data])]) for t in (_SPECIAL, _BRACKET))
+    node = special[ends] > special[starts]
+    spoken = lambda word: np.flatnonzero((ends - starts == len(word)) & np.logical_and.reduce([data[np.minimum(starts + i, len(data) - 1)] | 32 == c for i, c in enumerate(word)]))
+    own = np.searchsorted(first, np.arange(len(starts)), side="right")
+    near = lambda i, k: 0 <= i + k < len(own) and own[i + k] == own[i]
+    token = lambda i: data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace").lower()
+    for i in np.flatnonzero(bracket[ends] > bracket[starts]).tolist():
+        if _WRITTEN.search(t := token(i)):
+            around = (-1, 0, 1) if t in _JOINERS else (0,)
+            node[[i + k for k in around if near(i, k)]] = True
+    for i in spoken(b"dot").tolist():  # name at host dot name
+        joined = [k for k in range(-6, 0, 2) if all(near(i, j) for j in (k, k - 1)) and token(i + k) == "at"]
+        if joined:
+            node[[i + k for k in range(max(joined) - 1, 2) if near(i, k)]] = True
+    return node
+
+
 class Nodes:
     """All nodes of a block: code-point spans, features, base labels (-1: none known), and edges."""
 
     def __init__(self, block: Block):
         starts, ends, first = block.words()
-        special = np.concatenate([[0], np.cumsum(_SPECIAL[block.data])])
-        hit = np.flatnonzero(special[ends] > special[starts])
+        hit = np.flatnonzero(_words(block, starts, ends, first))
         points = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
         own = np.searchsorted(first, hit, side="right") - 1
         self.doc, self.n = own, len(hit)
@@ -139,6 +183,7 @@ class Nodes:
         self.text = {int(d): raw[block.offs[d] : block.offs[d + 1]].decode("utf-8", "replace") for d in self.docs}
         self.spans = {d: base_spans(t) for d, t in self.text.items()}
         self.x = np.zeros((self.n, N_FEATURES))
+        word = lambda i: raw[starts[i] : ends[i]].decode("utf-8", "replace").lower().strip(".,:;()")
         chain_i = np.flatnonzero((np.diff(hit) == 1) & (np.diff(own) == 0)) if self.n > 1 else np.zeros(0, dtype=np.int64)
         kinds: dict[tuple[int, str], list[int]] = {}
         for i, token in enumerate(tokens):
@@ -146,6 +191,13 @@ class Nodes:
             self.x[i, on] = 1
             if len(key) >= 5:
                 kinds.setdefault((int(own[i]), key), []).append(i)
+            if hit[i] > first[own[i]]:
+                before = word(hit[i] - 1)
+                for kind, cues in enumerate(_CUES):
+                    self.x[i, 29 + kind] = before in cues
+        self.joiner = self.x[:, 21] > 0
+        self.x[chain_i + 1, 27] = self.joiner[chain_i]
+        self.x[chain_i, 28] = self.joiner[chain_i + 1]
         self.tokens = tokens
         self.chain = np.stack([chain_i, chain_i + 1], axis=1)
         self.label = np.full(self.n, -1, dtype=np.int64)
@@ -163,6 +215,52 @@ class Nodes:
         self.skip = np.array(sorted(skip), dtype=np.int64).reshape(-1, 2)
 
 
+    def told(self, regions: dict[int, list[tuple[int, int, int]]]) -> Nodes:
+        """The same nodes, those in ``regions`` (kind, start, end by document) labelled for the fit."""
+        bounds = np.searchsorted(self.doc, np.arange(max(regions, default=0) + 2))
+        for d, spans in regions.items():
+            lo, hi = bounds[d], bounds[d + 1]
+            for kind, a, b in spans:
+                self.label[lo:hi][(self.start[lo:hi] < b) & (self.end[lo:hi] > a)] = kind + 1
+        return self
+
+
+def disguised(kind: int, found: str, form: int) -> str:
+    """A pattern match, written so that no pattern matches it."""
+    if kind == 0:
+        name, host = found.split("@", 1)
+        return (f"{name}(at){host}", f"{name} [at] {host}", f"{name} at {host.replace('.', ' dot ')}", f"{name}[at]{host.replace('.', '[dot]')}", f"{name} (at) {host.replace('.', ' (dot) ')}")[form % 5]
+    if kind == 1:
+        return found.replace(".", ("[.]", "(.)", "[dot]")[form % 3])
+    groups = re.findall("[0-9]+", found)
+    if kind == 2:
+        digits = "".join(groups)
+        return "/._"[form % 3].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    return (f"00{'/'.join(groups)}", f"+{'/'.join(groups)}", f"00{groups[0]}-{'-'.join(groups[1:])}" if len(groups) > 1 else f"00{groups[0]}")[form % 3]
+
+
+def disguises(texts_: list[str]) -> tuple[list[str], dict[int, list[tuple[int, int, int]]]]:
+    """Texts that have matches, with all of them disguised, and where these stand."""
+    out, regions, form = [], {}, 0
+    for text in texts_:
+        spans = sorted((a, b, k) for k, a, b in base_spans(text))
+        if not spans:
+            continue
+        pieces, done, size, own = [], 0, 0, []
+        for a, b, kind in spans:
+            if a < done:
+                continue
+            new = disguised(kind, text[a:b], form)
+            form += 1
+            pieces += [text[done:a], new]
+            size += a - done
+            own.append((kind, size, size + len(new)))
+            size, done = size + len(new), b
+        regions[len(out)] = own
+        out.append("".join(pieces) + text[done:])
+    return out, regions
+
+
 class Field:
     """Weights: features by label, chain and skip potentials by pair of labels."""
 
@@ -267,12 +365,16 @@ def all_spans(nodes: Nodes, fitted: Field | None, sure: float = SURE) -> dict[in
             continue
         run = [i]
         # a number may be written in several tokens, but two whole card numbers side by side are two
+        while best[i] == 1 and (j := following.get(run[-1])) in wanted and best[j] == 1 and (nodes.joiner[j] or nodes.joiner[run[-1]]):
+            run.append(j)
         while best[i] >= 3 and (j := following.get(run[-1])) in wanted and best[j] == best[i] and sum(map(_digits, nodes.tokens[i : j + 1])) <= 19:
             run.append(j)
         taken.update(run)
         d, kind = int(nodes.doc[i]), int(best[i]) - 1
         text = nodes.text[d]
         a, b = int(nodes.start[run[0]]), int(nodes.end[run[-1]])
+        if nodes.joiner[run].all():
+            continue  # the word alone is nothing
         while a < b and not (text[a].isalnum() or text[a] == "+"):
             a += 1
         while a < b and not text[b - 1].isalnum():
@@ -288,9 +390,17 @@ def told(spans: list[tuple[int, int, int]]) -> str:
 
 def train(docs: DataFrame, most_docs: int = TRAIN_DOCS) -> Field | None:
     """Fit on at most ``most_docs`` documents that hold a digit or ``@``."""
-    some = texts(docs).filter(F.expr("text rlike '[0-9@]' AND length(text) < 50000"))
+    some = texts(docs).filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= TRAIN_CHARS))
     rows = first_by_hash(some, most_docs, "doc_id", "text", of=docs.count(), spare=20).select("text").toArrow()
-    return fit([Nodes(b) for _, _, b in blocks(rows.column(0))]) if rows.num_rows else None
+    return fit(training_nodes(rows.column(0).combine_chunks())) if rows.num_rows else None
+
+
+def training_nodes(column: pa.Array) -> list[Nodes]:
+    hidden, regions = disguises(column.to_pylist())
+    nodes = [Nodes(b) for _, _, b in blocks(column)]
+    for lo, hi, block in blocks(pa.array(hidden, pa.string())):
+        nodes.append(Nodes(block).told({d - lo: s for d, s in regions.items() if lo <= d < hi}))
+    return nodes
 
 
 FOUND = "doc_id long, base array<struct<kind:string,start:long,end:long>>, spans array<struct<kind:string,start:long,end:long>>"
@@ -313,7 +423,7 @@ def found(docs: DataFrame, fitted: Field | None) -> DataFrame:
                 more = [_structs(spans.get(i, [])) for i in range(block.n)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(base, _SPANS), pa.array(more, _SPANS)], ["doc_id", "base", "spans"])
 
-    return texts(docs).mapInArrow(run, FOUND)
+    return texts(docs).mapInArrow(tidied(run), FOUND)
 
 
 def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -349,7 +459,7 @@ def redacted(docs: DataFrame, fitted: Field | None) -> DataFrame:
                         piece = piece.set_column(chars, piece.schema.field(chars), pa.array(count, piece.schema.field(chars).type))
                 yield piece
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def op7_pii(spark, sf_dir: str) -> DataFrame:
