@@ -5,11 +5,13 @@ Two texts are the same license if they agree after: lower case; copyright notice
 equivalent spellings unified; every run of ASCII punctuation, control characters and white space made one space.  The whole text of a document
 is looked up, and each of its lines that speaks of a license is looked up as a notice.
 
-Only DataFrame functions are used.  The table of known digests has one row for each entry below, whatever the corpus, which is the
-bound for its broadcast.  Documents are never shuffled.
+Only DataFrame functions are used.  Known texts are a table, of any size: ``digests`` makes its digests, and ``scan`` joins them by hash.  Spark
+broadcasts them where they are below ``spark.sql.autoBroadcastJoinThreshold``, and then documents are not shuffled; the query's own table has
+one row for each entry below, whatever the corpus.
 
-Defined results: null and empty texts have the digest of the empty string and no license; repeated rows repeat; ties cannot
-occur, since known digests are distinct; an empty table gives an empty table; extra columns are not read.
+Defined results: null and empty texts have the digest of the empty string and no license; null ids are kept; repeated rows repeat; of several known
+texts with one digest the first license id holds; a text needs some ten times its size in a task; an empty table gives an empty table;
+extra columns are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import table, texts
+from limes.llm.common import table, texts, written
 
 # Well-known license texts and notices (SPDX id, kind, text).
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -35,7 +37,28 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org>"""
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+GNU_HEADER = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.
+You should have received a copy of the GNU {name} along with this program. If not, see <https://www.gnu.org/licenses/>."""
 KNOWN: list[tuple[str, str, str]] = [
+    ("Unlicense", "text", UNLICENSE),
+    ("BSL-1.0", "text", BOOST),
+    ("Apache-2.0", "text", APACHE_HEADER),
+    ("GPL-3.0-or-later", "text", GNU_HEADER.format(name="General Public License")),
+    ("LGPL-3.0-or-later", "text", GNU_HEADER.format(name="Lesser General Public License")),
+    ("AGPL-3.0-or-later", "text", GNU_HEADER.format(name="Affero General Public License")),
     ("MIT", "text", MIT),
     ("MIT", "text", "MIT License\n" + MIT),
     ("MIT", "text", "The MIT License\n" + MIT),
@@ -80,10 +103,14 @@ def canonical(text: Column) -> Column:
     return out
 
 
+def digests(known: DataFrame) -> DataFrame:
+    """``digest, kind, license_id`` of ``license_id, kind ('text' or 'notice'), text``, canonicalised by the same expression as documents."""
+    return known.select("license_id", "kind", F.sha2(canonical(F.col("text")), 256).alias("digest")).groupBy("digest", "kind").agg(F.min("license_id").alias("license_id"))
+
+
 def known_digests(spark, known: list[tuple[str, str, str]] = KNOWN) -> DataFrame:
-    """``digest, license_id, kind``: one row for each known text; canonicalised by the same expression as documents."""
-    rows = spark.createDataFrame(known, "license_id string, kind string, text string")
-    return rows.select("license_id", "kind", F.sha2(canonical(F.col("text")), 256).alias("digest")).groupBy("digest", "kind").agg(F.min("license_id").alias("license_id"))
+    """Digests of the entries above; written, so that Spark knows how small they are."""
+    return written(digests(spark.createDataFrame(known, "license_id string, kind string, text string")), "license-digests")
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -96,7 +123,7 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).cast("long").alias("line_no"), F.col("text").alias("part")))
     items = texts(docs).select("doc_id", F.explode(F.concat(whole, lines)).alias("item"))
     hashed = items.select("doc_id", "item.line_no", F.when(F.col("item.line_no") == 0, "text").otherwise("notice").alias("kind"), F.sha2(canonical(F.col("item.part")), 256).alias("digest"))
-    return hashed.join(F.broadcast(known), ["digest", "kind"], "left").filter("line_no = 0 OR license_id IS NOT NULL").select("doc_id", "line_no", "kind", "digest", "license_id")
+    return hashed.join(known, ["digest", "kind"], "left").filter("line_no = 0 OR license_id IS NOT NULL").select("doc_id", "line_no", "kind", "digest", "license_id")
 
 
 def op6_licenses(spark, sf_dir: str) -> DataFrame:
