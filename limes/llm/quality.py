@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.arrow_text import SPACE, U64, Block, blocks, mix
+from limes.llm.arrow_text import SPACE, U64, Block, blocks, mix, tidied
 from limes.llm.common import first_by_hash, table, texts
 
 TRAIN_ROWS, TREES, DEPTH, RATE, BINS, L2, REJECT_AT = 20_000, 60, 3, 0.15, 32, 1.0, 0.8
@@ -205,7 +205,7 @@ def counted(docs: DataFrame) -> DataFrame:
                 rows = statistics(block)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], *(pa.array(c) for c in rows.T)], ["doc_id", *COUNTS])
 
-    return texts(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return texts(docs).mapInArrow(tidied(run), "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> Trees | None:
@@ -235,7 +235,7 @@ def judged(docs: DataFrame, trees: Trees | None) -> DataFrame:
                 failed, p, kept = verdict(rows, trees)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], *(pa.array(c) for c in rows.T), pa.array(failed), pa.array(p), pa.array(kept)], ["doc_id", *COUNTS, "base_failed", "p_bad", "kept"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, p_bad double, kept boolean")
+    return texts(docs).mapInArrow(tidied(run), "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, p_bad double, kept boolean")
 
 
 def kept_documents(docs: DataFrame, trees: Trees | None) -> DataFrame:
@@ -249,7 +249,7 @@ def kept_documents(docs: DataFrame, trees: Trees | None) -> DataFrame:
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def op9_quality(spark, sf_dir: str) -> DataFrame:
