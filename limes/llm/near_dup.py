@@ -238,18 +238,18 @@ def _close(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _stars(banded: DataFrame) -> DataFrame:
-    """``band, key, part, big, rep, b``: members of shared buckets, each with the member it is tried with (null for the bucket's centre).
+    """``band, key, part, parts, rep, b``: members of shared buckets, each with the member it is tried with (null for the bucket's centre).
 
-    Members of a big bucket stay in their parts in all later steps, small buckets are one part.
+    For all later steps a bucket falls into as many parts as ``BIG`` members each ask for.
     """
     parted = banded.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
     whole = Window.partitionBy("key")  # at most SALTS rows
     local = parted.groupBy("key", "part").agg(F.min("rep").alias("local"), F.count("*").alias("n"))
     local = local.select("key", "part", "local", F.min("local").over(whole).alias("centre"), F.sum("n").over(whole).alias("n")).filter("n > 1")
     shared = parted.join(local, ["key", "part"])
-    big = F.col("n") > BIG
-    nearest = F.when(~big | (F.col("rep") == F.col("local")), F.col("centre")).otherwise(F.col("local"))
-    return shared.select("band", "key", F.when(big, F.col("part")).otherwise(0).alias("part"), big.alias("big"), "rep", F.when(F.col("rep") != nearest, nearest).alias("b"))
+    parts = F.ceil(F.col("n") / BIG).cast("int")
+    nearest = F.when((parts == 1) | (F.col("rep") == F.col("local")), F.col("centre")).otherwise(F.col("local"))
+    return shared.select("band", "key", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), parts.alias("parts"), "rep", F.when(F.col("rep") != nearest, nearest).alias("b"))
 
 
 def classes(docs: DataFrame, rule: Rule = DIGESTS) -> DataFrame:
@@ -288,11 +288,11 @@ OPEN_ROUNDS = ((3, True),)
 
 def _crossing(shared: DataFrame, rooted: DataFrame, sketches: DataFrame, closest: bool, rule: Rule) -> DataFrame:
     """Pairs that share a bucket, are in different components and may be similar: what is still open."""
-    placed = shared.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("key", "part", "big", "rep", F.coalesce("root", "rep").alias("root"))
-    sizes = placed.groupBy("key", "root", "big").agg(F.count("*").alias("n"))
-    homes = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("home"), F.count("*").alias("roots"), F.any_value("big").alias("big")).filter("roots > 1").select("key", "home", "big")
-    every_part = F.explode(F.sequence(F.lit(0), F.when(F.col("big"), F.lit(SALTS - 1)).otherwise(0))).alias("part")
-    inside = written(placed.join(homes.select("key", "home", every_part), ["key", "part"]), "open")
+    placed = shared.join(rooted.select(F.col("v").alias("rep"), "root"), "rep", "left").select("key", "part", "parts", "rep", F.coalesce("root", "rep").alias("root"))
+    sizes = placed.groupBy("key", "root", "parts").agg(F.count("*").alias("n"))
+    homes = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("home"), F.count("*").alias("roots"), F.any_value("parts").alias("parts")).filter("roots > 1").select("key", "home", "parts")
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    inside = written(placed.drop("parts").join(homes.select("key", "home", "parts", every_part), ["key", "part"]), "open")
     inside = inside.join(sketches, "rep")
     side = lambda rows, x, *more: rows.select("key", *more, *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", *SKETCH)))
     guests = inside.filter("root <> home").select(every_part, "key", "rep", "root", *SKETCH)
