@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # Labels of the common levels.
-LEVEL_LABELS = {2: "country", 4: "region", 6: "district", 8: "municipality", 10: "suburb"}
+LEVEL_LABELS = {
+    2: "admin_country",
+    3: "admin_region",
+    4: "admin_region",
+    5: "admin_district",
+    6: "admin_municipality",
+    7: "admin_locality",
+    8: "admin_locality",
+    9: "admin_locality",
+    10: "admin_detail",
+}
 
 
 def trimmed(value: Column) -> Column:
@@ -45,8 +55,10 @@ def runtime_id(feature_id: Column, iso: Column | str) -> Column:
     return F.when(F.startswith(feature_id, F.concat(iso, F.lit("_"))), F.substring(feature_id, F.length(iso) + 2, F.length(feature_id))).otherwise(feature_id)
 
 
-def feature_id(relation: Column, prefix: str | None = None) -> Column:
-    return F.concat(F.lit(f"{(prefix or 'adm').lower()}_r"), relation.cast("string"))
+def feature_id(relation: Column, country: Column | str | None = None) -> Column:
+    """``<country>_r<relation>`` in lower case; ``adm`` stands for a country that is not known."""
+    code = F.lit(country) if country is None or isinstance(country, str) else country
+    return F.concat(F.lower(F.coalesce(F.nullif(code.cast("string"), F.lit("")), F.lit("adm"))), F.lit("_r"), relation.cast("string"))
 
 
 def node_label(name: Column, level: Column, node_id: Column) -> Column:
@@ -83,16 +95,14 @@ def alias_names(tags: Column, languages: list[str], extra: list[tuple[str, str]]
 
 
 def alias_counts(relations: DataFrame, keys: Column) -> DataFrame:
-    """``lang, n``: how often each two-letter or dashed ``name:`` language occurs."""
-    lang = F.lower(F.regexp_extract("k", r"^name:([A-Za-z]{2}(?:-[A-Za-z0-9-]+)?)$", 1))
+    """``lang, n``: how often each ``name:`` language of two characters or with a dash occurs, in lower case."""
+    lang = F.lower(F.regexp_extract("k", r"(?s)^name:(..|.*-.*)$", 1))
     return relations.select(F.explode(keys).alias("k")).select(lang.alias("lang")).filter("lang <> ''").groupBy("lang").agg(F.count("*").alias("n"))
 
 
 def alias_policy(counts: DataFrame, least_share: float = 0.1, most: int = 5) -> DataFrame:
-    """Languages at ``least_share`` of the most frequent one at least, the ``most`` first by count and name.
-
-    ``counts`` has a row for each language, so its windows are small whatever the corpus.
-    """
-    shared = counts.withColumn("top", F.max("n").over(Window.partitionBy())).filter(F.col("n") >= least_share * F.col("top"))
-    ranked = shared.withColumn("rank", F.row_number().over(Window.partitionBy().orderBy(F.desc("n"), "lang")))
-    return ranked.filter(F.col("rank") <= most).select("lang", "n", "rank")
+    """Languages at ``least_share`` of the most frequent one at least, the ``most`` first by count and name, with their rank."""
+    top = counts.agg(F.max("n").alias("top"))  # one row
+    first = counts.withColumn("__one", F.lit(1)).join(F.broadcast(top.withColumn("__one", F.lit(1))), "__one")
+    first = first.filter(F.col("n") >= least_share * F.col("top")).select("lang", "n").orderBy(F.desc("n"), "lang").limit(most)
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy().orderBy(F.desc("n"), "lang")))  # over ``most`` rows

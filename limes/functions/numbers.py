@@ -27,12 +27,6 @@ def path_signature(path: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", path), 256)
 
 
-def level_subsets(levels: Column) -> Column:
-    """All non-empty subsets of an array of at most ten levels."""
-    masks = F.sequence(F.lit(1), F.expr("CAST(pow(2, size({0})) AS INT) - 1".format("levels")))
-    return F.transform(masks, lambda m: F.filter(levels, lambda _, i: F.shiftright(m, 0).bitwiseAND(F.pow(F.lit(2), i).cast("int")) > 0))
-
-
 def unwrap_longitude(lon: Column) -> Column:
     return F.when(lon < 0, lon + 360).otherwise(lon)
 
@@ -43,11 +37,18 @@ def wrap_longitude(lon: Column) -> Column:
 
 def canonical_digest(*columns: str) -> Column:
     """SHA-256 of the columns as JSON with sorted keys, nulls written out."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+    return F.sha2(canonical_json(*columns), 256)
+
+
+def canonical_json(*columns: str) -> Column:
+    """The columns as JSON with sorted keys, nulls written out."""
+    return F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
+
 
+def list_digest(rows: DataFrame, group: str, line: Column, name: str, stamp: str | None = None, form: tuple[str, str, str] = ("", "\n", "")) -> DataFrame:
+    """SHA-256 of each group's lines, sorted and joined; with ``stamp`` also its ``latest`` and ``n_files``.
 
-def list_digest(rows: DataFrame, group: str, line: Column, name: str, stamp: str | None = None) -> DataFrame:
-    """SHA-256 of each group's lines, sorted and joined by newlines; with ``stamp`` also its ``latest`` and ``n_files``.
+    ``form`` is what stands before, between and after lines: newlines, or ``("[", ",", "]")`` for a list in JSON.
 
     The lines are sorted on disk and stream through the digest, so no list is held, however long it is.  One list is one task's, since the
     digest of a whole is not made of digests of its parts.
@@ -67,8 +68,8 @@ def list_digest(rows: DataFrame, group: str, line: Column, name: str, stamp: str
                 if now is None or now[0] != keys[lo]:
                     if now:
                         yield done(now, batch.schema)
-                    now = [keys[lo], hashlib.sha256(), None, 0]
-                now[1].update((b"\n" if now[3] else b"") + "\n".join(lines[lo:hi]).encode())
+                    now = [keys[lo], hashlib.sha256(form[0].encode()), None, 0]
+                now[1].update(((form[1] if now[3] else "") + form[1].join(lines[lo:hi])).encode())
                 now[3] += hi - lo
                 if stamp:
                     now[2] = max((x for x in (now[2], *batch.column(2)[lo:hi].to_pylist()) if x is not None), default=None)
@@ -77,6 +78,7 @@ def list_digest(rows: DataFrame, group: str, line: Column, name: str, stamp: str
             yield done(now, schema)
 
     def done(now: list, schema: pa.Schema) -> pa.RecordBatch:
+        now[1].update(form[2].encode())
         values = [pa.array([now[0]], schema.field(0).type), pa.array([now[1].hexdigest()])]
         if stamp:
             values += [pa.array([now[2]], schema.field(2).type), pa.array([now[3]], pa.int64())]

@@ -1,9 +1,9 @@
-"""Polygons as tables of edges: ``feature_id, level, ring, role, seq, x1, y1, x2, y2``.
+"""Polygons as tables of edges: ``feature_id, level, ring, role, seq, x1, y1, x2, y2``, and ``part`` where features have several.
 
 Points meet polygons through a grid.  A feature's cells are its border cells, which an edge touches, and the interior cells between
 its crossings of a band's middle line.  A point in an interior cell is inside; a point in a border cell counts the
 crossings to its right among the edges of its own row band.  Joins are on cells, so no point is paired with a polygon
-that is not near it.
+that is not near it.  Cells that very many points fall into are skewed join keys, which adaptive execution splits on the points' side.
 """
 
 from __future__ import annotations
@@ -12,44 +12,70 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from limes.operators.rings import split_at_antimeridian as cut_features
 
-def bands(edges: DataFrame, cell: float) -> DataFrame:
-    """Each edge in every row band that its height meets."""
-    low, high = F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell)
-    return edges.withColumn("band", F.explode(F.sequence(low, high)))
+#: side of a grid's cells: one for all levels, or one for each
+Sides = float | dict[int, float]
 
 
-def cover(edges: DataFrame, cell: float) -> DataFrame:
-    """``feature_id, band, col, border``: the cells of every feature."""
-    banded = bands(edges, cell).withColumn("lo", F.greatest(F.least("y1", "y2"), F.col("band") * cell)).withColumn("hi", F.least(F.greatest("y1", "y2"), (F.col("band") + 1) * cell))
-    at = lambda y: F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0)))
+def _side(cell: Sides) -> Column:
+    if not isinstance(cell, dict):
+        return F.lit(float(cell))
+    return F.try_element_at(F.create_map(*(F.lit(x) for k, v in cell.items() for x in (k, float(v)))), F.col("level"))
+
+
+def bands(edges: DataFrame, cell: Sides) -> DataFrame:
+    """Each edge in every row band that its height meets, with the ``side`` of its level's cells."""
+    sided = edges.withColumn("side", _side(cell))
+    low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
+    return sided.withColumn("band", F.explode(F.sequence(low, high)))
+
+
+def _x_at(y: Column) -> Column:
+    return F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0)))
+
+
+def along(banded: DataFrame) -> DataFrame:
+    """Edges of ``bands`` in every cell that they pass, so a long edge has cells along its line, not in all its box."""
+    side = F.col("side")
+    low, high = F.greatest(F.least("y1", "y2"), F.col("band") * side), F.least(F.greatest("y1", "y2"), (F.col("band") + 1) * side)
     flat = F.col("y1") == F.col("y2")
-    left = F.when(flat, F.least("x1", "x2")).otherwise(F.least(at(F.col("lo")), at(F.col("hi"))))
-    right = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(at(F.col("lo")), at(F.col("hi"))))
-    border = banded.select("feature_id", "band", F.explode(F.sequence(F.floor(left / cell - 1e-9), F.floor(right / cell + 1e-9))).alias("col")).distinct().withColumn("border", F.lit(True))
-    middle = (F.col("band") + 0.5) * cell
-    crossing = banded.filter((F.col("y1") > middle) != (F.col("y2") > middle)).select("feature_id", "band", at(middle).alias("x"))
-    order = Window.partitionBy("feature_id", "band").orderBy("x")
+    left = F.when(flat, F.least("x1", "x2")).otherwise(F.least(_x_at(low), _x_at(high)))
+    right = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(_x_at(low), _x_at(high)))
+    return banded.withColumn("col", F.explode(F.sequence(F.floor(left / side - 1e-9), F.floor(right / side + 1e-9))))
+
+
+def cover(edges: DataFrame, cell: Sides) -> DataFrame:
+    """``feature_id, side, band, col, border``: the cells of every feature."""
+    banded = bands(edges, cell)
+    cell_of = ["feature_id", "side", "band", "col"]
+    border = along(banded).select(*cell_of).distinct().withColumn("border", F.lit(True))
+    side = F.col("side")
+    middle = (F.col("band") + 0.5) * side
+    crossing = banded.filter((F.col("y1") > middle) != (F.col("y2") > middle)).select("feature_id", "side", "band", _x_at(middle).alias("x"))
+    order = Window.partitionBy("feature_id", "side", "band").orderBy("x")
     pairs = crossing.withColumn("n", F.row_number().over(order)).withColumn("to", F.lead("x").over(order)).filter("n % 2 = 1 AND to IS NOT NULL")
-    inner = pairs.select("feature_id", "band", (F.floor(F.col("x") / cell) + 1).alias("a"), (F.floor(F.col("to") / cell) - 1).alias("b")).filter("a <= b")
-    inner = inner.select("feature_id", "band", F.explode(F.sequence("a", "b")).alias("col")).distinct()
-    inner = inner.join(border, ["feature_id", "band", "col"], "left_anti").withColumn("border", F.lit(False))
+    inner = pairs.select("feature_id", "side", "band", (F.floor(F.col("x") / side) + 1).alias("a"), (F.floor(F.col("to") / side) - 1).alias("b")).filter("a <= b")
+    inner = inner.select("feature_id", "side", "band", F.explode(F.sequence("a", "b")).alias("col")).distinct()
+    inner = inner.join(border, cell_of, "left_anti").withColumn("border", F.lit(False))
     return border.unionByName(inner)
 
 
-def containing(points: DataFrame, edges: DataFrame, cell: float, mode: str = "even_odd") -> DataFrame:
+def containing(points: DataFrame, edges: DataFrame, cell: Sides, mode: str = "even_odd") -> DataFrame:
     """``pid, feature_id`` of every point ``pid, px, py`` in a polygon.
 
     ``even_odd`` counts crossings, which also serves holes; ``within`` leaves out the border and ``covers`` takes it in.
     """
-    placed = points.withColumn("band", F.floor(F.col("py") / cell)).withColumn("col", F.floor(F.col("px") / cell))
-    near = placed.join(cover(edges, cell), ["band", "col"])
+    grids = sorted({float(v) for v in cell.values()}) if isinstance(cell, dict) else [float(cell)]
+    placed = points.withColumn("side", F.explode(F.array(*(F.lit(g) for g in grids)))) if len(grids) > 1 else points.withColumn("side", F.lit(grids[0]))
+    placed = placed.withColumn("band", F.floor(F.col("py") / F.col("side"))).withColumn("col", F.floor(F.col("px") / F.col("side")))
+    near = placed.join(cover(edges, cell), ["side", "band", "col"])
     sure = near.filter("NOT border").select("pid", "feature_id")
-    tested = near.filter("border").join(bands(edges, cell).select("feature_id", "band", "x1", "y1", "x2", "y2"), ["feature_id", "band"])
+    tested = near.filter("border").join(bands(edges, cell).select("feature_id", "side", "band", "x1", "y1", "x2", "y2"), ["feature_id", "side", "band"])
     side = "(x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)"
     crosses = F.expr(f"(y1 > py) <> (y2 > py) AND CASE WHEN y2 > y1 THEN {side} > 0 ELSE {side} < 0 END")
     touches = F.expr(f"{side} = 0 AND px BETWEEN least(x1, x2) AND greatest(x1, x2) AND py BETWEEN least(y1, y2) AND greatest(y1, y2)")
@@ -58,10 +84,19 @@ def containing(points: DataFrame, edges: DataFrame, cell: float, mode: str = "ev
     return sure.unionByName(counted.filter(keep).select("pid", "feature_id"))
 
 
+def with_part(edges: DataFrame) -> DataFrame:
+    """Edges with a ``part``: 0 where there is no such column."""
+    return edges if "part" in edges.columns else edges.withColumn("part", F.lit(0))
+
+
 def representative_points(edges: DataFrame) -> DataFrame:
-    """``feature_id, px, py``: on the line midway between the vertex heights that bracket mid-height, the middle of the widest inner run."""
+    """``feature_id, px, py``: a point inside each feature.
+
+    It lies on the line midway between the vertex heights that bracket the middle of the largest ring, in the middle of the feature's widest run there.
+    """
+    rings = with_part(edges).groupBy("feature_id", "part", "ring").agg(F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"), ((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2).alias("mid"))
+    box = rings.groupBy("feature_id").agg(F.max_by("mid", F.struct("twice", (-F.col("part")).alias("p"), (-F.col("ring")).alias("r"))).alias("mid"))
     ends = edges.select("feature_id", F.explode(F.array("y1", "y2")).alias("y")).distinct()
-    box = edges.groupBy("feature_id").agg(((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2).alias("mid"))
     around = ends.join(box, "feature_id").groupBy("feature_id").agg(F.max(F.when(F.col("y") <= F.col("mid"), F.col("y"))).alias("a"), F.min(F.when(F.col("y") > F.col("mid"), F.col("y"))).alias("b"))
     line = around.select("feature_id", ((F.col("a") + F.col("b")) / 2).alias("py"))
     cut = edges.join(line, "feature_id").filter("(y1 > py) <> (y2 > py)").withColumn("x", F.expr("x1 + (x2 - x1) * (py - y1) / (y2 - y1)"))
@@ -97,14 +132,20 @@ def loops(points: DataFrame) -> DataFrame:
 
 
 def validity(edges: DataFrame) -> DataFrame:
-    """``feature_id, reason`` for rings with under three corners, no area, repeated corners or crossing edges (first that holds)."""
-    per = edges.groupBy("feature_id", "ring").agg(F.count("*").alias("n"), F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"), F.countDistinct("x1", "y1").alias("corners"))
-    a, b = (edges.select("feature_id", "ring", *(F.col(c).alias(c + s) for c in ("seq", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
+    """``feature_id, reason`` for rings with under three corners, no area, repeated corners or crossing edges (first that holds).
+
+    Edges meet only where they pass one cell of their ring's own grid, which has about as many rows as the root of its number of edges.
+    """
+    box = edges.groupBy("feature_id", "ring").agg(F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("span"), F.count("*").alias("n"), F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"), F.countDistinct("x1", "y1").alias("corners"))
+    side = F.greatest(F.col("span"), F.lit(1e-9)) / F.ceil(F.sqrt(F.col("n")))
+    low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
+    sided = edges.join(box.select("feature_id", "ring", side.alias("side")), ["feature_id", "ring"]).withColumn("band", F.explode(F.sequence(low, high)))
+    a, b = (along(sided).select("feature_id", "ring", "band", "col", *(F.col(c).alias(c + s) for c in ("seq", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
     turn = lambda p, q, r: f"sign((x{q} - x{p}) * (y{r} - y{p}) - (y{q} - y{p}) * (x{r} - x{p}))"
     apart = f"{turn('1a', '2a', '1b')} * {turn('1a', '2a', '2b')} < 0 AND {turn('1b', '2b', '1a')} * {turn('1b', '2b', '2a')} < 0"
-    crossing = a.join(b, ["feature_id", "ring"]).filter(f"seqa < seqb AND {apart}").select("feature_id", "ring").distinct().withColumn("crosses", F.lit(True))
+    crossing = a.join(b, ["feature_id", "ring", "band", "col"]).filter(f"seqa < seqb AND {apart}").select("feature_id", "ring").distinct().withColumn("crosses", F.lit(True))
     reason = F.when(F.col("n") < 3, "too_few_points").when(F.col("corners") < F.col("n"), "repeated_vertex").when(F.col("twice") == 0, "zero_area").when(F.col("crosses"), "self_crossing")
-    return per.join(crossing, ["feature_id", "ring"], "left").select("feature_id", "ring", reason.alias("reason")).filter("reason IS NOT NULL")
+    return box.join(crossing, ["feature_id", "ring"], "left").select("feature_id", "ring", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
 def douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
@@ -127,51 +168,74 @@ def douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarra
     return np.flatnonzero(keep)
 
 
+def with_sides(edges: DataFrame) -> DataFrame:
+    """Edges with ``sides``: the features of the level that have the segment, joined in order."""
+    swap = F.expr("(x1, y1) > (x2, y2)")
+    key = [F.when(swap, F.col(b)).otherwise(F.col(a)).alias(f"k{a}") for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))]
+    keyed = edges.select("*", *key)
+    same = ["level", "kx1", "ky1", "kx2", "ky2"]
+    shared = keyed.groupBy(*same).agg(F.array_join(F.array_sort(F.collect_set(F.col("feature_id").cast("string"))), ",").alias("sides"))
+    return keyed.join(shared, same).drop("kx1", "ky1", "kx2", "ky2")
+
+
 def simplified(rings: DataFrame) -> DataFrame:
-    """``feature_id, pts, tolerance``: closed rings generalised; a ring that would keep under four points stays as it is."""
+    """``feature_id, pts, tolerance``: closed rings generalised each by itself; a ring that would keep under four points stays as it is."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            kept = []
+            made = []
             for pts, tolerance in zip(frame["pts"], frame["tolerance"]):
-                if tolerance is None or tolerance != tolerance:
-                    kept.append(pts)
-                    continue
-                x, y = np.array([p["x"] for p in pts], float), np.array([p["y"] for p in pts], float)
-                at = douglas_peucker(x, y, tolerance)
-                kept.append([pts[i] for i in at] if len(at) >= 4 else pts)
-            yield frame.assign(pts=[[{"x": float(p["x"]), "y": float(p["y"])} for p in k] for k in kept])
+                line = [(p["x"], p["y"]) for p in pts][:-1]
+                if tolerance is not None and tolerance == tolerance:
+                    line = generalised(line, [""] * len(line), float(tolerance))
+                made.append([{"x": float(x), "y": float(y)} for x, y in [*line, line[0]]])
+            yield frame.assign(pts=made)
 
     return rings.mapInPandas(run, rings.schema)
 
 
-def split_at_antimeridian(rings: DataFrame) -> DataFrame:
-    """``feature_id, part, pts``: rings that reach both below -120 and above 120 degrees are unwrapped, cut at 180 and shifted back."""
-
-    def clip(pts: list, keep_west: bool) -> list:
-        out = []
-        for (ax, ay), (bx, by) in zip(pts, pts[1:]):
-            ain, bin_ = (ax <= 180) == keep_west or ax == 180, (bx <= 180) == keep_west or bx == 180
-            if ain:
-                out.append((ax, ay))
-            if ain != bin_ and ax != bx:
-                out.append((180.0, ay + (by - ay) * (180 - ax) / (bx - ax)))
-        return out + out[:1] if len(out) >= 3 else []
+def simplified_coverage(edges: DataFrame, tolerances: DataFrame) -> DataFrame:
+    """``feature_id, part, ring, role, pts``: closed rings generalised by their level's policy, ``level, tolerance`` (null or absent: as they are).
+
+    A ring is cut into arcs where its neighbour changes; an arc is generalised in one direction whoever owns it, so neighbours keep a common border.
+    A ring that would keep under four points stays as it is.
+    """
+    corner = F.struct("seq", F.col("x1").cast("double").alias("x"), F.col("y1").cast("double").alias("y"), "sides")
+    keys = ["feature_id", "level", "part", "ring", "role"]
+    rings = with_sides(with_part(edges)).groupBy(*keys).agg(F.array_sort(F.collect_list(corner)).alias("corners"))
+    rings = rings.join(F.broadcast(tolerances.select("level", "tolerance")), "level", "left").select("feature_id", "part", "ring", "role", "corners", "tolerance")
+    kind = rings.schema["feature_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for name, pts in zip(frame["feature_id"], frame["pts"]):
-                line = [(float(p["x"]), float(p["y"])) for p in pts]
-                if min(x for x, _ in line) < -120 and max(x for x, _ in line) > 120:
-                    line = [(x + 360 if x < 0 else x, y) for x, y in line]
-                    parts = [clip(line, True), [(x - 360, y) for x, y in clip(line, False)]]
-                else:
-                    parts = [line]
-                rows += [(name, k, [{"x": x, "y": y} for x, y in part]) for k, part in enumerate(parts) if part]
-            yield pd.DataFrame(rows, columns=["feature_id", "part", "pts"])
-
-    return rings.select("feature_id", "pts").mapInPandas(run, "feature_id long, part int, pts array<struct<x:double,y:double>>")
+            pts = []
+            for corners, tolerance in zip(frame["corners"], frame["tolerance"]):
+                line = [(p["x"], p["y"]) for p in corners]
+                if tolerance is not None and tolerance == tolerance:
+                    line = generalised(line, [p["sides"] for p in corners], float(tolerance))
+                pts.append([{"x": x, "y": y} for x, y in [*line, line[0]]])
+            yield frame[["feature_id", "part", "ring", "role"]].assign(pts=pts)
+
+    return rings.mapInPandas(run, f"feature_id {kind}, part int, ring int, role string, pts array<struct<x:double,y:double>>")
+
+
+def generalised(line: list[tuple[float, float]], sides: list[str], tolerance: float) -> list[tuple[float, float]]:
+    """Corners that a ring keeps; ``sides[i]`` names the features along the edge from corner i on."""
+    n = len(line)
+    knots = [i for i in range(n) if sides[i] != sides[i - 1]]
+    if len(knots) < 2:  # no neighbour, or one all around: the smallest corner and the one farthest from it
+        first = line.index(min(line))
+        far = max(range(n), key=lambda i: ((line[i][0] - line[first][0]) ** 2 + (line[i][1] - line[first][1]) ** 2, line[i]))
+        knots = sorted({first, far})
+    kept: list[tuple[float, float]] = []
+    for a, b in zip(knots, [*knots[1:], knots[0] + n]):
+        arc = [line[i % n] for i in range(a, b + 1)]
+        turned = arc[0] > arc[-1]
+        arc = arc[::-1] if turned else arc
+        at = douglas_peucker(np.array([x for x, _ in arc]), np.array([y for _, y in arc]), tolerance)
+        some = [arc[i] for i in at]
+        kept += (some[::-1] if turned else some)[:-1]
+    return kept if len(kept) >= 3 else line
 
 
 def ring_arrays(edges: DataFrame) -> DataFrame:
@@ -192,3 +256,11 @@ def expanded(features: DataFrame, version: int = 3) -> DataFrame:
     rings = checked.select("feature_id", "part", F.posexplode("rings").alias("ring", "pts")).filter("size(pts) > 0")
     rows = rings.select("feature_id", "part", "ring", F.when(F.col("ring") == 0, "outer").otherwise("inner").alias("role"), F.size("pts").alias("n_points"))
     return rows.filter("ring = 0") if version == 1 else rows
+
+
+def split_at_antimeridian(rings: DataFrame) -> DataFrame:
+    """``feature_id, part, pts`` of closed rings ``feature_id, pts``, as ``rings.split_at_antimeridian`` does it for edges."""
+    at = lambda i: F.element_at("pts", i)
+    sides = rings.select("feature_id", "pts", F.explode(F.sequence(F.lit(1), F.size("pts") - 1)).alias("i"))
+    edges = sides.select("feature_id", at(F.col("i"))["x"].alias("x1"), at(F.col("i"))["y"].alias("y1"), at(F.col("i") + 1)["x"].alias("x2"), at(F.col("i") + 1)["y"].alias("y2"))
+    return cut_features(edges).select("feature_id", "part", "pts")

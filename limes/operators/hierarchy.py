@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from limes.functions.numbers import path_signature
+from limes.operators.index import with_offsets
 from limes.session import written
 
 #: Levels are strictly below their parent's, so there are never more steps than levels.
@@ -51,6 +51,7 @@ def paths(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
     level = grown
     for _ in range(most):
         level = up.join(level.select(F.col("id").alias("parent_id"), "path_ids"), "parent_id").select("id", F.concat("path_ids", F.array("id")).alias("path_ids"))
+        level = written(level, "paths-level")
         if level.isEmpty():
             break
         grown = grown.unionByName(level)
@@ -63,22 +64,56 @@ def branch_identity(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
     return p.select("id", F.element_at("path_ids", 1).alias("root_id"), F.coalesce(F.try_element_at("path_ids", F.lit(2)), F.element_at("path_ids", 1)).alias("branch_id"), "path_ids", path_signature(F.col("path_ids")).alias("path_signature"))
 
 
-def tree_listing(nodes: DataFrame, edges: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
-    """``root, id, depth, sort_path``: preorder by name below every root; a node is not entered twice on one way down."""
-    named = nodes.select("id", "name")
-    start = roots(nodes, edges).select(F.col("id").alias("root"), "id", F.lit(0).alias("depth"), F.array("id").alias("way"), F.array(F.concat_ws("\x1f", "name", "id")).alias("sort_path"))
+def tree_listing(nodes: DataFrame, edges: DataFrame, most: int = MOST_LEVELS, skip_unlevelled: bool = False) -> DataFrame:
+    """``root, id, depth, sort_path``: preorder by name below every root; a node is not entered twice on one way down.
+
+    With ``skip_unlevelled`` nodes without a level are passed but not listed, and add no depth, so their children come below the nearest listed one.
+    """
+    told = F.lit(True) if not skip_unlevelled else F.col("level").isNotNull()
+    named = nodes.select("id", "name", told.alias("told"))
+    step = lambda name, i: F.array(F.concat_ws("\x1f", name, i))
+    start = roots(nodes, edges).join(named.select("id", "told"), "id")
+    start = start.select(F.col("id").alias("root"), "id", F.when(F.col("told"), F.lit(0)).otherwise(-1).alias("depth"), F.array("id").alias("way"), step("name", "id").alias("sort_path"), "told", F.when(F.col("told"), F.col("id")).alias("listed"), F.lit(None).cast(nodes.schema["id"].dataType).alias("above"))
     every, level = start, start
-    down = edges.select("parent", F.col("child")).distinct().join(named.select(F.col("id").alias("child"), "name"), "child")
+    down = edges.select("parent", F.col("child")).distinct().join(named.select(F.col("id").alias("child"), "name", F.col("told").alias("child_told")), "child")
     for _ in range(most):
         level = (
             level.join(down, level["id"] == down["parent"])
             .filter(~F.array_contains("way", F.col("child")))
-            .select("root", F.col("child").alias("id"), (F.col("depth") + 1).alias("depth"), F.concat("way", F.array("child")).alias("way"), F.concat("sort_path", F.array(F.concat_ws("\x1f", "name", "child"))).alias("sort_path"))
+            .select(
+                "root",
+                F.col("child").alias("id"),
+                (F.col("depth") + F.col("child_told").cast("int")).alias("depth"),
+                F.concat("way", F.array("child")).alias("way"),
+                F.concat("sort_path", step("name", "child")).alias("sort_path"),
+                F.col("child_told").alias("told"),
+                F.when(F.col("child_told"), F.col("child")).otherwise(F.col("listed")).alias("listed"),
+                F.col("listed").alias("above"),
+            )
         )
+        level = written(level, "tree-level")
         if level.isEmpty():
             break
         every = every.unionByName(level)
-    return every.select("root", "id", "depth", "sort_path")
+    return every.filter("told").select("root", "id", "depth", "sort_path", "above")
+
+
+def raw_semantics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``feature_id, level, name, parent_id``: the listed tree itself as semantic nodes; of several places the first root's, then the first by path."""
+    listed = tree_listing(nodes, edges, skip_unlevelled=True)
+    first = listed.groupBy("id").agg(F.min(F.struct("root", "sort_path", "above")).alias("at"))
+    return nodes.join(first, "id").select(F.col("id").alias("feature_id"), "level", "name", F.col("at.above").alias("parent_id"))
+
+
+def unresolved_samples(unresolved: DataFrame, most: int = 20) -> DataFrame:
+    """The first unresolved edges by name and child, for the report."""
+    return unresolved.select("parent_name", "child").orderBy("parent_name", "child").limit(most)
+
+
+def write_hierarchy(nodes: DataFrame, edges: DataFrame, unresolved: DataFrame, path: str) -> None:
+    """Nodes, edges, report and unresolved samples, each in a folder of its own."""
+    for name, rows in (("nodes", nodes), ("edges", edges), ("report", report(nodes, edges, unresolved)), ("unresolved", unresolved_samples(unresolved))):
+        rows.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def violations(nodes: DataFrame) -> DataFrame:
@@ -128,7 +163,7 @@ def anchored(nodes: DataFrame, anchors: DataFrame) -> DataFrame:
 
 def region_ids(names: DataFrame, existing: DataFrame, prefix: str) -> DataFrame:
     """Region names numbered from 1 in order, as ``<prefix>_region_nn`` unless a feature ``id, name`` by that name exists."""
-    numbered = names.select("region").distinct().withColumn("n", F.row_number().over(Window.partitionBy().orderBy("region")))
+    numbered = with_offsets(names.select("region").distinct(), ["region"], {}).select("region", (F.col("index") + 1).alias("n"))
     real = existing.groupBy("name").agg(F.min("id").alias("real"))
     return numbered.join(real, numbered["region"] == real["name"], "left").select("region", F.coalesce("real", F.format_string(f"{prefix}_region_%02d", "n")).alias("region_id"))
 
@@ -138,6 +173,18 @@ def smallest_region(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("name").agg(F.min("region").alias("region"))
 
 
+def region_tree(prefectures: DataFrame, mapping: DataFrame, ids: DataFrame, region_level: int, level: int) -> DataFrame:
+    """``id, level, name, parent_id, in_scope``: the mapped regions as nodes above their prefectures ``id, name``.
+
+    ``mapping`` is ``name, region``, ``ids`` is ``region, region_id``.  Prefectures without a region have no parent; all are in scope, whatever their flag was.
+    """
+    known = smallest_region(mapping).join(ids, "region")
+    regions = known.select(F.col("region_id").alias("id"), F.lit(region_level).alias("level"), F.col("region").alias("name")).distinct()
+    below = prefectures.join(known.select("name", "region_id"), "name", "left")
+    rows = below.select("id", F.lit(level).alias("level"), "name", F.col("region_id").alias("parent_id"), F.lit(True).alias("in_scope"))
+    return rows.unionByName(regions.select("id", "level", "name", F.lit(None).cast("string").alias("parent_id"), F.lit(None).cast("boolean").alias("in_scope")))
+
+
 def semantic(nodes: DataFrame) -> DataFrame:
     """``id, level, name, parent_id, names``; empty alias maps are null."""
     return nodes.select("id", "level", "name", "parent_id", F.when(F.size("names") > 0, F.col("names")).alias("names"))

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from limes.operators.geometry import containing
+from limes.operators.geometry import Sides, along, bands, containing
+from limes.session import raised_if_empty
 
+#: of a degree of latitude
 KM_PER_DEGREE = 111.32
 
 
-def point_lookup(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
+def point_lookup(points: DataFrame, edges: DataFrame, cell: Sides) -> DataFrame:
     """``pid, feature_id, level``; a stateless join, so ``points`` may be a stream."""
     levels = edges.select("feature_id", "level").distinct()
     return containing(points, edges, cell).join(levels, "feature_id").select("pid", "feature_id", "level")
 
 
-def parents(children: DataFrame, edges: DataFrame, levels: list[int], cell: float) -> DataFrame:
+def parents(children: DataFrame, edges: DataFrame, levels: list[int], cell: Sides) -> DataFrame:
     """``feature_id, parent``: for each two adjacent levels the polygon that strictly holds the child's point ``feature_id, level, px, py``.
 
     Of several the one with the largest id; a child whose next level has no polygon around it gets none, even if a higher one does.
@@ -29,12 +35,12 @@ def parents(children: DataFrame, edges: DataFrame, levels: list[int], cell: floa
     return children.select("feature_id", "level").join(found.withColumnRenamed("pid", "feature_id"), "feature_id", "left")
 
 
-def covered_by(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
+def covered_by(points: DataFrame, edges: DataFrame, cell: Sides) -> DataFrame:
     """Points in any of the polygons or on a border; existence only."""
     return points.join(containing(points.select("pid", "px", "py"), edges, cell, "covers").select("pid"), "pid", "left_semi")
 
 
-def scope_flags(points: DataFrame, boundary: DataFrame | None, cell: float) -> DataFrame:
+def scope_flags(points: DataFrame, boundary: DataFrame | None, cell: Sides) -> DataFrame:
     """``pid, in_scope``: null without a boundary."""
     if boundary is None:
         return points.select("pid", F.lit(None).cast("boolean").alias("in_scope"))
@@ -42,32 +48,57 @@ def scope_flags(points: DataFrame, boundary: DataFrame | None, cell: float) -> D
     return points.select("pid").join(hit, "pid", "left").select("pid", F.coalesce("in_scope", F.lit(False)).alias("in_scope"))
 
 
-def segment_distance(px: Column, py: Column) -> Column:
-    """Distance of (px, py) from the segment x1, y1, x2, y2 of the row."""
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    along = ((px - F.col("x1")) * dx + (py - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0))
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-    return F.sqrt(F.pow(px - (F.col("x1") + t * dx), 2) + F.pow(py - (F.col("y1") + t * dy), 2))
+def segment_distance(px: Column, py: Column, wide: Column | float = 1.0, high: Column | float = 1.0) -> Column:
+    """Distance of (px, py) from the segment x1, y1, x2, y2 of the row; ``wide`` and ``high`` are the lengths of a unit of x and y."""
+    x1, x2, y1, y2 = ((F.col(c) - o) * s for c, o, s in (("x1", px, wide), ("x2", px, wide), ("y1", py, high), ("y2", py, high)))
+    dx, dy = x2 - x1, y2 - y1
+    along_ = -(x1 * dx + y1 * dy) / F.nullif(dx * dx + dy * dy, F.lit(0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along_, F.lit(0.0))))
+    return F.sqrt(F.pow(x1 + t * dx, 2) + F.pow(y1 + t * dy, 2))
 
 
 def nearest(points: DataFrame, edges: DataFrame, most: float) -> DataFrame:
     """``pid, level, feature_id, distance``: the nearest border within ``most``, for each level; ties go to the smaller id.
 
-    An edge is listed in every cell of side ``most`` that its box, widened by ``most``, meets, so a point looks at its own cell only.
+    An edge is listed in the cells of side ``most`` along its line and in those around them, so a point looks at its own cell only.
+    """
+    return _nearest(points, edges, most, F.lit(most), 1.0, 1.0)
+
+
+def nearest_km(points: DataFrame, edges: DataFrame, most_km: float, widest: float = 84.0) -> DataFrame:
+    """As ``nearest`` for longitudes and latitudes, with distances in km by scaling degrees at the point's latitude.
+
+    Degrees only choose candidates: cells are ``most_km`` wide at latitude ``widest``, the farthest from the equator that is asked for.
     """
-    cells = lambda a, b: F.sequence(F.floor((F.least(a, b) - most) / most), F.floor((F.greatest(a, b) + most) / most))
-    spread = edges.withColumn("col", F.explode(cells("x1", "x2"))).withColumn("band", F.explode(cells("y1", "y2"))).select("feature_id", "level", "x1", "y1", "x2", "y2", "col", "band")
-    placed = points.withColumn("band", F.floor(F.col("py") / most)).withColumn("col", F.floor(F.col("px") / most))
-    near = placed.join(spread, ["band", "col"]).withColumn("d", segment_distance(F.col("px"), F.col("py"))).filter(F.col("d") <= most)
+    shrink = F.cos(F.radians(F.col("py")))
+    side = most_km / (KM_PER_DEGREE * float(math.cos(math.radians(widest))))
+    return _nearest(points, edges, side, F.lit(most_km), shrink * KM_PER_DEGREE, KM_PER_DEGREE)
+
+
+def _nearest(points: DataFrame, edges: DataFrame, side: float, most: Column, wide: Column | float, high: float) -> DataFrame:
+    cells = along(bands(edges, side)).select("feature_id", "level", "x1", "y1", "x2", "y2", "band", "col")
+    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
+    spread = cells.select("feature_id", "level", "x1", "y1", "x2", "y2", "col", around("band")).select("feature_id", "level", "x1", "y1", "x2", "y2", "band", around("col")).distinct()
+    placed = points.withColumn("band", F.floor(F.col("py") / side)).withColumn("col", F.floor(F.col("px") / side))
+    near = placed.join(spread, ["band", "col"]).withColumn("d", segment_distance(F.col("px"), F.col("py"), wide, high)).filter(F.col("d") <= most)
     best = near.groupBy("pid", "level").agg(F.min(F.struct("d", "feature_id")).alias("best"))
     return best.select("pid", "level", "best.feature_id", F.col("best.d").alias("distance"))
 
 
-def nearby_class(points: DataFrame, edges: DataFrame, cell: float, nearby: float, offshore: float) -> DataFrame:
+def nearby_class(points: DataFrame, edges: DataFrame, cell: Sides, nearby: float, offshore: float) -> DataFrame:
     """``pid, class``: inside, nearby, offshore or outside, by distance to the nearest border."""
+    return _nearby(points, edges, cell, nearby, offshore, nearest)
+
+
+def nearby_class_km(points: DataFrame, edges: DataFrame, cell: Sides, nearby_km: float = 2.0, offshore_km: float = 20.0) -> DataFrame:
+    """As ``nearby_class``, by km; without other limits those that most countries have."""
+    return _nearby(points, edges, cell, nearby_km, offshore_km, nearest_km)
+
+
+def _nearby(points: DataFrame, edges: DataFrame, cell: Sides, nearby: float, offshore: float, find: Callable[[DataFrame, DataFrame, float], DataFrame]) -> DataFrame:
     hit = containing(points, edges, cell).select("pid").distinct().withColumn("hit", F.lit(True))
     open_ = points.join(hit, "pid", "left_anti")
-    close = nearest(open_, edges, offshore).groupBy("pid").agg(F.min("distance").alias("d"))
+    close = find(open_, edges, offshore).groupBy("pid").agg(F.min("distance").alias("d"))
     kind = F.when(F.col("hit"), "inside").when(F.col("d") <= nearby, "nearby").when(F.col("d") <= offshore, "offshore").otherwise("outside")
     return points.select("pid").join(hit, "pid", "left").join(close, "pid", "left").select("pid", kind.alias("class"))
 
@@ -99,3 +130,32 @@ def structural_violations(hits: DataFrame, parents_of: DataFrame) -> DataFrame:
     at = hits.select("pid", F.col("level").alias("parent_level"), F.col("feature_id").alias("hit_parent"))
     other = up.join(at, ["pid", "parent_level"]).groupBy("pid").agg(F.max((F.col("parent_id") == F.col("hit_parent")).cast("int")).alias("ok")).filter("ok = 0").select("pid", F.lit("branching_parent").alias("reason"))
     return twice.unionByName(other)
+
+
+def order_violations(listed: DataFrame) -> DataFrame:
+    """``pid, reason`` of results ``pid, pos, feature_id, level``: levels must ascend, and ids within a level as well."""
+    before = Window.partitionBy("pid").orderBy("pos")
+    steps = listed.select("pid", "level", "feature_id", F.lag("level").over(before).alias("l"), F.lag("feature_id").over(before).alias("f"))
+    reason = F.when(F.col("level") < F.col("l"), "level_order").when((F.col("level") == F.col("l")) & (F.col("feature_id") <= F.col("f")), "id_order")
+    return steps.select("pid", reason.alias("reason")).filter("reason IS NOT NULL").distinct()
+
+
+def in_scope(features: DataFrame, points: DataFrame, edges: DataFrame, names: DataFrame, level: int, cell: Sides) -> DataFrame:
+    """Features ``id, level, name`` inside those of ``level`` that ``names(name)`` lists, which stay themselves; all if no such feature is there.
+
+    ``points(feature_id, px, py)`` are the features' representative points.
+    """
+    allowed = features.filter(F.col("level") == level).join(names, "name", "left_semi")
+    inside = edges.join(allowed.select(F.col("id").alias("feature_id")), "feature_id", "left_semi")
+    held = containing(points.select(F.col("feature_id").alias("pid"), "px", "py"), inside, cell, "covers").select(F.col("pid").alias("id")).distinct()
+    scoped = features.filter(F.col("level") != level).join(held, "id", "left_semi").unionByName(allowed)
+    some = allowed.agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(1).alias("__some"))  # one row at most
+    everything = features.withColumn("__some", F.lit(1)).join(F.broadcast(some), "__some", "left_anti").drop("__some")
+    return scoped.select(*features.columns).unionByName(everything)
+
+
+def country_features(features: DataFrame, points: DataFrame, boundary: DataFrame, cell: Sides) -> DataFrame:
+    """Features whose representative point the boundary covers; reading the result is an error if there is none."""
+    held = covered_by(points.withColumnRenamed("feature_id", "pid"), boundary, cell).select(F.col("pid").alias("id"))
+    kept = features.join(held, "id", "left_semi")
+    return kept.unionByName(raised_if_empty(kept, "no feature is inside the country"))

@@ -21,6 +21,18 @@ def ruled_shapes(shapes: DataFrame, rules: DataFrame) -> DataFrame:
     return shapes.join(F.broadcast(rules), "country").select("country", "shape", F.when(has, "ok").otherwise("partial").alias("status"))
 
 
+def country_policy(levels: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """``country, shape, status`` of all shapes of ``country, levels``: ok if the shape has the country's first level, else partial.
+
+    ``listed(country, shape, status)`` replaces the rule: a country that is in it has these shapes only.
+    """
+    anchor = levels.select("country", F.array(F.array_min("levels")).alias("required"))
+    ruled = ruled_shapes(level_shapes(levels), anchor)
+    if listed is None:
+        return ruled
+    return ruled.join(F.broadcast(listed.select("country").distinct()), "country", "left_anti").unionByName(listed.select("country", "shape", "status"))
+
+
 def default_policy(shapes: DataFrame, levels: DataFrame) -> DataFrame:
     """ok for the full set of levels only."""
     full = levels.select("country", F.array_join(F.array_sort("levels").cast("array<string>"), "-").alias("full"))

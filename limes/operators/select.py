@@ -94,6 +94,15 @@ def traced(rows: DataFrame, needles: list[str]) -> DataFrame:
     return rows.filter(hit)
 
 
+def traced_sources(sources: dict[tuple[str, str], DataFrame], needles: list[str]) -> DataFrame:
+    """``source, status, id, name`` of all traced rows of several tables, which are given by source and status."""
+    out = None
+    for (source, status), rows in sources.items():
+        one = traced(rows.select("id", "name"), needles).select(F.lit(source).alias("source"), F.lit(status).alias("status"), "id", "name")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def target_relations(wanted: DataFrame, relations: DataFrame) -> DataFrame:
     """Listed ids (``r`` optional) with their members split into ways and others; ``found`` tells absent ones."""
     ids = wanted.select(F.regexp_replace("target", "^r", "").cast("long").alias("id")).distinct()

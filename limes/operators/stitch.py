@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from limes.operators.rings import per_group
+
 
 def best_copies(copies: DataFrame) -> DataFrame:
     """Of ``rel, extract_ord, n_ways``: the copy with most ways, the earliest of equals."""
@@ -126,28 +127,16 @@ def _walk(members: list[tuple]) -> list[tuple]:
 
 
 def assembled(joined: DataFrame) -> DataFrame:
-    """Walk the ways of each relation and role into closed rings; an open end or a missing way is a row with a reason.
+    """Chain the ways of each relation and role by their ends; an open end or a missing way is a row with a reason.
 
-    Relations are dealt to buckets of a few thousand members, so a Python call serves many of them; a relation has thousands of
-    ways at most and is never cut.
+    This looks at ends only, for coverage reports; ``rings.relation_polygons`` makes the polygons, by geometry.
     """
     wanted = joined.select("rel", "role", "pos", "ref", "first_node", "last_node", "present")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["rel", "role", "pos", "ref"])
-        out, members, before = [], [], None
-        for rel, role, ref, first, last, present in zip(rows["rel"], rows["role"], rows["ref"], rows["first_node"], rows["last_node"], rows["present"]):
-            if (rel, role) != before and before is not None:
-                out += [(*before, k, *r) for k, r in enumerate(_walk(members))]
-                members = []
-            before = (rel, role)
-            members.append((ref, first, last, present))
-        if before is not None:
-            out += [(*before, k, *r) for k, r in enumerate(_walk(members))]
-        return pd.DataFrame(out, columns=["rel", "role", "ring", "ways", "nodes", "reason"])
+    def run(key: tuple, rows: list[tuple]) -> list[tuple]:
+        return [(*key, k, *r) for k, r in enumerate(_walk([row[1:] for row in rows]))]
 
-    buckets = max(1, joined.select("rel").distinct().count() // 2_000)
-    return wanted.withColumn("bucket", F.pmod(F.xxhash64("rel"), F.lit(buckets))).groupBy("bucket").applyInPandas(run, RINGS)
+    return per_group(wanted, ["rel", "role"], ["pos", "ref"], RINGS, run)
 
 
 def assembly_outcomes(rings: DataFrame) -> DataFrame:
@@ -156,6 +145,38 @@ def assembly_outcomes(rings: DataFrame) -> DataFrame:
     return per.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
+def polygon_outcomes(polygons: DataFrame, levels: DataFrame) -> DataFrame:
+    """``level, outcome, n, repaired``: relations of ``levels(rel, level)`` assembled, by level, and failures by reason (their level is null)."""
+    per = polygons.groupBy("rel").agg(F.coalesce(F.max("reason"), F.lit("assembled")).alias("outcome"), F.max("repaired").alias("repaired"))
+    placed = per.join(levels, "rel").withColumn("level", F.when(F.col("outcome") == "assembled", F.col("level")))
+    return placed.groupBy("level", "outcome").agg(F.count("*").alias("n"), F.count(F.when(F.col("repaired"), 1)).alias("repaired"))
+
+
+def member_lines(members: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rel, role, ref, pts`` for ``rings.relation_polygons``: outer (or blank) and inner members with their ways' corners, null where these are incomplete."""
+    placed = way_points(used(ways, members, "ref"), nodes)
+    role = F.when(F.col("role").isin("", "outer"), "outer").when(F.col("role") == "inner", "inner")
+    return members.select("rel", role.alias("role"), "ref").join(placed.withColumnRenamed("id", "ref"), "ref", "left").select("rel", "role", "ref", "pts")
+
+
+def used_nodes(nodes: DataFrame, ways: DataFrame) -> DataFrame:
+    """Only the nodes of these ways."""
+    return nodes.join(ways.select(F.explode("node_refs").alias("id")), "id", "left_semi")
+
+
+def element_coverage(members: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rel, kind, required, present, missing``: distinct ways, and nodes of the ways that are there, by relation and in all (null)."""
+    refs = members.select("rel", F.col("ref").alias("id")).distinct()
+    have = refs.join(ways, "id", "left")
+    way_rows = have.select("rel", F.lit("way").alias("kind"), "id", F.col("node_refs").isNotNull().alias("there"))
+    wanted = have.select("rel", F.explode("node_refs").alias("id")).distinct()
+    node_rows = wanted.join(nodes.select("id", F.lit(True).alias("there")), "id", "left").select("rel", F.lit("node").alias("kind"), "id", F.coalesce("there", F.lit(False)).alias("there"))
+    every = way_rows.unionByName(node_rows)
+    counts = [F.count("*").alias("required"), F.count(F.when(F.col("there"), 1)).alias("present"), F.count(F.when(~F.col("there"), 1)).alias("missing")]
+    total = every.select("kind", "id", "there").distinct().groupBy("kind").agg(*counts).select(F.lit(None).cast(members.schema["rel"].dataType).alias("rel"), "kind", "required", "present", "missing")
+    return every.groupBy("rel", "kind").agg(*counts).unionByName(total)
+
+
 def relation_report(members: DataFrame, ways: DataFrame) -> DataFrame:
     """Coverage, closed ways, odd ends and extracts of every relation."""
     joined = with_ways(members, ways)
@@ -172,6 +193,13 @@ def member_statistics(members: DataFrame) -> DataFrame:
     return members.groupBy("rel", F.when(F.col("role") == "", "(empty)").otherwise(F.col("role")).alias("role")).agg(F.count("*").alias("n"))
 
 
+def member_types(relations: DataFrame) -> DataFrame:
+    """``rel, what, value, n``: a relation's members by type and, in the same pass, by role."""
+    blank = lambda c: F.when(F.coalesce(c, F.lit("")) == "", "(empty)").otherwise(c)
+    rows = relations.select(F.col("id").alias("rel"), F.explode("members").alias("m")).select("rel", F.explode(F.create_map(F.lit("type"), F.col("m.type"), F.lit("role"), blank(F.col("m.role")))).alias("what", "value"))
+    return rows.groupBy("rel", "what", "value").agg(F.count("*").alias("n"))
+
+
 def degree_distribution(degrees: DataFrame) -> DataFrame:
     return degrees.groupBy("degree").agg(F.count("*").alias("n"))
 
@@ -189,3 +217,8 @@ def stitched(extracts: list[DataFrame], content: list[str]) -> DataFrame:
     for more in extracts[1:]:
         every = every.unionByName(more)
     return first_copies(every, content)
+
+
+def variants(elements: DataFrame, content: list[str]) -> DataFrame:
+    """Ids whose content differs between extracts."""
+    return first_copies(elements, content).filter("varies").select("id")

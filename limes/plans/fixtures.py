@@ -19,13 +19,31 @@ UNION ALL SELECT feature_id, level, ring, role, 3, x0+CASE WHEN level=2 THEN 100
     "fx_members": """SELECT l_orderkey AS rel, l_linenumber AS pos, l_partkey AS ref, CASE WHEN l_returnflag='R' THEN 'inner' WHEN l_returnflag='A' THEN 'outer' ELSE '' END AS role,
 CAST(l_suppkey % 3 AS INT) AS extract_ord FROM lineitem""",
     "fx_ways": "SELECT p_partkey AS id, p_partkey % 97 AS first_node, (p_partkey*13+5) % 97 AS last_node FROM part WHERE p_partkey % 11 <> 0",
-    "fx_tags": "SELECT doc_id AS rel, concat('name:', lang) AS k, trim(substr(text,1,12)) AS v FROM documents",
+    "fx_tags": "SELECT doc_id AS rel, concat('name:', lang) AS k, CASE WHEN trim(text) = '' THEN '' ELSE md5(text) END AS v FROM documents",
     "fx_vertices": "SELECT first_node AS id, first_node * 0.25 AS lon, ((first_node * 37) % 97) * 0.25 AS lat FROM fx_ways UNION SELECT last_node, last_node * 0.25, ((last_node * 37) % 97) * 0.25 FROM fx_ways",
     "fx_copies": "SELECT rel, extract_ord, count(*) AS n_ways FROM fx_members GROUP BY rel, extract_ord",
     "fx_loops": "SELECT l_orderkey AS feature_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT) AS seq, CAST(l_partkey % 89 AS INT) AS x, CAST((l_suppkey * 7 + l_linenumber * 11) % 83 AS INT) AS y FROM lineitem",
+    # A lattice of slanted cells, 25 a row; customers are cells, so it grows with the scale factor.
+    "fx_cells": """SELECT k, i, j, i*100 + (i*7 + j*3) % 3 * 20 AS ax, j*100 + (i*5 + j*11) % 4 * 10 AS ay, i*100 + (i*7 + (j+1)*3) % 3 * 20 AS ex, (j+1)*100 + (i*5 + (j+1)*11) % 4 * 10 AS ey,
+(i+1)*100 + ((i+1)*7 + (j+1)*3) % 3 * 20 AS cx, (j+1)*100 + ((i+1)*5 + (j+1)*11) % 4 * 10 AS cy, (i+1)*100 + ((i+1)*7 + j*3) % 3 * 20 AS dx, j*100 + ((i+1)*5 + j*11) % 4 * 10 AS dy
+FROM (SELECT CAST(c_custkey AS INT) AS k, CAST(c_custkey % 25 AS INT) AS i, CAST(floor(c_custkey/25) AS INT) AS j FROM customer) g""",
+    "fx_sides": """SELECT k, i, j, 0 AS seq, ax AS x1, ay AS y1, ex AS x2, ey AS y2 FROM fx_cells UNION ALL SELECT k, i, j, 1, ex, ey, cx, cy FROM fx_cells
+UNION ALL SELECT k, i, j, 2, cx, cy, dx, dy FROM fx_cells UNION ALL SELECT k, i, j, 3, dx, dy, ax, ay FROM fx_cells""",
+    # Level 8: cells, every fourth with a hole.  Level 6: two cells with two rows between them, as two parts.  Level 4: the border of five by six cells.
+    "fx_land": """SELECT concat('c', CAST(k AS VARCHAR(20))) AS feature_id, 8 AS level, 0 AS part, 0 AS ring, 'outer' AS role, seq, x1, y1, x2, y2 FROM fx_sides
+UNION ALL SELECT concat('c', CAST(k AS VARCHAR(20))), 8, 0, 1, 'inner', 0, i*100+60, j*100+50, i*100+60, j*100+70 FROM fx_cells WHERE k % 4 = 0
+UNION ALL SELECT concat('c', CAST(k AS VARCHAR(20))), 8, 0, 1, 'inner', 1, i*100+60, j*100+70, i*100+80, j*100+70 FROM fx_cells WHERE k % 4 = 0
+UNION ALL SELECT concat('c', CAST(k AS VARCHAR(20))), 8, 0, 1, 'inner', 2, i*100+80, j*100+70, i*100+80, j*100+50 FROM fx_cells WHERE k % 4 = 0
+UNION ALL SELECT concat('c', CAST(k AS VARCHAR(20))), 8, 0, 1, 'inner', 3, i*100+80, j*100+50, i*100+60, j*100+50 FROM fx_cells WHERE k % 4 = 0
+UNION ALL SELECT concat('m', CAST(i + 25 * (j % 3 + 3 * CAST(floor(j/6) AS INT)) AS VARCHAR(20))), 6, CAST(floor(j % 6 / 3) AS INT), 0, 'outer', seq, x1, y1, x2, y2 FROM fx_sides
+UNION ALL SELECT concat('b', CAST(bi + 5 * bj AS VARCHAR(20))), 4, 0, 0, 'outer', seq, x1, y1, x2, y2 FROM fx_borders""",
+    "fx_borders": """SELECT bi, bj, min(seq) AS seq, min(x1) AS x1, min(y1) AS y1, min(x2) AS x2, min(y2) AS y2 FROM
+(SELECT CAST(floor(i/5) AS INT) AS bi, CAST(floor(j/6) AS INT) AS bj, k*4 + seq AS seq, x1, y1, x2, y2, least(x1*100000 + y1, x2*100000 + y2) AS lo, greatest(x1*100000 + y1, x2*100000 + y2) AS hi FROM fx_sides) s
+GROUP BY bi, bj, lo, hi HAVING count(*) = 1""",
+    "fx_spots": "SELECT event_id AS pid, CAST((event_id*7919) % 2700 - 80 AS INT) AS px, CAST((event_id*104729 + user_id*31) % (SELECT 100 * CAST(floor(count(*)/25) AS INT) + 200 FROM customer) - 80 AS INT) AS py FROM events",
     "fx_chain": "SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE (p_partkey * 7 + 3) % 2000 END AS parent_id FROM part",
 }
-_NEEDS = {"fx_edges": ["fx_rings"], "fx_copies": ["fx_members"], "fx_vertices": ["fx_ways"]}
+_NEEDS = {"fx_edges": ["fx_rings"], "fx_copies": ["fx_members"], "fx_vertices": ["fx_ways"], "fx_sides": ["fx_cells"], "fx_borders": ["fx_cells", "fx_sides"], "fx_land": ["fx_cells", "fx_sides", "fx_borders"]}
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 

@@ -168,7 +168,7 @@ def quantize_points(spark, sf_dir):
 
 @query(f"{BOX} SELECT feature_id, level, ring, role, seq, {', '.join(Q('e.' + c, 'b.min' + c[0], 'b.max' + c[0]) + ' AS q' + c for c in ('x1', 'y1', 'x2', 'y2'))} FROM fx_edges e JOIN box b USING (feature_id)", "fx_edges")
 def quantized_rings(spark, sf_dir):
-    return index.quantized_rings(fixture(spark, sf_dir, "fx_edges"))
+    return index.quantized_rings(fixture(spark, sf_dir, "fx_edges")).drop("part")
 
 
 @query(
@@ -176,7 +176,7 @@ def quantized_rings(spark, sf_dir):
     "fx_edges",
 )
 def index_tables(spark, sf_dir):
-    return index.feature_index(fixture(spark, sf_dir, "fx_edges"))
+    return index.feature_index(fixture(spark, sf_dir, "fx_edges")).drop("part_start", "n_parts")
 
 
 @query("SELECT id, level, name, parent_id, row_number() OVER w - 1 AS index, sum(length(name)) OVER w - length(name) AS name_start, length(name) AS name_length FROM fx_nodes WINDOW w AS (ORDER BY level, name, id)", "fx_nodes")
@@ -187,7 +187,7 @@ def running_offsets(spark, sf_dir):
 
 @query(f"{BOX} SELECT feature_id, level, b.minx, b.miny, b.maxx, b.maxy, b.maxx - b.minx AS spanx, b.maxy - b.miny AS spany FROM (SELECT DISTINCT feature_id, level FROM fx_edges) JOIN box b USING (feature_id)", "fx_edges")
 def part_boxes(spark, sf_dir):
-    return index.part_boxes(fixture(spark, sf_dir, "fx_edges"))
+    return index.part_boxes(fixture(spark, sf_dir, "fx_edges")).select("feature_id", "level", "minx", "miny", "maxx", "maxy", "spanx", "spany")
 
 
 QHITS = (
@@ -207,9 +207,9 @@ def containment_equivalence(spark, sf_dir):
     return index.hit_differences(fixture(spark, sf_dir, "fx_points"), fixture(spark, sf_dir, "fx_edges"), CELL)
 
 
-@query("SELECT count(DISTINCT feature_id) AS features, count(DISTINCT feature_id) AS rings, count(*) * 4 AS geometry_bytes FROM fx_loops", "fx_loops")
+@query("SELECT count(DISTINCT feature_id) AS features, count(DISTINCT (feature_id, part)) AS parts, count(DISTINCT (feature_id, part, ring)) AS rings, count(*) * 4 AS geometry_bytes FROM fx_land", "fx_land")
 def export_totals(spark, sf_dir):
-    return index.export_totals(geometry.loops(fixture(spark, sf_dir, "fx_loops")))
+    return index.export_totals(fixture(spark, sf_dir, "fx_land"))
 
 
 LOOPS = (
@@ -253,19 +253,6 @@ def ring_validity(spark, sf_dir):
     return geometry.validity(geometry.loops(fixture(spark, sf_dir, "fx_loops")))
 
 
-@query()
-def simplified_rings(spark, sf_dir):
-    rings = geometry.ring_arrays(geometry.loops(fixture(spark, sf_dir, "fx_loops"))).withColumn("tolerance", F.lit(8.0))
-    return geometry.simplified(rings).select("feature_id", F.size("pts").alias("n_points"))
-
-
-@query()
-def antimeridian_parts(spark, sf_dir):
-    turned = fixture(spark, sf_dir, "fx_loops").withColumn("x", (F.col("x") % 2 * 2 - 1) * (135.0 + F.col("x") / 2))
-    parts = geometry.split_at_antimeridian(geometry.ring_arrays(geometry.loops(turned)))
-    return parts.select("feature_id", "part", F.size("pts").alias("n_points"))
-
-
 @query(
     f"{LOOPS}, areas AS (SELECT feature_id, abs(sum(x1 * y2 - x2 * y1)) / 2.0::DOUBLE AS area FROM loops GROUP BY 1), "
     "named AS (SELECT a.feature_id, area, CAST(feature_id % 3 AS INT) AS level, o_orderpriority AS name FROM areas a JOIN orders ON o_orderkey = feature_id) "
@@ -383,7 +370,7 @@ def name_region_map(spark, sf_dir):
     pairs = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("name"), F.col("c_mktsegment").alias("region"))
     real = _nodes(spark, sf_dir).filter("level = 2").agg(F.min("id").alias("id")).withColumn("name", F.lit("MACHINERY"))
     ids = hierarchy.region_ids(pairs, real, "fx")
-    return hierarchy.smallest_region(pairs).join(F.broadcast(ids), "region").select("name", "region", "region_id")
+    return hierarchy.smallest_region(pairs).join(ids, "region").select("name", "region", "region_id")
 
 
 @query(f"{PATHS}, shapes AS (SELECT CASE len(path) WHEN 1 THEN '2' WHEN 2 THEN '2-4' ELSE '2-4-8' END AS shape FROM up) SELECT shape, count(*) AS n FROM shapes GROUP BY 1", "fx_nodes")
@@ -611,19 +598,19 @@ def samples_per_level(spark, sf_dir):
 
 @query(
     "+r AS (SELECT DISTINCT extract_ord, rel FROM fx_members), e AS (SELECT DISTINCT extract_ord, rel FROM fx_members WHERE role <> 'inner'), a AS (SELECT DISTINCT extract_ord, rel FROM fx_members WHERE role = 'outer'), "
-    "j AS (SELECT r.extract_ord, e.rel IS NOT NULL AS em, a.rel IS NOT NULL AS am FROM r LEFT JOIN e ON e.extract_ord = r.extract_ord AND e.rel = r.rel LEFT JOIN a ON a.extract_ord = r.extract_ord AND a.rel = r.rel) "
-    "SELECT extract_ord, count(*) AS relations, count(*) FILTER (WHERE em) AS emitted, count(*) FILTER (WHERE am) AS assembled, count(*) FILTER (WHERE NOT em) AS relations_not_emitted, count(*) FILTER (WHERE em AND NOT am) AS emitted_not_assembled, grouping(extract_ord) AS total FROM j GROUP BY ROLLUP (extract_ord)",
+    "j AS (SELECT r.extract_ord, r.rel, e.rel IS NOT NULL AS em, a.rel IS NOT NULL AS am FROM r LEFT JOIN e ON e.extract_ord = r.extract_ord AND e.rel = r.rel LEFT JOIN a ON a.extract_ord = r.extract_ord AND a.rel = r.rel) "
+    "SELECT extract_ord, count(*) AS relations, count(*) FILTER (WHERE em) AS emitted, count(*) FILTER (WHERE am) AS assembled, count(*) FILTER (WHERE rel % 9 = 4) AS invalid, count(*) FILTER (WHERE NOT em) AS relations_not_emitted, count(*) FILTER (WHERE em AND NOT am) AS emitted_not_assembled, count(*) FILTER (WHERE NOT am) AS relations_not_assembled, grouping(extract_ord) AS total FROM j GROUP BY ROLLUP (extract_ord)",
     "fx_members",
 )
 def funnel(spark, sf_dir):
     m = fixture(spark, sf_dir, "fx_members")
-    return quality.funnel([("relations", m), ("emitted", m.filter("role <> 'inner'")), ("assembled", m.filter("role = 'outer'"))], "rel", "extract_ord")
+    return quality.funnel([("relations", m), ("emitted", m.filter("role <> 'inner'")), ("assembled", m.filter("role = 'outer'"))], "rel", "extract_ord", {"invalid": m.filter("rel % 9 = 4")})
 
 
-@query("SELECT doc_id, CASE WHEN trim(substr(text, 1, 12)) <> '' THEN trim(substr(text, 1, 12)) ELSE source END AS name FROM documents")
+@query("SELECT doc_id, CASE WHEN n_chars % 4 > 0 AND trim(text) <> '' THEN md5(text) ELSE source END AS name FROM documents")
 def pick_name(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    tags = F.create_map(F.lit("name"), F.expr("trim(substr(text, 1, 12))"), F.lit("official_name"), F.col("source"))
+    tags = F.create_map(F.lit("name"), F.expr("CASE WHEN n_chars % 4 > 0 AND trim(text) <> '' THEN md5(text) ELSE '' END"), F.lit("official_name"), F.col("source"))
     return docs.select("doc_id", N.pick_name(tags, ["name:xx", "name", "official_name"]).alias("name"))
 
 
@@ -638,17 +625,27 @@ def alias_names(spark, sf_dir):
 
 
 
+#: keys of two characters or with a dash count, whatever their case; others do not
+LANGUAGES = (
+    "+l AS (SELECT concat('name:', CASE WHEN doc_id % 7 = 0 THEN concat(upper(lang), '-Hant') WHEN doc_id % 11 = 0 THEN 'nan-Hant' WHEN doc_id % 13 = 0 THEN 'nan' WHEN doc_id % 17 = 0 THEN '1x' ELSE lang END) AS k FROM documents), "
+    "c AS (SELECT lower(substr(k, 6)) AS lang, count(*) AS n FROM l WHERE length(k) = 7 OR contains(k, '-') GROUP BY 1)"
+)
+
+
+def _languages(spark, sf_dir) -> DataFrame:
+    key = F.expr("concat('name:', CASE WHEN doc_id % 7 = 0 THEN concat(upper(lang), '-Hant') WHEN doc_id % 11 = 0 THEN 'nan-Hant' WHEN doc_id % 13 = 0 THEN 'nan' WHEN doc_id % 17 = 0 THEN '1x' ELSE lang END)")
+    return table(spark, sf_dir, "documents").select(F.create_map(key, F.lit("x")).alias("tags"))
+
 
 @query(
-    "+c AS (SELECT substr(k, 6) AS lang, count(*) AS n FROM fx_tags GROUP BY 1), kept AS (SELECT *, row_number() OVER (ORDER BY n DESC, lang) AS rank FROM c WHERE n >= 0.1 * (SELECT max(n) FROM c)) SELECT lang, n, rank FROM kept WHERE rank <= 5",
+    f"{LANGUAGES}, kept AS (SELECT *, row_number() OVER (ORDER BY n DESC, lang) AS rank FROM c WHERE n >= 0.1 * (SELECT max(n) FROM c)) SELECT lang, n, rank FROM kept WHERE rank <= 5",
     "fx_tags",
 )
 def alias_language_policy(spark, sf_dir):
-    tags = fixture(spark, sf_dir, "fx_tags").select(F.create_map("k", "v").alias("tags"))
-    return N.alias_policy(N.alias_counts(tags, F.map_keys("tags")))
+    return N.alias_policy(N.alias_counts(_languages(spark, sf_dir), F.map_keys("tags")))
 
 
-@query("SELECT id, CASE level WHEN 2 THEN 'country' WHEN 4 THEN 'region' WHEN 8 THEN 'municipality' END AS label, concat(name, ' [level=', CAST(level AS VARCHAR(20)), '] [id=', id, ']') AS shown, substr(id, 2) AS bare FROM fx_nodes", "fx_nodes")
+@query("SELECT id, CASE level WHEN 2 THEN 'admin_country' WHEN 4 THEN 'admin_region' WHEN 8 THEN 'admin_locality' END AS label, concat(name, ' [level=', CAST(level AS VARCHAR(20)), '] [id=', id, ']') AS shown, substr(id, 2) AS bare FROM fx_nodes", "fx_nodes")
 def labels(spark, sf_dir):
     nodes = _nodes(spark, sf_dir)
     prefixed = F.concat(F.lit("fx_"), F.substring("id", 2, 99))
@@ -806,9 +803,9 @@ def report_csv(spark, sf_dir):
     return spark.read.csv(path, header=True, schema="extract_ord int, relations long, members long")
 
 
-@query("SELECT pid, px - 3000 AS lon, CASE WHEN px - 3000 < 0 THEN px - 2640 ELSE px - 3000 END AS unwrapped FROM fx_points WHERE px BETWEEN 2820 AND 3180", "fx_points")
+@query("SELECT pid, px % 360 - 180 AS lon, CASE WHEN px % 360 < 180 THEN px % 360 + 180 ELSE px % 360 - 180 END AS unwrapped FROM fx_points", "fx_points")
 def longitude_unwrap(spark, sf_dir):
-    points = fixture(spark, sf_dir, "fx_points").filter("px BETWEEN 2820 AND 3180").withColumn("lon", F.col("px") - 3000)
+    points = fixture(spark, sf_dir, "fx_points").withColumn("lon", F.col("px") % 360 - 180)
     return points.select("pid", "lon", M.unwrap_longitude(F.col("lon")).alias("unwrapped"))
 
 
@@ -825,15 +822,15 @@ def ring_roles(spark, sf_dir):
     return quality.level_counts(fixture(spark, sf_dir, "fx_members").withColumn("ring_role", select.ring_role(F.col("role"))), ["ring_role"])
 
 
-@query("SELECT substr(k, 6) AS lang, count(*) AS n FROM fx_tags GROUP BY 1", "fx_tags")
+@query(f"{LANGUAGES} SELECT lang, n FROM c", "fx_tags")
 def alias_counts(spark, sf_dir):
-    return N.alias_counts(fixture(spark, sf_dir, "fx_tags").select(F.create_map("k", "v").alias("tags")), F.map_keys("tags"))
+    return N.alias_counts(_languages(spark, sf_dir), F.map_keys("tags"))
 
 
-@query("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_regionkey = 2 OR n_name = (SELECT max(n_name) FROM nation)")
+@query("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_regionkey = 2 OR n_name = 'NATION_9'")
 def country_boundary(spark, sf_dir):
     polygons = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("iso"))
-    return tables.country_boundary(polygons, "2", polygons.agg(F.max("name")).first()[0]).select("id", "name")
+    return tables.country_boundary(polygons, "2", "NATION_9").select("id", "name")
 
 
 @query(
@@ -887,6 +884,9 @@ def named_nodes(spark, sf_dir):
     return select.named(_nodes(spark, sf_dir).withColumn("name", F.expr("CASE WHEN id LIKE 's%2' THEN '' ELSE name END"))).select("id", "level", "name")
 
 
-@query("SELECT id, level, name, parent_id, row_number() OVER (ORDER BY name, id) AS place FROM fx_nodes WHERE level = 4", "fx_nodes")
+@query("SELECT id, level, name, parent_id, row_number() OVER (ORDER BY name, id) AS place FROM fx_nodes", "fx_nodes")
 def supplement_order(spark, sf_dir):
-    return tables.ordered_index(_nodes(spark, sf_dir).filter("level = 4"), ["name", "id"])
+    return tables.ordered_index(_nodes(spark, sf_dir), ["name", "id"])
+
+
+from limes.plans import land  # noqa: E402, F401  (registers its queries here)

@@ -6,15 +6,18 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or an own folder where the session names none (single machines, tests)."""
+    """``spark.checkpoint.dir``, or an own folder where the session names none and runs on one machine (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="limes-"))
     return f"file://{_own[0]}"
@@ -29,3 +32,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def raised_if_empty(rows: DataFrame, message: str) -> DataFrame:
+    """No rows, of the same columns, for a union: reading them is an error if ``rows`` is empty."""
+    n = rows.agg(F.count("*").alias("n"))
+    wrong = F.when(F.col("n") == 0, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(False))
+    return n.filter(wrong).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields))

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from limes.functions.names import level_label
 from limes.functions.numbers import list_digest
+from limes.operators.geometry import dissolve
+from limes.operators.index import with_offsets, write_index
+from limes.operators.rings import outlines
+from limes.session import raised_if_empty
 
 FEATURE = T.StructType(
     [
@@ -45,14 +52,26 @@ def latest_of_stems(listing: DataFrame, stems: list[str]) -> DataFrame:
     return listing.select("name", wanted.alias("stem")).filter(F.startswith("name", "stem")).groupBy("stem").agg(F.max("name").alias("name"))
 
 
-def country_boundary(polygons: DataFrame, iso: str | None = None, name: str | None = None) -> DataFrame:
-    """Country polygons by code or name; all of them without either; an error if none is left."""
+def country_boundary(polygons: DataFrame, iso: Column | str | None = None, name: Column | str | None = None) -> DataFrame:
+    """Country polygons by code or name; all of them without either; reading the result is an error if none is left."""
     if iso is None and name is None:
         return polygons
-    kept = polygons.filter(F.lit(False) if iso is None else F.col("iso") == iso).unionByName(polygons.filter(F.lit(False) if name is None else F.col("name") == name)).distinct()
-    if kept.isEmpty():
-        raise ValueError("no country polygon matches")
-    return kept
+    hit = F.lit(False)
+    for column, value in (("iso", iso), ("name", name)):
+        if value is not None:
+            hit = hit | F.coalesce(F.col(column) == value, F.lit(False))
+    kept = polygons.filter(hit).distinct()
+    return kept.unionByName(raised_if_empty(kept, "no country polygon matches"))
+
+
+def country_outline(edges: DataFrame, country: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dissolved rings of the features ``id`` that ``country_boundary`` kept, and their box."""
+    own = edges.join(country.select(F.col("id").alias("feature_id")), "feature_id", "left_semi").withColumn("country", F.lit("country"))
+    segments = dissolve(own, "country")
+    low = lambda a, b: F.min(F.least(a, b))
+    high = lambda a, b: F.max(F.greatest(a, b))
+    box = segments.groupBy("country").agg(low("x1", "x2").alias("minx"), low("y1", "y2").alias("miny"), high("x1", "x2").alias("maxx"), high("y1", "y2").alias("maxy"))
+    return outlines(segments, "country"), box
 
 
 def documents_of(features: DataFrame) -> DataFrame:
@@ -74,6 +93,41 @@ def write_dataset(features: DataFrame, path: str, by: list[str]) -> None:
     features.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def dataset_rows(features: DataFrame, boxes: DataFrame, labels: dict[int, str] | None = None) -> DataFrame:
+    """Features ``id, level, name, parent_id, names`` as a dataset has them: with box, label, and names only where there are any."""
+    box = boxes.groupBy(F.col("feature_id").alias("id")).agg(F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"))
+    row = features.join(box, "id", "left").withColumn("bbox", F.when(F.col("minx").isNotNull(), F.array(*(F.col(c).cast("double") for c in ("minx", "miny", "maxx", "maxy")))))
+    return row.select("id", F.col("id").alias("osm_id"), "level", level_label(F.col("level"), labels).alias("label"), "name", F.when(F.size("names") > 0, F.col("names")).alias("names"), "bbox", F.col("parent_id").alias("parent"))
+
+
+def write_release(path: str, edges: DataFrame, meta: DataFrame, hierarchy: DataFrame, policy: DataFrame, version: int = 3) -> None:
+    """The runtime's tables: geometry index (five tables), feature metadata, hierarchy and policy; writing again replaces them."""
+    write_index(edges, f"{path}/geometry", version)
+    for name, rows in (("feature_meta", meta), ("hierarchy", hierarchy), ("policy", policy)):
+        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def staged(spark: SparkSession, folder: str, key: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The stage's table under ``key``: read if it is there and complete, else made and written."""
+    path = f"{folder}/stage={key}"
+    try:  # the mark is written last, so a stage that was cut off is made again
+        spark.read.text(f"{path}/done").first()
+        return spark.read.parquet(f"{path}/rows")
+    except AnalysisException:
+        rows = make()
+    rows.write.mode("overwrite").parquet(f"{path}/rows")
+    spark.range(1).selectExpr("'done' AS value").write.mode("overwrite").text(f"{path}/done")
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows")
+
+
+def diagnostics(totals: DataFrame, largest: DataFrame, expected: DataFrame) -> DataFrame:
+    """One row for each extract: its totals, its largest level-4 feature ``extract, name, area``, and whether that is the expected one."""
+    top = largest.groupBy("extract").agg(F.max(F.struct("area", "name")).alias("top"))
+    rows = totals.join(top, "extract", "left").join(expected.select("extract", F.col("name").alias("expected_name")), "extract", "left")
+    found = largest.join(expected, ["extract", "name"], "left_semi").select("extract").distinct().withColumn("found", F.lit(True))
+    return rows.join(found, "extract", "left").select(*totals.columns, "expected_name", F.coalesce("found", F.lit(False)).alias("expected_found"), F.col("top.name").alias("largest_name"), F.col("top.area").alias("largest_area"))
+
+
 def write_report(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").csv(path, header=True)
 
@@ -84,5 +138,5 @@ def stage_key(listing: DataFrame, group: str) -> DataFrame:
 
 
 def ordered_index(rows: DataFrame, order: list[str]) -> DataFrame:
-    """The dense order of rows within small summaries."""
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy().orderBy(*order)))
+    """Rows with their dense place from 1 in a global order."""
+    return with_offsets(rows, order, {}).withColumn("place", F.col("index") + 1).drop("index")

@@ -33,7 +33,7 @@ def test_levels_codes_and_ids(spark):
     assert one(spark, N.level_of(F.lit("6a"))) is None
     assert one(spark, N.country_code(F.lit(" UK "))) == "gb"
     assert one(spark, N.runtime_id(F.lit("pt_r1"), "pt")) == "r1"
-    assert one(spark, N.level_label(F.lit(7))) == "admin_level_7"
+    assert one(spark, N.level_label(F.lit(7))) == "admin_locality" and one(spark, N.level_label(F.lit(11))) == "admin_level_11"
 
 
 def test_empty_level_list_is_an_error(spark):
