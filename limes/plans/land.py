@@ -91,6 +91,12 @@ def land_country_filter(spark, sf_dir):
 # --- distances in km: the lattice at 40 degrees north, a hundredth of a degree a cell -----------------------------------
 
 OPEN = f"{LHITS}, op AS (SELECT pid, px, py, cos(radians(40 + py * 0.0001::DOUBLE)) AS shrink FROM fx_spots WHERE pid NOT IN (SELECT pid FROM lh WHERE level = 8))"
+# the same in degrees, where a point on a border may fall on either side
+OPEN_DEGREES = (
+    f"+{LBOX}, dp AS (SELECT pid, px * 0.0001::DOUBLE AS px, py * 0.0001::DOUBLE + 40 AS py FROM fx_spots), de AS (SELECT feature_id, x1 * 0.0001::DOUBLE AS x1, y1 * 0.0001::DOUBLE + 40 AS y1, x2 * 0.0001::DOUBLE AS x2, y2 * 0.0001::DOUBLE + 40 AS y2 FROM fx_land WHERE level = 8), "
+    f"dh AS (SELECT dp.pid, e.feature_id FROM fx_spots s JOIN lb ON s.px BETWEEN minx AND maxx AND s.py BETWEEN miny AND maxy AND lb.level = 8 JOIN dp ON dp.pid = s.pid JOIN de e ON e.feature_id = lb.feature_id GROUP BY ALL HAVING {CROSSED('dp')}), "
+    "op AS (SELECT pid, px, py, cos(radians(40 + py * 0.0001::DOUBLE)) AS shrink FROM fx_spots WHERE pid NOT IN (SELECT pid FROM dh))"
+)
 _U = [f"((e.{c} - op.{'p' + c[0]}) * 0.0001::DOUBLE * {'111.32::DOUBLE * shrink' if c[0] == 'x' else '111.32::DOUBLE'})" for c in ("x1", "y1", "x2", "y2")]
 KM = (
     f"kk AS (SELECT pid, e.level, {_U[0]} AS a, {_U[1]} AS b, {_U[2]} - {_U[0]} AS dx, {_U[3]} - {_U[1]} AS dy FROM op JOIN fx_land e ON e.x1 BETWEEN px - 400 AND px + 400 AND e.y1 BETWEEN py - 400 AND py + 400), "
@@ -113,7 +119,7 @@ def land_nearest_km(spark, sf_dir):
 
 
 @query(
-    f"{OPEN}, {KM} SELECT s.pid, CASE WHEN s.pid NOT IN (SELECT pid FROM op) THEN 'inside' WHEN km <= 0.2 THEN 'nearby' WHEN km <= 0.6 THEN 'offshore' ELSE 'outside' END AS class FROM fx_spots s LEFT JOIN kd ON kd.pid = s.pid AND kd.level = 8",
+    f"{OPEN_DEGREES}, {KM} SELECT s.pid, CASE WHEN s.pid NOT IN (SELECT pid FROM op) THEN 'inside' WHEN km <= 0.2 THEN 'nearby' WHEN km <= 0.6 THEN 'offshore' ELSE 'outside' END AS class FROM fx_spots s LEFT JOIN kd ON kd.pid = s.pid AND kd.level = 8",
     "fx_land",
     "fx_spots",
 )
