@@ -3,6 +3,11 @@
 Every stage is one of the operators in ``limes.llm`` on all rows that the stage before kept.  Stages but the last return the
 columns of ``documents``: rejected documents and near-copies go, personal data is replaced by its kind in ``text``, and mixing repeats or
 drops blocks of words by their source's quota, which cuts documents at blocks' edges.  The last stage returns pieces of documents in windows of token ids.
+
+Defined results: null, empty and very short texts fail the quality rules and go; rows without a doc_id are linked with nothing and stay; rows that
+repeat a kept doc_id stay together; a null source is a source of its own; extra columns, whatever their names, go along up to mixing; columns
+``n_chars`` and ``n_words`` are counted again where a text is changed; without usable labels, or without documents to learn from, only
+base rules and patterns decide; an empty table gives an empty table.
 """
 
 from __future__ import annotations
