@@ -519,7 +519,7 @@ def order_violations(spark, sf_dir):
     return lookup.order_violations(listed.unionByName(_spots(spark, sf_dir).filter("pid % 13 = 0").selectExpr("pid", "'a' AS feature_id", "8 AS level", "9 AS pos")))
 
 
-PROFILE_VALUES = ", ".join(f"('{line.split()[0].lower()}', [{line.split()[1].replace('-', ', ')}])" for line in profiles.LEVELS.splitlines())
+PROFILE_VALUES = ", ".join(f"('{code.lower()}', {levels})" for code, levels in profiles.LEVELS.items())
 
 
 @query(
@@ -531,8 +531,7 @@ PROFILE_VALUES = ", ".join(f"('{line.split()[0].lower()}', [{line.split()[1].rep
 def country_policy(spark, sf_dir):
     """Shape policies of the countries that suppliers come from: by the first level, but for a country that lists its shapes."""
     levels = index.with_offsets(profiles.level_table(spark), ["country"], {})
-    n = len(profiles.LEVELS.splitlines())
-    own = table(spark, sf_dir, "supplier").selectExpr(f"s_suppkey % {n} AS index").distinct().join(levels, "index").select("country", "levels")
+    own = table(spark, sf_dir, "supplier").selectExpr(f"s_suppkey % {len(profiles.LEVELS)} AS index").distinct().join(levels, "index").select("country", "levels")
     shapes = F.expr("map('4-6-8', 'ok', '4-8', 'ok', '4', 'partial')")
     listed = own.filter("country = 'be'").select("country", F.explode(shapes).alias("shape", "status"))
     return policy.country_policy(own, listed)

@@ -10,203 +10,203 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Administrative levels by country code.
-LEVELS = """\
-AE 2-3-4-5-6-7-8-9-10-11
-AF 4-5-7-10
-AL 4-6-7-8
-AM 4-5-6-7-8-10
-AO 2-4-5-6-7-8
-AR 4-5-8
-AT 4-6-8
-AU 4-6-7
-AZ 2-3-4-5-6-7-8
-BA 4-5-6-7-8
-BD 2-4-5-6-7-8-9-10
-BE 4-6-8
-BF 4-5-6-8
-BG 4-5-6
-BH 2-3-4-5-6-7-8-9-10-11
-BI 2-4-6-8
-BJ 2-4-6-7-8
-BN 2-3-4-5-6-7-8-10-11-14
-BO 4-6-8-9-10
-BR 4-8
-BS 8-9
-BT 4-5-6-8-9-10
-BW 2-4-6-8-10
-BY 2-4-6-8
-BZ 4-7-8-9-10-11
-CA 4-5-6-7-8
-CD 2-4-6-7-8-9-10
-CF 2-4-6-8-9-10
-CG 2-4-5-6-7-8-9-10
-CH 4-6-8
-CI 2-4-5-6-7-8-9-10
-CK 2-4-6-8-10
-CL 4-6-8
-CM 2-4-6-7-8-9-10
-CN 4-5-6
-CO 4-6-8
-CR 4-6-8-10
-CU 4-6-7-8-9-10-11
-CV 2-6-7-8-9-10
-CY 5-6-8-9
-CZ 4-6-7-8
-DE 4-5-6-8
-DJ 2-4-6-8-9
-DK 4-7
-DO 4-6-10
-DZ 2-4-6-7-8-10-11
-EC 4-6-8-9-10
-EE 6-7
-EG 2-4-6-7-8-9-10
-ER 2-4-8-9
-ES 4-6-8
-ET 4-5-6-8-10
-FI 4-7-8
-FJ 2-4-6-8-10
-FM 2-4-6-8-10
-FR 4-6-8
-GA 2-4-5-6-9
-GB 4-5-6-7-8
-GE 4-6-8-10
-GH 2-4-6-7-8-9
-GL 2-4-5
-GM 2-4-5-6-7-8-9-10
-GN 2-4-6-7-8-10-11
-GQ 2-3-4-5-6-8
-GR 3-4-5-6-7-8
-GT 4-6-8-10
-GW 2-3-4-6-8
-GY 4-6-8-10
-HK 3-4-5-6-7-8-9
-HN 4-6-7-8-9-10-12
-HR 4-7
-HT 4-5-8-10-11
-HU 6-7-8-9
-ID 4-5-6-7
-IE 5-6-7-8-9
-IL 2-4-5-6-7-8-9-10-11
-IN 4-5-6
-IQ 2-3-4-5-6-7-8-9
-IR 4-5-6-7
-IS 5-6-9-10
-IT 4-6-8
-JM 5-6-8-9
-JO 2-4-5-6-8-9-10
-JP 3-4-7
-KE 1-2-3-4-6-7-8-9-10-12
-KG 2-4-6-7-8-9-10
-KH 1-2-4-6-8
-KI 2-4-6-8-10
-KM 2-4-6-8
-KP 2-4-6-7-8-10
-KR 4-6-8
-KW 2-3-4-5-6-7-8-9-10-11
-KZ 2-4-6-7-8-9-10
-LA 2-4-6-7-8-10
-LB 2-4-5-7-8
-LK 2-3-4-5-6-7-8-9-10
-LR 2-4-6-8-9-10
-LS 2-5-6
-LT 4-5-6-8
-LU 6-8-9
-LV 5-7-8-9
-LY 2-4-6-9
-MA 2-4-5-6-7-8-9-10-11
-MC 8-10
-MD 4-8-9
-ME 6-8-9
-MG 2-3-4-6-7-8-9-10-11
-MH 2-4-6-8-10
-MK 7-8-9
-ML 2-4-6-7-8-10
-MM 2-3-4-5-6-7-8-9-10
-MN 2-4-6-7-8
-MO 5-6
-MR 2-4-6-8
-MU 2-3-4-8-9-10
-MV 2-4-8-9
-MW 2-3-4-5-10
-MX 4-6
-MY 4-5-6-7-8-10
-MZ 2-3-4-5-6-8-10
-NA 2-4-5-6-7-8-9-10-11-12
-NC 2-4-6-8-10
-NE 2-4-6-7-8-9
-NG 4-6-7-8-10
-NI 4-6-8-9-10-11-12
-NL 4-8
-NO 4-7
-NP 2-4-6-7-8-9-10-11
-NR 2-4-6-8-10
-NU 2-4-6-8-10
-NZ 4-6-8
-OM 2-3-4-5-6-7-8-9-10-11
-PA 4-6-7-8-9-10-11
-PE 4-6-8
-PF 2-4-6-8-10
-PG 2-4-6-8-10
-PH 4-6-10
-PK 2-4-5-6-7-8-9-10-11
-PL 4-6-7
-PN 2-4-6-8-10
-PS 2-4-5-6-7-8-9-10-11
-PT 4-6-7-8
-PW 2-4-6-8-10
-PY 4-6-7-8-9-10
-QA 2-3-4-5-6-7-8-9-10-11
-RO 4-8
-RS 6-8
-RU 4-5-6-8-9-10
-RW 2-4-6-8-9
-SA 2-3-4-5-6-7-8-9-10-11
-SB 2-4-6-8-10
-SC 2-4-6-8-10
-SD 2-4-5-6-8-9-10-11
-SE 4-7
-SG 6-11
-SH 2-3-4-10
-SI 8-10
-SK 4-6-8-9
-SL 2-4-5-6-7-8-10
-SN 2-4-5-6-7-8-9-10
-SO 2-3-4-5-6-9
-SR 4-6
-SS 4-5-6-7-8
-ST 2-4-6-7
-SV 4-5-6-7-8-9-10
-SY 2-4-5-6-7-8-10
-SZ 2-4-6-10
-TD 2-4-6-7-8-9-10
-TG 2-4-6-8-9-10
-TH 4-6-8-10
-TJ 2-4-5-6-7-8-10
-TK 2-4-6-8-10
-TL 2-4-5-6
-TM 4-5-6-7-8-9-10-11
-TN 2-4-5-6-8
-TO 2-4-6-8-10
-TR 4-6
-TV 2-4-6-8-10
-TW 4-7-8
-TZ 3-4-5-6-7-8-9-10
-UA 4-6-7-8-9-10
-UG 2-3-4-5-6-7-8-9-10-11-12
-US 4-6-8
-UY 4-8-10
-UZ 2-3-4-5-6-7-8-10
-VE 4-6-7-8-9-10
-VN 4-6
-VU 2-4-6-8-10
-WF 2-4-6-8-10
-WS 2-4-6-8-10
-XK 5-6-8-9-10
-YE 2-4-5-6-7
-ZA 1-2-4-6-8-9-10-11
-ZM 2-4-5-6-9
-ZW 2-4-6-8-10
-"""
+LEVELS = {
+    "AE": [2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    "AF": [4, 5, 7, 10],
+    "AL": [4, 6, 7, 8],
+    "AM": [4, 5, 6, 7, 8, 10],
+    "AO": [2, 4, 5, 6, 7, 8],
+    "AR": [4, 5, 8],
+    "AT": [4, 6, 8],
+    "AU": [4, 6, 7],
+    "AZ": [2, 3, 4, 5, 6, 7, 8],
+    "BA": [4, 5, 6, 7, 8],
+    "BD": [2, 4, 5, 6, 7, 8, 9, 10],
+    "BE": [4, 6, 8],
+    "BF": [4, 5, 6, 8],
+    "BG": [4, 5, 6],
+    "BH": [2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    "BI": [2, 4, 6, 8],
+    "BJ": [2, 4, 6, 7, 8],
+    "BN": [2, 3, 4, 5, 6, 7, 8, 10, 11, 14],
+    "BO": [4, 6, 8, 9, 10],
+    "BR": [4, 8],
+    "BS": [8, 9],
+    "BT": [4, 5, 6, 8, 9, 10],
+    "BW": [2, 4, 6, 8, 10],
+    "BY": [2, 4, 6, 8],
+    "BZ": [4, 7, 8, 9, 10, 11],
+    "CA": [4, 5, 6, 7, 8],
+    "CD": [2, 4, 6, 7, 8, 9, 10],
+    "CF": [2, 4, 6, 8, 9, 10],
+    "CG": [2, 4, 5, 6, 7, 8, 9, 10],
+    "CH": [4, 6, 8],
+    "CI": [2, 4, 5, 6, 7, 8, 9, 10],
+    "CK": [2, 4, 6, 8, 10],
+    "CL": [4, 6, 8],
+    "CM": [2, 4, 6, 7, 8, 9, 10],
+    "CN": [4, 5, 6],
+    "CO": [4, 6, 8],
+    "CR": [4, 6, 8, 10],
+    "CU": [4, 6, 7, 8, 9, 10, 11],
+    "CV": [2, 6, 7, 8, 9, 10],
+    "CY": [5, 6, 8, 9],
+    "CZ": [4, 6, 7, 8],
+    "DE": [4, 5, 6, 8],
+    "DJ": [2, 4, 6, 8, 9],
+    "DK": [4, 7],
+    "DO": [4, 6, 10],
+    "DZ": [2, 4, 6, 7, 8, 10, 11],
+    "EC": [4, 6, 8, 9, 10],
+    "EE": [6, 7],
+    "EG": [2, 4, 6, 7, 8, 9, 10],
+    "ER": [2, 4, 8, 9],
+    "ES": [4, 6, 8],
+    "ET": [4, 5, 6, 8, 10],
+    "FI": [4, 7, 8],
+    "FJ": [2, 4, 6, 8, 10],
+    "FM": [2, 4, 6, 8, 10],
+    "FR": [4, 6, 8],
+    "GA": [2, 4, 5, 6, 9],
+    "GB": [4, 5, 6, 7, 8],
+    "GE": [4, 6, 8, 10],
+    "GH": [2, 4, 6, 7, 8, 9],
+    "GL": [2, 4, 5],
+    "GM": [2, 4, 5, 6, 7, 8, 9, 10],
+    "GN": [2, 4, 6, 7, 8, 10, 11],
+    "GQ": [2, 3, 4, 5, 6, 8],
+    "GR": [3, 4, 5, 6, 7, 8],
+    "GT": [4, 6, 8, 10],
+    "GW": [2, 3, 4, 6, 8],
+    "GY": [4, 6, 8, 10],
+    "HK": [3, 4, 5, 6, 7, 8, 9],
+    "HN": [4, 6, 7, 8, 9, 10, 12],
+    "HR": [4, 7],
+    "HT": [4, 5, 8, 10, 11],
+    "HU": [6, 7, 8, 9],
+    "ID": [4, 5, 6, 7],
+    "IE": [5, 6, 7, 8, 9],
+    "IL": [2, 4, 5, 6, 7, 8, 9, 10, 11],
+    "IN": [4, 5, 6],
+    "IQ": [2, 3, 4, 5, 6, 7, 8, 9],
+    "IR": [4, 5, 6, 7],
+    "IS": [5, 6, 9, 10],
+    "IT": [4, 6, 8],
+    "JM": [5, 6, 8, 9],
+    "JO": [2, 4, 5, 6, 8, 9, 10],
+    "JP": [3, 4, 7],
+    "KE": [1, 2, 3, 4, 6, 7, 8, 9, 10, 12],
+    "KG": [2, 4, 6, 7, 8, 9, 10],
+    "KH": [1, 2, 4, 6, 8],
+    "KI": [2, 4, 6, 8, 10],
+    "KM": [2, 4, 6, 8],
+    "KP": [2, 4, 6, 7, 8, 10],
+    "KR": [4, 6, 8],
+    "KW": [2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    "KZ": [2, 4, 6, 7, 8, 9, 10],
+    "LA": [2, 4, 6, 7, 8, 10],
+    "LB": [2, 4, 5, 7, 8],
+    "LK": [2, 3, 4, 5, 6, 7, 8, 9, 10],
+    "LR": [2, 4, 6, 8, 9, 10],
+    "LS": [2, 5, 6],
+    "LT": [4, 5, 6, 8],
+    "LU": [6, 8, 9],
+    "LV": [5, 7, 8, 9],
+    "LY": [2, 4, 6, 9],
+    "MA": [2, 4, 5, 6, 7, 8, 9, 10, 11],
+    "MC": [8, 10],
+    "MD": [4, 8, 9],
+    "ME": [6, 8, 9],
+    "MG": [2, 3, 4, 6, 7, 8, 9, 10, 11],
+    "MH": [2, 4, 6, 8, 10],
+    "MK": [7, 8, 9],
+    "ML": [2, 4, 6, 7, 8, 10],
+    "MM": [2, 3, 4, 5, 6, 7, 8, 9, 10],
+    "MN": [2, 4, 6, 7, 8],
+    "MO": [5, 6],
+    "MR": [2, 4, 6, 8],
+    "MU": [2, 3, 4, 8, 9, 10],
+    "MV": [2, 4, 8, 9],
+    "MW": [2, 3, 4, 5, 10],
+    "MX": [4, 6],
+    "MY": [4, 5, 6, 7, 8, 10],
+    "MZ": [2, 3, 4, 5, 6, 8, 10],
+    "NA": [2, 4, 5, 6, 7, 8, 9, 10, 11, 12],
+    "NC": [2, 4, 6, 8, 10],
+    "NE": [2, 4, 6, 7, 8, 9],
+    "NG": [4, 6, 7, 8, 10],
+    "NI": [4, 6, 8, 9, 10, 11, 12],
+    "NL": [4, 8],
+    "NO": [4, 7],
+    "NP": [2, 4, 6, 7, 8, 9, 10, 11],
+    "NR": [2, 4, 6, 8, 10],
+    "NU": [2, 4, 6, 8, 10],
+    "NZ": [4, 6, 8],
+    "OM": [2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    "PA": [4, 6, 7, 8, 9, 10, 11],
+    "PE": [4, 6, 8],
+    "PF": [2, 4, 6, 8, 10],
+    "PG": [2, 4, 6, 8, 10],
+    "PH": [4, 6, 10],
+    "PK": [2, 4, 5, 6, 7, 8, 9, 10, 11],
+    "PL": [4, 6, 7],
+    "PN": [2, 4, 6, 8, 10],
+    "PS": [2, 4, 5, 6, 7, 8, 9, 10, 11],
+    "PT": [4, 6, 7, 8],
+    "PW": [2, 4, 6, 8, 10],
+    "PY": [4, 6, 7, 8, 9, 10],
+    "QA": [2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    "RO": [4, 8],
+    "RS": [6, 8],
+    "RU": [4, 5, 6, 8, 9, 10],
+    "RW": [2, 4, 6, 8, 9],
+    "SA": [2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    "SB": [2, 4, 6, 8, 10],
+    "SC": [2, 4, 6, 8, 10],
+    "SD": [2, 4, 5, 6, 8, 9, 10, 11],
+    "SE": [4, 7],
+    "SG": [6, 11],
+    "SH": [2, 3, 4, 10],
+    "SI": [8, 10],
+    "SK": [4, 6, 8, 9],
+    "SL": [2, 4, 5, 6, 7, 8, 10],
+    "SN": [2, 4, 5, 6, 7, 8, 9, 10],
+    "SO": [2, 3, 4, 5, 6, 9],
+    "SR": [4, 6],
+    "SS": [4, 5, 6, 7, 8],
+    "ST": [2, 4, 6, 7],
+    "SV": [4, 5, 6, 7, 8, 9, 10],
+    "SY": [2, 4, 5, 6, 7, 8, 10],
+    "SZ": [2, 4, 6, 10],
+    "TD": [2, 4, 6, 7, 8, 9, 10],
+    "TG": [2, 4, 6, 8, 9, 10],
+    "TH": [4, 6, 8, 10],
+    "TJ": [2, 4, 5, 6, 7, 8, 10],
+    "TK": [2, 4, 6, 8, 10],
+    "TL": [2, 4, 5, 6],
+    "TM": [4, 5, 6, 7, 8, 9, 10, 11],
+    "TN": [2, 4, 5, 6, 8],
+    "TO": [2, 4, 6, 8, 10],
+    "TR": [4, 6],
+    "TV": [2, 4, 6, 8, 10],
+    "TW": [4, 7, 8],
+    "TZ": [3, 4, 5, 6, 7, 8, 9, 10],
+    "UA": [4, 6, 7, 8, 9, 10],
+    "UG": [2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12],
+    "US": [4, 6, 8],
+    "UY": [4, 8, 10],
+    "UZ": [2, 3, 4, 5, 6, 7, 8, 10],
+    "VE": [4, 6, 7, 8, 9, 10],
+    "VN": [4, 6],
+    "VU": [2, 4, 6, 8, 10],
+    "WF": [2, 4, 6, 8, 10],
+    "WS": [2, 4, 6, 8, 10],
+    "XK": [5, 6, 8, 9, 10],
+    "YE": [2, 4, 5, 6, 7],
+    "ZA": [1, 2, 4, 6, 8, 9, 10, 11],
+    "ZM": [2, 4, 5, 6, 9],
+    "ZW": [2, 4, 6, 8, 10],
+}
 
 # Tolerance in degrees by level; deeper levels take the last one.
 TOLERANCE = {1: 0.01, 2: 0.01, 3: 0.01, 4: 0.01, 5: 0.002, 6: 0.001}
@@ -217,8 +217,7 @@ PROFILE = "country string, levels array<int>, name_keys array<string>, languages
 
 def level_table(spark: SparkSession) -> DataFrame:
     """``country, levels``."""
-    rows = [(code.lower(), [int(x) for x in levels.split("-")]) for code, levels in (line.split() for line in LEVELS.splitlines())]
-    return spark.createDataFrame(rows, "country string, levels array<int>")
+    return spark.createDataFrame([(code.lower(), levels) for code, levels in LEVELS.items()], "country string, levels array<int>")
 
 
 def default_profiles(levels: DataFrame, languages: DataFrame | None = None) -> DataFrame:
