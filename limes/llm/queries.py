@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from limes.llm import licenses, media, mixing, near_dup, packing, pii, quality, substring_dedup, suffix_dedup, url_filters
+from limes.llm import licenses, media, mil_quality, mixing, near_dup, packing, pii, prefix_trie, quality, ranked_search, substring_dedup, suffix_dedup, url_filters
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_url_filters": url_filters.op8_url_filters,
     "op9_quality": quality.op9_quality,
     "op10_near_duplicates": near_dup.op10_near_duplicates,
+    "op11_ranked_search": ranked_search.op11_ranked_search,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_mil_quality": mil_quality.op13_mil_quality,
 }
 
 ORACLES = {
     "op6_licenses": licenses.ORACLE,
     "op8_url_filters": url_filters.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
