@@ -9,9 +9,6 @@ from limes.functions.numbers import path_signature
 from limes.operators.index import with_offsets
 from limes.session import written
 
-#: Levels are strictly below their parent's, so there are never more steps than levels.
-MOST_LEVELS = 12
-
 
 def resolved(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges by parent name: those whose name exactly one node has, and the rest."""
@@ -41,61 +38,69 @@ def roots(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(edges.select(F.col("child").alias("id")), "id", "left_anti")
 
 
-def paths(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
-    """``id, path_ids`` from the root down, by one self-join a level; nodes without a way up to a root are not in the result.
+def paths(nodes: DataFrame) -> DataFrame:
+    """``id, path_ids`` from the root down, to any depth; nodes without a way up to a root are not in the result.
 
-    The loop is bounded by the number of levels, and stops where no node has an ancestor left.
+    Ways are put together by doubling: each round joins every open way to the way of the node it has come to, so a depth of n takes log n rounds.
+    A way that comes to a node twice is behind a cycle and ends.
     """
-    up = nodes.select("id", "parent_id")
-    grown = up.filter("parent_id IS NULL").select("id", F.array("id").alias("path_ids"))
-    level = grown
-    for _ in range(most):
-        level = up.join(level.select(F.col("id").alias("parent_id"), "path_ids"), "parent_id").select("id", F.concat("path_ids", F.array("id")).alias("path_ids"))
-        level = written(level, "paths-level")
-        if level.isEmpty():
-            break
-        grown = grown.unionByName(level)
-    return grown
+    up = nodes.select("id", F.col("parent_id").alias("up"), F.array("id").alias("path_ids"))
+    done, open_ = up.filter("up IS NULL"), written(up.filter("up IS NOT NULL"), "paths-open")
+    while not open_.isEmpty():
+        ahead = done.unionByName(open_).select(F.col("id").alias("up"), F.col("up").alias("further"), F.col("path_ids").alias("before"))
+        longer = open_.join(ahead, "up").select("id", F.col("further").alias("up"), F.concat("before", "path_ids").alias("path_ids"))
+        longer = written(longer.filter("size(array_distinct(path_ids)) = size(path_ids) AND NOT coalesce(array_contains(path_ids, up), false)"), "paths-longer")
+        done, open_ = done.unionByName(longer.filter("up IS NULL")), longer.filter("up IS NOT NULL")
+    return done.select("id", "path_ids")
 
 
-def branch_identity(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
+def branch_identity(nodes: DataFrame) -> DataFrame:
     """Root, branch, path and signature of every node that reaches a root."""
-    p = paths(nodes, most)
+    p = paths(nodes)
     return p.select("id", F.element_at("path_ids", 1).alias("root_id"), F.coalesce(F.try_element_at("path_ids", F.lit(2)), F.element_at("path_ids", 1)).alias("branch_id"), "path_ids", path_signature(F.col("path_ids")).alias("path_signature"))
 
 
-def tree_listing(nodes: DataFrame, edges: DataFrame, most: int = MOST_LEVELS, skip_unlevelled: bool = False) -> DataFrame:
-    """``root, id, depth, sort_path``: preorder by name below every root; a node is not entered twice on one way down.
+def tree_listing(nodes: DataFrame, edges: DataFrame, skip_unlevelled: bool = False) -> DataFrame:
+    """``root, id, depth, sort_path``: preorder by name and id below every root, to any depth; a root lists a node once, where the walk first comes to it.
 
-    With ``skip_unlevelled`` nodes without a level are passed but not listed, and add no depth, so their children come below the nearest listed one.
+    That is the node's smallest way down that passes no node twice: every round carries on only the ways that are smaller than what the
+    root had for a node, so shared children do not multiply, and it ends when no way gets smaller.  With ``skip_unlevelled`` nodes
+    without a level are passed but not listed, and add no depth, so their children come below the nearest listed one.
     """
     told = F.lit(True) if not skip_unlevelled else F.col("level").isNotNull()
-    named = nodes.select("id", "name", told.alias("told"))
+    named = nodes.select("id", F.coalesce("name", F.lit("")).alias("name"), told.alias("told"))
     step = lambda name, i: F.array(F.concat_ws("\x1f", name, i))
-    start = roots(nodes, edges).join(named.select("id", "told"), "id")
-    start = start.select(F.col("id").alias("root"), "id", F.when(F.col("told"), F.lit(0)).otherwise(-1).alias("depth"), F.array("id").alias("way"), step("name", "id").alias("sort_path"), "told", F.when(F.col("told"), F.col("id")).alias("listed"), F.lit(None).cast(nodes.schema["id"].dataType).alias("above"))
-    every, level = start, start
-    down = edges.select("parent", F.col("child")).distinct().join(named.select(F.col("id").alias("child"), "name", F.col("told").alias("child_told")), "child")
-    for _ in range(most):
-        level = (
-            level.join(down, level["id"] == down["parent"])
+    start = roots(nodes, edges).select("id").join(named, "id")
+    first = start.select(F.col("id").alias("root"), "id", step("name", "id").alias("sort_path"), F.array("id").alias("way"), F.when(F.col("told"), F.lit(0)).otherwise(-1).alias("depth"), "told", F.when(F.col("told"), F.col("id")).alias("listed"), F.lit(None).cast(nodes.schema["id"].dataType).alias("above"))
+    down = written(edges.select("parent", "child").distinct().join(named.select(F.col("id").alias("child"), "name", F.col("told").alias("child_told")), "child"), "tree-edges")
+    better = written(first, "tree-ways")
+    every = better
+    while not better.isEmpty():
+        further = (
+            better.join(down, better["id"] == down["parent"])
             .filter(~F.array_contains("way", F.col("child")))
             .select(
                 "root",
                 F.col("child").alias("id"),
-                (F.col("depth") + F.col("child_told").cast("int")).alias("depth"),
-                F.concat("way", F.array("child")).alias("way"),
                 F.concat("sort_path", step("name", "child")).alias("sort_path"),
+                F.concat("way", F.array("child")).alias("way"),
+                (F.col("depth") + F.col("child_told").cast("int")).alias("depth"),
                 F.col("child_told").alias("told"),
                 F.when(F.col("child_told"), F.col("child")).otherwise(F.col("listed")).alias("listed"),
                 F.col("listed").alias("above"),
             )
         )
-        level = written(level, "tree-level")
-        if level.isEmpty():
-            break
-        every = every.unionByName(level)
-    return every.filter("told").select("root", "id", "depth", "sort_path", "above")
+        best = _smallest(further)
+        known = every.groupBy("root", "id").agg(F.min("sort_path").alias("known"))
+        better = written(best.join(known, ["root", "id"], "left").filter("known IS NULL OR sort_path < known").drop("known"), "tree-ways")
+        every = every.unionByName(better)
+    return _smallest(every).filter("told").select("root", "id", "depth", "sort_path", "above")
+
+
+def _smallest(ways: DataFrame) -> DataFrame:
+    """Of each root's ways to a node the first by path."""
+    rest = [c for c in ways.columns if c not in ("root", "id")]
+    return ways.groupBy("root", "id").agg(F.min(F.struct("sort_path", *(c for c in rest if c != "sort_path"))).alias("w")).select("root", "id", *(F.col(f"w.{c}").alias(c) for c in rest))
 
 
 def raw_semantics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -190,9 +195,9 @@ def semantic(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", "level", "name", "parent_id", F.when(F.size("names") > 0, F.col("names")).alias("names"))
 
 
-def ancestors(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
+def ancestors(nodes: DataFrame) -> DataFrame:
     """``id, ancestor_id, ancestor_level`` including the node itself."""
-    p = paths(nodes, most).select("id", F.explode("path_ids").alias("ancestor_id"))
+    p = paths(nodes).select("id", F.explode("path_ids").alias("ancestor_id"))
     return p.join(nodes.select(F.col("id").alias("ancestor_id"), F.col("level").alias("ancestor_level")), "ancestor_id")
 
 

@@ -14,9 +14,12 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from limes.operators.noding import noded
+
 Point = tuple[float, float]
 Segment = tuple[Point, Point]
 
@@ -72,18 +75,73 @@ def faces(segments: list[Segment]) -> list[list[Point]]:
         order = sorted(n, key=lambda u: math.atan2(u[1] - v[1], u[0] - v[0]))
         for k, u in enumerate(order):
             turn[u, v] = order[k - 1]  # coming from u, the next way clockwise
-    out, left = [], dict.fromkeys(sorted(turn))
-    while left:
-        step = next(iter(left))
+    out, seen = [], set()
+    for step in sorted(turn):
         ring = []
-        while step in left:
-            del left[step]
+        while step not in seen:
+            seen.add(step)
             ring.append(step[0])
             step = (step[1], turn[step])
-        out.append(ring)
+        if ring:
+            out.append(ring)
     return out
 
 
+def holders(rings: list[list[Point]], probes: list[Point]) -> list[list[int]]:
+    """For each probe the rings that hold it: those with an odd number of sides below it.
+
+    Sides are listed in upright strips, as many as keep the lists short, and a probe meets the sides of its strip only.
+    """
+    found: list[list[int]] = [[] for _ in probes]
+    if not rings or not probes:
+        return found
+    own = np.repeat(np.arange(len(rings)), [len(r) for r in rings])
+    a = np.array([p for r in rings for p in r], dtype=float)
+    b = np.array([p for r in rings for p in (*r[1:], r[0])], dtype=float)
+    upright = a[:, 0] == b[:, 0]
+    own, a, b = own[~upright], a[~upright], b[~upright]
+    if not len(a):
+        return found
+    turned = a[:, 0] > b[:, 0]
+    a[turned], b[turned] = b[turned], a[turned]
+    at = np.array(probes, dtype=float)
+    low, high = float(a[:, 0].min()), float(b[:, 0].max())
+    n = max(1, int(len(a) ** 0.5) * 4)
+    strip = lambda x: np.clip(((x - low) * (n / (high - low))).astype(np.int64), 0, n - 1)
+    while n > 1 and int((strip(b[:, 0]) - strip(a[:, 0]) + 1).sum()) > 8 * len(a) + 1000:
+        n //= 2
+    first = strip(a[:, 0])
+    count = strip(b[:, 0]) - first + 1
+    side = np.repeat(np.arange(len(a)), count)
+    where = np.arange(len(side)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+    order = np.argsort(where, kind="stable")
+    side, bound = side[order], np.searchsorted(where[order], np.arange(n + 1))
+    of_probe = np.argsort(strip(at[:, 0]), kind="stable")
+    probe_bound = np.searchsorted(strip(at[:, 0])[of_probe], np.arange(n + 1))
+    for k in np.flatnonzero(np.diff(probe_bound)):
+        sides_here = side[bound[k] : bound[k + 1]]
+        if not len(sides_here):
+            continue
+        ax, ay, bx, by = a[sides_here, 0], a[sides_here, 1], b[sides_here, 0], b[sides_here, 1]
+        some = of_probe[probe_bound[k] : probe_bound[k + 1]]
+        step = max(1, 2_000_000 // len(sides_here))
+        for lo in range(0, len(some), step):
+            part = some[lo : lo + step]
+            x, y = at[part, 0][:, None], at[part, 1][:, None]
+            below = (ax <= x) & (bx > x) & ((bx - ax) * (y - ay) - (by - ay) * (x - ax) > 0)
+            row, hit = np.nonzero(below)
+            key, times = np.unique(row * len(rings) + own[sides_here[hit]], return_counts=True)
+            for j in key[times % 2 == 1].tolist():
+                found[int(part[j // len(rings)])].append(j % len(rings))
+    return found
+
+
+def nested(rings: list[list[Point]]) -> list[list[int]]:
+    """For each of some rings that do not cross the larger ones that hold it."""
+    sizes = [abs(area(r)) for r in rings]
+    return [[o for o in held if sizes[o] > sizes[k]] for k, held in enumerate(holders(rings, [_inner_point(r) for r in rings]))]
+
+
 def _simple(ring: list[Point]) -> Iterator[list[Point]]:
     """A traced face cut at vertices that it passes more than once."""
     way: list[Point] = []
@@ -107,7 +165,7 @@ def outline(segments: list[Segment]) -> list[list[Point]]:
     for face in faces(sorted({(min(a, b), max(a, b)) for a, b in segments if a != b})):
         if area(face) < 0:
             rings += [r[::-1] for r in _simple(face) if len(r) > 2 and area(r) < 0]
-    return [r for r in rings if not any(area(o) > area(r) and holds(o, _inner_point(r)) for o in rings)]
+    return [r for r, held in zip(rings, nested(rings)) if not held]
 
 
 def parity_rings(segments: list[Segment]) -> list[tuple[list[Point], str]]:
@@ -124,8 +182,7 @@ def parity_rings(segments: list[Segment]) -> list[tuple[list[Point], str]]:
         rings += [_from_smallest(r[::-1]) for r in rims]
         left = odd_segments(left + [s for r in rims for s in sides(r)])
     rings.sort(key=lambda r: (-abs(area(r)), r[0]))
-    depth = [sum(holds(o, _inner_point(r)) for o in rings[:k] if area(o) > area(r)) for k, r in enumerate(rings)]  # what holds a ring is larger
-    return [(r, "inner" if d % 2 else "outer") for r, d in zip(rings, depth)]
+    return [(r, "inner" if len(held) % 2 else "outer") for r, held in zip(rings, nested(rings))]
 
 
 def sides(ring: list[Point]) -> list[Segment]:
@@ -153,10 +210,9 @@ def parts_of(rings: list[tuple[list[Point], str]]) -> list[tuple[int, list[Point
     """(part, ring, role): every outer ring is a part, with the inner rings that it is the smallest to hold."""
     outer = [r for r, role in rings if role == "outer"]
     out = [(k, r, "outer") for k, r in enumerate(outer)]
-    for r, role in rings:
-        if role == "inner":
-            p = _inner_point(r)
-            out.append((max(k for k, o in enumerate(outer) if holds(o, p)), r, "inner"))
+    inner = [r for r, role in rings if role == "inner"]
+    for r, held in zip(inner, holders(outer, [_inner_point(r) for r in inner])):
+        out.append((max(k for k in held if abs(area(outer[k])) > abs(area(r))), r, "inner"))
     return sorted(out, key=lambda x: (x[0], x[2] != "outer"))
 
 
@@ -233,13 +289,59 @@ def _unwrapped(segments: list[Segment]) -> list[tuple[int, list[Point], str]]:
 POLYGON = f"rel long, {RING}, reason string, outer_lines int, inner_lines int, dangling int, repaired boolean, gap double, unwrapped boolean"
 
 
+def _closed_over(gap: Segment, segments: list[Segment]) -> list[Segment]:
+    """The segments and one more, all cut where that one crosses or touches the others."""
+    (ax, ay), (bx, by) = gap
+    p, q = np.array([s[0] for s in segments]), np.array([s[1] for s in segments])
+    turn = lambda ux, uy, vx, vy, wx, wy: (vx - ux) * (wy - uy) - (vy - uy) * (wx - ux)
+    of_p, of_q = turn(ax, ay, bx, by, p[:, 0], p[:, 1]), turn(ax, ay, bx, by, q[:, 0], q[:, 1])
+    of_a, of_b = turn(p[:, 0], p[:, 1], q[:, 0], q[:, 1], ax, ay), turn(p[:, 0], p[:, 1], q[:, 0], q[:, 1], bx, by)
+    inside = lambda x, y: (x >= min(ax, bx)) & (x <= max(ax, bx)) & (y >= min(ay, by)) & (y <= max(ay, by))
+    out, cuts = [], {gap[0], gap[1]}
+    for k in np.flatnonzero((of_p == 0) & inside(p[:, 0], p[:, 1])):
+        cuts.add(segments[k][0])
+    for k in np.flatnonzero((of_q == 0) & inside(q[:, 0], q[:, 1])):
+        cuts.add(segments[k][1])
+    cross = (np.sign(of_p) * np.sign(of_q) < 0) & (np.sign(of_a) * np.sign(of_b) < 0)
+    for k, s in enumerate(segments):
+        if cross[k]:
+            t = of_p[k] / (of_p[k] - of_q[k])
+            at = (float(s[0][0] + (s[1][0] - s[0][0]) * t), float(s[0][1] + (s[1][1] - s[0][1]) * t))
+            cuts.add(at)
+            out += [(s[0], at), (at, s[1])]
+        else:
+            out.append(s)
+    line = sorted(cuts, key=lambda c: (c[0] - ax) ** 2 + (c[1] - ay) ** 2)
+    return out + list(zip(line, line[1:]))
+
+
+def difference(outer: list[list[Point]], inner: list[list[Point]]) -> list[Segment]:
+    """Border of what rings of ``outer`` hold and rings of ``inner`` do not; they meet at corners only, and none is inside another of its kind.
+
+    Rings that touch nothing of the other kind are in or out as a whole; else every side has the area on one of its sides only.
+    """
+    corners = {p for r in outer for p in r}
+    if not any(p in corners for r in inner for p in r):
+        held = holders(outer, [_inner_point(r) for r in inner])
+        kept = [r for r, h in zip(inner, held) if any(abs(area(outer[k])) > abs(area(r)) for k in h)]
+        swallowed = holders(inner, [_inner_point(r) for r in outer])
+        whole = [r for r, h in zip(outer, swallowed) if not any(abs(area(inner[k])) > abs(area(r)) for k in h)]
+        return odd_segments([s for r in whole + kept for s in sides(r)])
+    every = sorted({(min(a, b), max(a, b)) for r in outer + inner for a, b in sides(r)})
+    probes = []
+    for (ax, ay), (bx, by) in every:
+        x, y, dx, dy = (ax + bx) / 2, (ay + by) / 2, (bx - ax) * 1e-6, (by - ay) * 1e-6
+        probes += [(x - dy, y + dx), (x + dy, y - dx)]
+    there = [bool(o) and not i for o, i in zip(holders(outer, probes), holders(inner, probes))]
+    return [s for s, left, right in zip(every, there[::2], there[1::2]) if left != right]
+
+
 def relation_polygons(members: DataFrame, most_gap: float = 1.0) -> DataFrame:
     """Polygons of ``rel, role, ref, pts``: one row for each ring, or one with a reason.
 
-    Roles are outer, inner or null (not used); ``pts`` is null for a way that is missing or lacks nodes.  Outer lines are closed over one gap of
-    ``most_gap`` at most; what they enclose less what inner lines enclose is the polygon.  Reasons are ``outer_polygonize_failed`` if outer lines
-    enclose nothing, ``empty_geometry`` if nothing is left, ``non_polygon_geometry`` if what is left has no area.  Lines meet at
-    shared vertices; inner rings outside all outer ones take nothing away.
+    Roles are outer, inner or null (not used); ``pts`` is null for a way that is missing or lacks nodes.  Lines are cut where they meet.  Outer
+    lines are closed over one gap of ``most_gap`` at most; what they enclose less what inner lines enclose is the polygon.  Reasons are
+    ``outer_polygonize_failed`` if outer lines enclose nothing, ``empty_geometry`` if nothing is left, ``non_polygon_geometry`` if what is left has no area.
     """
 
     def run(key: tuple, rows: list[tuple]) -> list[tuple]:
@@ -255,14 +357,13 @@ def relation_polygons(members: DataFrame, most_gap: float = 1.0) -> DataFrame:
         repaired = gap is not None and gap <= most_gap
         if repaired:
             exact = {rounded(p): p for line in lines["outer"] for p in (line[0], line[-1])}
-            segments["outer"].append((exact[odd[0]], exact[odd[1]]))
+            segments["outer"] = _closed_over((exact[odd[0]], exact[odd[1]]), segments["outer"])
         told = (len(lines["outer"]), len(lines["inner"]), len(odd), repaired, gap, unwrapped)
         failed = lambda reason: [(*key, None, None, None, None, reason, *told)]
         outer = outline(segments["outer"])
         if not outer:
             return failed("outer_polygonize_failed")
-        inner = [r for r in outline(segments["inner"]) if any(holds(o, _inner_point(r)) for o in outer)]
-        border = odd_segments([s for r in outer + inner for s in sides(r)])
+        border = difference(outer, outline(segments["inner"]))
         if not border:
             return failed("empty_geometry")
         if unwrapped:
@@ -274,4 +375,4 @@ def relation_polygons(members: DataFrame, most_gap: float = 1.0) -> DataFrame:
             return failed("non_polygon_geometry")
         return [(*key, part, k, role, _pts(r), None, *told) for k, (part, r, role) in enumerate(rings)]
 
-    return per_group(members.select("rel", "role", "ref", "pts").filter("rel IS NOT NULL"), ["rel"], ["role", "ref"], POLYGON, run)
+    return per_group(noded(members).filter("rel IS NOT NULL"), ["rel"], ["role", "ref"], POLYGON, run)

@@ -889,4 +889,4 @@ def supplement_order(spark, sf_dir):
     return tables.ordered_index(_nodes(spark, sf_dir), ["name", "id"])
 
 
-from limes.plans import land  # noqa: E402, F401  (registers its queries here)
+from limes.plans import land, shapes  # noqa: E402, F401  (they register their queries here)
