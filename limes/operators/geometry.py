@@ -1,9 +1,10 @@
 """Polygons as tables of edges: ``feature_id, level, ring, role, seq, x1, y1, x2, y2``, and ``part`` where features have several.
 
 Points meet polygons through a grid.  A feature's cells are its border cells, which an edge touches, and the interior cells between
-its crossings of a band's middle line.  A point in an interior cell is inside; a point in a border cell counts the
-crossings to its right among the edges of its own row band.  Joins are on cells, so no point is paired with a polygon
-that is not near it.  Cells that very many points fall into are skewed join keys, which adaptive execution splits on the points' side.
+its crossings of a band's middle line.  A point in an interior cell is inside.  Of every border cell it is known whether its lower left corner is
+inside, by a running sum along the band, so a point there counts the crossings on its way to that corner, among the edges of
+its own cell.  Joins are on cells, so no point is paired with a polygon that is not near it, nor with edges outside its cell.
+Cells that very many points fall into are skewed join keys, which adaptive execution splits on the points' side.
 """
 
 from __future__ import annotations
@@ -37,21 +38,30 @@ def _x_at(y: Column) -> Column:
     return F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0)))
 
 
-def along(banded: DataFrame) -> DataFrame:
-    """Edges of ``bands`` in every cell that they pass, so a long edge has cells along its line, not in all its box."""
+def along(banded: DataFrame, width: Column | None = None) -> DataFrame:
+    """Edges of ``bands`` in every cell that they pass, so a long edge has cells along its line, not in all its box.
+
+    Cells are as wide as bands are high, or ``width``.
+    """
     side = F.col("side")
     low, high = F.greatest(F.least("y1", "y2"), F.col("band") * side), F.least(F.greatest("y1", "y2"), (F.col("band") + 1) * side)
     flat = F.col("y1") == F.col("y2")
     left = F.when(flat, F.least("x1", "x2")).otherwise(F.least(_x_at(low), _x_at(high)))
     right = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(_x_at(low), _x_at(high)))
-    return banded.withColumn("col", F.explode(F.sequence(F.floor(left / side - 1e-9), F.floor(right / side + 1e-9))))
+    width = side if width is None else width
+    return banded.withColumn("col", F.explode(F.sequence(F.floor(left / width - 1e-9), F.floor(right / width + 1e-9))))
+
+
+#: above 0 where (px, py) is to the left of the edge
+_SIDE = "((x2 - x1) * ({y} - y1) - (y2 - y1) * ({x} - x1))"
+_TO_THE_RIGHT = f"(y1 > {{y}}) <> (y2 > {{y}}) AND CASE WHEN y2 > y1 THEN {_SIDE} > 0 ELSE {_SIDE} < 0 END"
 
 
 def cover(edges: DataFrame, cell: Sides) -> DataFrame:
-    """``feature_id, side, band, col, border``: the cells of every feature."""
+    """``feature_id, side, band, col, border, corner``: the cells of every feature, and of border cells whether their lower left corner is inside."""
     banded = bands(edges, cell)
     cell_of = ["feature_id", "side", "band", "col"]
-    border = along(banded).select(*cell_of).distinct().withColumn("border", F.lit(True))
+    border = along(banded).select(*cell_of).distinct()
     side = F.col("side")
     middle = (F.col("band") + 0.5) * side
     crossing = banded.filter((F.col("y1") > middle) != (F.col("y2") > middle)).select("feature_id", "side", "band", _x_at(middle).alias("x"))
@@ -59,25 +69,44 @@ def cover(edges: DataFrame, cell: Sides) -> DataFrame:
     pairs = crossing.withColumn("n", F.row_number().over(order)).withColumn("to", F.lead("x").over(order)).filter("n % 2 = 1 AND to IS NOT NULL")
     inner = pairs.select("feature_id", "side", "band", (F.floor(F.col("x") / side) + 1).alias("a"), (F.floor(F.col("to") / side) - 1).alias("b")).filter("a <= b")
     inner = inner.select("feature_id", "side", "band", F.explode(F.sequence("a", "b")).alias("col")).distinct()
-    inner = inner.join(border, cell_of, "left_anti").withColumn("border", F.lit(False))
-    return border.unionByName(inner)
+    inner = inner.join(border, cell_of, "left_anti").select(*cell_of, F.lit(False).alias("border"), F.lit(True).alias("corner"))
+    return _with_corners(border, banded).unionByName(inner)
+
+
+def _with_corners(border: DataFrame, banded: DataFrame) -> DataFrame:
+    """Border cells with the parity of the crossings to the right of their lower left corner, along the band's lower line.
+
+    A crossing is numbered by the last corner strictly to its left, which the edge's own side test decides, so corners on an edge agree with ``containing``.
+    """
+    base = F.col("band") * F.col("side")
+    cut = banded.withColumn("base", base).filter("(y1 > base) <> (y2 > base)").withColumn("k", F.round(_x_at(F.col("base")) / F.col("side")).cast("long")).withColumn("x", F.col("k") * F.col("side"))
+    right = F.expr(_TO_THE_RIGHT.format(x="x", y="base"))
+    events = cut.select("feature_id", "side", "band", F.when(right, F.col("k")).otherwise(F.col("k") - 1).alias("col"), F.lit(1).alias("crossing"))
+    along_band = Window.partitionBy("feature_id", "side", "band").orderBy(F.desc("col"), F.desc("crossing")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = border.withColumn("crossing", F.lit(0)).unionByName(events).withColumn("n", F.sum("crossing").over(along_band))
+    return rows.filter("crossing = 0").select("feature_id", "side", "band", "col", F.lit(True).alias("border"), (F.col("n") % 2 == 1).alias("corner"))
 
 
-def containing(points: DataFrame, edges: DataFrame, cell: Sides, mode: str = "even_odd") -> DataFrame:
+def containing(points: DataFrame, edges: DataFrame, cell: Sides, mode: str = "even_odd", covered: DataFrame | None = None) -> DataFrame:
     """``pid, feature_id`` of every point ``pid, px, py`` in a polygon.
 
-    ``even_odd`` counts crossings, which also serves holes; ``within`` leaves out the border and ``covers`` takes it in.
+    ``even_odd`` counts crossings, which also serves holes; ``within`` leaves out the border and ``covers`` takes it in.  ``covered`` is
+    ``cover(edges, cell)`` where that has been written before.
     """
     grids = sorted({float(v) for v in cell.values()}) if isinstance(cell, dict) else [float(cell)]
     placed = points.withColumn("side", F.explode(F.array(*(F.lit(g) for g in grids)))) if len(grids) > 1 else points.withColumn("side", F.lit(grids[0]))
     placed = placed.withColumn("band", F.floor(F.col("py") / F.col("side"))).withColumn("col", F.floor(F.col("px") / F.col("side")))
-    near = placed.join(cover(edges, cell), ["side", "band", "col"])
+    near = placed.join(cover(edges, cell) if covered is None else covered, ["side", "band", "col"])
     sure = near.filter("NOT border").select("pid", "feature_id")
-    tested = near.filter("border").join(bands(edges, cell).select("feature_id", "side", "band", "x1", "y1", "x2", "y2"), ["feature_id", "side", "band"])
-    side = "(x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)"
-    crosses = F.expr(f"(y1 > py) <> (y2 > py) AND CASE WHEN y2 > y1 THEN {side} > 0 ELSE {side} < 0 END")
-    touches = F.expr(f"{side} = 0 AND px BETWEEN least(x1, x2) AND greatest(x1, x2) AND py BETWEEN least(y1, y2) AND greatest(y1, y2)")
-    counted = tested.groupBy("pid", "feature_id").agg(F.sum(crosses.cast("int")).alias("n"), F.max(touches).alias("on"))
+    own = along(bands(edges, cell)).select("feature_id", "side", "band", "col", "x1", "y1", "x2", "y2")
+    tested = near.filter("border").join(own, ["feature_id", "side", "band", "col"]).withColumns({"cx": F.col("col") * F.col("side"), "cy": F.col("band") * F.col("side")})
+    # from the point left to the cell's left line, then down to the corner; what lies on that line counts as left of it, on the way's height as below it
+    level = F.expr(f"{_TO_THE_RIGHT.format(x='cx', y='py')} AND NOT ({_TO_THE_RIGHT.format(x='px', y='py')})")
+    up = lambda y: f"sign({_SIDE.format(x='cx', y=y)}) * sign(x2 - x1)"
+    rises = "sign(x2 - x1) * sign(y2 - y1) > 0"
+    upright = F.expr(f"(x1 > cx) <> (x2 > cx) AND ({up('cy')} < 0 OR ({up('cy')} = 0 AND {rises})) AND ({up('py')} > 0 OR ({up('py')} = 0 AND NOT ({rises})))")
+    touches = F.expr(f"{_SIDE.format(x='px', y='py')} = 0 AND px BETWEEN least(x1, x2) AND greatest(x1, x2) AND py BETWEEN least(y1, y2) AND greatest(y1, y2)")
+    counted = tested.groupBy("pid", "feature_id").agg((F.sum(level.cast("int")) + F.sum(upright.cast("int")) + F.max(F.col("corner").cast("int"))).alias("n"), F.max(touches).alias("on"))
     keep = {"even_odd": "n % 2 = 1", "within": "n % 2 = 1 AND NOT on", "covers": "n % 2 = 1 OR on"}[mode]
     return sure.unionByName(counted.filter(keep).select("pid", "feature_id"))
 

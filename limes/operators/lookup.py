@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -60,27 +59,51 @@ def segment_distance(px: Column, py: Column, wide: Column | float = 1.0, high: C
 def nearest(points: DataFrame, edges: DataFrame, most: float) -> DataFrame:
     """``pid, level, feature_id, distance``: the nearest border within ``most``, for each level; ties go to the smaller id.
 
-    An edge is listed in the cells of side ``most`` along its line and in those around them, so a point looks at its own cell only.
+    An edge is listed in the cells of side ``most`` along its line, a point looks into its own cell and those around it.
     """
-    return _nearest(points, edges, most, F.lit(most), 1.0, 1.0)
+    return _nearest(points, edges, most)
 
 
-def nearest_km(points: DataFrame, edges: DataFrame, most_km: float, widest: float = 84.0) -> DataFrame:
-    """As ``nearest`` for longitudes and latitudes, with distances in km by scaling degrees at the point's latitude.
+def _columns(band: Column, high: float) -> Column:
+    """How many columns a row band of ``high`` degrees has: each as wide as a band is high, at the highest latitude of the band and its neighbours."""
+    latitude = F.least(F.lit(90.0), F.greatest(F.abs((band - 1) * high), F.abs((band + 2) * high)))
+    return F.greatest(F.lit(1), F.floor(360 * F.cos(F.radians(latitude)) / high)).cast("long")
 
-    Degrees only choose candidates: cells are ``most_km`` wide at latitude ``widest``, the farthest from the equator that is asked for.
-    """
-    shrink = F.cos(F.radians(F.col("py")))
-    side = most_km / (KM_PER_DEGREE * float(math.cos(math.radians(widest))))
-    return _nearest(points, edges, side, F.lit(most_km), shrink * KM_PER_DEGREE, KM_PER_DEGREE)
 
+def nearest_km(points: DataFrame, edges: DataFrame, most_km: float) -> DataFrame:
+    """As ``nearest`` for longitudes and latitudes, with distances in km by scaling degrees at the point's latitude, anywhere on the globe.
 
-def _nearest(points: DataFrame, edges: DataFrame, side: float, most: Column, wide: Column | float, high: float) -> DataFrame:
+    The globe is cut into row bands ``most_km`` high, each band into columns of its own width, which close up at 180 degrees.  An edge is listed in the
+    cells along its line, a point looks into the columns in reach of its own band and of the two beside it: some nine cells, and
+    all of a band near a pole.  An edge between longitudes more than 180 degrees apart goes the short way, over 180.
+    """
+    high = most_km / KM_PER_DEGREE
+    flat = edges.withColumns({"x1": F.col("x1").cast("double"), "x2": F.col("x2").cast("double")})
+    ahead = flat.withColumns({"x1": F.when(F.col("x2") - F.col("x1") > 180, F.col("x1") + 360).otherwise(F.col("x1")), "x2": F.when(F.col("x1") - F.col("x2") > 180, F.col("x2") + 360).otherwise(F.col("x2"))})
+    width = 360 / F.col("columns")
+    banded = bands(ahead, high).withColumn("columns", _columns(F.col("band"), high))
+    cells = along(banded, width).select("feature_id", "level", "x1", "y1", "x2", "y2", "band", F.pmod("col", "columns").alias("col")).distinct()
+    reach = F.least(F.lit(181.0), F.lit(high) / F.greatest(F.lit(1e-12), F.cos(F.radians(F.col("py")))))
+    own = points.withColumn("reach", reach).withColumn("band", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("py") / high) + d)))
+    own = own.withColumn("columns", _columns(F.col("band"), high))
+    low, to = F.floor((F.col("px") - F.col("reach")) / width - 1e-9), F.floor((F.col("px") + F.col("reach")) / width + 1e-9)
+    own = own.withColumn("col", F.explode(F.sequence(low, F.least(to, low + F.col("columns") - 1)))).withColumn("col", F.pmod("col", "columns")).drop("columns")
+    near = own.join(cells, ["band", "col"])
+    # the copy of an edge whose middle is nearest is the nearest one, unless the point's reach goes around
+    turns = F.round((F.col("px") - (F.col("x1") + F.col("x2")) / 2) / 360) * 360
+    copies = F.when(F.col("reach") + F.abs(F.col("x2") - F.col("x1")) / 2 >= 180, F.array(turns, turns - 360, turns + 360)).otherwise(F.array(turns))
+    turned = near.withColumn("turn", F.explode(copies)).select("pid", "level", "feature_id", "py", (F.col("px") - F.col("turn")).alias("px"), "x1", "y1", "x2", "y2", (F.cos(F.radians(F.col("py"))) * KM_PER_DEGREE).alias("wide"))
+    return _best(turned.withColumn("d", segment_distance(F.col("px"), F.col("py"), F.col("wide"), KM_PER_DEGREE)).filter(F.col("d") <= most_km))
+
+
+def _nearest(points: DataFrame, edges: DataFrame, side: float) -> DataFrame:
     cells = along(bands(edges, side)).select("feature_id", "level", "x1", "y1", "x2", "y2", "band", "col")
-    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
-    spread = cells.select("feature_id", "level", "x1", "y1", "x2", "y2", "col", around("band")).select("feature_id", "level", "x1", "y1", "x2", "y2", "band", around("col")).distinct()
-    placed = points.withColumn("band", F.floor(F.col("py") / side)).withColumn("col", F.floor(F.col("px") / side))
-    near = placed.join(spread, ["band", "col"]).withColumn("d", segment_distance(F.col("px"), F.col("py"), wide, high)).filter(F.col("d") <= most)
+    around = lambda c: F.explode(F.sequence(F.floor(F.col(f"p{c}") / side) - 1, F.floor(F.col(f"p{c}") / side) + 1))
+    near = points.withColumn("band", around("y")).withColumn("col", around("x")).join(cells, ["band", "col"])
+    return _best(near.withColumn("d", segment_distance(F.col("px"), F.col("py"))).filter(F.col("d") <= side))
+
+
+def _best(near: DataFrame) -> DataFrame:
     best = near.groupBy("pid", "level").agg(F.min(F.struct("d", "feature_id")).alias("best"))
     return best.select("pid", "level", "best.feature_id", F.col("best.d").alias("distance"))
 

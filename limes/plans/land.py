@@ -115,7 +115,7 @@ def land_nearest_km(spark, sf_dir):
     points, land = _spots(spark, sf_dir), _land(spark, sf_dir)
     open_ = points.join(geometry.containing(points, land.filter("level = 8"), SIDES).select("pid"), "pid", "left_anti")
     edges = _degrees(land, "x1", "y1", "x2", "y2")
-    return lookup.nearest_km(_degrees(open_, "px", "py"), edges, 1.0, widest=60.0).select("pid", "level", F.round("distance", 6).alias("km"))
+    return lookup.nearest_km(_degrees(open_, "px", "py"), edges, 1.0).select("pid", "level", F.round("distance", 6).alias("km"))
 
 
 @query(

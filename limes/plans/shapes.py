@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.operators import hierarchy, rings
+from limes.operators import hierarchy, lookup, rings
 from limes.plans.fixtures import fixture, table
 from limes.plans.land import _ring_area
 from limes.plans.queries import query
@@ -62,3 +62,30 @@ def crossing_polygons(spark, sf_dir):
     made = rings.relation_polygons(_crossing_lines(spark, sf_dir), most_gap=0.0)
     signed = F.expr(f"CASE WHEN role = 'inner' THEN -1 ELSE 1 END * {_ring_area()}")
     return made.groupBy("rel").agg(F.count("ring").cast("int").alias("n_rings"), F.round(F.sum(signed), 4).alias("area"))
+
+
+# --- distances on the globe: every cell as a box a tenth of a degree wide, in rows from pole to pole and across 180 degrees -----------------------
+
+GLOBE = (
+    "gb AS (SELECT k, CASE WHEN i < 12 THEN 178.9::DOUBLE + i * 0.1::DOUBLE ELSE -179.9::DOUBLE + (i - 12) * 0.1::DOUBLE END AS x, -88.0::DOUBLE + (j * 37) % 176 AS y FROM fx_cells), "
+    "ge AS (SELECT concat('g', CAST(k AS VARCHAR(20))) AS feature_id, 8 AS level, x AS x1, y AS y1, x AS x2, y + 0.1::DOUBLE AS y2 FROM gb UNION ALL SELECT concat('g', CAST(k AS VARCHAR(20))), 8, x, y + 0.1::DOUBLE, CASE WHEN x > 179.85::DOUBLE THEN -180 + 0.1::DOUBLE ELSE x + 0.1::DOUBLE END, y + 0.1::DOUBLE FROM gb "
+    "UNION ALL SELECT concat('g', CAST(k AS VARCHAR(20))), 6, x + 0.05::DOUBLE, y, x + 0.05::DOUBLE, y - 0.05::DOUBLE FROM gb), "
+    "gp AS (SELECT pid, CASE WHEN px % 5 = 0 THEN (px % 360) - 180 WHEN px % 2 = 0 THEN 178.5::DOUBLE + (px % 149) * 0.01::DOUBLE ELSE -180 + (px % 149) * 0.01::DOUBLE END AS px, "
+    "-88.0::DOUBLE + (py * 37 + pid) % 177 + ((px + py) % 40 - 20) * 0.01::DOUBLE AS py FROM fx_spots WHERE px >= 0 AND py >= 0)"
+)
+_GD = "(e.{c} - p.px + CAST(v AS DOUBLE)) * 111.32::DOUBLE * cos(radians(p.py))"
+_GX1, _GX2 = _GD.format(c="x1"), "(CASE WHEN e.x2 - e.x1 < -180 THEN e.x2 + 360 ELSE e.x2 END - p.px + CAST(v AS DOUBLE)) * 111.32::DOUBLE * cos(radians(p.py))"
+
+
+@query(
+    f"+{GLOBE}, gd AS (SELECT p.pid, e.level, e.feature_id, {_GX1} AS a, (e.y1 - p.py) * 111.32::DOUBLE AS b, {_GX2} - ({_GX1}) AS dx, (e.y2 - e.y1) * 111.32::DOUBLE AS dy FROM gp p JOIN ge e ON e.y1 BETWEEN p.py - 0.6 AND p.py + 0.6 CROSS JOIN (VALUES (0), (360), (-360)) w(v)), "
+    "gt AS (SELECT *, greatest(0, least(1, coalesce(-(a * dx + b * dy) / nullif(dx * dx + dy * dy, 0), 0))) AS t FROM gd), gm AS (SELECT pid, level, min(sqrt(power(a + t * dx, 2) + power(b + t * dy, 2))) AS km FROM gt GROUP BY ALL) SELECT pid, level, round(km, 6) AS km FROM gm WHERE km <= 20",
+    "fx_cells",
+    "fx_spots",
+)
+def nearest_on_globe(spark, sf_dir):
+    """Borders within 20 km on both sides of 180 degrees and up to 88 degrees of latitude."""
+    names = {n: fixture(spark, sf_dir, n) for n in ("fx_cells", "fx_spots")}
+    parts = GLOBE.replace("::DOUBLE", "D").replace("FROM fx_cells", "FROM {fx_cells}").replace("FROM fx_spots", "FROM {fx_spots}")
+    points, edges = (spark.sql(f"WITH {parts} SELECT * FROM {t}", **names) for t in ("gp", "ge"))
+    return lookup.nearest_km(points, edges, 20.0).select("pid", "level", F.round("distance", 6).alias("km"))
