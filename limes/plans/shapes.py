@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.operators import hierarchy, lookup, rings
+from limes.operators import hierarchy, lookup, quality, rings
 from limes.plans.fixtures import fixture, table
 from limes.plans.land import _ring_area
 from limes.plans.queries import query
+from limes.session import scratch
+from limes.sources import releases
 
 # --- trees: blocks of 40 parts, a spine of 20 levels and a node beside each level that hangs from the spine and from its like above ----------
 
@@ -89,3 +91,52 @@ def nearest_on_globe(spark, sf_dir):
     parts = GLOBE.replace("::DOUBLE", "D").replace("FROM fx_cells", "FROM {fx_cells}").replace("FROM fx_spots", "FROM {fx_spots}")
     points, edges = (spark.sql(f"WITH {parts} SELECT * FROM {t}", **names) for t in ("gp", "ge"))
     return lookup.nearest_km(points, edges, 20.0).select("pid", "level", F.round("distance", 6).alias("km"))
+
+
+# --- files: documents by source and number as text files, a file a key -------------------------------------------------------------------------
+
+FILES = "fk AS (SELECT concat('key=', source, '-', CAST(doc_id % 16 AS VARCHAR(20))) AS path, doc_id, concat(coalesce(text, ''), chr(10)) AS line FROM documents)"
+
+
+def _written_files(docs: DataFrame, path: str) -> str:
+    keyed = docs.select(F.expr("concat(source, '-', doc_id % 16)").alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    keyed.repartition("key").sortWithinPartitions("key", "doc_id").select("key", "value").write.partitionBy("key").text(path)
+    return path
+
+
+def _folders(files: DataFrame) -> DataFrame:
+    """Files by their folder's name, since Spark names the file itself anew each time."""
+    return files.withColumn("path", F.substring_index("path", "/", 1))
+
+
+@query(f"WITH {FILES} SELECT path, sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256, CAST(sum(octet_length(encode(line))) AS BIGINT) AS size FROM fk GROUP BY path")
+def file_digests(spark, sf_dir):
+    path = _written_files(table(spark, sf_dir, "documents"), scratch(spark, "files"))
+    return _folders(releases.digested_files(spark, path))
+
+
+@query(
+    f"WITH {FILES} SELECT DISTINCT path, CASE doc_id % 16 WHEN 3 THEN 'missing' WHEN 5 THEN 'digest_mismatch' ELSE 'not_listed' END AS reason FROM fk WHERE doc_id % 16 IN (3, 5, 9)"
+)
+def file_verification(spark, sf_dir):
+    """Files against the manifest of an earlier build, from which some differ, some are gone and some are new."""
+    docs = table(spark, sf_dir, "documents")
+    before = _written_files(docs.filter("doc_id % 16 <> 9"), scratch(spark, "files"))
+    changed = docs.filter("doc_id % 16 <> 3").withColumn("text", F.when(F.expr("doc_id % 16 = 5"), F.concat(F.lit("!"), F.coalesce("text", F.lit("")))).otherwise(F.col("text")))
+    after = _written_files(changed, scratch(spark, "files"))
+    expected, built = (_folders(releases.digested_files(spark, p)) for p in (before, after))
+    return quality.verified(expected, built)
+
+
+@query("SELECT 'feature_meta' AS what, id, level, name FROM fx_nodes UNION ALL SELECT 'hierarchy', id, NULL, parent_id FROM fx_nodes WHERE parent_id IS NOT NULL UNION ALL SELECT 'faults', 'none', 0, NULL", "fx_nodes")
+def release_contents(spark, sf_dir):
+    """The current release's contents; a later one that was cut off before its mark is not seen, and no file differs from its manifest."""
+    path, nodes = scratch(spark, "releases"), fixture(spark, sf_dir, "fx_nodes")
+    made = {"feature_meta": nodes.select("id", "level", "name"), "hierarchy": hierarchy.dataset_edges(nodes)}
+    releases.publish(spark, path, "1.0.0", {k: v.limit(3) for k, v in made.items()})
+    releases.publish(spark, path, "1.1.0", made)
+    nodes.limit(1).select("id", "level", "name").write.parquet(f"{path}/versions/1.2.0/feature_meta")  # all that a writer did before it was lost
+    meta, tree = (releases.read_release(spark, path, t) for t in ("feature_meta", "hierarchy"))
+    faults = releases.release_faults(spark, path).agg(F.count("*").cast("int").alias("level")).selectExpr("'faults' AS what", "'none' AS id", "level", "CAST(NULL AS STRING) AS name")
+    rows = meta.select(F.lit("feature_meta").alias("what"), "id", "level", "name").unionByName(tree.selectExpr("'hierarchy' AS what", "child AS id", "CAST(NULL AS INT) AS level", "parent AS name"))
+    return rows.unionByName(faults)
