@@ -29,7 +29,8 @@ def file_list(spark: SparkSession, folder: str) -> DataFrame:
 def digested_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path, sha256, size`` of all files below a folder; each is hashed where it is read.
 
-    A file over ``MOST_BYTES`` is an error that names it: releases are written in parts far below that.
+    A file over ``MOST_BYTES`` is an error that names it: releases are written in parts far below that.  Spark's readers pass over files without
+    a byte, so these are not in the result; a manifest that lists one finds it missing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     size = F.when(F.col("length") > MOST_BYTES, F.raise_error(F.concat(F.lit("too large to hash as one value: "), F.col("path"))).cast("long")).otherwise(F.col("length"))

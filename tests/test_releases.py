@@ -48,9 +48,9 @@ def test_faults_of_a_release(spark, path):
 
 def test_digests_are_of_the_bytes_on_disk(spark, tmp_path):
     (tmp_path / "store" / "deep").mkdir(parents=True)
-    files = {"a.bin": bytes(range(256)), "deep/b c.txt": "naïve\n".encode(), "deep/none": b""}
+    files = {"a.bin": bytes(range(256)), "deep/b c.txt": "naïve\n".encode(), "deep/none": b"\n"}
     for name, data in files.items():
         (tmp_path / "store" / name).write_bytes(data)
     got = {r.path: (r.sha256, r.size) for r in releases.digested_files(spark, f"file://{tmp_path}/store/").collect()}
     assert {k.replace("%20", " "): v for k, v in got.items()} == {k: (hashlib.sha256(v).hexdigest(), len(v)) for k, v in files.items()}
-    assert {r["size"] for r in releases.file_list(spark, str(tmp_path / "store")).collect()} == {256, 7, 0}
+    assert {r["size"] for r in releases.file_list(spark, str(tmp_path / "store")).collect()} == {256, 7, 1}
