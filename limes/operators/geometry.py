@@ -158,6 +158,14 @@ def loops(points: DataFrame) -> DataFrame:
     return to.withColumn("ring", F.lit(0)).withColumn("role", F.lit("outer")).withColumn("level", F.lit(0))
 
 
+def _turn(p: str, q: str, r: str) -> str:
+    return f"sign((x{q} - x{p}) * (y{r} - y{p}) - (y{q} - y{p}) * (x{r} - x{p}))"
+
+
+#: edges a and b cross inside both
+_APART = f"{_turn('1a', '2a', '1b')} * {_turn('1a', '2a', '2b')} < 0 AND {_turn('1b', '2b', '1a')} * {_turn('1b', '2b', '2a')} < 0"
+
+
 def validity(edges: DataFrame) -> DataFrame:
     """``feature_id, reason`` for rings with under three corners, no area, repeated corners or crossing edges (first that holds).
 
@@ -168,13 +176,47 @@ def validity(edges: DataFrame) -> DataFrame:
     low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
     sided = edges.join(box.select("feature_id", "ring", side.alias("side")), ["feature_id", "ring"]).withColumn("band", F.explode(F.sequence(low, high)))
     a, b = (along(sided).select("feature_id", "ring", "band", "col", *(F.col(c).alias(c + s) for c in ("seq", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
-    turn = lambda p, q, r: f"sign((x{q} - x{p}) * (y{r} - y{p}) - (y{q} - y{p}) * (x{r} - x{p}))"
-    apart = f"{turn('1a', '2a', '1b')} * {turn('1a', '2a', '2b')} < 0 AND {turn('1b', '2b', '1a')} * {turn('1b', '2b', '2a')} < 0"
-    crossing = a.join(b, ["feature_id", "ring", "band", "col"]).filter(f"seqa < seqb AND {apart}").select("feature_id", "ring").distinct().withColumn("crosses", F.lit(True))
+    crossing = a.join(b, ["feature_id", "ring", "band", "col"]).filter(f"seqa < seqb AND {_APART}").select("feature_id", "ring").distinct().withColumn("crosses", F.lit(True))
     reason = F.when(F.col("n") < 3, "too_few_points").when(F.col("corners") < F.col("n"), "repeated_vertex").when(F.col("twice") == 0, "zero_area").when(F.col("crosses"), "self_crossing")
     return box.join(crossing, ["feature_id", "ring"], "left").select("feature_id", "ring", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
+def ring_faults(edges: DataFrame) -> DataFrame:
+    """``feature_id, part, ring, reason`` of rings that do not fit the other rings of their feature (first that holds).
+
+    Rings that cross, holes outside the shell of their part, holes inside holes, shells inside shells (but for islands in holes).  Edges of
+    different rings meet only within cells of the feature's own grid; of every ring one inner point meets the edges of its row band.
+    """
+    rows = with_part(edges)
+    span = lambda lo, hi: F.max(F.greatest(lo, hi)) - F.min(F.least(lo, hi))
+    box = rows.groupBy("feature_id").agg((F.greatest(span("x1", "x2"), span("y1", "y2"), F.lit(1e-9)) / F.ceil(F.sqrt(F.count("*")))).alias("side"))
+    low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
+    banded = rows.join(box, "feature_id").withColumn("band", F.explode(F.sequence(low, high)))
+    cells = along(banded)
+    a, b = (cells.select("feature_id", "band", "col", *(F.col(c).alias(c + s) for c in ("part", "ring", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
+    crossing = a.join(b, ["feature_id", "band", "col"]).filter(f"(parta, ringa) < (partb, ringb) AND {_APART}")
+    crossing = crossing.select("feature_id", F.explode(F.expr("array(struct(parta AS part, ringa AS ring), struct(partb AS part, ringb AS ring))")).alias("r")).select("feature_id", "r.part", "r.ring").distinct().withColumn("crosses", F.lit(True))
+
+    of_ring = ["feature_id", "part", "ring"]
+    size = rows.groupBy(*of_ring, "role").agg(F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"))
+    key = F.to_json(F.struct(*of_ring)).alias("key")
+    inner = representative_points(rows.select(key.alias("feature_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "x1", "y1", "x2", "y2")).withColumnRenamed("feature_id", "key")
+    probes = size.select("*", key).join(inner, "key").join(box, "feature_id").select("feature_id", *(F.col(c).alias(f"own_{c}") for c in ("part", "ring", "role", "twice")), "px", "py", F.floor(F.col("py") / F.col("side")).alias("band"))
+    met = probes.join(banded.select(*of_ring, "role", "band", "x1", "y1", "x2", "y2"), ["feature_id", "band"]).filter("(part, ring) <> (own_part, own_ring)").filter(_TO_THE_RIGHT.format(x="px", y="py"))
+    held = met.groupBy("feature_id", "own_part", "own_ring", "own_role", "own_twice", *of_ring[1:], "role").agg(F.count("*").alias("n")).filter("n % 2 = 1")
+    holders = held.join(size.select(*of_ring, "twice"), of_ring).filter("twice > own_twice").groupBy("feature_id", F.col("own_part").alias("at_part"), F.col("own_ring").alias("at_ring"))
+    same = F.col("part") == F.col("own_part")
+    counts = holders.agg(F.count("*").alias("depth"), F.count(F.when(same & (F.col("role") == "outer"), 1)).alias("shells"), F.count(F.when(same & (F.col("role") == "inner"), 1)).alias("holes"))
+    placed = size.join(counts.withColumnsRenamed({"at_part": "part", "at_ring": "ring"}), of_ring, "left").join(crossing, of_ring, "left").fillna(0, ["depth", "shells", "holes"])
+    reason = (
+        F.when(F.col("crosses"), "ring_crossing")
+        .when((F.col("role") == "inner") & (F.col("shells") == 0), "hole_outside_shell")
+        .when((F.col("role") == "inner") & (F.col("holes") > 0), "nested_holes")
+        .when((F.col("role") == "outer") & (F.col("depth") % 2 == 1), "nested_shells")
+    )
+    return placed.select(*of_ring, reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
     """Indices of the corners that an open line keeps."""
     keep = np.zeros(len(x), dtype=bool)

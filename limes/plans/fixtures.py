@@ -40,10 +40,16 @@ UNION ALL SELECT concat('b', CAST(bi + 5 * bj AS VARCHAR(20))), 4, 0, 0, 'outer'
     "fx_borders": """SELECT bi, bj, min(seq) AS seq, min(x1) AS x1, min(y1) AS y1, min(x2) AS x2, min(y2) AS y2 FROM
 (SELECT CAST(floor(i/5) AS INT) AS bi, CAST(floor(j/6) AS INT) AS bj, k*4 + seq AS seq, x1, y1, x2, y2, least(x1*100000 + y1, x2*100000 + y2) AS lo, greatest(x1*100000 + y1, x2*100000 + y2) AS hi FROM fx_sides) s
 GROUP BY bi, bj, lo, hi HAVING count(*) = 1""",
+    # Boxes with a second ring: a hole, one outside, one across the border, a shell inside, or a hole with an island in it.
+    "fx_boxes": """SELECT concat('x', CAST(k AS VARCHAR(20))) AS feature_id, CASE k % 3 WHEN 0 THEN 4 WHEN 1 THEN 6 ELSE 8 END AS level, k % 5 AS kind, part, ring, role, seq,
+x0 + CASE WHEN seq IN (0, 1) THEN 0 ELSE w END AS x1, y0 + CASE WHEN seq IN (0, 3) THEN 0 ELSE w END AS y1, x0 + CASE WHEN seq IN (0, 3) THEN 0 ELSE w END AS x2, y0 + CASE WHEN seq IN (2, 3) THEN 0 ELSE w END AS y2
+FROM (SELECT k, 0 AS part, 0 AS ring, 'outer' AS role, i*100 AS x0, j*100 AS y0, 90 AS w FROM fx_cells
+UNION ALL SELECT k, 0, 1, 'inner', i*100 + CASE k % 5 WHEN 1 THEN 200 WHEN 2 THEN 80 WHEN 4 THEN 10 ELSE 20 END, j*100 + CASE k % 5 WHEN 4 THEN 10 ELSE 20 END, CASE k % 5 WHEN 4 THEN 60 ELSE 20 END FROM fx_cells WHERE k % 5 <> 3
+UNION ALL SELECT k, 1, 0, 'outer', i*100 + 30, j*100 + 30, 10 FROM fx_cells WHERE k % 5 >= 3) r CROSS JOIN (SELECT 0 AS seq UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) q""",
     "fx_spots": "SELECT event_id AS pid, CAST((event_id*7919) % 2700 - 80 AS INT) AS px, CAST((event_id*104729 + user_id*31) % (SELECT 100 * CAST(floor(count(*)/25) AS INT) + 200 FROM customer) - 80 AS INT) AS py FROM events",
     "fx_chain": "SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE (p_partkey * 7 + 3) % 2000 END AS parent_id FROM part",
 }
-_NEEDS = {"fx_edges": ["fx_rings"], "fx_copies": ["fx_members"], "fx_vertices": ["fx_ways"], "fx_sides": ["fx_cells"], "fx_borders": ["fx_cells", "fx_sides"], "fx_land": ["fx_cells", "fx_sides", "fx_borders"]}
+_NEEDS = {"fx_edges": ["fx_rings"], "fx_copies": ["fx_members"], "fx_vertices": ["fx_ways"], "fx_sides": ["fx_cells"], "fx_boxes": ["fx_cells"], "fx_borders": ["fx_cells", "fx_sides"], "fx_land": ["fx_cells", "fx_sides", "fx_borders"]}
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 

@@ -224,8 +224,8 @@ WAYS = (
 )
 
 
-def _lines(spark, sf_dir) -> DataFrame:
-    """Borders of blocks as relations of two-node ways from numbered nodes; some ways are missing, some relations have inner ways."""
+def _blocks(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members, ways and nodes: borders of blocks as relations of two-node ways from numbered nodes; some ways are missing, some relations have inner ways."""
     own = fixture(spark, sf_dir, "fx_borders").selectExpr("bi + 5 * bj AS rel", "CAST(seq AS BIGINT) AS ref", "x1", "y1", "x2", "y2", "seq = min(seq) OVER (PARTITION BY bi, bj) AS is_first")
     cells = fixture(spark, sf_dir, "fx_cells").filter(HOLED).selectExpr("CAST(floor(i/5) AS INT) + 5 * CAST(floor(j/6) AS INT) AS rel", "CAST(k AS BIGINT) + 2000000000 AS ref", "i*100 AS x", "j*100 AS y").filter("rel % 5 = 1")
     refs = "array({})".format(", ".join(f"CAST(x + {a} AS BIGINT) * 1000000 + y + {b}" for a, b in ((60, 50), (60, 70), (80, 70), (80, 50), (60, 50))))
@@ -236,7 +236,11 @@ def _lines(spark, sf_dir) -> DataFrame:
     every = outer.unionByName(again).unionByName(holes.withColumn("gone", F.lit(False)))
     ways = every.filter("NOT gone").selectExpr("ref AS id", "node_refs")
     nodes = every.select(F.explode("node_refs").alias("id")).distinct().selectExpr("id", "(id div 1000000) * 0.01D AS lon", "(id % 1000000) * 0.01D AS lat")
-    return stitch.member_lines(every.select(F.col("rel").cast("long").alias("rel"), "role", "ref"), ways, nodes)
+    return every.select(F.col("rel").cast("long").alias("rel"), "role", "ref"), ways, nodes
+
+
+def _lines(spark, sf_dir) -> DataFrame:
+    return stitch.member_lines(*_blocks(spark, sf_dir))
 
 
 @query(f"{WAYS} SELECT rel, outcome, repaired, CASE WHEN outcome = 'assembled' THEN n ELSE 0 END AS n_rings, CASE WHEN outcome = 'assembled' THEN round(units / 10000::DOUBLE, 6) END AS area FROM out", "fx_borders")
@@ -253,6 +257,22 @@ def polygon_outcomes(spark, sf_dir):
     return stitch.polygon_outcomes(made, levels)
 
 
+@query(
+    f"{WAYS}, req AS (SELECT rel FROM bw UNION ALL SELECT rel FROM bw WHERE rel % 7 = 3 UNION ALL SELECT rel FROM hc), w AS (SELECT concat('c', CAST(rel % 4 AS VARCHAR(20))) AS country, count(*) AS ways_required FROM req GROUP BY 1), g AS (SELECT concat('c', CAST(rel % 4 AS VARCHAR(20))) AS country, count(*) AS n FROM gone GROUP BY 1), "
+    "f AS (SELECT concat('c', CAST(rel % 4 AS VARCHAR(20))) AS country, outcome, count(*) AS n FROM out WHERE outcome <> 'assembled' GROUP BY ALL), "
+    "o AS (SELECT concat('c', CAST(rel % 4 AS VARCHAR(20))) AS country, count(*) AS relations, count(*) FILTER (WHERE outcome = 'assembled') AS assembled, count(*) FILTER (WHERE outcome <> 'assembled') AS failed, count(*) FILTER (WHERE repaired) AS gaps_closed, count(*) FILTER (WHERE outcome = 'assembled' AND rel % 2 = 0) AS simplified FROM out GROUP BY 1) "
+    "SELECT o.country, relations, ways_required, coalesce(g.n, 0) AS ways_missing, assembled, failed, gaps_closed, simplified, 0::BIGINT AS invalid, coalesce((SELECT string_agg(concat(outcome, '=', CAST(n AS VARCHAR(20))), ',' ORDER BY outcome) FROM f WHERE f.country = o.country), '') AS failures FROM o JOIN w USING (country) LEFT JOIN g USING (country)",
+    "fx_borders",
+)
+def country_report(spark, sf_dir):
+    """One row a country: members, outcomes and what the policy did, from the polygons themselves."""
+    members, ways, nodes = _blocks(spark, sf_dir)
+    made = rings.relation_polygons(stitch.member_lines(members, ways, nodes))
+    countries = members.select("rel", F.expr("concat('c', rel % 4)").alias("country"), F.expr("CAST(4 + rel % 2 * 2 AS INT)").alias("level")).distinct()
+    report = stitch.country_report(countries, members, ways, nodes, made, spark.createDataFrame([(4, 25.0)], "level int, tolerance double"))
+    return report.drop("nodes_required", "nodes_missing")
+
+
 @query()
 def simplified_rings(spark, sf_dir):
     """Generalised by the level's policy, common borders once; the tests compare whole tables with brute force."""
@@ -462,11 +482,21 @@ def build_report(spark, sf_dir):
     return quality.metrics(parts)
 
 
-@query("SELECT level, count(*) AS n, CASE WHEN level = 6 THEN 0 ELSE count(*) END AS simplified, count(*) FILTER (WHERE bad) AS repaired FROM (SELECT feature_id, level, CAST(substr(feature_id, 2) AS INT) % 6 = 1 AS bad FROM fx_land GROUP BY ALL) GROUP BY level", "fx_land")
+@query("SELECT level, count(*) AS n, CASE WHEN level = 6 THEN 0 ELSE count(*) END AS simplified, count(*) FILTER (WHERE kind IN (1, 2, 3)) AS repaired FROM (SELECT DISTINCT feature_id, level, kind FROM fx_boxes) GROUP BY level", "fx_boxes")
 def level_effects(spark, sf_dir):
+    """What a policy does to boxes by level; invalid are those in whose rings the checks find a fault."""
     tolerances = spark.createDataFrame([(4, 0.01), (8, 0.001)], "level int, tolerance double")
-    features = _features(_land(spark, sf_dir))
-    return quality.level_effects(features, tolerances, features.filter("CAST(substr(id, 2) AS INT) % 6 = 1"))
+    boxes = written(fixture(spark, sf_dir, "fx_boxes"), "boxes")
+    invalid = geometry.validity(boxes.filter("part = 0")).select("feature_id").unionByName(geometry.ring_faults(boxes).select("feature_id")).select(F.col("feature_id").alias("id"))
+    return quality.level_effects(_features(boxes), tolerances, invalid)
+
+
+@query(
+    "SELECT DISTINCT feature_id, part, ring, CASE kind WHEN 1 THEN 'hole_outside_shell' WHEN 2 THEN 'ring_crossing' ELSE 'nested_shells' END AS reason FROM fx_boxes WHERE (kind = 1 AND ring = 1) OR kind = 2 OR (kind = 3 AND part = 1)",
+    "fx_boxes",
+)
+def ring_faults(spark, sf_dir):
+    return geometry.ring_faults(written(fixture(spark, sf_dir, "fx_boxes"), "boxes"))
 
 
 PART_TREE = (
