@@ -15,8 +15,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from limes.session import written
+
 #: side of a grid's cells: one for all levels, or one for each
 Sides = float | dict[int, float]
 
@@ -263,50 +266,125 @@ def simplified(rings: DataFrame) -> DataFrame:
     return rings.mapInPandas(run, rings.schema)
 
 
-def simplified_coverage(edges: DataFrame, tolerances: DataFrame) -> DataFrame:
-    """``feature_id, part, ring, role, pts``: closed rings generalised by their level's policy, ``level, tolerance`` (null or absent: as they are).
+#: after so many halvings of its tolerance an arc stays as it is
+MOST_HALVINGS = 6
+_RING = ["feature_id", "level", "part", "ring", "role"]
+
 
-    A ring is cut into arcs where its neighbour changes; an arc is generalised in one direction whoever owns it, so neighbours keep a common border.
-    A ring that would keep under four points stays as it is.
+def ring_arcs(edges: DataFrame) -> DataFrame:
+    """``feature_id, level, part, ring, role, arc, turned, key, pts``: rings cut where their neighbour changes, each arc from its smaller end.
+
+    Neighbours so have the same arcs along their common border, of the same ``key``; ``turned`` tells who walks it the other way.
     """
     corner = F.struct("seq", F.col("x1").cast("double").alias("x"), F.col("y1").cast("double").alias("y"), "sides")
-    keys = ["feature_id", "level", "part", "ring", "role"]
-    rings = with_sides(with_part(edges)).groupBy(*keys).agg(F.array_sort(F.collect_list(corner)).alias("corners"))
-    rings = rings.join(F.broadcast(tolerances.select("level", "tolerance")), "level", "left").select("feature_id", "part", "ring", "role", "corners", "tolerance")
+    rings = with_sides(with_part(edges)).groupBy(*_RING).agg(F.array_sort(F.collect_list(corner)).alias("corners"))
     kind = rings.schema["feature_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            pts = []
-            for corners, tolerance in zip(frame["corners"], frame["tolerance"]):
-                line = [(p["x"], p["y"]) for p in corners]
-                if tolerance is not None and tolerance == tolerance:
-                    line = generalised(line, [p["sides"] for p in corners], float(tolerance))
-                pts.append([{"x": x, "y": y} for x, y in [*line, line[0]]])
-            yield frame[["feature_id", "part", "ring", "role"]].assign(pts=pts)
+            rows = []
+            for *ring, corners in frame[[*_RING, "corners"]].itertuples(index=False, name=None):
+                for n, (arc, turned) in enumerate(arcs_of([(p["x"], p["y"]) for p in corners], [p["sides"] for p in corners])):
+                    rows.append((*ring, n, turned, [{"x": x, "y": y} for x, y in arc]))
+            yield pd.DataFrame(rows, columns=[*_RING, "arc", "turned", "pts"])
 
-    return rings.mapInPandas(run, f"feature_id {kind}, part int, ring int, role string, pts array<struct<x:double,y:double>>")
+    schema = f"feature_id {kind}, level int, part int, ring int, role string, arc int, turned boolean, pts array<struct<x:double,y:double>>"
+    return rings.mapInPandas(run, schema).withColumn("key", F.xxhash64("level", "pts"))
 
 
-def generalised(line: list[tuple[float, float]], sides: list[str], tolerance: float) -> list[tuple[float, float]]:
-    """Corners that a ring keeps; ``sides[i]`` names the features along the edge from corner i on."""
+def _thinned(arcs: DataFrame) -> DataFrame:
+    """``kept``: the corners of ``pts`` that the arc's ``tolerance`` leaves; all without one."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            kept = []
+            for pts, tolerance in zip(frame["pts"], frame["tolerance"]):
+                at = douglas_peucker(np.array([p["x"] for p in pts]), np.array([p["y"] for p in pts]), float(tolerance)) if tolerance > 0 else range(len(pts))
+                kept.append([{"x": pts[i]["x"], "y": pts[i]["y"]} for i in at])
+            yield frame.assign(kept=kept)
+
+    rows = arcs.drop("kept")
+    return rows.mapInPandas(run, T.StructType([*rows.schema.fields, T.StructField("kept", rows.schema["pts"].dataType)]))
+
+
+def _arc_edges(made: DataFrame) -> DataFrame:
+    sides = F.posexplode(F.expr("arrays_zip(slice(kept, 1, size(kept) - 1), slice(kept, 2, size(kept) - 1))")).alias("i", "s")
+    ends = [F.expr(f"CASE WHEN turned THEN s['{1 - k}'].{c} ELSE s['{k}'].{c} END").alias(f"{c}{k + 1}") for k in (0, 1) for c in ("x", "y")]
+    return made.select(*_RING, "arc", "key", "turned", sides).select(*_RING, "arc", "key", "i", *ends)  # as the ring walks them
+
+
+def _crossing_arcs(made: DataFrame) -> DataFrame:
+    """Keys of arcs of a level that cross themselves or each other, whoever owns them; edges meet within cells about as wide as two edges."""
+    once = _arc_edges(made.dropDuplicates(["key"]))
+    long = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
+    sided = once.join(F.broadcast(once.groupBy("level").agg(F.greatest(2 * F.avg(long), F.lit(1e-9)).alias("side"))), "level")
+    low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
+    cells = along(sided.withColumn("band", F.explode(F.sequence(low, high))))
+    a, b = (cells.select("level", "band", "col", *(F.col(c).alias(c + s) for c in ("key", "i", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
+    met = a.join(b, ["level", "band", "col"]).filter(f"(keya, ia) < (keyb, ib) AND {_APART}")
+    return met.select(F.explode(F.array("keya", "keyb")).alias("key"))
+
+
+def simplified_coverage(edges: DataFrame, tolerances: DataFrame) -> DataFrame:
+    """``feature_id, part, ring, role, pts``: closed rings generalised by their level's policy, ``level, tolerance`` (null or absent: as they are).
+
+    Arcs are generalised, so neighbours keep a common border.  Arcs that then cross an arc of their level, and those of features whose rings
+    no longer fit each other, are generalised again by half their tolerance until nothing crosses; after ``MOST_HALVINGS`` they stay as they are.
+    All arcs of a ring that would keep under three corners stay as they are.
+    """
+    policy = F.broadcast(tolerances.select("level", F.col("tolerance").cast("double").alias("tolerance")))
+    made = written(_thinned(ring_arcs(edges).join(policy, "level", "left").fillna(0.0, ["tolerance"])), "arcs")
+    fresh = made
+    for n in range(MOST_HALVINGS + 2):
+        corners = made.groupBy(*_RING).agg(F.sum(F.size("kept") - 1).alias("n")).filter("n < 3")
+        flat = made.join(corners.select(*_RING), _RING, "left_semi").select("key", F.lit(True).alias("flat"))
+        changed = made if n == 0 else made.join(fresh.select("feature_id").distinct(), "feature_id", "left_semi")
+        as_rings = _arc_edges(changed).withColumn("seq", F.col("arc") * 1_000_000 + F.col("i"))
+        unfit = made.join(ring_faults(as_rings).select("feature_id").distinct(), "feature_id", "left_semi").select("key", F.lit(False).alias("flat"))
+        found = flat.unionByName(unfit).unionByName(_crossing_arcs(made).withColumn("flat", F.lit(False))).groupBy("key").agg(F.bool_or("flat").alias("flat"))
+        wrong = written(found.join(made.filter("tolerance > 0").select("key").distinct(), "key", "left_semi"), "arcs-wrong")
+        if wrong.isEmpty():
+            break
+        less = F.when(F.col("flat") | F.lit(n >= MOST_HALVINGS), F.lit(0.0)).otherwise(F.col("tolerance") / 2)
+        fresh = written(_thinned(made.join(wrong, "key").withColumn("tolerance", less).drop("flat")), "arcs-again")
+        made = written(made.join(wrong, "key", "left_anti").unionByName(fresh), "arcs")
+    part = F.struct("arc", F.expr("slice(CASE WHEN turned THEN reverse(kept) ELSE kept END, 1, size(kept) - 1)").alias("p"))
+    rings = made.groupBy("feature_id", "part", "ring", "role").agg(F.flatten(F.transform(F.array_sort(F.collect_list(part)), lambda a: a["p"])).alias("open"))
+    return rings.select("feature_id", "part", "ring", "role", F.concat("open", F.slice("open", 1, 1)).alias("pts"))
+
+
+def arcs_of(line: list[tuple[float, float]], sides: list[str]) -> list[tuple[list[tuple[float, float]], bool]]:
+    """The arcs of a ring in order, each from its smaller end, and whether the ring walks it the other way; ``sides[i]`` names the features along the edge from corner i on."""
     n = len(line)
     knots = [i for i in range(n) if sides[i] != sides[i - 1]]
     if len(knots) < 2:  # no neighbour, or one all around: the smallest corner and the one farthest from it
         first = line.index(min(line))
         far = max(range(n), key=lambda i: ((line[i][0] - line[first][0]) ** 2 + (line[i][1] - line[first][1]) ** 2, line[i]))
         knots = sorted({first, far})
-    kept: list[tuple[float, float]] = []
+    out = []
     for a, b in zip(knots, [*knots[1:], knots[0] + n]):
         arc = [line[i % n] for i in range(a, b + 1)]
         turned = arc[0] > arc[-1]
-        arc = arc[::-1] if turned else arc
-        at = douglas_peucker(np.array([x for x, _ in arc]), np.array([y for _, y in arc]), tolerance)
-        some = [arc[i] for i in at]
+        out.append((arc[::-1] if turned else arc, turned))
+    return out
+
+
+def generalised(line: list[tuple[float, float]], sides: list[str], tolerance: float) -> list[tuple[float, float]]:
+    """Corners that a ring keeps by itself."""
+    kept: list[tuple[float, float]] = []
+    for arc, turned in arcs_of(line, sides):
+        some = [arc[i] for i in douglas_peucker(np.array([x for x, _ in arc]), np.array([y for _, y in arc]), tolerance)]
         kept += (some[::-1] if turned else some)[:-1]
     return kept if len(kept) >= 3 else line
 
 
+def closed_edges(rings: DataFrame) -> DataFrame:
+    """Edge rows of closed rings ``feature_id, part, ring, role, pts``."""
+    sides = F.posexplode(F.expr("arrays_zip(slice(pts, 1, size(pts) - 1), slice(pts, 2, size(pts) - 1))")).alias("seq", "s")
+    ends = [F.expr(f"s['{k}'].{c}").alias(f"{c}{k + 1}") for k in (0, 1) for c in ("x", "y")]
+    return rings.select("feature_id", "part", "ring", "role", sides).select("feature_id", "part", "ring", "role", "seq", *ends)
+
+
 def ring_arrays(edges: DataFrame) -> DataFrame:
     """``feature_id, ring, role, pts``: closed arrays of corners from edges."""
     corner = F.struct("seq", F.col("x1").cast("double").alias("x"), F.col("y1").cast("double").alias("y"))

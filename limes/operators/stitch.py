@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from limes.operators.geometry import ring_faults, validity
+from limes.operators.geometry import closed_edges, ring_faults, validity
 from limes.operators.rings import per_group
 from limes.session import written
 
@@ -213,13 +213,6 @@ def assembly_report(copies: DataFrame, members: DataFrame, ways: DataFrame) -> D
     return rows.join(lost, "extract_ord", "left").fillna({"duplicates": 0})
 
 
-def polygon_edges(polygons: DataFrame) -> DataFrame:
-    """Edge rows of the rings that ``rings.relation_polygons`` gives, a relation a feature."""
-    sides = F.posexplode(F.expr("arrays_zip(slice(pts, 1, size(pts) - 1), slice(pts, 2, size(pts) - 1))")).alias("seq", "s")
-    rows = polygons.filter("pts IS NOT NULL").select(F.col("rel").alias("feature_id"), "part", "ring", "role", sides)
-    return rows.select("feature_id", "part", "ring", "role", "seq", F.expr("s['0'].x").alias("x1"), F.expr("s['0'].y").alias("y1"), F.expr("s['1'].x").alias("x2"), F.expr("s['1'].y").alias("y2"))
-
-
 def country_report(countries: DataFrame, members: DataFrame, ways: DataFrame, nodes: DataFrame, polygons: DataFrame, tolerances: DataFrame) -> DataFrame:
     """One row for each country of ``countries(rel, country, level)``: coverage, outcomes and what the geometry policy does.
 
@@ -232,7 +225,7 @@ def country_report(countries: DataFrame, members: DataFrame, ways: DataFrame, no
     count = lambda kind, what: F.sum(F.when(F.col("kind") == kind, F.col(what)).otherwise(0)).alias(f"{kind}s_{what}")
     cover = kinds.groupBy(F.col("rel").alias("country")).agg(*(count(k, w) for k in ("way", "node") for w in ("required", "missing")))
     per = made.groupBy("rel").agg(F.max("reason").alias("reason"), F.max("repaired").alias("repaired"))
-    edges = polygon_edges(made)
+    edges = closed_edges(made.filter("pts IS NOT NULL").withColumnRenamed("rel", "feature_id"))
     alone = edges.withColumn("ring", F.col("part") * 1_000_000 + F.col("ring"))  # rings are checked one by one, whatever their part
     faulty = validity(alone).select("feature_id").unionByName(ring_faults(edges).select("feature_id")).distinct().select(F.col("feature_id").alias("rel"), F.lit(True).alias("faulty"))
     rows = countries.join(per, "rel", "left").join(faulty, "rel", "left").join(F.broadcast(tolerances.select("level", "tolerance")), "level", "left")

@@ -273,11 +273,19 @@ def country_report(spark, sf_dir):
     return report.drop("nodes_required", "nodes_missing")
 
 
+def _ring_ordered(spark, sf_dir) -> DataFrame:
+    """The lattice with the outlines of level 4 walked, whose edges have no order of their own."""
+    land = _land(spark, sf_dir)
+    columns = ["feature_id", "level", "part", "ring", "role", "seq", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2"))]
+    walked = geometry.closed_edges(rings.outlines(land.filter("level = 4"), "feature_id")).withColumn("level", F.lit(4))
+    return written(land.filter("level > 4").select(*columns).unionByName(walked.select(*columns)), "land-rings")
+
+
 @query()
 def simplified_rings(spark, sf_dir):
     """Generalised by the level's policy, common borders once; the tests compare whole tables with brute force."""
     tolerances = spark.createDataFrame([(4, 25.0), (6, None), (8, 12.0)], "level int, tolerance double")
-    return geometry.simplified_coverage(_land(spark, sf_dir), tolerances).select("feature_id", "part", "ring", F.size("pts").alias("n_points"), F.expr(f"{_ring_area()}").alias("area"))
+    return geometry.simplified_coverage(_ring_ordered(spark, sf_dir), tolerances).select("feature_id", "part", "ring", F.size("pts").alias("n_points"), F.expr(f"{_ring_area()}").alias("area"))
 
 
 @query(
@@ -294,6 +302,18 @@ def country_outline(spark, sf_dir):
     return box.join(outline.groupBy("country").agg(F.sum(signed).alias("area")), "country").select("minx", "miny", "maxx", "maxy", "area")
 
 
+@query("SELECT level, count(DISTINCT feature_id) AS n, 0 AS faults FROM fx_land GROUP BY level", "fx_land")
+def generalised_faults(spark, sf_dir):
+    """Rings of a coarse generalisation that cross themselves or no longer fit each other, by level."""
+    tolerances = spark.createDataFrame([(4, 90.0), (6, 45.0), (8, 45.0)], "level int, tolerance double")
+    land = _ring_ordered(spark, sf_dir)
+    made = written(geometry.simplified_coverage(land, tolerances), "generalised")
+    made = geometry.closed_edges(made)
+    alone = made.withColumn("ring", F.col("part") * 1_000_000 + F.col("ring"))
+    faults = geometry.validity(alone).select("feature_id").unionByName(geometry.ring_faults(made).select("feature_id")).distinct().withColumn("bad", F.lit(1))
+    return _features(land).select("level", F.col("id").alias("feature_id")).join(faults, "feature_id", "left").groupBy("level").agg(F.count("*").alias("n"), F.count("bad").cast("int").alias("faults"))
+
+
 # --- datasets and releases ---------------------------------------------------------------------------------------------
 
 
