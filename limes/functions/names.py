@@ -44,9 +44,9 @@ def level_label(level: Column, labels: dict[int, str] | None = None) -> Column:
 
 
 def country_code(text: Column) -> Column:
-    """Trimmed lower-case code; ``uk`` is ``gb``; an empty code is an error."""
-    code = F.lower(F.trim(text))
-    return F.when(code == "", F.raise_error(F.lit("empty country code"))).when(code == "uk", "gb").otherwise(code)
+    """Lower-case code without white space of any kind around it; ``uk`` is ``gb``; an empty code or none is an error."""
+    code = F.lower(F.coalesce(F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), F.lit("")))
+    return F.when(code == "", F.raise_error(F.lit("empty country code")).cast("string")).when(code == "uk", "gb").otherwise(code)
 
 
 def runtime_id(feature_id: Column, iso: Column | str) -> Column:

@@ -11,7 +11,7 @@ from limes.operators import geometry, hierarchy, index, lookup, policy, quality,
 from limes.plans.fixtures import fixture, table
 from limes.plans.queries import NAMED, NODEREFS, RELS, _files, _nodes, _relations, _tagged, query
 from limes.session import scratch, written
-from limes.sources import profiles, tables
+from limes.sources import profiles, releases, tables
 
 #: sides of the grid's cells by level
 SIDES = {4: 300.0, 6: 100.0, 8: 100.0}
@@ -340,10 +340,9 @@ def dataset_features(spark, sf_dir):
 def release_tables(spark, sf_dir):
     path, nodes, land = scratch(spark, "release"), _nodes(spark, sf_dir), _land(spark, sf_dir)
     meta = nodes.select(F.col("id").alias("feature_id"), "level", "name", "parent_id")
-    for _ in range(2):  # writing again replaces
-        tables.write_release(path, land, meta, hierarchy.branch_identity(nodes), policy.anchored_policy(spark, [2, 4], [2]))
-    made = {t: spark.read.parquet(f"{path}/geometry/{t}") for t in ("features", "parts", "boxes", "rings", "corners")}
-    return quality.metrics(made | {t: spark.read.parquet(f"{path}/{t}") for t in ("feature_meta", "hierarchy", "policy")})
+    for release, rows in (("1.0.0", land.filter("level = 4")), ("1.1.0", land)):  # the later one is read
+        releases.publish_runtime(spark, path, release, rows, meta, hierarchy.branch_identity(nodes), policy.anchored_policy(spark, [2, 4], [2]))
+    return quality.metrics({t.rpartition("/")[2]: releases.read_release(spark, path, t) for t in (*(f"geometry/{t}" for t in ("features", "parts", "boxes", "rings", "corners")), "feature_meta", "hierarchy", "policy")})
 
 
 @query(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from limes.operators.index import write_index
 from limes.operators.quality import verified
 
 #: Spark reads a file as one value up to this size
@@ -44,8 +46,8 @@ def _marks(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def publish(spark: SparkSession, path: str, release: str, tables: dict[str, DataFrame], identity: dict[str, str] | None = None) -> None:
-    """Write all tables of a release, then its manifest, then its mark.
+def publish(spark: SparkSession, path: str, release: str, tables: dict[str, DataFrame | Callable[[str], None]], identity: dict[str, str] | None = None) -> None:
+    """Write all tables of a release, then its manifest, then its mark; what is no table is called with the folder it may write to.
 
     Readers see the release only with its mark, so never a part of it or a mixture with another; a write that was cut off is
     done again under the same name.  A marked release is never written again.
@@ -55,13 +57,21 @@ def publish(spark: SparkSession, path: str, release: str, tables: dict[str, Data
         raise ValueError(f"release {release} is there already")
     folder = f"{path}/versions/{release}"
     for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        if isinstance(rows, DataFrame):
+            rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        else:
+            rows(f"{folder}/{name}")
     made = digested_files(spark, folder).select("path", "sha256", "size", *(F.lit(v).alias(k) for k, v in (identity or {}).items()))
     made.write.mode("overwrite").json(f"{path}/manifests/{release}")
     mark = spark.range(1).select(F.lit(release).alias("release"), F.lit(time.time_ns()).alias("at"))
     mark.coalesce(1).write.mode("append").json(f"{path}/marks")
 
 
+def publish_runtime(spark: SparkSession, path: str, release: str, edges: DataFrame, meta: DataFrame, hierarchy: DataFrame, policy: DataFrame, version: int = 3) -> None:
+    """A release of the runtime's tables: geometry index (five tables), feature metadata, hierarchy and policy, seen all together or not at all."""
+    publish(spark, path, release, {"geometry": lambda folder: write_index(edges, folder, version), "feature_meta": meta, "hierarchy": hierarchy, "policy": policy})
+
+
 def current_release(spark: SparkSession, path: str) -> str:
     """The release that was marked last; an error if none was."""
     marks = _marks(spark, path)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from limes.functions import names as N
@@ -49,3 +50,11 @@ def test_missing_extracts_are_all_named(spark):
 def test_unused_file_filter(spark):
     rows = spark.createDataFrame([("x-latest.osm.pbf", False), ("planet.osm.pbf", False), ("x-latest.osm.pbf", True)], "name string, has_boundary boolean")
     assert [r.filtered for r in select.needs_country_filter(rows).collect()] == [False, True, True]
+
+
+def test_country_codes_lose_white_space_of_any_kind(spark):
+    rows = spark.createDataFrame([("\t De\n",), (" UK ",), ("\x1cfr\x85",)], "c string")
+    assert [r.code for r in rows.select(N.country_code(F.col("c")).alias("code")).collect()] == ["de", "gb", "fr"]
+    for bad in ("  ", None):
+        with pytest.raises(PySparkException, match="empty country"):
+            spark.createDataFrame([(bad,)], "c string").select(N.country_code(F.col("c"))).collect()
