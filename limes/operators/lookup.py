@@ -137,6 +137,16 @@ def lookup_shapes(points: DataFrame, hits: DataFrame, policy: DataFrame) -> Data
     return rows.join(F.broadcast(policy), "shape", "left").select("pid", "shape", F.coalesce("status", F.lit("failed")).alias("status"))
 
 
+def lookup_shapes_by_country(points: DataFrame, hits: DataFrame, policies: DataFrame) -> DataFrame:
+    """``pid, country, shape, status``: as ``lookup_shapes``, each point by its country's rows of ``policies(country, shape, status)``.
+
+    A point that hits nothing, or has a country without policies or none, fails.
+    """
+    shapes = hits.groupBy("pid").agg(shape_of(F.collect_set("level")).alias("shape"))
+    rows = points.select("pid", "country").join(shapes, "pid", "left").withColumn("shape", F.coalesce("shape", F.lit("")))
+    return rows.join(policies, ["country", "shape"], "left").select("pid", "country", "shape", F.coalesce("status", F.lit("failed")).alias("status"))
+
+
 def repaired(hits: DataFrame, ancestors: DataFrame, parent_level: int, child_levels: list[int]) -> DataFrame:
     """Hits plus the ancestors at ``parent_level`` of hits at ``child_levels``, for points that hit nothing at that level."""
     have = hits.filter(F.col("level") == parent_level).select("pid")

@@ -33,6 +33,21 @@ def country_policy(levels: DataFrame, listed: DataFrame | None = None) -> DataFr
     return ruled.join(F.broadcast(listed.select("country").distinct()), "country", "left_anti").unionByName(listed.select("country", "shape", "status"))
 
 
+def shape_policies(levels: DataFrame, alternatives: DataFrame, listed: DataFrame) -> DataFrame:
+    """``country, shape, status`` of every country in ``country, levels``, each by its own rule.
+
+    A country in ``listed(country, shape, status)`` has these shapes only.  Else a shape of its levels is ok if it holds all levels of one of the
+    country's sets in ``alternatives(country, alternatives)``, or its first level if the country has none, and partial if not.  Shapes that
+    do not come out are not allowed.  All three tables have some rows for each country, whatever the data.
+    """
+    own = levels.join(F.broadcast(alternatives), "country", "left").select("country", F.coalesce("alternatives", F.array(F.array(F.array_min("levels")))).alias("sets"))
+    held = F.split("shape", "-").cast("array<int>")
+    has = F.exists("sets", lambda s: F.size(F.array_except(s, held)) == 0)
+    open_ = levels.join(F.broadcast(listed.select("country").distinct()), "country", "left_anti")
+    ruled = level_shapes(open_).join(F.broadcast(own), "country").select("country", "shape", F.when(has, "ok").otherwise("partial").alias("status"))
+    return ruled.unionByName(listed.join(F.broadcast(levels.select("country").distinct()), "country", "left_semi").select("country", "shape", "status"))
+
+
 def default_policy(shapes: DataFrame, levels: DataFrame) -> DataFrame:
     """ok for the full set of levels only."""
     full = levels.select("country", F.array_join(F.array_sort("levels").cast("array<string>"), "-").alias("full"))

@@ -584,3 +584,39 @@ def country_policy(spark, sf_dir):
     shapes = F.expr("map('4-6-8', 'ok', '4-8', 'ok', '4', 'partial')")
     listed = own.filter("country = 'be'").select("country", F.explode(shapes).alias("shape", "status"))
     return policy.country_policy(own, listed)
+
+
+SETS = ", ".join(f"('{code.lower()}', {sets})" for code, sets in profiles.ALTERNATIVES.items())
+LISTED = ", ".join(f"('{code.lower()}', '{ok}', '{partial}')" for code, (ok, partial) in profiles.LISTED_SHAPES.items())
+POLICIES = (
+    f"pr AS (SELECT *, row_number() OVER (ORDER BY country) - 1 AS k FROM (VALUES {PROFILE_VALUES}) v(country, levels)), alt AS (SELECT * FROM (VALUES {SETS}) v(country, sets)), lst AS (SELECT * FROM (VALUES {LISTED}) v(country, ok, partial)), "
+    "ms AS (SELECT country, levels, unnest(range(1, CAST(power(2, len(levels)) AS BIGINT))) AS mask FROM pr WHERE country NOT IN (SELECT country FROM lst)), sh AS (SELECT country, levels, list_filter(levels, lambda l, i: ((mask >> (i - 1)) & 1) = 1) AS held FROM ms), "
+    "pol AS (SELECT country, array_to_string(held, '-') AS shape, CASE WHEN (sets IS NULL AND held[1] = levels[1]) OR len(list_filter(sets, lambda s: list_has_all(held, s))) > 0 THEN 'ok' ELSE 'partial' END AS status FROM sh LEFT JOIN alt USING (country) "
+    "UNION ALL SELECT country, unnest(string_split(ok, ' ')), 'ok' FROM lst UNION ALL SELECT country, unnest(string_split(partial, ' ')), 'partial' FROM lst WHERE partial <> '')"
+)
+
+
+def _policies(spark, levels: DataFrame) -> DataFrame:
+    return policy.shape_policies(levels, profiles.shape_alternatives(spark), profiles.listed_shapes(spark))
+
+
+@query(f"+{POLICIES} SELECT country, shape, status FROM pol WHERE country IN (SELECT country FROM pr JOIN customer ON k = c_custkey % (SELECT count(*) FROM pr))", "fx_nodes")
+def shape_policies(spark, sf_dir):
+    """Shapes of the countries that customers come from, each country by its own rule or list."""
+    levels = index.with_offsets(profiles.level_table(spark), ["country"], {})
+    own = table(spark, sf_dir, "customer").selectExpr(f"c_custkey % {len(profiles.LEVELS)} AS index").distinct().join(levels, "index").select("country", "levels")
+    return _policies(spark, own)
+
+
+@query(
+    f"{LHITS}, {POLICIES}, sp AS (SELECT pid, array_to_string(list_sort(list(DISTINCT level)), '-') AS shape FROM lh GROUP BY pid) "
+    "SELECT p.pid, pr.country, coalesce(sp.shape, '') AS shape, coalesce(pol.status, 'failed') AS status FROM fx_spots p JOIN pr ON pr.k = p.pid % (SELECT count(*) FROM pr) LEFT JOIN sp ON sp.pid = p.pid LEFT JOIN pol ON pol.country = pr.country AND pol.shape = sp.shape",
+    "fx_land",
+    "fx_spots",
+)
+def country_shape_status(spark, sf_dir):
+    """Points by the shape of what they hit, each under the policy of a country of its own."""
+    levels = index.with_offsets(profiles.level_table(spark), ["country"], {})
+    points = _spots(spark, sf_dir).withColumn("index", F.col("pid") % len(profiles.LEVELS)).join(levels.select("index", "country"), "index")
+    hits = lookup.point_lookup(points.select("pid", "px", "py"), _land(spark, sf_dir), SIDES)
+    return lookup.lookup_shapes_by_country(points, hits, _policies(spark, levels.select("country", "levels")))

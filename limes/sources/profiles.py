@@ -208,6 +208,72 @@ LEVELS = {
     "ZW": [2, 4, 6, 8, 10],
 }
 
+# By country code, alternative sets of levels; a shape that holds all of one set is ok, any other partial.  Countries that are
+# not named take their first level alone.
+ALTERNATIVES = {
+    "AL": [[4, 6], [4, 7], [4, 8]],
+    "AR": [[4, 5, 8]],
+    "AT": [[4, 6], [4, 8]],
+    "BE": [[4, 6], [4, 8]],
+    "BO": [[4, 6, 8]],
+    "BR": [[4, 8]],
+    "CA": [[4], [5], [6], [7], [8]],
+    "CH": [[4, 6], [4, 8]],
+    "CL": [[4, 6, 8]],
+    "CN": [[4], [5], [6]],
+    "CO": [[4, 6]],
+    "CZ": [[4, 6], [4, 7], [4, 8]],
+    "DE": [[4, 6], [4, 8]],
+    "DK": [[4, 7]],
+    "EC": [[4, 6, 8]],
+    "ES": [[4, 6], [4, 8]],
+    "FI": [[4, 8]],
+    "FR": [[4, 6], [4, 8]],
+    "GB": [[4, 6], [4, 7]],
+    "GY": [[4, 6, 8]],
+    "ID": [[4, 5], [4, 6], [4, 7]],
+    "IE": [[5, 6, 7, 8, 9]],
+    "IN": [[4, 5, 6]],
+    "IS": [[5, 6]],
+    "IT": [[4, 6], [4, 8]],
+    "JM": [[5], [6]],
+    "JP": [[3, 4], [3, 7]],
+    "KE": [[2]],
+    "KG": [[4]],
+    "KH": [[2]],
+    "KP": [[4]],
+    "KR": [[4, 6], [4, 8]],
+    "LU": [[6, 8]],
+    "MX": [[4, 6]],
+    "MY": [[4, 5], [4, 6], [4, 7], [4, 8], [4, 10]],
+    "NL": [[4, 8]],
+    "NO": [[4, 7]],
+    "NZ": [[4, 6], [6, 8]],
+    "PE": [[4, 6, 8]],
+    "PH": [[4, 6, 10]],
+    "PL": [[4, 6], [4, 7]],
+    "PS": [[4]],
+    "SE": [[4, 7]],
+    "SG": [[6, 11]],
+    "TH": [[4, 6], [4, 8], [4, 10]],
+    "TR": [[4, 6]],
+    "US": [[4, 6], [4, 8]],
+    "UZ": [[4]],
+    "VN": [[4, 6]],
+    "ZA": [[2]],
+}
+
+# Countries whose shapes are listed one by one, as (ok, partial); no other shape is allowed there.
+LISTED_SHAPES = {
+    "AU": ("4-6 4-7", "4 6 7 6-7 4-6-7"),
+    "GR": (
+        "3 4-5 4-5-6 4-5-6-7 4-5-6-7-8 4-5-6-8 4-5-7 4-5-7-8 4-6 4-6-7 4-6-7-8 4-6-8 4-7 4-7-8 5-6 5-6-7 5-6-7-8 5-6-8 5-7 5-7-8 6-7 6-7-8",
+        "4 4-5-8 4-8 5 5-8 6 6-8 7 7-8 8",
+    ),
+    "PT": ("4-7 4-7-8 6-7 6-7-8", "4 4-8 6 6-8 7 7-8 8"),
+    "TW": ("4 4-7 4-8 4-7-8", ""),
+}
+
 # Tolerance in degrees by level; deeper levels take the last one.
 TOLERANCE = {1: 0.01, 2: 0.01, 3: 0.01, 4: 0.01, 5: 0.002, 6: 0.001}
 NEARBY_KM, OFFSHORE_KM = 2.0, 20.0
@@ -220,6 +286,17 @@ def level_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(code.lower(), levels) for code, levels in LEVELS.items()], "country string, levels array<int>")
 
 
+def shape_alternatives(spark: SparkSession) -> DataFrame:
+    """``country, alternatives`` of the countries whose rule is not their first level."""
+    return spark.createDataFrame([(code.lower(), sets) for code, sets in ALTERNATIVES.items()], "country string, alternatives array<array<int>>")
+
+
+def listed_shapes(spark: SparkSession) -> DataFrame:
+    """``country, shape, status`` of the countries that list their shapes."""
+    rows = [(code.lower(), shape, status) for code, both in LISTED_SHAPES.items() for status, shapes in zip(("ok", "partial"), both) for shape in shapes.split()]
+    return spark.createDataFrame(rows, "country string, shape string, status string")
+
+
 def default_profiles(levels: DataFrame, languages: DataFrame | None = None) -> DataFrame:
     """Profiles by rule: the English name first, then the plain, official and local ones; ``languages(country, languages)`` overrides."""
     rows = levels.withColumn("own", F.array(F.lit("en"), F.col("country")))
