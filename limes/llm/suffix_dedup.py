@@ -15,18 +15,19 @@ Strings of one document that start side by side and share an anchor are a segmen
    all that is asked.  Common prefixes of adjacent suffixes, computed to ``LENGTH`` bytes, tell the repeated strings.
 4. Repeated strings return to their documents, merge into maximal runs, and the rest is kept.
 
-An anchor under very many different segments (a common passage in ever other surroundings) would fill one bucket.  Such anchors are found
-in a pass before, by counts; there are at most ``1 / HOT_SHARE`` of them, so their list has a fixed bound, and their strings are dealt by
-their own hash instead.
+An anchor under very many different segments (a common passage in ever other surroundings) would fill one bucket.  A pass before counts all
+segments in ``2**SLOT_BITS`` slots by their anchor, equal ones of one hand once; a slot is hot if it holds ``HOT_LEAST`` segments (some
+half a megabyte of text) more than the median slot.  No anchor with as many escapes, however small its share or however thinly it is spread, since a slot counts at
+least what its anchors do.  Strings under hot slots are dealt by their own hash instead, which is right for any anchor and dear only in payload, so
+no more than ``HOT_SLOTS`` of the slots, the fullest, are hot.  Counters and the list of hot slots have a fixed size, whatever the corpus.
 
 Defined results: null and empty texts have no bytes; shorter texts lose nothing; rows that repeat a text remove each other's strings, as any
 two documents do; rows that repeat a doc_id, or have none, are documents of their own; a null doc_id is kept null; a text of up to 2 GiB, the most
-that Spark's strings hold, has to fit a Python worker some fifty times; an empty table gives an empty table; extra columns are not read.  Removal may leave bytes that are no UTF-8, so what is kept is binary.
+that Spark's strings hold, has to fit a Python worker some five times, as it is cut window by window of ``WINDOW`` bytes; an empty table gives an empty table; extra columns are not read.  Removal may leave bytes that are no UTF-8, so what is kept is binary.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -42,7 +43,8 @@ from limes.llm.packed import group_column, group_of, key_column, pack, runs, ste
 
 LENGTH, ANCHOR, HELD_SEGMENTS = 200, 120, 400_000
 PART_BYTES, GROUPS_IN_PART, BUCKETS_IN_PART = 27 << 20, 8, 8
-HOT_SHARE, HOT_LEAST, HOT_IN_HAND = 1e-4, 2_000, 64
+SLOT_BITS, CHUNK_BITS, HOT_LEAST, HOT_SLOTS = 22, 10, 2_000, 0.01
+WINDOW = 2 << 20
 _BASE = 0xA24BAED4963EE403  # 3 modulo 8, which keeps powers of two out of differences of its powers
 _PLACE = (1 << 31) - 1  # as many bytes as a string of Spark or Arrow can have
 _powers: list[tuple[np.ndarray, np.ndarray]] = []
@@ -77,8 +79,28 @@ def text_check(text: bytes | memoryview | np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(text) >> 32 << 32 | zlib.crc32(text)
 
 
+def slot_of(name: np.ndarray) -> np.ndarray:
+    """By the lower bits, since anchors are chosen for small upper ones."""
+    return (name & U64((1 << SLOT_BITS) - 1)).astype(np.int64)
+
+
+def cuts(block: Block, hot: np.ndarray, window: int = WINDOW) -> Iterator[tuple[np.ndarray, ...]]:
+    """``cut`` of a block; of a text alone that is longer than ``window``, piece by piece.
+
+    Pieces overlap by ``LENGTH - 1`` bytes, so each string starts in one of them, and a string's anchor is the same in any piece.
+    """
+    n = len(block.data)
+    if block.n > 1 or n <= window:
+        yield cut(block, hot)
+        return
+    for a in range(0, n - LENGTH + 1, window):
+        data = block.data[a : a + window + LENGTH - 1]
+        begin, *rest = cut(Block(data, np.array([0, len(data)])), hot)
+        yield begin + a, *rest
+
+
 def cut(block: Block, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Segments of a block: first byte, number of strings, anchor hash, hash of the text, row."""
+    """Segments of a block: first byte, number of strings, anchor hash, hash of the text, row.  ``hot`` flags slots; empty: none."""
     data, n = block.data, len(block.data)
     empty = np.zeros(0, dtype=np.int64)
     if n < LENGTH:
@@ -106,8 +128,7 @@ def cut(block: Block, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.ones(len(start), dtype=bool)
     new[1:] = (own[1:] != own[:-1]) | (row[1:] != row[:-1])
     if len(hot):
-        spot = np.minimum(np.searchsorted(hot, grams[own]), len(hot) - 1)
-        alone = hot[spot] == grams[own]
+        alone = hot[slot_of(grams[own])]
         new |= alone
     first = np.flatnonzero(new)
     begin, many = start[first], np.diff(np.append(first, len(start)))
@@ -118,40 +139,57 @@ def cut(block: Block, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     return begin, many, name, text, row[first]
 
 
-def hot_anchors(docs: DataFrame) -> np.ndarray:
-    """Anchors under more than ``HOT_SHARE`` of all segments; at most ``1 / HOT_SHARE``, whatever the input."""
-    none = np.zeros(0, dtype=U64)
+def hot_slots(docs: DataFrame, n: int, held_segments: int = HELD_SEGMENTS) -> np.ndarray:
+    """Which slots are hot, as bits; all segments are counted, in ``n`` partitions."""
+    none, width = np.zeros(0, dtype=bool), 1 << CHUNK_BITS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, texts_, total = [], [], 0
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, names, texts_, held = np.zeros(1 << SLOT_BITS, dtype=np.uint32), [], [], 0
 
-        def told() -> pa.RecordBatch:
-            nonlocal names, texts_
-            pairs = np.unique(np.stack([np.concatenate(names), np.concatenate(texts_)], axis=1), axis=0) if names else np.zeros((0, 2), dtype=U64)
-            s, n = runs(pairs[:, 0])
-            many = n >= HOT_IN_HAND
-            names, texts_ = [], []
-            return pa.RecordBatch.from_arrays([pa.array(pairs[s[many], 0].view(np.int64)), pa.array(n[many])], ["anchor", "n"])
+        def settle() -> None:
+            pairs = np.unique(np.stack([np.concatenate(names), np.concatenate(texts_)], axis=1), axis=0)
+            slot, many = np.unique(slot_of(pairs[:, 0]), return_counts=True)
+            counts[slot] += many.astype(np.uint32)
+            names.clear()
+            texts_.clear()
 
-        held = 0
         for batch in batches:
             for _, _, block in blocks(batch.column(1)):
-                _, _, name, text, _ = cut(block, none)
-                names.append(name)
-                texts_.append(text)
-                total, held = total + len(name), held + len(name)
-                if held >= HELD_SEGMENTS:
-                    yield told()
-                    held = 0
+                for _, _, name, text, _ in cuts(block, none):
+                    names.append(name)
+                    texts_.append(text)
+                    held += len(name)
+                    if held >= held_segments:
+                        settle()
+                        held = 0
         if names:
-            yield told()
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["anchor", "n"])
+            settle()
+        filled = np.flatnonzero(counts.reshape(-1, width).any(axis=1))
+        for some in np.split(filled, np.arange(256, len(filled), 256)):
+            yield _record([(int(c), pack(counts[c * width : (c + 1) * width])) for c in some], ["chunk", "counts"], [pa.int32(), pa.binary()]) if len(some) else _NO_COUNTS
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[chunk] = sums.get(chunk, 0) + unpack(data, np.uint32)[0].astype(np.int64)
+        if sums:
+            yield _record([(c, pack(v)) for c, v in sums.items()], ["chunk", "counts"], [pa.int32(), pa.binary()])
+
+    counted = docs.mapInArrow(tidied(count), "chunk int, counts binary").repartition(min(n, 1 << (SLOT_BITS - CHUNK_BITS)), "chunk")
+    total = np.zeros((1 << (SLOT_BITS - CHUNK_BITS), width), dtype=np.int64)
+    for chunk, data in counted.mapInArrow(tidied(add), "chunk int, counts binary").toLocalIterator():
+        total[chunk] = unpack(bytes(data), np.int64)[0]
+    return np.packbits(_hot(total.ravel()))
+
+
+def _hot(total: np.ndarray) -> np.ndarray:
+    most = int(len(total) * HOT_SLOTS)
+    bar = np.median(total) + HOT_LEAST
+    return (total >= bar) & (total > np.partition(total, len(total) - most - 1)[len(total) - most - 1])
+
 
-    counted = docs.mapInArrow(tidied(run), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    counted = written(counted, "anchors")
-    total = counted.filter("anchor IS NULL").agg(F.sum("n")).first()[0] or 0
-    rows = counted.filter(F.col("anchor").isNotNull() & (F.col("n") >= max(HOT_LEAST, math.ceil(total * HOT_SHARE)))).select("anchor").collect()
-    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(U64))
+_NO_COUNTS = pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.binary())], ["chunk", "counts"])
 
 
 def _reply(ids, checks, begin, many, groups: int) -> Iterator[tuple[int, bytes]]:
@@ -186,11 +224,13 @@ class _Held:
     def __init__(self, buckets: int, groups: int):
         self.buckets, self.groups, self.parts, self.n = buckets, groups, [], 0
 
-    def add(self, ids: np.ndarray, block: Block, hot: np.ndarray) -> None:
-        begin, many, name, text, row = cut(block, hot)
+    def add(self, ids: np.ndarray, block: Block, hot: np.ndarray) -> Iterator[int]:
+        """Tells how many segments are held, piece after piece."""
         checks = np.array([text_check(block.data[block.offs[i] : block.offs[i + 1]]) for i in range(block.n)], dtype=U64)
-        self.parts.append((name, text, ids[row], checks[row], begin - block.offs[row], many))
-        self.n += len(name)
+        for begin, many, name, text, row in cuts(block, hot):
+            self.parts.append((name, text, ids[row], checks[row], begin - block.offs[row], many))
+            self.n += len(name)
+            yield self.n
 
     def send(self) -> Iterator[tuple[int, bool, bytes]]:
         if self.n:
@@ -219,20 +259,20 @@ def _record(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
-def segments(docs: DataFrame, hot: np.ndarray, buckets: int, groups: int) -> DataFrame:
+def segments(docs: DataFrame, hot_bits: np.ndarray, buckets: int, groups: int) -> DataFrame:
     def sent(held: _Held) -> Iterator[pa.RecordBatch]:
         rows = list(held.send())
         for k in range(0, len(rows), 256):
             yield _record(rows[k : k + 256], ["bucket", "settled", "payload"], [pa.int32(), pa.bool_(), pa.binary()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(buckets, groups)
+        held, hot = _Held(buckets, groups), np.unpackbits(hot_bits).astype(bool)
         for batch in batches:
             ids = np.asarray(batch.column(0))
             for lo, hi, block in blocks(batch.column(1)):
-                held.add(ids[lo:hi], block, hot)
-                if held.n >= HELD_SEGMENTS:
-                    yield from sent(held)
+                for n in held.add(ids[lo:hi], block, hot):
+                    if n >= HELD_SEGMENTS:
+                        yield from sent(held)
         yield from sent(held)
 
     return docs.mapInArrow(tidied(run), "bucket int, settled boolean, payload binary")
@@ -426,7 +466,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     with_key = rows.select("doc_id", key_column().alias("key"), "text")
     keyed = with_key.select("key", "text")
     grouped = with_key.withColumn("grp", group_column(F.col("key"), F.col("text"), groups)).repartition(n, "grp")
-    found = written(compare(segments(keyed, hot_anchors(keyed), buckets, groups).repartition(n, "bucket"), groups), "segments")
+    found = written(compare(segments(keyed, hot_slots(keyed, n), buckets, groups).repartition(n, "bucket"), groups), "segments")
     sorted_ = sort_buckets(fetch(grouped, found.filter("asked").repartition(n, "grp"), buckets).repartition(n, "bucket"), groups)
     replies = found.filter("NOT asked").select("grp", "payload").unionByName(sorted_).repartition(n, "grp")
 

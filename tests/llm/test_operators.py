@@ -93,7 +93,6 @@ def test_suffix_dedup(docs, texts):
 
 
 def test_suffix_dedup_with_hot_anchors(docs, texts, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT_IN_HAND", 2)
     monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 2)
     want = suffix_expected(texts)
     assert {r.doc_id: (bytes(r.kept), len(r.removed)) for r in suffix_dedup.deduplicated(docs).collect()} == want
