@@ -88,7 +88,6 @@ KNOWN: list[tuple[str, str, str]] = [
 
 # Spellings that count as equal, in canonical (lower, single-spaced) text.
 SPELLINGS = [("licence", "license"), ("copyright owner", "copyright holder"), ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("non infringement", "noninfringement"), ("per cent", "percent"), ("sub license", "sublicense"), ("merchantibility", "merchantability"), ("redistributions", "redistribution")]
-COPYRIGHT_LINE = r"(^|\n)[ \t#*/;-]*copyright[^\n]*"  # the statement's: all lines that begin so
 GOES_ON = r"(?:notices?|holders?|owners?|laws?|licen[sc]es?|statements?|interests?|infringements?|protection|and|or|in)\b"
 COPYRIGHT_NOTICE = r"(^|\n)[ \t#*/;-]*copyright(?![a-z])(?![ \t\r.,:;'*\x22-]*(?:" + GOES_ON + r"|\n|$))[^\n]*"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -135,7 +134,11 @@ def _quoted(s: str) -> str:
 
 
 def _sql_canonical(x: str) -> str:
-    out = f"trim(regexp_replace(regexp_replace(lower({x}), '{COPYRIGHT_LINE}', chr(10), 'g'), '{PUNCTUATION}', ' ', 'g'))"
+    """The statement's expressions have no look-ahead, so it judges line by line: what begins as a notice and does not go on as a text does."""
+    begins = r"^[ \t#*/;-]*copyright"
+    goes_on = _quoted(begins + r"[ \t\r.,:;'*\x22-]*(" + GOES_ON + "|$)")
+    kept = f"array_to_string(list_filter(string_split(lower({x}), chr(10)), lambda l: NOT (regexp_matches(l, '{begins}([^a-z]|$)') AND NOT regexp_matches(l, {goes_on}))), chr(10))"
+    out = f"trim(regexp_replace(CASE WHEN contains(lower({x}), 'copyright') THEN {kept} ELSE lower({x}) END, '{PUNCTUATION}', ' ', 'g'))"
     for a, b in SPELLINGS:
         out = f"replace({out}, '{a}', '{b}')"
     return out
