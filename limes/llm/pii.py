@@ -14,6 +14,9 @@ Weights are fitted by pseudo-likelihood on at most ``TRAIN_DOCS`` documents with
 from the fit, and from disguise: each pattern match of the sample is also written in forms that no pattern matches ("ann [at] mail
 dot com", "10[.]0[.]0[.]1", "4111/1111/1111/1111", "001/555/555/1234"), under the label that it had.
 
+Card and phone numbers are labelled as whole runs of digits: if any token of a run (separators between, at most 19 digits) is surely one or the other, the run is
+a span, a card with more than 15 digits, else a phone; under seven digits it is neither.  Redaction so leaves no part of a number.
+
 All pattern searches take linear time in the text.  Offsets are code points, ends exclusive.
 
 Defined results: null and empty texts have no spans; null ids are kept; repeated rows are judged alike; matches that fail a test are
@@ -24,7 +27,7 @@ empty table; without any node to fit on only base spans are given; extra columns
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ from limes.llm.common import first_by_hash, table, texts
 
 KINDS = ["email", "ip", "card", "phone"]
 TRAIN_DOCS, TRAIN_CHARS, STEPS, RATE, SURE = 2_000, 50_000, 600, 4.0, 0.9
+#: a run of digits is a phone number from as many digits (a short one's) to as many, and a card from there on
+LEAST_DIGITS, MOST_PHONE = 7, 15
 #: messages are settled if no score changes by more; after as many rounds, and four more for each node of the longest run, the step
 #: halves, so that messages that swing settle too
 SETTLED, PATIENCE = 1e-4, 100
@@ -94,7 +99,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-N_FEATURES = 34
+N_FEATURES = 38
 
 
 def _digits(token: str) -> int:
@@ -199,6 +204,13 @@ class Nodes:
         self.x[chain_i + 1, 27] = self.joiner[chain_i]
         self.x[chain_i, 28] = self.joiner[chain_i + 1]
         self.tokens = tokens
+        self.numeric = ~self.joiner & ~self.x[:, [13, 20]].any(axis=1) & np.array([(k := _digits(t)) > 0 and k >= sum(map(str.isalpha, t)) for t in tokens], dtype=bool)
+        for run in numbers(self, np.ones(self.n, dtype=bool)):
+            digits = "".join(c for i in run for c in tokens[i] if "0" <= c <= "9")
+            if len(digits) >= LEAST_DIGITS:
+                self.x[run, 34 if len(digits) <= MOST_PHONE else 35] = 1
+                self.x[run, 36] = len(digits) > MOST_PHONE and luhn(digits)
+                self.x[run, 37] = tokens[run[0]].lstrip("(")[:1] == "+" or digits.startswith("00")
         self.chain = np.stack([chain_i, chain_i + 1], axis=1)
         self.label = np.full(self.n, -1, dtype=np.int64)
         bounds = np.searchsorted(own, np.arange(block.n + 1))
@@ -239,8 +251,12 @@ def disguised(kind: int, found: str, form: int) -> str:
     return (f"00{'/'.join(groups)}", f"+{'/'.join(groups)}", f"00{groups[0]}-{'-'.join(groups[1:])}" if len(groups) > 1 else f"00{groups[0]}")[form % 3]
 
 
-def disguises(texts_: list[str]) -> tuple[list[str], dict[int, list[tuple[int, int, int]]]]:
-    """Texts that have matches, with all of them disguised, and where these stand."""
+#: forms of ``disguised`` by kind
+FORMS = (5, 3, 3, 3)
+
+
+def disguises(texts_: list[str], choose: Callable[[int, int], int] = lambda kind, k: k) -> tuple[list[str], dict[int, list[tuple[int, int, int]]]]:
+    """Texts that have matches, with all of them disguised, and where these stand; ``choose(kind, k)`` is the form of the k-th match."""
     out, regions, form = [], {}, 0
     for text in texts_:
         spans = sorted((a, b, k) for k, a, b in base_spans(text))
@@ -250,7 +266,7 @@ def disguises(texts_: list[str]) -> tuple[list[str], dict[int, list[tuple[int, i
         for a, b, kind in spans:
             if a < done:
                 continue
-            new = disguised(kind, text[a:b], form)
+            new = disguised(kind, text[a:b], choose(kind, form))
             form += 1
             pieces += [text[done:a], new]
             size += a - done
@@ -349,6 +365,24 @@ def fit(nodes: list[Nodes], steps: int = STEPS) -> Field | None:
     return Field(unary, chain, (skip + skip.T) / 2)
 
 
+_BETWEEN = re.compile(r"[ \t/.()_-]{1,3}")
+
+
+def numbers(nodes: Nodes, part: np.ndarray) -> list[list[int]]:
+    """Maximal runs of nodes in ``part`` that look like one number: no more letters than digits, no address, only separators between, at most 19 digits.
+
+    Runs with more digits are several numbers, which looks cannot part.
+    """
+    out: list[list[int]] = []
+    for i in np.flatnonzero(part & nodes.numeric).tolist():
+        d = int(nodes.doc[i])
+        if out and out[-1][-1] == i - 1 and nodes.doc[i - 1] == d and _BETWEEN.fullmatch(nodes.text[d], int(nodes.end[i - 1]), int(nodes.start[i])):
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return [run for run in out if sum(_digits(nodes.tokens[i]) for i in run) <= 19]
+
+
 def all_spans(nodes: Nodes, fitted: Field | None, sure: float = SURE) -> dict[int, list[tuple[int, int, int]]]:
     """Base spans and the field's, by document, kind and start; none of one kind overlap."""
     out = {d: list(s) for d, s in nodes.spans.items()}
@@ -360,14 +394,25 @@ def all_spans(nodes: Nodes, fitted: Field | None, sure: float = SURE) -> dict[in
     following = {int(a): int(b) for a, b in nodes.chain}
     taken = set()
     wanted = set(new.tolist())
+    whole = {}
+    for run in numbers(nodes, nodes.label <= 0):  # a card or phone number is labelled as a whole, so that no part of it is left over
+        if p[run, 3:].sum(axis=1).max() >= sure:  # of which kind, the digits tell
+            digits = sum(_digits(nodes.tokens[i]) for i in run)
+            if digits < LEAST_DIGITS:
+                wanted.difference_update(run)
+                continue
+            best[run] = 4 if digits <= MOST_PHONE else 3
+            wanted.update(run)
+            whole.update((i, run) for i in run)
+    new = np.array(sorted(wanted), dtype=np.int64)
     for i in new.tolist():
         if i in taken:
             continue
-        run = [i]
+        run = list(whole.get(i, [i]))
         # a number may be written in several tokens, but two whole card numbers side by side are two
         while best[i] == 1 and (j := following.get(run[-1])) in wanted and best[j] == 1 and (nodes.joiner[j] or nodes.joiner[run[-1]]):
             run.append(j)
-        while best[i] >= 3 and (j := following.get(run[-1])) in wanted and best[j] == best[i] and sum(map(_digits, nodes.tokens[i : j + 1])) <= 19:
+        while i not in whole and best[i] >= 3 and (j := following.get(run[-1])) in wanted and j not in whole and best[j] == best[i] and sum(map(_digits, nodes.tokens[i : j + 1])) <= 19:
             run.append(j)
         taken.update(run)
         d, kind = int(nodes.doc[i]), int(best[i]) - 1
@@ -395,8 +440,8 @@ def train(docs: DataFrame, most_docs: int = TRAIN_DOCS) -> Field | None:
     return fit(training_nodes(rows.column(0).combine_chunks())) if rows.num_rows else None
 
 
-def training_nodes(column: pa.Array) -> list[Nodes]:
-    hidden, regions = disguises(column.to_pylist())
+def training_nodes(column: pa.Array, choose: Callable[[int, int], int] = lambda kind, k: k) -> list[Nodes]:
+    hidden, regions = disguises(column.to_pylist(), choose)
     nodes = [Nodes(b) for _, _, b in blocks(column)]
     for lo, hi, block in blocks(pa.array(hidden, pa.string())):
         nodes.append(Nodes(block).told({d - lo: s for d, s in regions.items() if lo <= d < hi}))
