@@ -14,8 +14,8 @@ Weights are fitted by pseudo-likelihood on at most ``TRAIN_DOCS`` documents with
 from the fit, and from disguise: each pattern match of the sample is also written in forms that no pattern matches ("ann [at] mail
 dot com", "10[.]0[.]0[.]1", "4111/1111/1111/1111", "001/555/555/1234"), under the label that it had.
 
-Card and phone numbers are labelled as whole runs of digits: if any token of a run (separators between, at most 19 digits) is surely one or the other, the run is
-a span, a card with more than 15 digits, else a phone; under seven digits it is neither.  Redaction so leaves no part of a number.
+Card and phone numbers are labelled as whole runs of digits: if any token of a run (separators between, at most 19 digits, none like an address) is surely
+some number and more likely one of these than an address, the run is a span, a card with more than 15 digits, else a phone; under seven digits it is neither.  Redaction so leaves no part of a number.
 
 All pattern searches take linear time in the text.  Offsets are code points, ends exclusive.
 
@@ -396,7 +396,8 @@ def all_spans(nodes: Nodes, fitted: Field | None, sure: float = SURE) -> dict[in
     wanted = set(new.tolist())
     whole = {}
     for run in numbers(nodes, nodes.label <= 0):  # a card or phone number is labelled as a whole, so that no part of it is left over
-        if p[run, 3:].sum(axis=1).max() >= sure:  # of which kind, the digits tell
+        number = p[run, 3:].sum(axis=1)
+        if ((p[run, 2] < number) & (p[run, 2] + number >= sure)).any():  # of which kind, the digits tell; what looks like an address is in no run
             digits = sum(_digits(nodes.tokens[i]) for i in run)
             if digits < LEAST_DIGITS:
                 wanted.difference_update(run)
