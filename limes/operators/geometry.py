@@ -55,8 +55,11 @@ def along(banded: DataFrame, width: Column | None = None) -> DataFrame:
     return banded.withColumn("col", F.explode(F.sequence(F.floor(left / width - 1e-9), F.floor(right / width + 1e-9))))
 
 
+# Products of coordinates are of doubles, as those of whole numbers leave their type far from the origin.
+#: twice the area below an edge
+_SHOELACE = "CAST(x1 AS DOUBLE) * y2 - CAST(x2 AS DOUBLE) * y1"
 #: above 0 where (px, py) is to the left of the edge
-_SIDE = "((x2 - x1) * ({y} - y1) - (y2 - y1) * ({x} - x1))"
+_SIDE = "(CAST(x2 - x1 AS DOUBLE) * ({y} - y1) - CAST(y2 - y1 AS DOUBLE) * ({x} - x1))"
 _TO_THE_RIGHT = f"(y1 > {{y}}) <> (y2 > {{y}}) AND CASE WHEN y2 > y1 THEN {_SIDE} > 0 ELSE {_SIDE} < 0 END"
 
 
@@ -124,7 +127,7 @@ def representative_points(edges: DataFrame) -> DataFrame:
 
     It lies on the line midway between the vertex heights that bracket the middle of the largest ring, in the middle of the feature's widest run there.
     """
-    rings = with_part(edges).groupBy("feature_id", "part", "ring").agg(F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"), ((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2).alias("mid"))
+    rings = with_part(edges).groupBy("feature_id", "part", "ring").agg(F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"), ((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2).alias("mid"))
     box = rings.groupBy("feature_id").agg(F.max_by("mid", F.struct("twice", (-F.col("part")).alias("p"), (-F.col("ring")).alias("r"))).alias("mid"))
     ends = edges.select("feature_id", F.explode(F.array("y1", "y2")).alias("y")).distinct()
     around = ends.join(box, "feature_id").groupBy("feature_id").agg(F.max(F.when(F.col("y") <= F.col("mid"), F.col("y"))).alias("a"), F.min(F.when(F.col("y") > F.col("mid"), F.col("y"))).alias("b"))
@@ -139,7 +142,7 @@ def representative_points(edges: DataFrame) -> DataFrame:
 def areas(edges: DataFrame) -> DataFrame:
     """Area (holes subtract) and bounds of every feature; shoelace sums ring by ring."""
     ring = edges.groupBy("feature_id", "level", "ring", "role").agg(
-        F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"),
+        F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"),
         *(f(g(a, b)).alias(n) for n, f, g, a, b in (("minx", F.min, F.least, "x1", "x2"), ("miny", F.min, F.least, "y1", "y2"), ("maxx", F.max, F.greatest, "x1", "x2"), ("maxy", F.max, F.greatest, "y1", "y2"))),
     )
     signed = F.when(F.col("role") == "inner", -F.col("twice")).otherwise(F.col("twice"))
@@ -162,7 +165,7 @@ def loops(points: DataFrame) -> DataFrame:
 
 
 def _turn(p: str, q: str, r: str) -> str:
-    return f"sign((x{q} - x{p}) * (y{r} - y{p}) - (y{q} - y{p}) * (x{r} - x{p}))"
+    return f"sign(CAST(x{q} - x{p} AS DOUBLE) * (y{r} - y{p}) - CAST(y{q} - y{p} AS DOUBLE) * (x{r} - x{p}))"
 
 
 #: edges a and b cross inside both
@@ -174,7 +177,7 @@ def validity(edges: DataFrame) -> DataFrame:
 
     Edges meet only where they pass one cell of their ring's own grid, which has about as many rows as the root of its number of edges.
     """
-    box = edges.groupBy("feature_id", "ring").agg(F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("span"), F.count("*").alias("n"), F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"), F.countDistinct("x1", "y1").alias("corners"))
+    box = edges.groupBy("feature_id", "ring").agg(F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("span"), F.count("*").alias("n"), F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"), F.countDistinct("x1", "y1").alias("corners"))
     side = F.greatest(F.col("span"), F.lit(1e-9)) / F.ceil(F.sqrt(F.col("n")))
     low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
     sided = edges.join(box.select("feature_id", "ring", side.alias("side")), ["feature_id", "ring"]).withColumn("band", F.explode(F.sequence(low, high)))
@@ -201,7 +204,7 @@ def ring_faults(edges: DataFrame) -> DataFrame:
     crossing = crossing.select("feature_id", F.explode(F.expr("array(struct(parta AS part, ringa AS ring), struct(partb AS part, ringb AS ring))")).alias("r")).select("feature_id", "r.part", "r.ring").distinct().withColumn("crosses", F.lit(True))
 
     of_ring = ["feature_id", "part", "ring"]
-    size = rows.groupBy(*of_ring, "role").agg(F.abs(F.sum(F.expr("x1 * y2 - x2 * y1"))).alias("twice"))
+    size = rows.groupBy(*of_ring, "role").agg(F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"))
     key = F.to_json(F.struct(*of_ring)).alias("key")
     inner = representative_points(rows.select(key.alias("feature_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "x1", "y1", "x2", "y2")).withColumnRenamed("feature_id", "key")
     probes = size.select("*", key).join(inner, "key").join(box, "feature_id").select("feature_id", *(F.col(c).alias(f"own_{c}") for c in ("part", "ring", "role", "twice")), "px", "py", F.floor(F.col("py") / F.col("side")).alias("band"))
