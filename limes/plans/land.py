@@ -224,18 +224,22 @@ WAYS = (
 )
 
 
+#: nodes are numbered by column and row; the lattice grows by rows, which stay below this
+NODE_ROWS = 1_000_000_000_000
+
+
 def _blocks(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members, ways and nodes: borders of blocks as relations of two-node ways from numbered nodes; some ways are missing, some relations have inner ways."""
     own = fixture(spark, sf_dir, "fx_borders").selectExpr("bi + 5 * bj AS rel", "CAST(seq AS BIGINT) AS ref", "x1", "y1", "x2", "y2", "seq = min(seq) OVER (PARTITION BY bi, bj) AS is_first")
     cells = fixture(spark, sf_dir, "fx_cells").filter(HOLED).selectExpr("CAST(floor(i/5) AS INT) + 5 * CAST(floor(j/6) AS INT) AS rel", "CAST(k AS BIGINT) + 2000000000 AS ref", "i*100 AS x", "j*100 AS y").filter("rel % 5 = 1")
-    refs = "array({})".format(", ".join(f"CAST(x + {a} AS BIGINT) * 1000000 + y + {b}" for a, b in ((60, 50), (60, 70), (80, 70), (80, 50), (60, 50))))
+    refs = "array({})".format(", ".join(f"CAST(x + {a} AS BIGINT) * {NODE_ROWS} + y + {b}" for a, b in ((60, 50), (60, 70), (80, 70), (80, 50), (60, 50))))
     holes = cells.selectExpr("rel", "'inner' AS role", "ref", f"{refs} AS node_refs")
-    segment = "array(CAST(x1 AS BIGINT) * 1000000 + y1, CAST(x2 AS BIGINT) * 1000000 + y2)"
+    segment = f"array(CAST(x1 AS BIGINT) * {NODE_ROWS} + y1, CAST(x2 AS BIGINT) * {NODE_ROWS} + y2)"
     outer = own.selectExpr("rel", "CASE WHEN ref % 2 = 0 THEN 'outer' ELSE '' END AS role", "ref", f"{segment} AS node_refs", "is_first AND rel % 3 = 0 AS gone")
     again = own.filter("rel % 7 = 3").selectExpr("rel", "'inner' AS role", "ref + 1000000000 AS ref", f"{segment} AS node_refs", "false AS gone")
     every = outer.unionByName(again).unionByName(holes.withColumn("gone", F.lit(False)))
     ways = every.filter("NOT gone").selectExpr("ref AS id", "node_refs")
-    nodes = every.select(F.explode("node_refs").alias("id")).distinct().selectExpr("id", "(id div 1000000) * 0.01D AS lon", "(id % 1000000) * 0.01D AS lat")
+    nodes = every.select(F.explode("node_refs").alias("id")).distinct().selectExpr("id", f"(id div {NODE_ROWS}) * 0.01D AS lon", f"(id % {NODE_ROWS}) * 0.01D AS lat")
     return every.select(F.col("rel").cast("long").alias("rel"), "role", "ref"), ways, nodes
 
 
