@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from limes.operators.geometry import Sides, along, bands, containing
-from limes.session import raised_if_empty
+from limes.session import raised_if_empty, spread
 
 #: of a degree of latitude
 KM_PER_DEGREE = 111.32
@@ -66,8 +66,10 @@ def nearest(points: DataFrame, edges: DataFrame, most: float) -> DataFrame:
 
 def _columns(band: Column, high: float) -> Column:
     """How many columns a row band of ``high`` degrees has: each as wide as a band is high, at the highest latitude of the band and its neighbours."""
-    latitude = F.least(F.lit(90.0), F.greatest(F.abs((band - 1) * high), F.abs((band + 2) * high)))
-    return F.greatest(F.lit(1), F.floor(360 * F.cos(F.radians(latitude)) / high)).cast("long")
+    low, top = (band - 1) * high, (band + 2) * high
+    pole = F.floor((low + 90) / 180) != F.floor((top + 90) / 180)
+    least = F.when(pole, 0.0).otherwise(F.least(F.abs(F.cos(F.radians(low))), F.abs(F.cos(F.radians(top)))))
+    return F.greatest(F.lit(1), F.floor(360 * least / high)).cast("long")
 
 
 def nearest_km(points: DataFrame, edges: DataFrame, most_km: float) -> DataFrame:
@@ -75,20 +77,22 @@ def nearest_km(points: DataFrame, edges: DataFrame, most_km: float) -> DataFrame
 
     The globe is cut into row bands ``most_km`` high, each band into columns of its own width, which close up at 180 degrees.  An edge is listed in the
     cells along its line, a point looks into the columns in reach of its own band and of the two beside it: some nine cells, and
-    all of a band near a pole.  An edge between longitudes more than 180 degrees apart goes the short way, over 180.
+    all of a band near a pole.  An edge between longitudes more than 180 degrees apart goes the short way, over 180.  Latitudes past 90 are
+    scaled by the size of their cosine.  Edges of a level that lie on each other are one, of the smallest id, which wins their ties.
     """
     high = most_km / KM_PER_DEGREE
-    flat = edges.withColumns({"x1": F.col("x1").cast("double"), "x2": F.col("x2").cast("double")})
+    once = edges.groupBy("level", "x1", "y1", "x2", "y2").agg(F.min("feature_id").alias("feature_id"))
+    flat = once.withColumns({"x1": F.col("x1").cast("double"), "x2": F.col("x2").cast("double")})
     ahead = flat.withColumns({"x1": F.when(F.col("x2") - F.col("x1") > 180, F.col("x1") + 360).otherwise(F.col("x1")), "x2": F.when(F.col("x1") - F.col("x2") > 180, F.col("x2") + 360).otherwise(F.col("x2"))})
     width = 360 / F.col("columns")
     banded = bands(ahead, high).withColumn("columns", _columns(F.col("band"), high))
     cells = along(banded, width).select("feature_id", "level", "x1", "y1", "x2", "y2", "band", F.pmod("col", "columns").alias("col")).distinct()
-    reach = F.least(F.lit(181.0), F.lit(high) / F.greatest(F.lit(1e-12), F.cos(F.radians(F.col("py")))))
+    reach = F.least(F.lit(181.0), F.lit(high) / F.greatest(F.lit(1e-12), F.abs(F.cos(F.radians(F.col("py"))))))
     own = points.withColumn("reach", reach).withColumn("band", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("py") / high) + d)))
     own = own.withColumn("columns", _columns(F.col("band"), high))
     low, to = F.floor((F.col("px") - F.col("reach")) / width - 1e-9), F.floor((F.col("px") + F.col("reach")) / width + 1e-9)
     own = own.withColumn("col", F.explode(F.sequence(low, F.least(to, low + F.col("columns") - 1)))).withColumn("col", F.pmod("col", "columns")).drop("columns")
-    near = own.join(cells, ["band", "col"])
+    near = spread(own, "band", "col").join(spread(cells, "band", "col"), ["band", "col"])
     # the copy of an edge whose middle is nearest is the nearest one, unless the point's reach goes around
     turns = F.round((F.col("px") - (F.col("x1") + F.col("x2")) / 2) / 360) * 360
     copies = F.when(F.col("reach") + F.abs(F.col("x2") - F.col("x1")) / 2 >= 180, F.array(turns, turns - 360, turns + 360)).otherwise(F.array(turns))
