@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from limes.functions.numbers import path_signature
 from limes.operators.index import with_offsets
-from limes.session import written
+from limes.session import written, written_wide
 
 
 def resolved(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,8 +72,8 @@ def tree_listing(nodes: DataFrame, edges: DataFrame, skip_unlevelled: bool = Fal
     step = lambda name, i: F.array(F.concat_ws("\x1f", name, i))
     start = roots(nodes, edges).select("id").join(named, "id")
     first = start.select(F.col("id").alias("root"), "id", step("name", "id").alias("sort_path"), F.array("id").alias("way"), F.when(F.col("told"), F.lit(0)).otherwise(-1).alias("depth"), "told", F.when(F.col("told"), F.col("id")).alias("listed"), F.lit(None).cast(nodes.schema["id"].dataType).alias("above"))
-    down = written(edges.select("parent", "child").distinct().join(named.select(F.col("id").alias("child"), "name", F.col("told").alias("child_told")), "child"), "tree-edges")
-    better = written(first, "tree-ways")
+    down = written_wide(edges.select("parent", "child").distinct().join(named.select(F.col("id").alias("child"), "name", F.col("told").alias("child_told")), "child"), "tree-edges")
+    better = written_wide(first, "tree-ways")
     every = better
     while not better.isEmpty():
         further = (
@@ -92,7 +92,7 @@ def tree_listing(nodes: DataFrame, edges: DataFrame, skip_unlevelled: bool = Fal
         )
         best = _smallest(further)
         known = every.groupBy("root", "id").agg(F.min("sort_path").alias("known"))
-        better = written(best.join(known, ["root", "id"], "left").filter("known IS NULL OR sort_path < known").drop("known"), "tree-ways")
+        better = written_wide(best.join(known, ["root", "id"], "left").filter("known IS NULL OR sort_path < known").drop("known"), "tree-ways")
         every = every.unionByName(better)
     return _smallest(every).filter("told").select("root", "id", "depth", "sort_path", "above")
 

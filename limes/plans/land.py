@@ -10,7 +10,7 @@ from limes.functions import numbers as M
 from limes.operators import geometry, hierarchy, index, lookup, policy, quality, rings, select, stitch
 from limes.plans.fixtures import fixture, table
 from limes.plans.queries import NAMED, NODEREFS, RELS, _files, _nodes, _relations, _tagged, query
-from limes.session import scratch, written
+from limes.session import scratch, written, written_wide
 from limes.sources import profiles, releases, tables
 
 #: sides of the grid's cells by level
@@ -509,7 +509,7 @@ def build_report(spark, sf_dir):
 def level_effects(spark, sf_dir):
     """What a policy does to boxes by level; invalid are those in whose rings the checks find a fault."""
     tolerances = spark.createDataFrame([(4, 0.01), (8, 0.001)], "level int, tolerance double")
-    boxes = written(fixture(spark, sf_dir, "fx_boxes"), "boxes")
+    boxes = written_wide(fixture(spark, sf_dir, "fx_boxes"), "boxes")
     invalid = geometry.validity(boxes.filter("part = 0")).select("feature_id").unionByName(geometry.ring_faults(boxes).select("feature_id")).select(F.col("feature_id").alias("id"))
     return quality.level_effects(_features(boxes), tolerances, invalid)
 
@@ -519,7 +519,7 @@ def level_effects(spark, sf_dir):
     "fx_boxes",
 )
 def ring_faults(spark, sf_dir):
-    return geometry.ring_faults(written(fixture(spark, sf_dir, "fx_boxes"), "boxes"))
+    return geometry.ring_faults(written_wide(fixture(spark, sf_dir, "fx_boxes"), "boxes"))
 
 
 PART_TREE = (
