@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limes.operators.geometry import along
-from limes.session import written
+from limes.session import written_wide
 
 
 def _turn(p: str, q: str, r: str) -> str:
@@ -23,11 +23,12 @@ def crossings(segments: DataFrame, group: str) -> DataFrame:
     box = segments.groupBy(group).agg(
         F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2")), F.lit(1e-9)).alias("span"), F.ceil(F.sqrt(F.count("*"))).alias("rows")
     )
-    sided = segments.filter("x1 <> x2 OR y1 <> y2").join(box.select(group, (F.col("span") / F.col("rows")).alias("side")), group)
+    # sorted on both sides: Spark takes sizes from the files below, which are a small part of what cells and groups hold, and would broadcast either
+    sided = segments.filter("x1 <> x2 OR y1 <> y2").join(box.select(group, (F.col("span") / F.col("rows")).alias("side")).hint("merge"), group)
     low, high = F.floor(F.least("y1", "y2") / F.col("side") - 1e-9), F.floor(F.greatest("y1", "y2") / F.col("side") + 1e-9)
     cells = along(sided.withColumn("band", F.explode(F.sequence(low, high))))
     a, b = (cells.select(group, "band", "col", *(F.col(c).alias(c + s) for c in ("line", "i", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
-    met = a.join(b, [group, "band", "col"]).filter("(linea, ia) < (lineb, ib)").filter("least(x1a, x2a) <= greatest(x1b, x2b) AND least(x1b, x2b) <= greatest(x1a, x2a) AND least(y1a, y2a) <= greatest(y1b, y2b) AND least(y1b, y2b) <= greatest(y1a, y2a)")
+    met = a.join(b.hint("merge"), [group, "band", "col"]).filter("(linea, ia) < (lineb, ib)").filter("least(x1a, x2a) <= greatest(x1b, x2b) AND least(x1b, x2b) <= greatest(x1a, x2a) AND least(y1a, y2a) <= greatest(y1b, y2b) AND least(y1b, y2b) <= greatest(y1a, y2a)")
     met = met.selectExpr("*", *(f"{_turn(*t)} AS {n}" for n, t in (("b1", ("1a", "2a", "1b")), ("b2", ("1a", "2a", "2b")), ("a1", ("1b", "2b", "1a")), ("a2", ("1b", "2b", "2a")))))
     met = met.filter("sign(b1) * sign(b2) <= 0 AND sign(a1) * sign(a2) <= 0")
     crossing = "b1 <> 0 AND b2 <> 0 AND a1 <> 0 AND a2 <> 0"
@@ -44,7 +45,7 @@ def noded(members: DataFrame) -> DataFrame:
 
     Relations that reach both below -120 and above 120 degrees are unwrapped for it.
     """
-    rows = written(members.select("rel", "role", "ref", "pts").withColumn("line", F.monotonically_increasing_id()), "lines")
+    rows = written_wide(members.select("rel", "role", "ref", "pts").withColumn("line", F.monotonically_increasing_id()), "lines")
     lines = rows.filter("rel IS NOT NULL AND role IS NOT NULL AND size(pts) > 1")
     pairs = lines.select("rel", "line", F.posexplode(F.expr("arrays_zip(slice(pts, 1, size(pts) - 1), slice(pts, 2, size(pts) - 1))")).alias("i", "s"))
     raw = pairs.selectExpr("rel", "line", "i", "CAST(s['0'].x AS DOUBLE) AS x1", "CAST(s['0'].y AS DOUBLE) AS y1", "CAST(s['1'].x AS DOUBLE) AS x2", "CAST(s['1'].y AS DOUBLE) AS y2")

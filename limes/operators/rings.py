@@ -87,6 +87,16 @@ def faces(segments: list[Segment]) -> list[list[Point]]:
     return out
 
 
+#: probes and sides are met pair by pair up to this number of pairs, where arrays cost more than they save
+FEW_PAIRS = 1_000
+
+
+def _below(a: Point, b: Point, p: Point) -> bool:
+    """Is the side below the point, as ``holders`` counts it?"""
+    (ax, ay), (bx, by) = (a, b) if a[0] <= b[0] else (b, a)
+    return ax <= p[0] < bx and (bx - ax) * (p[1] - ay) - (by - ay) * (p[0] - ax) > 0
+
+
 def holders(rings: list[list[Point]], probes: list[Point]) -> list[list[int]]:
     """For each probe the rings that hold it: those with an odd number of sides below it.
 
@@ -95,6 +105,8 @@ def holders(rings: list[list[Point]], probes: list[Point]) -> list[list[int]]:
     found: list[list[int]] = [[] for _ in probes]
     if not rings or not probes:
         return found
+    if len(probes) * sum(len(r) for r in rings) <= FEW_PAIRS:
+        return [[k for k, r in enumerate(rings) if sum(_below(a, b, p) for a, b in sides(r)) % 2] for p in probes]
     own = np.repeat(np.arange(len(rings)), [len(r) for r in rings])
     a = np.array([p for r in rings for p in r], dtype=float)
     b = np.array([p for r in rings for p in (*r[1:], r[0])], dtype=float)
@@ -138,6 +150,8 @@ def holders(rings: list[list[Point]], probes: list[Point]) -> list[list[int]]:
 
 def nested(rings: list[list[Point]]) -> list[list[int]]:
     """For each of some rings that do not cross the larger ones that hold it."""
+    if len(rings) == 1:
+        return [[]]
     sizes = [abs(area(r)) for r in rings]
     return [[o for o in held if sizes[o] > sizes[k]] for k, held in enumerate(holders(rings, [_inner_point(r) for r in rings]))]
 
