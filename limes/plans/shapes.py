@@ -9,7 +9,7 @@ from limes.operators import hierarchy, lookup, quality, rings
 from limes.plans.fixtures import fixture, table
 from limes.plans.land import _ring_area
 from limes.plans.queries import query
-from limes.session import scratch
+from limes.session import scratch, spread
 from limes.sources import releases
 
 # --- trees: blocks of 40 parts, a spine of 20 levels and a node beside each level that hangs from the spine and from its like above ----------
@@ -55,7 +55,8 @@ def _crossing_lines(spark, sf_dir) -> DataFrame:
     spot = lambda a, b: f"struct(CAST(i * 100 + {a} AS DOUBLE) AS x, CAST(j * 100 + {b} AS DOUBLE) AS y)"
     hole = f"struct('inner' AS role, 9L AS ref, array({', '.join(spot(*p) for p in ((60, 50), (60, 70), (80, 70), (80, 50), (60, 50)))}) AS pts)"
     every = f"CASE WHEN k % 3 = 0 THEN array({lines}, {hole}) ELSE array({lines}) END"
-    return fixture(spark, sf_dir, "fx_cells").selectExpr("CAST(k AS BIGINT) AS rel", f"explode({every}) AS m").select("rel", "m.*")
+    cells = spread(fixture(spark, sf_dir, "fx_cells"), "k")  # few bytes in one file, though all their lines and what these meet follow
+    return cells.selectExpr("CAST(k AS BIGINT) AS rel", f"explode({every}) AS m").select("rel", "m.*")
 
 
 @query("SELECT CAST(k AS BIGINT) AS rel, CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS n_rings, round(abs(ax*ey - ex*ay + ex*cy - cx*ey + cx*dy - dx*cy + dx*ay - ax*dy) / 2::DOUBLE - CASE WHEN k % 3 = 0 THEN 400 ELSE 0 END, 4) AS area FROM fx_cells", "fx_cells")

@@ -4,7 +4,7 @@ import random
 
 from limes.operators import rings
 from limes.operators.noding import crossings
-from limes.plans.fixtures import fixture
+from limes.plans.shapes import _crossing_lines
 from limes.session import written
 
 
@@ -26,4 +26,4 @@ def test_holders_of_few_are_those_of_arrays(monkeypatch):
 
 
 def test_few_bytes_of_cells_take_all_tasks(spark):
-    assert fixture(spark, "/root/testdata/sf0.001", "fx_cells").rdd.getNumPartitions() == 4
+    assert _crossing_lines(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
