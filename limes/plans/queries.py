@@ -11,7 +11,7 @@ from limes.functions import names as N
 from limes.functions import numbers as M
 from limes.operators import geometry, hierarchy, index, lookup, policy, quality, select, stitch
 from limes.plans.fixtures import fixture, oracle, table
-from limes.session import scratch
+from limes.session import scratch, sized
 from limes.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -425,10 +425,10 @@ def _relations(spark, sf_dir) -> DataFrame:
     """Orders as relations: level and boundary tags, line items as members (every third a relation with role subarea)."""
     items = table(spark, sf_dir, "lineitem")
     member = F.expr("struct(l_linenumber AS pos, CASE WHEN l_linenumber % 3 = 0 THEN 'r' ELSE 'w' END AS type, CASE WHEN l_linenumber % 3 = 0 THEN l_orderkey + l_linenumber ELSE l_partkey END AS ref, CASE WHEN l_linenumber % 6 = 3 THEN 'subarea' WHEN l_linenumber % 3 = 0 THEN 'label' ELSE 'outer' END AS role)")
-    members = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(member)).alias("members"))
+    members = sized(items, items.count(), "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(member)).alias("members"))
     tags = F.expr("map_filter(map('boundary', CASE WHEN o_orderkey % 4 = 0 THEN 'political' ELSE 'administrative' END, 'admin_level', CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN '6a' ELSE CAST(o_orderkey % 6 * 2 AS STRING) END, 'name', o_orderpriority), (k, v) -> v IS NOT NULL)")
     orders = table(spark, sf_dir, "orders")
-    return orders.join(members, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("id"), tags.alias("tags"), "members")
+    return orders.join(members.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("id"), tags.alias("tags"), "members")
 
 
 LEVEL = "CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 6 * 2 AS INT) END"
@@ -479,6 +479,11 @@ def _joined(spark, sf_dir) -> DataFrame:
     return stitch.with_ways(fixture(spark, sf_dir, "fx_members"), fixture(spark, sf_dir, "fx_ways"))
 
 
+def _joined_by_relation(spark, sf_dir) -> DataFrame:
+    """The same, a relation's members in one task: ends are counted and met there."""
+    return sized(_joined(spark, sf_dir), table(spark, sf_dir, "lineitem").count(), "rel")
+
+
 @query("+r AS (SELECT *, row_number() OVER (PARTITION BY rel ORDER BY n_ways DESC, extract_ord) AS rn FROM fx_copies) SELECT rel, extract_ord, n_ways FROM r WHERE rn = 1", "fx_copies")
 def relation_dedupe(spark, sf_dir):
     return stitch.best_copies(fixture(spark, sf_dir, "fx_copies"))
@@ -527,7 +532,7 @@ ENDS = "ends AS (SELECT rel, unnest([first_node, last_node]) AS node FROM fx_mem
 
 @query(f"+{ENDS} SELECT * FROM deg", "fx_members", "fx_ways")
 def endpoint_degrees(spark, sf_dir):
-    return stitch.endpoint_degrees(_joined(spark, sf_dir))
+    return stitch.endpoint_degrees(_joined_by_relation(spark, sf_dir))
 
 
 @query(
@@ -540,7 +545,7 @@ def endpoint_degrees(spark, sf_dir):
 )
 def gap_candidates(spark, sf_dir):
     nodes = fixture(spark, sf_dir, "fx_vertices").withColumn("lon", F.col("lon").cast("double")).withColumn("lat", F.col("lat").cast("double"))
-    return stitch.gap_repairs(_joined(spark, sf_dir), nodes, most=3.0)
+    return stitch.gap_repairs(_joined_by_relation(spark, sf_dir), nodes, most=3.0)
 
 
 @query()
@@ -858,7 +863,7 @@ def part_expansion(spark, sf_dir):
 
 @query("+d AS (SELECT rel, unnest([first_node, last_node]) AS node FROM fx_members JOIN fx_ways ON id = ref), g AS (SELECT rel, node, count(*) AS degree FROM d GROUP BY ALL) SELECT degree, count(*) AS n FROM g GROUP BY 1", "fx_members", "fx_ways")
 def degree_distribution(spark, sf_dir):
-    return stitch.degree_distribution(stitch.endpoint_degrees(_joined(spark, sf_dir)))
+    return stitch.degree_distribution(stitch.endpoint_degrees(_joined_by_relation(spark, sf_dir)))
 
 
 @query(
