@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from limes.session import written
+from limes.session import sized, written
 
 #: side of a grid's cells: one for all levels, or one for each
 Sides = float | dict[int, float]
@@ -172,19 +172,27 @@ def _turn(p: str, q: str, r: str) -> str:
 _APART = f"{_turn('1a', '2a', '1b')} * {_turn('1a', '2a', '2b')} < 0 AND {_turn('1b', '2b', '1a')} * {_turn('1b', '2b', '2a')} < 0"
 
 
-def validity(edges: DataFrame) -> DataFrame:
+#: about so many cells of its ring's grid an edge passes
+CELLS_PER_EDGE = 4
+
+
+def validity(edges: DataFrame, n_edges: int | None = None) -> DataFrame:
     """``feature_id, reason`` for rings with under three corners, no area, repeated corners or crossing edges (first that holds).
 
     Edges meet only where they pass one cell of their ring's own grid, which has about as many rows as the root of its number of edges.
+    With the number of edges, tasks are made by it, not by the session's partitions.
     """
+    edges = edges if n_edges is None else sized(edges, n_edges, "feature_id", "ring")
     box = edges.groupBy("feature_id", "ring").agg(F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("span"), F.count("*").alias("n"), F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"), F.countDistinct("x1", "y1").alias("corners"))
     side = F.greatest(F.col("span"), F.lit(1e-9)) / F.ceil(F.sqrt(F.col("n")))
     low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
-    sided = edges.join(box.select("feature_id", "ring", side.alias("side")), ["feature_id", "ring"]).withColumn("band", F.explode(F.sequence(low, high)))
-    a, b = (along(sided).select("feature_id", "ring", "band", "col", *(F.col(c).alias(c + s) for c in ("seq", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
+    sided = edges.join(box.select("feature_id", "ring", side.alias("side")).hint("merge"), ["feature_id", "ring"]).withColumn("band", F.explode(F.sequence(low, high)))
+    cells = along(sided).select("feature_id", "ring", "band", "col", "seq", "x1", "y1", "x2", "y2")
+    cells = cells if n_edges is None else sized(cells, CELLS_PER_EDGE * n_edges, "feature_id", "ring", "band", "col").hint("merge")
+    a, b = (cells.select("feature_id", "ring", "band", "col", *(F.col(c).alias(c + s) for c in ("seq", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
     crossing = a.join(b, ["feature_id", "ring", "band", "col"]).filter(f"seqa < seqb AND {_APART}").select("feature_id", "ring").distinct().withColumn("crosses", F.lit(True))
     reason = F.when(F.col("n") < 3, "too_few_points").when(F.col("corners") < F.col("n"), "repeated_vertex").when(F.col("twice") == 0, "zero_area").when(F.col("crosses"), "self_crossing")
-    return box.join(crossing, ["feature_id", "ring"], "left").select("feature_id", "ring", reason.alias("reason")).filter("reason IS NOT NULL")
+    return box.join(crossing.hint("merge"), ["feature_id", "ring"], "left").select("feature_id", "ring", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
 def ring_faults(edges: DataFrame) -> DataFrame:

@@ -250,7 +250,7 @@ A1, A2, B1, B2 = (("a.x1", "a.y1"), ("a.x2", "a.y2"), ("b.x1", "b.y1"), ("b.x2",
     "fx_loops",
 )
 def ring_validity(spark, sf_dir):
-    return geometry.validity(geometry.loops(fixture(spark, sf_dir, "fx_loops")))
+    return geometry.validity(geometry.loops(fixture(spark, sf_dir, "fx_loops")), table(spark, sf_dir, "lineitem").count())
 
 
 @query(

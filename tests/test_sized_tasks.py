@@ -16,3 +16,9 @@ def test_partitions_grow_with_the_rows(spark, monkeypatch, name):
     made = query(spark, SF)
     assert made.rdd.getNumPartitions() >= spark.read.parquet(f"{SF}/lineitem.parquet").count() / 500 > 4
     assert sorted(map(repr, made.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_cells_of_rings_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 500)
+    made = __spark_entry__.queries()["ring_validity"](spark, SF)
+    assert "], 48" in made._jdf.queryExecution().optimizedPlan().toString()
