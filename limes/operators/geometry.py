@@ -13,12 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from limes.session import sized, written
+from limes.session import sized, written, written_wide
 
 #: side of a grid's cells: one for all levels, or one for each
 Sides = float | dict[int, float]
@@ -195,17 +197,19 @@ def validity(edges: DataFrame, n_edges: int | None = None) -> DataFrame:
     return box.join(crossing.hint("merge"), ["feature_id", "ring"], "left").select("feature_id", "ring", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
-def ring_faults(edges: DataFrame) -> DataFrame:
+def ring_faults(edges: DataFrame, crossings: bool = True) -> DataFrame:
     """``feature_id, part, ring, reason`` of rings that do not fit the other rings of their feature (first that holds).
 
-    Rings that cross, holes outside the shell of their part, holes inside holes, shells inside shells (but for islands in holes).  Edges of
-    different rings meet only within cells of the feature's own grid; of every ring one inner point meets the edges of its row band.
+    Rings that cross (not looked for without ``crossings``), holes outside the shell of their part, holes inside holes, shells inside shells (but for
+    islands in holes).  Edges of different rings meet only within cells of the feature's own grid; of every ring one inner point meets the edges of
+    its row band.  A feature of one ring has nothing to meet, so its edges take no part in either.
     """
     rows = with_part(edges)
     span = lambda lo, hi: F.max(F.greatest(lo, hi)) - F.min(F.least(lo, hi))
-    box = rows.groupBy("feature_id").agg((F.greatest(span("x1", "x2"), span("y1", "y2"), F.lit(1e-9)) / F.ceil(F.sqrt(F.count("*")))).alias("side"))
+    several = (F.min("part") < F.max("part")) | (F.min("ring") < F.max("ring"))
+    box = rows.groupBy("feature_id").agg((F.greatest(span("x1", "x2"), span("y1", "y2"), F.lit(1e-9)) / F.ceil(F.sqrt(F.count("*")))).alias("side"), several.alias("several")).filter("several").drop("several")
     low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
-    banded = rows.join(box, "feature_id").withColumn("band", F.explode(F.sequence(low, high)))
+    banded = rows.join(box.hint("merge"), "feature_id").withColumn("band", F.explode(F.sequence(low, high)))
     cells = along(banded)
     a, b = (cells.select("feature_id", "band", "col", *(F.col(c).alias(c + s) for c in ("part", "ring", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
     crossing = a.join(b, ["feature_id", "band", "col"]).filter(f"(parta, ringa) < (partb, ringb) AND {_APART}")
@@ -214,14 +218,15 @@ def ring_faults(edges: DataFrame) -> DataFrame:
     of_ring = ["feature_id", "part", "ring"]
     size = rows.groupBy(*of_ring, "role").agg(F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"))
     key = F.to_json(F.struct(*of_ring)).alias("key")
-    inner = representative_points(rows.select(key.alias("feature_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "x1", "y1", "x2", "y2")).withColumnRenamed("feature_id", "key")
+    inner = representative_points(rows.join(box.hint("merge"), "feature_id", "left_semi").select(key.alias("feature_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "x1", "y1", "x2", "y2")).withColumnRenamed("feature_id", "key")
     probes = size.select("*", key).join(inner, "key").join(box, "feature_id").select("feature_id", *(F.col(c).alias(f"own_{c}") for c in ("part", "ring", "role", "twice")), "px", "py", F.floor(F.col("py") / F.col("side")).alias("band"))
     met = probes.join(banded.select(*of_ring, "role", "band", "x1", "y1", "x2", "y2"), ["feature_id", "band"]).filter("(part, ring) <> (own_part, own_ring)").filter(_TO_THE_RIGHT.format(x="px", y="py"))
     held = met.groupBy("feature_id", "own_part", "own_ring", "own_role", "own_twice", *of_ring[1:], "role").agg(F.count("*").alias("n")).filter("n % 2 = 1")
     holders = held.join(size.select(*of_ring, "twice"), of_ring).filter("twice > own_twice").groupBy("feature_id", F.col("own_part").alias("at_part"), F.col("own_ring").alias("at_ring"))
     same = F.col("part") == F.col("own_part")
     counts = holders.agg(F.count("*").alias("depth"), F.count(F.when(same & (F.col("role") == "outer"), 1)).alias("shells"), F.count(F.when(same & (F.col("role") == "inner"), 1)).alias("holes"))
-    placed = size.join(counts.withColumnsRenamed({"at_part": "part", "at_ring": "ring"}), of_ring, "left").join(crossing, of_ring, "left").fillna(0, ["depth", "shells", "holes"])
+    placed = size.join(counts.withColumnsRenamed({"at_part": "part", "at_ring": "ring"}), of_ring, "left").fillna(0, ["depth", "shells", "holes"])
+    placed = placed.join(crossing, of_ring, "left") if crossings else placed.withColumn("crosses", F.lit(False))
     reason = (
         F.when(F.col("crosses"), "ring_crossing")
         .when((F.col("role") == "inner") & (F.col("shells") == 0), "hole_outside_shell")
@@ -231,34 +236,45 @@ def ring_faults(edges: DataFrame) -> DataFrame:
     return placed.select(*of_ring, reason.alias("reason")).filter("reason IS NOT NULL")
 
 
-def douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
-    """Indices of the corners that an open line keeps."""
+def thinned_lines(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: np.ndarray) -> np.ndarray:
+    """Which corners open lines keep by Douglas-Peucker, all lines in step: line ``k`` is ``bounds[k]`` to ``bounds[k + 1]``; below 0 it keeps all."""
     keep = np.zeros(len(x), dtype=bool)
-    keep[[0, -1]] = True
-    todo = [(0, len(x) - 1)]
-    while todo:
-        a, b = todo.pop()
-        if b - a < 2:
-            continue
+    a, b, most = bounds[:-1].astype(np.int64), bounds[1:].astype(np.int64) - 1, np.asarray(tolerance, dtype=float)
+    keep[a[b >= a]] = keep[b[b >= a]] = True
+    while True:
+        wide = b - a > 1
+        a, b, most = a[wide], b[wide], most[wide]
+        if not len(a):
+            return keep
+        n = b - a - 1
+        first = np.cumsum(n) - n
+        of = np.repeat(np.arange(len(a)), n)
+        at = np.arange(len(of)) - first[of] + a[of] + 1
         dx, dy = x[b] - x[a], y[b] - y[a]
-        px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
-        length = np.hypot(dx, dy)
-        off = np.abs(dx * py - dy * px) / length if length else np.hypot(px, py)
-        k = int(off.argmax())
-        if off[k] > tolerance:
-            keep[a + 1 + k] = True
-            todo += [(a, a + 1 + k), (a + 1 + k, b)]
-    return np.flatnonzero(keep)
+        px, py = x[at] - x[a][of], y[at] - y[a][of]
+        length = np.hypot(dx, dy)[of]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            off = np.where(length == 0, np.hypot(px, py), np.abs(dx[of] * py - dy[of] * px) / length)
+        farthest = np.maximum.reduceat(off, first)
+        far = farthest > most
+        hit = np.flatnonzero((off == farthest[of]) & far[of])
+        k = at[hit[np.unique(of[hit], return_index=True)[1]]]
+        keep[k] = True
+        a, b, most = np.concatenate([a[far], k]), np.concatenate([k, b[far]]), np.concatenate([most[far], most[far]])
+
+
+def douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
+    """Indices of the corners that an open line keeps."""
+    return np.flatnonzero(thinned_lines(x, y, np.array([0, len(x)]), np.array([tolerance])))
 
 
 def with_sides(edges: DataFrame) -> DataFrame:
     """Edges with ``sides``: the features of the level that have the segment, joined in order."""
     swap = F.expr("(x1, y1) > (x2, y2)")
     key = [F.when(swap, F.col(b)).otherwise(F.col(a)).alias(f"k{a}") for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))]
-    keyed = edges.select("*", *key)
-    same = ["level", "kx1", "ky1", "kx2", "ky2"]
-    shared = keyed.groupBy(*same).agg(F.array_join(F.array_sort(F.collect_set(F.col("feature_id").cast("string"))), ",").alias("sides"))
-    return keyed.join(shared, same).drop("kx1", "ky1", "kx2", "ky2")
+    keyed = edges.filter("x1 + y1 + x2 + y2 IS NOT NULL").select("*", *key)
+    same = Window.partitionBy("level", "kx1", "ky1", "kx2", "ky2")
+    return keyed.withColumn("sides", F.array_join(F.array_sort(F.collect_set(F.col("feature_id").cast("string")).over(same)), ",")).drop("kx1", "ky1", "kx2", "ky2")
 
 
 def simplified(rings: DataFrame) -> DataFrame:
@@ -282,58 +298,108 @@ MOST_HALVINGS = 6
 _RING = ["feature_id", "level", "part", "ring", "role"]
 
 
+def _list_of_points(x: np.ndarray, y: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(x, pa.float64()), pa.array(y, pa.float64())], names=["x", "y"]))
+
+
+def _points_of(lists: pa.ListArray) -> tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray]:
+    """The values of lists with ``x`` and ``y``, these two, and where each list begins."""
+    bounds, flat = lists.offsets.to_numpy(), lists.flatten()
+    return flat, *(pc.struct_field(flat, c).to_numpy(zero_copy_only=False) for c in ("x", "y")), bounds - bounds[0]
+
+
+def _cut_rings(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.ListArray]:
+    """``ring, arc, turned, pts`` of all arcs of some rings of corners ``x, y, sides``, as ``arcs_of`` cuts them."""
+    flat, x, y, bounds = _points_of(lists)
+    sides = pc.struct_field(flat, "sides").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    n, start = np.diff(bounds), bounds[:-1]
+    ring = np.repeat(np.arange(len(n)), n)
+    before = np.arange(len(x)) - 1
+    before[start] = bounds[1:] - 1
+    knot = sides != sides[before]
+    lone = np.flatnonzero((np.bincount(ring[knot], minlength=len(n)) < 2)[ring])
+    if len(lone):  # no neighbour, or one all around: the smallest corner and the one farthest from it
+        knot[lone] = False
+        leading = lambda order: order[np.unique(ring[order], return_index=True)[1]]
+        first = leading(lone[np.lexsort((y[lone], x[lone], ring[lone]))])
+        origin = np.empty(len(n), dtype=np.int64)
+        origin[ring[first]] = first
+        origin = origin[ring[lone]]
+        away = (x[lone] - x[origin]) ** 2 + (y[lone] - y[origin]) ** 2
+        far = leading(lone[np.lexsort((-y[lone], -x[lone], -away, ring[lone]))])
+        knot[first] = knot[far] = True
+    knots = np.flatnonzero(knot)
+    of = ring[knots]
+    per = np.bincount(of, minlength=len(n))
+    leader = np.repeat(np.cumsum(per) - per, per)
+    arc = np.arange(len(knots)) - leader
+    last = arc == per[of] - 1
+    size = np.where(last, knots[leader] + n[of], knots[np.where(last, 0, np.arange(len(knots)) + 1)]) - knots
+    end = start[of] + (knots - start[of] + size) % n[of]
+    turned = (x[knots] > x[end]) | ((x[knots] == x[end]) & (y[knots] > y[end]))
+    arc_bounds = np.concatenate([[0], np.cumsum(size + 1)])
+    mine = np.repeat(np.arange(len(knots)), size + 1)
+    step = np.arange(len(mine)) - arc_bounds[mine]
+    step = np.where(turned[mine], size[mine] - step, step)
+    at = start[of][mine] + ((knots - start[of])[mine] + step) % n[of][mine]
+    return of, arc, turned, _list_of_points(x[at], y[at], arc_bounds)
+
+
 def ring_arcs(edges: DataFrame) -> DataFrame:
-    """``feature_id, level, part, ring, role, arc, turned, key, pts``: rings cut where their neighbour changes, each arc from its smaller end.
+    """``feature_id, level, part, ring, role, arc, turned, key, once, pts``: rings cut where their neighbour changes, each arc from its smaller end.
 
-    Neighbours so have the same arcs along their common border, of the same ``key``; ``turned`` tells who walks it the other way.
+    Neighbours so have the same arcs along their common border, of the same ``key``, one of which is ``once``; ``turned`` tells who walks it the other way.
     """
     corner = F.struct("seq", F.col("x1").cast("double").alias("x"), F.col("y1").cast("double").alias("y"), "sides")
     rings = with_sides(with_part(edges)).groupBy(*_RING).agg(F.array_sort(F.collect_list(corner)).alias("corners"))
     kind = rings.schema["feature_id"].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for *ring, corners in frame[[*_RING, "corners"]].itertuples(index=False, name=None):
-                for n, (arc, turned) in enumerate(arcs_of([(p["x"], p["y"]) for p in corners], [p["sides"] for p in corners])):
-                    rows.append((*ring, n, turned, [{"x": x, "y": y} for x, y in arc]))
-            yield pd.DataFrame(rows, columns=[*_RING, "arc", "turned", "pts"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = {"level": pa.int32(), "part": pa.int32(), "ring": pa.int32()}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of, arc, turned, pts = _cut_rings(batch.column("corners"))
+            own = [batch.column(c).take(pa.array(of)) for c in _RING]
+            own = [v.cast(whole[c]) if c in whole else v for c, v in zip(_RING, own)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(arc, pa.int32()), pa.array(turned), pts], [*_RING, "arc", "turned", "pts"])
 
     schema = f"feature_id {kind}, level int, part int, ring int, role string, arc int, turned boolean, pts array<struct<x:double,y:double>>"
-    return rings.mapInPandas(run, schema).withColumn("key", F.xxhash64("level", "pts"))
+    made = rings.mapInArrow(run, schema).withColumn("key", F.xxhash64("level", "pts"))
+    return made.withColumn("once", F.row_number().over(Window.partitionBy("key").orderBy("turned")) == 1)
 
 
 def _thinned(arcs: DataFrame) -> DataFrame:
     """``kept``: the corners of ``pts`` that the arc's ``tolerance`` leaves; all without one."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            kept = []
-            for pts, tolerance in zip(frame["pts"], frame["tolerance"]):
-                at = douglas_peucker(np.array([p["x"] for p in pts]), np.array([p["y"] for p in pts]), float(tolerance)) if tolerance > 0 else range(len(pts))
-                kept.append([{"x": pts[i]["x"], "y": pts[i]["y"]} for i in at])
-            yield frame.assign(kept=kept)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, x, y, bounds = _points_of(batch.column("pts"))
+            tolerance = batch.column("tolerance").to_numpy(zero_copy_only=False)
+            keep = thinned_lines(x, y, bounds, np.where(tolerance > 0, tolerance, -1.0))
+            left = np.concatenate([[0], np.cumsum(keep)])[bounds]
+            yield pa.RecordBatch.from_arrays([*batch.columns, _list_of_points(x[keep], y[keep], left)], [*batch.schema.names, "kept"])
 
     rows = arcs.drop("kept")
-    return rows.mapInPandas(run, T.StructType([*rows.schema.fields, T.StructField("kept", rows.schema["pts"].dataType)]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("kept", rows.schema["pts"].dataType)]))
 
 
-def _arc_edges(made: DataFrame) -> DataFrame:
+def _arc_edges(made: DataFrame, *more: str) -> DataFrame:
     sides = F.posexplode(F.expr("arrays_zip(slice(kept, 1, size(kept) - 1), slice(kept, 2, size(kept) - 1))")).alias("i", "s")
     ends = [F.expr(f"CASE WHEN turned THEN s['{1 - k}'].{c} ELSE s['{k}'].{c} END").alias(f"{c}{k + 1}") for k in (0, 1) for c in ("x", "y")]
-    return made.select(*_RING, "arc", "key", "turned", sides).select(*_RING, "arc", "key", "i", *ends)  # as the ring walks them
+    return made.select(*_RING, "arc", "key", "turned", *more, sides).select(*_RING, "arc", "key", *more, "i", *ends)  # as the ring walks them
 
 
 def _crossing_arcs(made: DataFrame) -> DataFrame:
-    """Keys of arcs of a level that cross themselves or each other, whoever owns them; edges meet within cells about as wide as two edges."""
-    once = _arc_edges(made.dropDuplicates(["key"]))
-    long = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
-    sided = once.join(F.broadcast(once.groupBy("level").agg(F.greatest(2 * F.avg(long), F.lit(1e-9)).alias("side"))), "level")
+    """``keya, keyb`` of arcs of a level that cross themselves or each other, whoever owns them, at least one of each two ``fresh``; edges meet within cells of their level's ``side``."""
+    once = _arc_edges(made.filter("once"), "fresh", "side")
     low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
-    cells = along(sided.withColumn("band", F.explode(F.sequence(low, high))))
-    a, b = (cells.select("level", "band", "col", *(F.col(c).alias(c + s) for c in ("key", "i", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
-    met = a.join(b, ["level", "band", "col"]).filter(f"(keya, ia) < (keyb, ib) AND {_APART}")
-    return met.select(F.explode(F.array("keya", "keyb")).alias("key"))
+    cells = along(once.withColumn("band", F.explode(F.sequence(low, high))))
+    a, b = (cells.select("level", "band", "col", *(F.col(c).alias(c + s) for c in ("key", "i", "fresh", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
+    met = a.filter("fresha").join(b.hint("merge"), ["level", "band", "col"]).filter(f"(NOT freshb OR (keya, ia) < (keyb, ib)) AND {_APART}")
+    return met.select("keya", "keyb").distinct()
 
 
 def simplified_coverage(edges: DataFrame, tolerances: DataFrame) -> DataFrame:
@@ -341,24 +407,36 @@ def simplified_coverage(edges: DataFrame, tolerances: DataFrame) -> DataFrame:
 
     Arcs are generalised, so neighbours keep a common border.  Arcs that then cross an arc of their level, and those of features whose rings
     no longer fit each other, are generalised again by half their tolerance until nothing crosses; after ``MOST_HALVINGS`` they stay as they are.
-    All arcs of a ring that would keep under three corners stay as they are.
+    All arcs of a ring that would keep under three corners stay as they are.  A round looks only at what the last one changed: crossings of other arcs are
+    carried on, and a smaller tolerance never keeps fewer corners.
     """
     policy = F.broadcast(tolerances.select("level", F.col("tolerance").cast("double").alias("tolerance")))
-    made = written(_thinned(ring_arcs(edges).join(policy, "level", "left").fillna(0.0, ["tolerance"])), "arcs")
-    fresh = made
+    arcs = _thinned(ring_arcs(edges).join(policy, "level", "left").fillna(0.0, ["tolerance"])).withColumn("fresh", F.lit(True))
+    arcs = written(arcs, "arcs")
+    long = F.expr("aggregate(transform(slice(kept, 2, size(kept) - 1), (p, k) -> greatest(abs(p.x - kept[k].x), abs(p.y - kept[k].y))), 0D, (s, v) -> s + v)")
+    sides = written(arcs.filter("once").groupBy("level").agg(F.greatest(2 * F.sum(long) / F.sum(F.size("kept") - 1), F.lit(1e-9)).alias("side")), "sides")  # a row a level
+    made, standing = arcs.join(F.broadcast(sides), "level", "left"), None
     for n in range(MOST_HALVINGS + 2):
-        corners = made.groupBy(*_RING).agg(F.sum(F.size("kept") - 1).alias("n")).filter("n < 3")
-        flat = made.join(corners.select(*_RING), _RING, "left_semi").select("key", F.lit(True).alias("flat"))
-        changed = made if n == 0 else made.join(fresh.select("feature_id").distinct(), "feature_id", "left_semi")
+        changed = made if n == 0 else made.join(made.filter("fresh").select("feature_id").distinct(), "feature_id", "left_semi")
+        crossing = _crossing_arcs(made)
+        crossing = written(crossing if standing is None else crossing.unionByName(standing), "arcs-crossing")
+        own = lambda s: changed.select("feature_id", *(F.col(c).alias(c + s) for c in ("key", "part", "ring")))  # noqa: B023, E731
+        across = crossing.join(own("a"), "keya").join(own("b"), ["feature_id", "keyb"]).filter("(parta, ringa) <> (partb, ringb)").select("feature_id")
         as_rings = _arc_edges(changed).withColumn("seq", F.col("arc") * 1_000_000 + F.col("i"))
-        unfit = made.join(ring_faults(as_rings).select("feature_id").distinct(), "feature_id", "left_semi").select("key", F.lit(False).alias("flat"))
-        found = flat.unionByName(unfit).unionByName(_crossing_arcs(made).withColumn("flat", F.lit(False))).groupBy("key").agg(F.bool_or("flat").alias("flat"))
-        wrong = written(found.join(made.filter("tolerance > 0").select("key").distinct(), "key", "left_semi"), "arcs-wrong")
+        unfit = made.join(ring_faults(as_rings, crossings=False).select("feature_id").unionByName(across).distinct(), "feature_id", "left_semi")
+        met = made.join(crossing.select(F.explode(F.array("keya", "keyb")).alias("key")).distinct(), "key", "left_semi")
+        found = unfit.unionByName(met).filter("tolerance > 0").select("key", F.lit(False).alias("flat"))
+        if n == 0:
+            few = made.groupBy(*_RING).agg(F.sum(F.size("kept") - 1).alias("n")).filter("n < 3").select(*_RING)
+            found = found.unionByName(made.filter("tolerance > 0").join(few, _RING, "left_semi").select("key", F.lit(True).alias("flat")))
+        wrong = written_wide(found.groupBy("key").agg(F.bool_or("flat").alias("flat")), "arcs-wrong")
         if wrong.isEmpty():
             break
-        less = F.when(F.col("flat") | F.lit(n >= MOST_HALVINGS), F.lit(0.0)).otherwise(F.col("tolerance") / 2)
-        fresh = written(_thinned(made.join(wrong, "key").withColumn("tolerance", less).drop("flat")), "arcs-again")
-        made = written(made.join(wrong, "key", "left_anti").unionByName(fresh), "arcs")
+        kept = lambda c: wrong.select(F.col("key").alias(c))  # noqa: B023, E731
+        standing = crossing.join(kept("keya"), "keya", "left_anti").join(kept("keyb"), "keyb", "left_anti").select("keya", "keyb")
+        less = F.when(F.col("flat").isNull(), F.col("tolerance")).when(F.col("flat") | F.lit(n >= MOST_HALVINGS), F.lit(0.0)).otherwise(F.col("tolerance") / 2)
+        again = made.join(wrong, "key", "left").withColumn("tolerance", less).withColumn("fresh", F.col("flat").isNotNull()).drop("flat")
+        made = written(_thinned(again), "arcs")
     part = F.struct("arc", F.expr("slice(CASE WHEN turned THEN reverse(kept) ELSE kept END, 1, size(kept) - 1)").alias("p"))
     rings = made.groupBy("feature_id", "part", "ring", "role").agg(F.flatten(F.transform(F.array_sort(F.collect_list(part)), lambda a: a["p"])).alias("open"))
     return rings.select("feature_id", "part", "ring", "role", F.concat("open", F.slice("open", 1, 1)).alias("pts"))

@@ -312,9 +312,10 @@ def generalised_faults(spark, sf_dir):
     tolerances = spark.createDataFrame([(4, 90.0), (6, 45.0), (8, 45.0)], "level int, tolerance double")
     land = _ring_ordered(spark, sf_dir)
     made = written(geometry.simplified_coverage(land, tolerances), "generalised")
+    n_edges = made.agg(F.sum(F.size("pts") - 1)).first()[0] or 0
     made = geometry.closed_edges(made)
     alone = made.withColumn("ring", F.col("part") * 1_000_000 + F.col("ring"))
-    faults = geometry.validity(alone).select("feature_id").unionByName(geometry.ring_faults(made).select("feature_id")).distinct().withColumn("bad", F.lit(1))
+    faults = geometry.validity(alone, n_edges).select("feature_id").unionByName(geometry.ring_faults(made).select("feature_id")).distinct().withColumn("bad", F.lit(1))
     return _features(land).select("level", F.col("id").alias("feature_id")).join(faults, "feature_id", "left").groupBy("level").agg(F.count("*").alias("n"), F.count("bad").cast("int").alias("faults"))
 
 

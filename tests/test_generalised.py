@@ -56,3 +56,44 @@ def test_random_stars_with_holes(spark, seed):
     assert not crossing([s for r in got.values() for s in rings.sides(r)])
     assert all(rings.holds(got[f, 0], p) for (f, r), pts in got.items() if r for p in pts)
     assert sum(map(len, got.values())) < 0.8 * sum(len(p) for _, _, p in shapes) and all(len(r) >= 3 for r in got.values())
+
+
+def test_rings_of_a_batch_are_cut_as_one_by_one():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    shapes = [([(float(rng.randrange(9)), float(rng.randrange(9))) for _ in range(n)], [rng.choice(["a", "a,b", "a,c"]) if mixed else "a" for _ in range(n)]) for n in (1, 2, 3, 5, 8, 40) for mixed in (False, True) for _ in range(30)]
+    corners = pa.array([[{"x": x, "y": y, "sides": s} for (x, y), s in zip(*shape)] for shape in shapes])
+    of, arc, turned, pts = geometry._cut_rings(corners.slice(7))
+    got = [(k + 7, n, [(p["x"], p["y"]) for p in line], t) for k, n, t, line in zip(of.tolist(), arc.tolist(), turned.tolist(), pts.to_pylist())]
+    assert got == [(k, n, line, t) for k, shape in enumerate(shapes) if k >= 7 for n, (line, t) in enumerate(geometry.arcs_of(*shape))]
+    lines = [[(p["x"], p["y"]) for p in line] for line in pts.to_pylist()]
+    x, y = (np.array([p[c] for line in lines for p in line]) for c in (0, 1))
+    bounds = np.cumsum([0, *map(len, lines)])
+
+    def kept(line, most, a, b):
+        if b - a < 2:
+            return []
+        dx, dy = line[b][0] - line[a][0], line[b][1] - line[a][1]
+        off = [abs(dx * (q - line[a][1]) - dy * (p - line[a][0])) / np.hypot(dx, dy) if dx or dy else np.hypot(p - line[a][0], q - line[a][1]) for p, q in line[a + 1 : b]]
+        k = a + 1 + off.index(max(off))
+        return [*kept(line, most, a, k), k, *kept(line, most, k, b)] if max(off) > most else []
+
+    most = np.array([rng.choice([-1.0, 0.5, 3.0]) for _ in lines])
+    keep = geometry.thinned_lines(x, y, bounds, most)
+    assert [np.flatnonzero(keep[a:b]).tolist() for a, b in zip(bounds, bounds[1:])] == [sorted({0, *(kept(line, m, 0, len(line) - 1) if m > 0 else range(len(line))), len(line) - 1}) for line, m in zip(lines, most)]
+
+
+def test_a_crossing_that_no_arc_can_give_up_is_carried_on(spark):
+    bow = [(0, 0), (4, 4), (4, 0), (0, 4)]
+    far = [(100 + x, y) for x, y in bow]
+    round_ = [(50 + 9 * math.cos(k), 9 * math.sin(k)) for k in range(6)]
+    got = simplified(spark, [("a", 0, bow), ("a", 1, far), ("b", 0, round_)], 3.0)
+    assert set(got["a", 0]) == set(map(lambda p: tuple(map(float, p)), bow)) and len(got) == 3
+
+
+def test_features_of_one_ring_meet_nothing(spark):
+    alone = frame(spark, [("x", 0, [(0, 0), (9, 0), (0, 9)]), ("y", 1, [(0, 0), (9, 0), (0, 9)])])
+    assert [(r.feature_id, r.reason) for r in geometry.ring_faults(alone).collect()] == [("y", "hole_outside_shell")]
+    assert "several" in geometry.ring_faults(alone)._jdf.queryExecution().analyzed().toString()
