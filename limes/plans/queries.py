@@ -480,8 +480,9 @@ def _joined(spark, sf_dir) -> DataFrame:
 
 
 def _joined_by_relation(spark, sf_dir) -> DataFrame:
-    """The same, a relation's members in one task: ends are counted and met there."""
-    return sized(_joined(spark, sf_dir), table(spark, sf_dir, "lineitem").count(), "rel")
+    """The same, in tasks by the number of members: first a way's, to find it, then a relation's, as ends are counted and met there."""
+    n = table(spark, sf_dir, "lineitem").count()
+    return sized(stitch.with_ways(sized(fixture(spark, sf_dir, "fx_members"), n, "ref"), fixture(spark, sf_dir, "fx_ways")), n, "rel")
 
 
 @query("+r AS (SELECT *, row_number() OVER (PARTITION BY rel ORDER BY n_ways DESC, extract_ord) AS rn FROM fx_copies) SELECT rel, extract_ord, n_ways FROM r WHERE rn = 1", "fx_copies")

@@ -22,3 +22,8 @@ def test_cells_of_rings_are_dealt_by_their_number(spark, monkeypatch):
     monkeypatch.setattr(session, "ROWS_PER_TASK", 500)
     made = __spark_entry__.queries()["ring_validity"](spark, SF)
     assert "], 48" in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["endpoint_degrees", "member_coverage", "relation_report"])
+def test_ways_are_not_broadcast(spark, name):
+    assert "BroadcastExchange" not in __spark_entry__.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
