@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from limes.functions.numbers import STEPS, quantize
 from limes.operators.geometry import containing, with_part
-from limes.session import written
+from limes.session import written, written_wide
 
 VERSIONS = (1, 2, 3)
 
@@ -42,36 +42,73 @@ def part_boxes(edges: DataFrame) -> DataFrame:
     return box.select("*", *floats).withColumn("spanx", F.col("maxx") - F.col("minx")).withColumn("spany", F.col("maxy") - F.col("miny"))
 
 
+def ring_sizes(edges: DataFrame) -> DataFrame:
+    """``level, feature_id, part, ring, role, n_points`` of every ring, from which all indexes follow."""
+    return with_part(edges).groupBy("level", "feature_id", "part", "ring", "role").agg(F.count("*").alias("n_points"))
+
+
+def _part_sizes(rings: DataFrame) -> DataFrame:
+    once = rings.groupBy("level", "feature_id", "part", "ring").agg(F.sum("n_points").alias("n_points"))  # a ring of two roles is one
+    return once.groupBy("level", "feature_id", "part").agg(F.count("ring").alias("n_rings"), F.sum("n_points").alias("n_points"))
+
+
 def feature_index(edges: DataFrame) -> DataFrame:
     """``feature_id, level, index, part_start, n_parts, ring_start, n_rings, byte_start, n_bytes``: features by level and id; two 16-bit numbers a corner."""
-    sized = with_part(edges).groupBy("feature_id", "level").agg(F.countDistinct("part").alias("n_parts"), F.countDistinct("part", "ring").alias("n_rings"), (F.count("*") * 4).alias("n_bytes"))
+    return _feature_index(ring_sizes(edges))
+
+
+def _feature_index(rings: DataFrame) -> DataFrame:
+    held = F.when(F.col("part").isNotNull(), F.col("n_rings")).otherwise(F.lit(0))
+    sized = _part_sizes(rings).groupBy("feature_id", "level").agg(F.count("part").alias("n_parts"), F.sum(held).alias("n_rings"), (F.sum("n_points") * 4).alias("n_bytes"))
     return with_offsets(sized, ["level", "feature_id"], {"part_start": "n_parts", "ring_start": "n_rings", "byte_start": "n_bytes"})
 
 
 def geometry_index(edges: DataFrame) -> DataFrame:
     """``index, feature_id, part, ring_start, n_rings``: one row for each part, by level, feature and part."""
-    sized = with_part(edges).groupBy("level", "feature_id", "part").agg(F.countDistinct("ring").alias("n_rings"))
-    return with_offsets(sized, ["level", "feature_id", "part"], {"ring_start": "n_rings"})
+    return _geometry_index(ring_sizes(edges))
+
+
+def _geometry_index(rings: DataFrame) -> DataFrame:
+    return with_offsets(_part_sizes(rings).drop("n_points"), ["level", "feature_id", "part"], {"ring_start": "n_rings"})
 
 
 def ring_index(edges: DataFrame) -> DataFrame:
     """``index, feature_id, part, ring, role, byte_start, n_points``: one row for each ring, outer ones first."""
-    sized = with_part(edges).groupBy("level", "feature_id", "part", "ring", "role").agg(F.count("*").alias("n_points"), (F.count("*") * 4).alias("n_bytes"))
+    return _ring_index(ring_sizes(edges))
+
+
+def _ring_index(rings: DataFrame) -> DataFrame:
+    sized = rings.withColumn("n_bytes", F.col("n_points") * 4)
     return with_offsets(sized.withColumn("is_inner", F.col("role") == "inner"), ["level", "feature_id", "part", "is_inner", "ring"], {"byte_start": "n_bytes"}).drop("is_inner", "n_bytes")
 
 
 def write_index(edges: DataFrame, path: str, version: int = 3) -> None:
-    """The five tables of an index, each in a folder of its own, with the version that lookups check; version 1 has outer rings only."""
+    """The five tables of an index, each in a folder of its own, with the version that lookups check; version 1 has outer rings only.
+
+    Edges are read three times, for rings, boxes and corners; the indexes follow from the rings, corners from the boxes that were written.
+    """
     edges = with_part(edges)
     edges = edges.filter("role <> 'inner'") if version_checked(version, allow_first=True) == 1 else edges
-    made = {"features": feature_index(edges), "parts": geometry_index(edges), "boxes": part_boxes(edges), "rings": ring_index(edges), "corners": quantized_rings(edges)}
+    rings = written_wide(ring_sizes(edges), "ring-sizes")
+    boxes = part_boxes(edges)
+    made = {
+        "features": lambda: _feature_index(rings),
+        "parts": lambda: _geometry_index(rings),
+        "boxes": lambda: boxes,
+        "rings": lambda: _ring_index(rings),
+        "corners": lambda: _quantized(edges, edges.sparkSession.read.schema(boxes.schema).parquet(f"{path}/boxes").hint("merge")),
+    }
     for name, rows in made.items():
-        rows.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{path}/{name}")
+        rows().withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def quantized_rings(edges: DataFrame) -> DataFrame:
     """Corners on the grid of their part's box."""
-    rows = with_part(edges).join(part_boxes(edges).drop("level"), ["feature_id", "part"])
+    return _quantized(edges, part_boxes(edges))
+
+
+def _quantized(edges: DataFrame, boxes: DataFrame) -> DataFrame:
+    rows = with_part(edges).join(boxes.drop("level"), ["feature_id", "part"])
     q = {f"q{c}": quantize(F.col(c), F.col(f"min{c[0]}"), F.col(f"span{c[0]}")) for c in ("x1", "y1", "x2", "y2")}
     return rows.select("feature_id", "level", "part", "ring", "role", "seq", *(v.alias(k) for k, v in q.items()))
 
