@@ -296,6 +296,7 @@ def simplified(rings: DataFrame) -> DataFrame:
 #: after so many halvings of its tolerance an arc stays as it is
 MOST_HALVINGS = 6
 _RING = ["feature_id", "level", "part", "ring", "role"]
+_LINE = ["feature_id", "part", "ring", "role"]
 
 
 def _list_of_points(x: np.ndarray, y: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
@@ -310,6 +311,11 @@ def _points_of(lists: pa.ListArray) -> tuple[pa.StructArray, np.ndarray, np.ndar
 
 def _cut_rings(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.ListArray]:
     """``ring, arc, turned, pts`` of all arcs of some rings of corners ``x, y, sides``, as ``arcs_of`` cuts them."""
+    return _cut_from(lists)[:4]
+
+
+def _cut_from(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.ListArray, np.ndarray]:
+    """As ``_cut_rings``, and the corner that each arc begins at, as its ring walks it."""
     flat, x, y, bounds = _points_of(lists)
     sides = pc.struct_field(flat, "sides").dictionary_encode().indices.to_numpy(zero_copy_only=False)
     n, start = np.diff(bounds), bounds[:-1]
@@ -342,13 +348,14 @@ def _cut_rings(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     step = np.arange(len(mine)) - arc_bounds[mine]
     step = np.where(turned[mine], size[mine] - step, step)
     at = start[of][mine] + ((knots - start[of])[mine] + step) % n[of][mine]
-    return of, arc, turned, _list_of_points(x[at], y[at], arc_bounds)
+    return of, arc, turned, _list_of_points(x[at], y[at], arc_bounds), knots
 
 
 def ring_arcs(edges: DataFrame) -> DataFrame:
     """``feature_id, level, part, ring, role, arc, turned, key, once, pts``: rings cut where their neighbour changes, each arc from its smaller end.
 
-    Neighbours so have the same arcs along their common border, of the same ``key``, one of which is ``once``; ``turned`` tells who walks it the other way.
+    Neighbours so have the same arcs along their common border, of the same ``key``.  The first of those that share it has it ``once``, or twice if it
+    has the border twice itself; ``turned`` tells who walks it the other way.
     """
     corner = F.struct("seq", F.col("x1").cast("double").alias("x"), F.col("y1").cast("double").alias("y"), "sides")
     rings = with_sides(with_part(edges)).groupBy(*_RING).agg(F.array_sort(F.collect_list(corner)).alias("corners"))
@@ -359,14 +366,15 @@ def ring_arcs(edges: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            of, arc, turned, pts = _cut_rings(batch.column("corners"))
+            of, arc, turned, pts, begin = _cut_from(batch.column("corners"))
             own = [batch.column(c).take(pa.array(of)) for c in _RING]
             own = [v.cast(whole[c]) if c in whole else v for c, v in zip(_RING, own)]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(arc, pa.int32()), pa.array(turned), pts], [*_RING, "arc", "turned", "pts"])
+            sides = pc.struct_field(batch.column("corners").flatten(), "sides").take(pa.array(begin))
+            yield pa.RecordBatch.from_arrays([*own, pa.array(arc, pa.int32()), pa.array(turned), pts, sides], [*_RING, "arc", "turned", "pts", "sides"])
 
-    schema = f"feature_id {kind}, level int, part int, ring int, role string, arc int, turned boolean, pts array<struct<x:double,y:double>>"
+    schema = f"feature_id {kind}, level int, part int, ring int, role string, arc int, turned boolean, pts array<struct<x:double,y:double>>, sides string"
     made = rings.mapInArrow(run, schema).withColumn("key", F.xxhash64("level", "pts"))
-    return made.withColumn("once", F.row_number().over(Window.partitionBy("key").orderBy("turned")) == 1)
+    return made.withColumn("once", F.startswith(F.concat("sides", F.lit(",")), F.concat(F.col("feature_id").cast("string"), F.lit(",")))).drop("sides")
 
 
 def _thinned(arcs: DataFrame) -> DataFrame:
@@ -403,32 +411,40 @@ def _crossing_arcs(made: DataFrame) -> DataFrame:
 
 
 def simplified_coverage(edges: DataFrame, tolerances: DataFrame) -> DataFrame:
-    """``feature_id, part, ring, role, pts``: closed rings generalised by their level's policy, ``level, tolerance`` (null or absent: as they are).
+    """``feature_id, part, ring, role, pts``: closed rings generalised by their level's policy, ``level, tolerance`` (null or absent: as they are); a feature is of one level.
 
     Arcs are generalised, so neighbours keep a common border.  Arcs that then cross an arc of their level, and those of features whose rings
     no longer fit each other, are generalised again by half their tolerance until nothing crosses; after ``MOST_HALVINGS`` they stay as they are.
     All arcs of a ring that would keep under three corners stay as they are.  A round looks only at what the last one changed: crossings of other arcs are
-    carried on, and a smaller tolerance never keeps fewer corners.
+    carried on, and a smaller tolerance never keeps fewer corners.  So arcs that have all their corners are at no fault that could be mended: the first
+    round looks at levels and features where an arc has lost some.
     """
     policy = F.broadcast(tolerances.select("level", F.col("tolerance").cast("double").alias("tolerance")))
-    arcs = _thinned(ring_arcs(edges).join(policy, "level", "left").fillna(0.0, ["tolerance"])).withColumn("fresh", F.lit(True))
-    arcs = written(arcs, "arcs")
+    whole_numbers = {c: F.col(c).cast("int") for c in ("part", "ring")}
+    ruled = with_part(edges).withColumns(whole_numbers).filter("x1 + y1 + x2 + y2 IS NOT NULL").join(policy, "level", "left").fillna(0.0, ["tolerance"])
+    arcs = ring_arcs(ruled.filter("tolerance > 0").drop("tolerance")).join(policy, "level")
+    arcs = written(_with_loss(_thinned(arcs)).withColumn("fresh", F.lit(True)), "arcs", "level")
     long = F.expr("aggregate(transform(slice(kept, 2, size(kept) - 1), (p, k) -> greatest(abs(p.x - kept[k].x), abs(p.y - kept[k].y))), 0D, (s, v) -> s + v)")
-    sides = written(arcs.filter("once").groupBy("level").agg(F.greatest(2 * F.sum(long) / F.sum(F.size("kept") - 1), F.lit(1e-9)).alias("side")), "sides")  # a row a level
-    made, standing = arcs.join(F.broadcast(sides), "level", "left"), None
-    for n in range(MOST_HALVINGS + 2):
-        changed = made if n == 0 else made.join(made.filter("fresh").select("feature_id").distinct(), "feature_id", "left_semi")
+    lost = arcs.groupBy("level").agg(F.greatest(2 * F.sum(long) / F.sum(F.size("kept") - 1), F.lit(1e-9)).alias("side"), F.bool_or("lost").alias("lost"))
+    side = {r["level"]: r["side"] for r in lost.filter("lost").collect()}  # a row a level
+    made, standing = arcs.filter(F.col("level").isin(list(side))).withColumn("side", _side(side)), None
+    whole = arcs.filter(~F.col("level").isin(list(side)))
+    for n in range(MOST_HALVINGS + 2 if side else 0):
+        several = (F.min("part") < F.max("part")) | (F.min("ring") < F.max("ring")) | F.bool_or(F.col("role") == "inner")  # else it is one outer ring, which fits
+        seen = made.groupBy("feature_id").agg(F.bool_or("lost" if n == 0 else "fresh").alias("seen"), several.alias("several")).filter("seen").hint("merge")
+        changed = made.join(seen, "feature_id", "left_semi")
         crossing = _crossing_arcs(made)
-        crossing = written(crossing if standing is None else crossing.unionByName(standing), "arcs-crossing")
+        crossing = written_wide(crossing if standing is None else crossing.unionByName(standing), "arcs-crossing")
         own = lambda s: changed.select("feature_id", *(F.col(c).alias(c + s) for c in ("key", "part", "ring")))  # noqa: B023, E731
         across = crossing.join(own("a"), "keya").join(own("b"), ["feature_id", "keyb"]).filter("(parta, ringa) <> (partb, ringb)").select("feature_id")
-        as_rings = _arc_edges(changed).withColumn("seq", F.col("arc") * 1_000_000 + F.col("i"))
-        unfit = made.join(ring_faults(as_rings, crossings=False).select("feature_id").unionByName(across).distinct(), "feature_id", "left_semi")
-        met = made.join(crossing.select(F.explode(F.array("keya", "keyb")).alias("key")).distinct(), "key", "left_semi")
-        found = unfit.unionByName(met).filter("tolerance > 0").select("key", F.lit(False).alias("flat"))
+        nested = made.join(seen.filter("several").hint("merge"), "feature_id", "left_semi")
+        as_rings = written_wide(_arc_edges(nested).withColumn("seq", F.col("arc") * 1_000_000 + F.col("i")), "arcs-nested")
+        unfit = made.join(ring_faults(as_rings, crossings=False).select("feature_id").unionByName(across).distinct().hint("merge"), "feature_id", "left_semi")
+        met = made.join(crossing.select(F.explode(F.array("keya", "keyb")).alias("key")).distinct().hint("merge"), "key", "left_semi")
+        found = unfit.unionByName(met).filter("lost").select("key", F.lit(False).alias("flat"))
         if n == 0:
             few = made.groupBy(*_RING).agg(F.sum(F.size("kept") - 1).alias("n")).filter("n < 3").select(*_RING)
-            found = found.unionByName(made.filter("tolerance > 0").join(few, _RING, "left_semi").select("key", F.lit(True).alias("flat")))
+            found = found.unionByName(made.filter("lost").join(few, _RING, "left_semi").select("key", F.lit(True).alias("flat")))
         wrong = written_wide(found.groupBy("key").agg(F.bool_or("flat").alias("flat")), "arcs-wrong")
         if wrong.isEmpty():
             break
@@ -436,10 +452,17 @@ def simplified_coverage(edges: DataFrame, tolerances: DataFrame) -> DataFrame:
         standing = crossing.join(kept("keya"), "keya", "left_anti").join(kept("keyb"), "keyb", "left_anti").select("keya", "keyb")
         less = F.when(F.col("flat").isNull(), F.col("tolerance")).when(F.col("flat") | F.lit(n >= MOST_HALVINGS), F.lit(0.0)).otherwise(F.col("tolerance") / 2)
         again = made.join(wrong, "key", "left").withColumn("tolerance", less).withColumn("fresh", F.col("flat").isNotNull()).drop("flat")
-        made = written(_thinned(again), "arcs")
+        made = written(_with_loss(_thinned(again)), "arcs")
     part = F.struct("arc", F.expr("slice(CASE WHEN turned THEN reverse(kept) ELSE kept END, 1, size(kept) - 1)").alias("p"))
-    rings = made.groupBy("feature_id", "part", "ring", "role").agg(F.flatten(F.transform(F.array_sort(F.collect_list(part)), lambda a: a["p"])).alias("open"))
-    return rings.select("feature_id", "part", "ring", "role", F.concat("open", F.slice("open", 1, 1)).alias("pts"))
+    cut = made.drop("side").unionByName(whole).groupBy(*_LINE).agg(F.flatten(F.transform(F.array_sort(F.collect_list(part)), lambda a: a["p"])).alias("open"))
+    corner = F.struct("seq", F.col("x1").cast("double").alias("x"), F.col("y1").cast("double").alias("y"))
+    as_is = ruled.filter("NOT tolerance > 0").groupBy(*_LINE).agg(F.transform(F.array_sort(F.collect_list(corner)), lambda p: F.struct(p["x"], p["y"])).alias("open"))
+    return cut.unionByName(as_is).select(*_LINE, F.concat("open", F.slice("open", 1, 1)).alias("pts"))
+
+
+def _with_loss(arcs: DataFrame) -> DataFrame:
+    """Has the arc ``lost`` any of its corners?"""
+    return arcs.withColumn("lost", F.size("kept") < F.size("pts"))
 
 
 def arcs_of(line: list[tuple[float, float]], sides: list[str]) -> list[tuple[list[tuple[float, float]], bool]]:

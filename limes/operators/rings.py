@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from limes.operators.noding import noded
+from limes.session import spread
 
 Point = tuple[float, float]
 Segment = tuple[Point, Point]
@@ -250,7 +251,7 @@ def per_group(rows: DataFrame, keys: list[str], order: list[str], schema: str, r
         if out:
             yield pd.DataFrame(out, columns=names)
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(stream, schema)
+    return spread(rows, *keys).sortWithinPartitions(*keys, *order).mapInPandas(stream, schema)
 
 
 def _pts(ring: list[Point]) -> list[dict]:

@@ -282,7 +282,7 @@ def _ring_ordered(spark, sf_dir) -> DataFrame:
     land = _land(spark, sf_dir)
     columns = ["feature_id", "level", "part", "ring", "role", "seq", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2"))]
     walked = geometry.closed_edges(rings.outlines(land.filter("level = 4"), "feature_id")).withColumn("level", F.lit(4))
-    return written(land.filter("level > 4").select(*columns).unionByName(walked.select(*columns)), "land-rings")
+    return land.filter("level > 4").select(*columns).unionByName(written(walked.select(*columns), "land-rings"))
 
 
 @query()

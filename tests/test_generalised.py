@@ -97,3 +97,15 @@ def test_features_of_one_ring_meet_nothing(spark):
     alone = frame(spark, [("x", 0, [(0, 0), (9, 0), (0, 9)]), ("y", 1, [(0, 0), (9, 0), (0, 9)])])
     assert [(r.feature_id, r.reason) for r in geometry.ring_faults(alone).collect()] == [("y", "hole_outside_shell")]
     assert "several" in geometry.ring_faults(alone)._jdf.queryExecution().analyzed().toString()
+
+
+def test_rings_that_lost_nothing_are_not_looked_at(spark, monkeypatch):
+    bow, square = [(0, 0), (4, 4), (4, 0), (0, 4)], [(50, 0), (59, 0), (59, 9), (50, 9)]
+    flat = [(0, 20), (5, 20.1), (9, 20), (9, 29), (0, 29)]
+    edges = frame(spark, [("a", 0, bow), ("b", 0, square)]).unionByName(frame(spark, [("c", 0, flat)]).selectExpr("feature_id", "6 AS level", *EDGES.replace(",", "").split()[4::2]))
+    seen, levels, nested = [], [], []
+    for name, note in (("_thinned", lambda rows: seen.append(1)), ("ring_arcs", lambda rows: levels.extend(r.level for r in rows.select("level").distinct().collect())), ("ring_faults", lambda rows: nested.append(rows.count()))):
+        monkeypatch.setattr(geometry, name, lambda rows, *a, f=getattr(geometry, name), note=note, **b: (note(rows), f(rows, *a, **b))[1])
+    got = {r.feature_id: [(p.x, p.y) for p in r.pts[:-1]] for r in geometry.simplified_coverage(edges, spark.createDataFrame([(4, 1.0), (6, None)], "level int, tolerance double")).collect()}
+    assert {k: set(v) for k, v in got.items()} == {k: {(float(x), float(y)) for x, y in v} for k, v in (("a", bow), ("b", square), ("c", flat))}
+    assert len(seen) == 1 and levels == [4] and not nested
