@@ -124,17 +124,24 @@ def with_part(edges: DataFrame) -> DataFrame:
     return edges if "part" in edges.columns else edges.withColumn("part", F.lit(0))
 
 
-def representative_points(edges: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, n_rows: int | None, *keys: str) -> DataFrame:
+    """Rows for joins on keys, which sort them; with their number, tasks are made by it."""
+    return (rows if n_rows is None else sized(rows, n_rows, *keys)).hint("merge")
+
+
+def representative_points(edges: DataFrame, n_edges: int | None = None) -> DataFrame:
     """``feature_id, px, py``: a point inside each feature.
 
     It lies on the line midway between the vertex heights that bracket the middle of the largest ring, in the middle of the feature's widest run there.
+    With the number of edges, tasks are made by it, not by the session's partitions.
     """
+    edges = _dealt(edges, n_edges, "feature_id")
     rings = with_part(edges).groupBy("feature_id", "part", "ring").agg(F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"), ((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2).alias("mid"))
     box = rings.groupBy("feature_id").agg(F.max_by("mid", F.struct("twice", (-F.col("part")).alias("p"), (-F.col("ring")).alias("r"))).alias("mid"))
     ends = edges.select("feature_id", F.explode(F.array("y1", "y2")).alias("y")).distinct()
-    around = ends.join(box, "feature_id").groupBy("feature_id").agg(F.max(F.when(F.col("y") <= F.col("mid"), F.col("y"))).alias("a"), F.min(F.when(F.col("y") > F.col("mid"), F.col("y"))).alias("b"))
+    around = ends.join(box.hint("merge"), "feature_id").groupBy("feature_id").agg(F.max(F.when(F.col("y") <= F.col("mid"), F.col("y"))).alias("a"), F.min(F.when(F.col("y") > F.col("mid"), F.col("y"))).alias("b"))
     line = around.select("feature_id", ((F.col("a") + F.col("b")) / 2).alias("py"))
-    cut = edges.join(line, "feature_id").filter("(y1 > py) <> (y2 > py)").withColumn("x", F.expr("x1 + (x2 - x1) * (py - y1) / (y2 - y1)"))
+    cut = edges.join(line.hint("merge"), "feature_id").filter("(y1 > py) <> (y2 > py)").withColumn("x", F.expr("x1 + (x2 - x1) * (py - y1) / (y2 - y1)"))
     order = Window.partitionBy("feature_id").orderBy("x")
     runs = cut.withColumn("n", F.row_number().over(order)).withColumn("to", F.lead("x").over(order)).filter("n % 2 = 1")
     best = runs.groupBy("feature_id").agg(F.max_by(F.struct("x", "to", "py"), F.struct((F.col("to") - F.col("x")).alias("width"), (-F.col("x")).alias("left"))).alias("r"))
@@ -190,27 +197,28 @@ def validity(edges: DataFrame, n_edges: int | None = None) -> DataFrame:
     low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
     sided = edges.join(box.select("feature_id", "ring", side.alias("side")).hint("merge"), ["feature_id", "ring"]).withColumn("band", F.explode(F.sequence(low, high)))
     cells = along(sided).select("feature_id", "ring", "band", "col", "seq", "x1", "y1", "x2", "y2")
-    cells = cells if n_edges is None else sized(cells, CELLS_PER_EDGE * n_edges, "feature_id", "ring", "band", "col").hint("merge")
+    cells = _dealt(cells, n_edges and CELLS_PER_EDGE * n_edges, "feature_id", "ring", "band", "col")
     a, b = (cells.select("feature_id", "ring", "band", "col", *(F.col(c).alias(c + s) for c in ("seq", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
     crossing = a.join(b, ["feature_id", "ring", "band", "col"]).filter(f"seqa < seqb AND {_APART}").select("feature_id", "ring").distinct().withColumn("crosses", F.lit(True))
     reason = F.when(F.col("n") < 3, "too_few_points").when(F.col("corners") < F.col("n"), "repeated_vertex").when(F.col("twice") == 0, "zero_area").when(F.col("crosses"), "self_crossing")
     return box.join(crossing.hint("merge"), ["feature_id", "ring"], "left").select("feature_id", "ring", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
-def ring_faults(edges: DataFrame, crossings: bool = True) -> DataFrame:
+def ring_faults(edges: DataFrame, crossings: bool = True, n_edges: int | None = None) -> DataFrame:
     """``feature_id, part, ring, reason`` of rings that do not fit the other rings of their feature (first that holds).
 
     Rings that cross (not looked for without ``crossings``), holes outside the shell of their part, holes inside holes, shells inside shells (but for
     islands in holes).  Edges of different rings meet only within cells of the feature's own grid; of every ring one inner point meets the edges of
-    its row band.  A feature of one ring has nothing to meet, so its edges take no part in either.
+    its row band.  A feature of one ring has nothing to meet, so its edges take no part in either.  Whatever grows with the edges is sorted, never
+    broadcast; with their number, the tasks in which rings and edges meet are made by it.
     """
-    rows = with_part(edges)
+    rows, n_cells = with_part(edges), n_edges and CELLS_PER_EDGE * n_edges
     span = lambda lo, hi: F.max(F.greatest(lo, hi)) - F.min(F.least(lo, hi))
     several = (F.min("part") < F.max("part")) | (F.min("ring") < F.max("ring"))
-    box = rows.groupBy("feature_id").agg((F.greatest(span("x1", "x2"), span("y1", "y2"), F.lit(1e-9)) / F.ceil(F.sqrt(F.count("*")))).alias("side"), several.alias("several")).filter("several").drop("several")
+    box = rows.groupBy("feature_id").agg((F.greatest(span("x1", "x2"), span("y1", "y2"), F.lit(1e-9)) / F.ceil(F.sqrt(F.count("*")))).alias("side"), several.alias("several")).filter("several").drop("several").hint("merge")
     low, high = F.floor(F.least("y1", "y2") / F.col("side")), F.floor(F.greatest("y1", "y2") / F.col("side"))
-    banded = rows.join(box.hint("merge"), "feature_id").withColumn("band", F.explode(F.sequence(low, high)))
-    cells = along(banded)
+    banded = rows.join(box, "feature_id").withColumn("band", F.explode(F.sequence(low, high)))
+    cells = _dealt(along(banded).select("feature_id", "band", "col", "part", "ring", "x1", "y1", "x2", "y2"), n_cells, "feature_id", "band", "col")
     a, b = (cells.select("feature_id", "band", "col", *(F.col(c).alias(c + s) for c in ("part", "ring", "x1", "y1", "x2", "y2"))) for s in ("a", "b"))
     crossing = a.join(b, ["feature_id", "band", "col"]).filter(f"(parta, ringa) < (partb, ringb) AND {_APART}")
     crossing = crossing.select("feature_id", F.explode(F.expr("array(struct(parta AS part, ringa AS ring), struct(partb AS part, ringb AS ring))")).alias("r")).select("feature_id", "r.part", "r.ring").distinct().withColumn("crosses", F.lit(True))
@@ -218,15 +226,19 @@ def ring_faults(edges: DataFrame, crossings: bool = True) -> DataFrame:
     of_ring = ["feature_id", "part", "ring"]
     size = rows.groupBy(*of_ring, "role").agg(F.abs(F.sum(F.expr(_SHOELACE))).alias("twice"))
     key = F.to_json(F.struct(*of_ring)).alias("key")
-    inner = representative_points(rows.join(box.hint("merge"), "feature_id", "left_semi").select(key.alias("feature_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "x1", "y1", "x2", "y2")).withColumnRenamed("feature_id", "key")
-    probes = size.select("*", key).join(inner, "key").join(box, "feature_id").select("feature_id", *(F.col(c).alias(f"own_{c}") for c in ("part", "ring", "role", "twice")), "px", "py", F.floor(F.col("py") / F.col("side")).alias("band"))
-    met = probes.join(banded.select(*of_ring, "role", "band", "x1", "y1", "x2", "y2"), ["feature_id", "band"]).filter("(part, ring) <> (own_part, own_ring)").filter(_TO_THE_RIGHT.format(x="px", y="py"))
-    held = met.groupBy("feature_id", "own_part", "own_ring", "own_role", "own_twice", *of_ring[1:], "role").agg(F.count("*").alias("n")).filter("n % 2 = 1")
+    own = rows.join(box, "feature_id", "left_semi").select(key.alias("feature_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "x1", "y1", "x2", "y2")
+    inner = representative_points(own, n_edges).withColumnRenamed("feature_id", "key").hint("merge")
+    probes = size.join(box, "feature_id").select("*", key).join(inner, "key").select("feature_id", *(F.col(c).alias(f"own_{c}") for c in ("part", "ring", "role", "twice")), "px", "py", F.floor(F.col("py") / F.col("side")).alias("band"))
+    of_band = _dealt(banded.select(*of_ring, "role", "band", "x1", "y1", "x2", "y2"), n_cells, "feature_id", "band")
+    met = probes.join(of_band, ["feature_id", "band"]).filter("(part, ring) <> (own_part, own_ring)").filter(_TO_THE_RIGHT.format(x="px", y="py"))
+    # a ring's point is in one band
+    held = met.groupBy("feature_id", "band", "own_part", "own_ring", "own_role", "own_twice", *of_ring[1:], "role").agg(F.count("*").alias("n")).filter("n % 2 = 1")
+    size = _dealt(size, n_edges, *of_ring)
     holders = held.join(size.select(*of_ring, "twice"), of_ring).filter("twice > own_twice").groupBy("feature_id", F.col("own_part").alias("at_part"), F.col("own_ring").alias("at_ring"))
     same = F.col("part") == F.col("own_part")
     counts = holders.agg(F.count("*").alias("depth"), F.count(F.when(same & (F.col("role") == "outer"), 1)).alias("shells"), F.count(F.when(same & (F.col("role") == "inner"), 1)).alias("holes"))
     placed = size.join(counts.withColumnsRenamed({"at_part": "part", "at_ring": "ring"}), of_ring, "left").fillna(0, ["depth", "shells", "holes"])
-    placed = placed.join(crossing, of_ring, "left") if crossings else placed.withColumn("crosses", F.lit(False))
+    placed = placed.join(crossing.hint("merge"), of_ring, "left") if crossings else placed.withColumn("crosses", F.lit(False))
     reason = (
         F.when(F.col("crosses"), "ring_crossing")
         .when((F.col("role") == "inner") & (F.col("shells") == 0), "hole_outside_shell")

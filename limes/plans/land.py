@@ -520,7 +520,8 @@ def level_effects(spark, sf_dir):
     "fx_boxes",
 )
 def ring_faults(spark, sf_dir):
-    return geometry.ring_faults(written_wide(fixture(spark, sf_dir, "fx_boxes"), "boxes"))
+    boxes = written_wide(fixture(spark, sf_dir, "fx_boxes"), "boxes")
+    return geometry.ring_faults(boxes, n_edges=boxes.count())
 
 
 PART_TREE = (
