@@ -113,7 +113,7 @@ def unpinned(identity: DataFrame, pins: DataFrame, group: str) -> DataFrame:
 
 def level_effects(features: DataFrame, tolerances: DataFrame, invalid: DataFrame) -> DataFrame:
     """``level, n, simplified, repaired``: what a geometry policy does to ``id, level``; ``invalid(id)`` are repaired or reported."""
-    joined = features.join(F.broadcast(tolerances.select("level", "tolerance")), "level", "left").join(invalid.select("id", F.lit(1).alias("bad")).distinct(), "id", "left")
+    joined = features.join(F.broadcast(tolerances.select("level", "tolerance")), "level", "left").join(invalid.select("id", F.lit(1).alias("bad")).distinct().hint("merge"), "id", "left")
     return joined.groupBy("level").agg(F.count("*").alias("n"), F.count("tolerance").alias("simplified"), F.count("bad").alias("repaired"))
 
 

@@ -511,7 +511,8 @@ def level_effects(spark, sf_dir):
     """What a policy does to boxes by level; invalid are those in whose rings the checks find a fault."""
     tolerances = spark.createDataFrame([(4, 0.01), (8, 0.001)], "level int, tolerance double")
     boxes = written_wide(fixture(spark, sf_dir, "fx_boxes"), "boxes")
-    invalid = geometry.validity(boxes.filter("part = 0")).select("feature_id").unionByName(geometry.ring_faults(boxes).select("feature_id")).select(F.col("feature_id").alias("id"))
+    n_edges = boxes.count()
+    invalid = geometry.validity(boxes.filter("part = 0"), n_edges).select("feature_id").unionByName(geometry.ring_faults(boxes, n_edges=n_edges).select("feature_id")).select(F.col("feature_id").alias("id"))
     return quality.level_effects(_features(boxes), tolerances, invalid)
 
 

@@ -15,7 +15,7 @@ def plan_run(made):
     return made._jdf.queryExecution().executedPlan().toString(), rows
 
 
-@pytest.mark.parametrize("name, bounded", [("ring_faults", 0)])
+@pytest.mark.parametrize("name, bounded", [("ring_faults", 0), ("level_effects", 1)])
 def test_nothing_that_grows_is_broadcast(spark, name, bounded):
     plan, _ = plan_run(__spark_entry__.queries()[name](spark, SF))
     final = plan.split("== Initial Plan ==")[0]
@@ -34,7 +34,7 @@ def test_an_empty_table_has_no_faults(spark):
     assert geometry.ring_faults(none, n_edges=0).count() == geometry.validity(none, 0).count() == geometry.representative_points(none, 0).count() == 0
 
 
-@pytest.mark.parametrize("name", ["ring_faults"])
+@pytest.mark.parametrize("name", ["ring_faults", "level_effects"])
 def test_tasks_grow_with_the_edges(spark, monkeypatch, name):
     query = __spark_entry__.queries()[name]
     whole = sorted(map(repr, query(spark, SF).collect()))
